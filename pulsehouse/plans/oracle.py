@@ -269,3 +269,36 @@ def oracle_sql() -> dict[str, str]:
         else:
             out[name] = _PRELUDE + body
     return out
+
+
+# Streaming queries: a window is emitted once the watermark (latest event
+# time in ms minus the delay) reaches its end.
+_CLOSED_5M = "window_end * 1000 <= (select max(epoch_us(ts)) // 1000 from com) - 300000"
+
+
+def stream_bodies() -> dict[str, str]:
+    bodies = {
+        "stream_pv_5m": f"""
+select * from (
+  select {_w(300)}, category, {_PV} as pv, {_cnt('like')} as likes, count(*) as n_events
+  from enr group by all)
+where {_CLOSED_5M}""",
+        "stream_uv_5m_exact": f"""
+select * from (
+  select {_w(300)}, count(distinct user_id) as uv
+  from com where event_type = 'enter_item' and user_id is not null group by all)
+where {_CLOSED_5M}""",
+        "stream_cheat_a1": _BODIES["cheat_a1"],
+        "stream_cheat_a2": _BODIES["cheat_a2"],
+        "stream_new_users": """
+select count(distinct user_id) as new_users from com
+where event_type = 'app_open' and user_id is not null""",
+        "stream_archive": """
+select strftime(ts, '%Y%m%d') as day, count(*) as events from com group by 1""",
+        "stream_late_dropped": """
+select (select count(*) from com
+        where strftime(ts, '%Y%m%d') <= '20240110' and item_id is not null) as dropped_rows,
+       (select count(*) from com
+        where strftime(ts, '%Y%m%d') > '20240115' and item_id is not null) as emitted_rows""",
+    }
+    return {k: _PRELUDE + v for k, v in bodies.items()}

@@ -1,7 +1,166 @@
-"""Named streaming queries (filled in as the stream forms land)."""
+"""Named streaming queries over the driver tables.
 
-STREAM_QUERIES: dict = {}
+Each one runs a real Structured Streaming query to completion
+(``availableNow``) over a file stream of the given tables, or of data
+Spark derives from them, writes to a sink in the shared checkpoint folder
+and returns that sink as a DataFrame. Checkpoints and sinks go under
+``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pulsehouse.functions import day_key, window_bounds
+from pulsehouse.operators.enrich import enrich
+from pulsehouse.session import new_run_dir
+from pulsehouse.sinks.lake import archive_stream
+from pulsehouse.sources import adapters as A
+from pulsehouse.sources.events import read_parquet_stream
+from pulsehouse.streaming import detectors, metrics, runner
+from pulsehouse.streaming.new_users import NewUserCounter, new_user_results
+
+
+def _event_stream(spark: SparkSession, directory: str, file_glob: str | None = None,
+                  max_files: int | None = None) -> DataFrame:
+    """The raw ``events`` table as a file stream, mapped to behaviour events."""
+    probe = f"{directory.rstrip('/')}/{file_glob}" if file_glob else directory
+    schema = spark.read.parquet(probe).schema
+    raw = read_parquet_stream(spark, directory, schema, file_glob, max_files)
+    return A.community_events_from(raw)
+
+
+def _run(df: DataFrame, run: str, **kw):
+    q = runner.start(df, f"{run}/checkpoint", f"{run}/out", **kw)
+    return runner.run_to_end(q)
+
+
+def stream_pv_5m(spark, sf):
+    """STR-2/3: PV per 5-minute window and category on the event stream,
+    enriched stream-static, 5-minute watermark, append mode: a window is
+    written once the watermark passes its end."""
+    run = new_run_dir(spark, "stream_pv_5m")
+    ev = _event_stream(spark, sf, "events.parquet")
+    agg = metrics.stream_activity(enrich(ev, A.item_dimension(spark, sf)))
+    _run(agg, run)
+    out = spark.read.parquet(f"{run}/out")
+    return out.select(*window_bounds("window"), "category", "pv", "likes", "n_events")
+
+
+def stream_uv_5m_exact(spark, sf):
+    """STR-4 exact: distinct enter_item users per 5-minute window by
+    chained aggregations."""
+    run = new_run_dir(spark, "stream_uv_5m")
+    ev = _event_stream(spark, sf, "events.parquet")
+    agg = metrics.stream_distinct_users(ev, only_type="enter_item", name="uv")
+    _run(agg, run)
+    out = spark.read.parquet(f"{run}/out")
+    return out.select(*window_bounds("window"), "uv")
+
+
+def _dense_source(spark: SparkSession, sf: str, run: str) -> str:
+    """The dense detector stream, derived by Spark from ``lineitem`` and
+    written once as the stream's source files."""
+    path = f"{run}/source"
+    A.dense_events(spark, sf).write.mode("overwrite").parquet(path)
+    return path
+
+
+def stream_cheat_a1(spark, sf):
+    """CEP-1 with keyed state on the dense stream (one in-order batch, so
+    it equals the batch truth)."""
+    run = new_run_dir(spark, "stream_a1")
+    src = _dense_source(spark, sf, run)
+    s = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    out_df = detectors.stream_a1(A.dense_for_a1(s))
+    _run(out_df, run)
+    out = spark.read.parquet(f"{run}/out")
+    return out.select("event_id", "user_id", "item_id", "event_type",
+                      F.unix_millis("ts").alias("ts_ms"), "is_cheat_a1")
+
+
+def stream_cheat_a2(spark, sf):
+    """CEP-2 with keyed state on the dense stream."""
+    run = new_run_dir(spark, "stream_a2")
+    src = _dense_source(spark, sf, run)
+    s = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    out_df = detectors.stream_a2(A.dense_for_a2(s))
+    _run(out_df, run)
+    out = spark.read.parquet(f"{run}/out")
+    return out.select("event_id", "user_id", "item_id", "event_type",
+                      F.unix_millis("ts").alias("ts_ms"), "is_cheat_a2")
+
+
+def stream_new_users(spark, sf):
+    """NEW-1: new users per micro-batch over the event stream cut into
+    one file per day, several files per trigger. Each user is new in
+    exactly one batch, so the total equals the distinct app_open users."""
+    run = new_run_dir(spark, "stream_new_users")
+    src = f"{run}/source"
+    com = A.community_events(spark, sf).withColumn("event_day", day_key("ts"))
+    com.repartition("event_day").write.partitionBy("event_day").parquet(src)
+    schema = spark.read.parquet(src).schema
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", "5").parquet(src)
+    counter = NewUserCounter(f"{run}/seen", f"{run}/result")
+    runner.run_to_end(runner.start(s, f"{run}/checkpoint", foreach_batch=counter))
+    res = new_user_results(spark, f"{run}/result")
+    return res.agg(F.sum("u_04_new_user_count").cast("bigint").alias("new_users"))
+
+
+def stream_archive(spark, sf):
+    """SNK-2: the event stream appended to the lake, partitioned by event
+    day, then read back."""
+    run = new_run_dir(spark, "stream_archive")
+    ev = _event_stream(spark, sf, "events.parquet")
+    q = archive_stream(ev, run, "ods_events", fmt="parquet")
+    runner.run_to_end(q)
+    out = spark.read.parquet(f"{run}/ods_events")
+    return out.groupBy("event_day").agg(F.count(F.lit(1)).alias("events")).select(
+        F.col("event_day").cast("string").alias("day"), "events"
+    )
+
+
+def stream_late_dropped(spark, sf):
+    """Q-10 / STR-7: the later half of the month arrives first, the first
+    ten days arrive in a second run from the same checkpoint. Every row
+    of the second run is behind the 30-minute watermark and is dropped by
+    the keyed-state detector; the drop count is read from the progress."""
+    run = new_run_dir(spark, "stream_late")
+    src = f"{run}/source"
+    com = A.community_events(spark, sf).withColumn("_day", day_key("ts"))
+    arrivals = [
+        com.where(F.col("_day") > "20240115").drop("_day"),
+        com.where(F.col("_day") <= "20240110").drop("_day"),
+    ]
+    q = None
+    for i, part in enumerate(arrivals):
+        part.write.mode("append").parquet(src)
+        if i == 0:
+            schema = spark.read.parquet(src).schema
+        # A restart from the same checkpoint keeps the watermark.
+        s = spark.readStream.schema(schema).parquet(src)
+        q = runner.start(detectors.stream_a1(s), f"{run}/checkpoint", f"{run}/out")
+        runner.run_to_end(q)
+    dropped = runner.dropped_by_watermark(q)
+    flagged = spark.read.parquet(f"{run}/out")
+    return flagged.agg(F.count(F.lit(1)).alias("emitted_rows")).select(
+        F.lit(dropped).cast("bigint").alias("dropped_rows"), "emitted_rows"
+    )
+
+
+STREAM_QUERIES = {
+    "stream_pv_5m": stream_pv_5m,
+    "stream_uv_5m_exact": stream_uv_5m_exact,
+    "stream_cheat_a1": stream_cheat_a1,
+    "stream_cheat_a2": stream_cheat_a2,
+    "stream_new_users": stream_new_users,
+    "stream_archive": stream_archive,
+    "stream_late_dropped": stream_late_dropped,
+}
 
 
 def stream_oracle_sql() -> dict[str, str]:
-    return {}
+    from pulsehouse.plans.oracle import stream_bodies
+
+    return stream_bodies()
