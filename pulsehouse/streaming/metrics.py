@@ -3,10 +3,11 @@
 Counts and sums are partial aggregates in the state store. Distinct users
 cannot be a plain ``count_distinct`` on a stream; two forms are given:
 
-* exact - ``groupBy(window, dims, user_id)`` then
-  ``groupBy(window(window_time(window)), dims)``, chained stateful
-  aggregations in append mode (state per window and user, evicted by the
-  watermark);
+* exact - one stateful aggregation ``groupBy(window, dims, user_id)`` in
+  append mode; all (window, user) rows of a window leave the state store
+  in the same micro-batch (the one whose watermark closes it), so a
+  ``foreachBatch`` count per window is exact (``WindowUserCounter``).
+  One stateful operator keeps one state store and one watermark.
 * approximate - ``approx_count_distinct`` (HyperLogLog++, fixed state per
   group).
 """
@@ -61,27 +62,43 @@ def stream_activity(
     )
 
 
-def stream_distinct_users(
+def stream_window_users(
     events: DataFrame,
     window: str = config.WINDOW_5M,
     watermark: str = config.METRIC_WATERMARK,
     by: tuple[str, ...] = (),
     only_type: str | None = None,
-    name: str = "users",
 ) -> DataFrame:
-    """Exact distinct users per window by chained aggregation (UV with
-    ``only_type='enter_item'``, DAU-style with None)."""
-    e = events.where(F.col("user_id").isNotNull())
-    if only_type:
-        e = e.where(is_type(only_type))
-    per_user = (
-        e.withWatermark("ts", watermark)
+    """One row per (window, dims, user) once the window closes; the input
+    of ``WindowUserCounter``. ``_hits`` counts the user's events of
+    ``only_type`` (all events when None).
+
+    The type is counted, not filtered: Catalyst pushes a filter that does
+    not read the event time below ``withWatermark``, which would make the
+    watermark follow only the filtered events and hold windows open.
+    """
+    hit = is_type(only_type) if only_type else F.lit(True)
+    return (
+        events.withWatermark("ts", watermark)
         .groupBy(F.window("ts", window).alias("window"), *by, "user_id")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(count_if(hit).alias("_hits"))
     )
-    return per_user.groupBy(
-        F.window(F.window_time("window"), window).alias("window"), *by
-    ).agg(F.count(F.lit(1)).alias(name))
+
+
+class WindowUserCounter:
+    """``foreachBatch``: distinct users per (window, dims) of the windows
+    closed in this micro-batch, appended under ``batch_id=<n>`` (a replay
+    overwrites its own folder)."""
+
+    def __init__(self, path: str, by: tuple[str, ...] = (), name: str = "users"):
+        self.path = path.rstrip("/")
+        self.by = by
+        self.name = name
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        users = batch.where(F.col("user_id").isNotNull() & (F.col("_hits") > 0))
+        counts = users.groupBy("window", *self.by).agg(F.count(F.lit(1)).alias(self.name))
+        counts.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
 
 def stream_approx_users(
