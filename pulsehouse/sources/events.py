@@ -57,9 +57,16 @@ def decode_events(
     Adds ``_decode_ok``; keep good rows with ``typed_events`` and the rest
     with ``quarantine``. Works on batch and streaming frames alike.
     """
+    raw_str = F.col(value_col).cast("string")
+    # Parse once per record. ``inline`` of a one-element array is a
+    # generator: filters on the parsed fields stay above it, so Catalyst
+    # can neither push them below the parse nor split ``from_json`` into
+    # one pruned parse per referenced field.
     parsed = raw.select(
-        F.col(value_col).cast("string").alias("_raw"),
-        F.from_json(F.col(value_col).cast("string"), EVENT_JSON_SCHEMA).alias("e"),
+        F.inline(F.array(F.struct(
+            raw_str.alias("_raw"),
+            F.from_json(raw_str, EVENT_JSON_SCHEMA).alias("e"),
+        )))
     )
     ts = parse_event_time(F.col("e.ts"), source_tz)
     out = parsed.select(

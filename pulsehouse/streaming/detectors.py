@@ -26,7 +26,8 @@ from pulsehouse import config
 
 _TIMEOUT_MS = 30 * 60 * 1000
 
-A1_STATE = "t_ms array<bigint>, texts array<string>"
+# A1 state: the held comments of every item of the key, as parallel arrays.
+A1_STATE = "items array<bigint>, t_ms array<bigint>, texts array<string>"
 A2_STATE = "t_ms array<bigint>, items array<bigint>"
 
 
@@ -69,26 +70,33 @@ def _ordered(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
 
 
 def _a1_fn(params: dict):
+    window_ms = params["window_ms"]
+
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        held: list[tuple[int, str]] = []
+        held: dict[int, list[tuple[int, str]]] = {}
         if state.exists:
-            ts_list, texts = state.get
-            held = list(zip(ts_list, texts))
+            items, ts_list, texts = state.get
+            for it, t, x in zip(items, ts_list, texts):
+                held.setdefault(it, []).append((t, x))
         pdf = _ordered(pdfs)
         flags = []
-        for et, t, text in zip(pdf["event_type"], pdf["t_ms"], pdf["comment_text"]):
+        for item, et, t, text in zip(pdf["item_id"], pdf["event_type"], pdf["t_ms"],
+                                     pdf["comment_text"]):
+            item = int(item)
             if et == "comment":
                 text = text if isinstance(text, str) else ""
-                held = [(ht, hx) for ht, hx in held if ht >= t - params["window_ms"]]
-                held.append((int(t), text))
-                flags.append(a1_is_cheat(held, **params))
+                h = [(ht, hx) for ht, hx in held.get(item, ()) if ht >= t - window_ms]
+                h.append((int(t), text))
+                held[item] = h
+                flags.append(a1_is_cheat(h, **params))
             else:
-                held = []
+                held.pop(item, None)
                 flags.append(False)
-        state.update(([int(t) for t, _ in held], [x for _, x in held]))
+        flat = [(it, t, x) for it, h in held.items() for t, x in h]
+        state.update(([f[0] for f in flat], [f[1] for f in flat], [f[2] for f in flat]))
         state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + _TIMEOUT_MS)
         out = pdf[["event_id", "user_id", "item_id", "event_type", "ts"]].copy()
         out["is_cheat_a1"] = flags
@@ -137,17 +145,26 @@ def stream_a1(
     window_ms: int = config.A1_WINDOW_MS,
     dup_text: int = config.A1_DUP_TEXT,
     watermark: str = config.DETECTOR_WATERMARK,
+    item_buckets: int = 8,
 ) -> DataFrame:
     """CEP-1 on a stream of events (event_id, user_id, item_id,
-    event_type, ts, comment_text). Emits every keyed event with its flag."""
+    event_type, ts, comment_text). Emits every keyed event with its flag.
+
+    The rule is per (user, item); the state key is (user, item bucket) and
+    each key's state holds the comments of all its items. That keeps the
+    number of groups per micro-batch (each costs a pandas round trip) well
+    below the number of (user, item) pairs, while a hot user still spreads
+    over ``item_buckets`` keys.
+    """
     params = dict(min_comments=min_comments, max_gap_ms=max_gap_ms,
                   window_ms=window_ms, dup_text=dup_text)
     e = _prepared(events, watermark).select(
         "event_id", "user_id", "item_id", "event_type", "ts", "comment_text",
         F.unix_millis("ts").alias("t_ms"),
+        F.pmod(F.xxhash64("item_id"), F.lit(item_buckets)).alias("item_bucket"),
     )
     eid = e.schema["event_id"].dataType.simpleString()
-    return e.groupBy("user_id", "item_id").applyInPandasWithState(
+    return e.groupBy("user_id", "item_bucket").applyInPandasWithState(
         _a1_fn(params),
         outputStructType=_out_schema(eid, "is_cheat_a1"),
         stateStructType=A1_STATE,
