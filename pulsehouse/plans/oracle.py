@@ -301,4 +301,8 @@ select (select count(*) from com
        (select count(*) from com
         where strftime(ts, '%Y%m%d') > '20240115' and item_id is not null) as emitted_rows""",
     }
+    bodies["stream_sessions_gap"] = _SESSION_ROLLUP.format(src="""(
+  select * from gap_sessions
+  where epoch_us(s_end) + 1800000000
+        <= (select max(epoch_us(ts)) // 1000 from com) * 1000 - 300000000)""")
     return {k: _PRELUDE + v for k, v in bodies.items()}

@@ -27,7 +27,9 @@ def start(
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
     else:
-        w = w.format(fmt).option("path", sink_path)
+        w = w.format(fmt)
+        if sink_path:
+            w = w.option("path", sink_path)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
