@@ -75,7 +75,7 @@ def enrich_left_unknown(spark, sf):
 
 def pv_by_category_30m(spark, sf):
     """U-05/U-07: PV per 30-minute window and category (flagship)."""
-    m = M.activity_metrics(_enriched(spark, sf), "30m", ("category",))
+    m = M.activity_metrics(_enriched(spark, sf), "30m", ("category",), distinct_users=False)
     return m.select("window_start", "window_end", "category", "pv")
 
 
@@ -99,25 +99,25 @@ def dau_daily(spark, sf):
 
 def avg_stay_by_category(spark, sf):
     """U-08 per day and category."""
-    m = M.activity_metrics(_enriched(spark, sf), "day", ("category",))
+    m = M.activity_metrics(_enriched(spark, sf), "day", ("category",), distinct_users=False)
     return _stay_rounded(m.select("day", "category", "n_leave", "avg_stay_sec"))
 
 
 def avg_stay_by_item(spark, sf):
     """U-08 per day and item."""
-    m = M.activity_metrics(_with_item(_enriched(spark, sf)), "day", ("item_id",))
+    m = M.activity_metrics(_with_item(_enriched(spark, sf)), "day", ("item_id",), distinct_users=False)
     return _stay_rounded(m.select("day", "item_id", "n_leave", "avg_stay_sec"))
 
 
 def bounce_rate_by_item(spark, sf):
     """U-10: D1 exits / enter_item per day and item."""
-    m = M.activity_metrics(_with_item(_enriched(spark, sf)), "day", ("item_id",))
+    m = M.activity_metrics(_with_item(_enriched(spark, sf)), "day", ("item_id",), distinct_users=False)
     return m.select("day", "item_id", "pv", "d1_instant_exits", "bounce_rate")
 
 
 def bounce_rate_by_category(spark, sf):
     """U-12: D1 exits / enter_item per day and category."""
-    m = M.activity_metrics(_enriched(spark, sf), "day", ("category",))
+    m = M.activity_metrics(_enriched(spark, sf), "day", ("category",), distinct_users=False)
     return m.select("day", "category", "pv", "d1_instant_exits", "bounce_rate")
 
 
@@ -130,7 +130,7 @@ def new_users_daily(spark, sf):
 
 def interactions_daily(spark, sf):
     """I-01..I-07 per day and category."""
-    m = M.activity_metrics(_enriched(spark, sf), "day", ("category",))
+    m = M.activity_metrics(_enriched(spark, sf), "day", ("category",), distinct_users=False)
     return m.select(
         "day", "category", "likes", "favs", "shares", "comments", "interactions",
         "interaction_rate", "exposure_conversion", "fav_rate",
@@ -139,7 +139,7 @@ def interactions_daily(spark, sf):
 
 def interactions_30m(spark, sf):
     """I-01..I-07 per 30-minute window (all categories)."""
-    m = M.activity_metrics(_com(spark, sf), "30m")
+    m = M.activity_metrics(_com(spark, sf), "30m", distinct_users=False)
     return m.select(
         "window_start", "window_end", "pv", "likes", "favs", "shares", "comments",
         "interactions", "interaction_rate", "exposure_conversion", "fav_rate",
@@ -148,7 +148,7 @@ def interactions_30m(spark, sf):
 
 def social_counts_daily(spark, sf):
     """I-08..I-11 per day."""
-    m = M.activity_metrics(_com(spark, sf), "day")
+    m = M.activity_metrics(_com(spark, sf), "day", distinct_users=False)
     return m.select("day", "follows", "unfollows", "dms", "profile_visits")
 
 
@@ -169,13 +169,13 @@ def sessionize_gap(spark, sf):
 
 def quality_daily(spark, sf):
     """Q-05..Q-07 per day."""
-    m = M.activity_metrics(_enriched(spark, sf), "day")
+    m = M.activity_metrics(_enriched(spark, sf), "day", distinct_users=False)
     return m.select("day", "n_leave", "d1_instant_exits", "e1_fast_swipes", "c_long_stays")
 
 
 def anomalies_by_category(spark, sf):
     """Q-08: D1 / E1 / C counts per day and category, one row per anomaly."""
-    m = M.activity_metrics(_enriched(spark, sf), "day", ("category",))
+    m = M.activity_metrics(_enriched(spark, sf), "day", ("category",), distinct_users=False)
     return M.anomalies_unpivoted(m, ["day", "category"])
 
 

@@ -76,47 +76,56 @@ def activity_metrics(
     grain: str = "day",
     by: tuple[str, ...] = (),
     flatten_window: bool = True,
+    distinct_users: bool = True,
 ) -> DataFrame:
     """All U/I/Q count and ratio metrics at ``grain`` and ``by`` columns.
 
     ``enriched`` is the output of ``operators.enrich.enrich`` (E1 needs
     content_len). Columns: grain key(s), ``by``, then dau, dau_app_open,
-    pv, uv, likes, favs, shares, comments, interactions, follows,
-    unfollows, dms, profile_visits, n_leave, avg_stay_sec,
+    pv, uv (these four only with ``distinct_users``), likes, favs,
+    shares, comments, interactions, follows, unfollows, dms,
+    profile_visits, n_app_open, n_leave, n_events, avg_stay_sec,
     d1_instant_exits, e1_fast_swipes, c_long_stays, bounce_rate,
     interaction_rate, exposure_conversion, fav_rate.
+
+    Without ``distinct_users`` the plan is a single aggregation on
+    (grain, dims): no per-user level, so the partial aggregation and the
+    shuffle carry one row per group and task instead of one per user.
     """
     g = grain_column(grain)
     gname = _grain_name(grain)
     keys = [gname, *by]
     leave = is_type("leave_item")
     stay = F.when(leave, F.col("duration_sec"))
+    src = enriched.select(g, *by, "user_id", "event_type", "duration_sec", "content_len")
 
-    level1 = (
-        enriched.select(g, *by, "user_id", "event_type", "duration_sec", "content_len")
-        .groupBy(*keys, "user_id")
-        .agg(
+    if distinct_users:
+        level1 = src.groupBy(*keys, "user_id").agg(
             *[count_if(c).alias(n) for n, c in _counters().items()],
             F.sum(stay).alias("stay_sum"),
             F.count(stay).alias("stay_n"),
         )
-    )
-    sums = [F.sum(n).cast("bigint").alias(n) for n in _counters()]
-    level2 = level1.groupBy(*keys).agg(
-        F.count("user_id").alias("dau"),
-        count_if(F.col("user_id").isNotNull() & (F.col("n_app_open") > 0)).alias("dau_app_open"),
-        count_if(F.col("user_id").isNotNull() & (F.col("pv") > 0)).alias("uv"),
-        *sums,
-        F.sum("stay_sum").alias("stay_sum"),
-        F.sum("stay_n").alias("stay_n"),
-    )
+        sums = [F.sum(n).cast("bigint").alias(n) for n in _counters()]
+        agg = level1.groupBy(*keys).agg(
+            F.count("user_id").alias("dau"),
+            count_if(F.col("user_id").isNotNull() & (F.col("n_app_open") > 0)).alias("dau_app_open"),
+            count_if(F.col("user_id").isNotNull() & (F.col("pv") > 0)).alias("uv"),
+            *sums,
+            F.sum("stay_sum").alias("stay_sum"),
+            F.sum("stay_n").alias("stay_n"),
+        )
+        users = ["dau", "dau_app_open", "pv", "uv"]
+    else:
+        agg = src.groupBy(*keys).agg(
+            *[count_if(c).alias(n) for n, c in _counters().items()],
+            F.sum(stay).alias("stay_sum"),
+            F.count(stay).alias("stay_n"),
+        )
+        users = ["pv"]
     interactions = sum(F.col(c) for c in config_interactions())
-    out = level2.select(
+    out = agg.select(
         *keys,
-        "dau",
-        "dau_app_open",
-        "pv",
-        "uv",
+        *users,
         "likes",
         "favs",
         "shares",

@@ -26,6 +26,13 @@ from pulsehouse import config
 
 _TIMEOUT_MS = 30 * 60 * 1000
 
+
+def _evict_after(state: GroupState, latest_t: int) -> None:
+    """Evict the key 30 minutes of event time after its latest event (and
+    never before the watermark). The look-back is 60 s (A1) or 5 s (A2),
+    so an evicted key could not have influenced a later row."""
+    state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), int(latest_t)) + _TIMEOUT_MS)
+
 # A1 state: the held comments of every item of the key, as parallel arrays.
 A1_STATE = "items array<bigint>, t_ms array<bigint>, texts array<string>"
 A2_STATE = "t_ms array<bigint>, items array<bigint>"
@@ -97,7 +104,7 @@ def _a1_fn(params: dict):
                 flags.append(False)
         flat = [(it, t, x) for it, h in held.items() for t, x in h]
         state.update(([f[0] for f in flat], [f[1] for f in flat], [f[2] for f in flat]))
-        state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + _TIMEOUT_MS)
+        _evict_after(state, max([pdf["t_ms"].max()] + [f[1] for f in flat]))
         out = pdf[["event_id", "user_id", "item_id", "event_type", "ts"]].copy()
         out["is_cheat_a1"] = flags
         yield out
@@ -122,7 +129,7 @@ def _a2_fn(window_ms: int, min_items: int):
             held.append((int(t), int(item)))
             keep.append(len({hi for _, hi in held}) >= min_items)
         state.update(([t for t, _ in held], [i for _, i in held]))
-        state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + _TIMEOUT_MS)
+        _evict_after(state, max([state.getCurrentWatermarkMs()] + [t for t, _ in held]))
         out = pdf.loc[keep, ["event_id", "user_id", "item_id", "event_type", "ts"]].copy()
         out["is_cheat_a2"] = True
         yield out
@@ -145,7 +152,7 @@ def stream_a1(
     window_ms: int = config.A1_WINDOW_MS,
     dup_text: int = config.A1_DUP_TEXT,
     watermark: str = config.DETECTOR_WATERMARK,
-    item_buckets: int = 8,
+    item_buckets: int = 4,
 ) -> DataFrame:
     """CEP-1 on a stream of events (event_id, user_id, item_id,
     event_type, ts, comment_text). Emits every keyed event with its flag.
