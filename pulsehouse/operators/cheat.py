@@ -17,6 +17,14 @@ rule is: the 5 latest events of the key are all comments, their gaps are
 
 A2 (like storm, key user_id): a like is flagged when the user's likes in
 the 5 s up to it (inclusive, earlier in order) cover >= 15 distinct items.
+
+A2 is computed in linear time per key, whatever the like rate. Among the
+likes of one item, like ``e`` makes the item count for a later like
+``c`` exactly when ``t_prev(e) + W < t_c <= t_e + W`` (``prev`` is the
+item's previous like). So each like contributes +1 from
+``max(t_e, t_prev + W + 1 ms)`` to ``t_e + W``, and the number of distinct
+items at ``c`` is a running sum of those +1/-1 boundaries up to ``c``.
+Nothing is collected per row.
 """
 
 from __future__ import annotations
@@ -84,25 +92,44 @@ def detect_a2(
     bucket_ms: int = config.DEFAULT_SCALE.split_bucket_sec * 1000,
 ) -> DataFrame:
     """CEP-2. Only the flagged likes, with ``is_cheat_a2`` = true."""
+    W = window_ms
     likes = _detector_input(events).where(F.col("event_type") == "like")
     likes = likes.select(*CHEAT_COLUMNS, _T)
-    likes = time_split(likes, _T, bucket_ms, window_ms)
-    w = (
-        Window.partitionBy("user_id", BUCKET)
-        .orderBy(_T)
-        .rangeBetween(-window_ms, 0)
-    )
-    recent = F.collect_list(F.struct(F.col(_T).alias("t"), "event_id", "item_id")).over(w)
-    # Equal-time peers later in (t, event_id) order are not yet seen.
-    before = F.filter(
-        recent, lambda x: (x["t"] < F.col(_T)) | (x["event_id"] <= F.col("event_id"))
-    )
-    n_items = F.size(F.array_distinct(F.transform(before, lambda x: x["item_id"])))
-    return (
-        likes.withColumn("_n_items", n_items)
-        .where(own_rows() & (F.col("_n_items") >= min_items))
-        .select(*CHEAT_COLUMNS, F.lit(True).alias("is_cheat_a2"))
-    )
+    likes = time_split(likes, _T, bucket_ms, W)
+    t = F.col(_T)
+    # Previous like of the same item; only one within W matters, so the
+    # bucket's halo holds it.
+    likes = likes.withColumn("_prev", F.lag(_T).over(
+        Window.partitionBy("user_id", BUCKET, "item_id").orderBy(_T, "event_id")
+    ))
+    prev = F.col("_prev")
+    delayed = prev.isNotNull() & (prev + W + 1 > t)
+    start_t = F.when(delayed, prev + W + 1).otherwise(t)
+    contributes = start_t <= t + W
+    # Sort key per millisecond: band 0 = before every like of that ms,
+    # band 1 = in (event_id, kind) order among that ms's likes, band 2 =
+    # after them. kind 0 (a boundary) precedes kind 1 (the like itself).
+    def point(time, band, kind, delta):
+        return F.struct(time.alias("pt"), F.lit(band).alias("band"),
+                        F.col("event_id").alias("eid"), F.lit(kind).alias("kind"),
+                        F.lit(delta).alias("delta"))
+
+    rows = likes.select(
+        "*",
+        F.explode(F.array(
+            point(t, 1, 1, 0),
+            F.when(contributes, F.when(delayed, point(prev + W + 1, 0, 0, 1))
+                   .otherwise(point(t, 1, 0, 1))),
+            F.when(contributes, point(t + W, 2, 0, -1)),
+        )).alias("p"),
+    ).where(F.col("p").isNotNull())
+    order = Window.partitionBy("user_id", BUCKET).orderBy(
+        "p.pt", "p.band", "p.eid", "p.kind"
+    ).rowsBetween(Window.unboundedPreceding, 0)
+    counted = rows.withColumn("_n_items", F.sum("p.delta").over(order))
+    return counted.where(
+        own_rows() & (F.col("p.kind") == 1) & (F.col("_n_items") >= min_items)
+    ).select(*CHEAT_COLUMNS, F.lit(True).alias("is_cheat_a2"))
 
 
 def cheat_flags(a1: DataFrame, a2: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ order.
 
 from __future__ import annotations
 
+import bisect
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -38,6 +40,42 @@ A1_STATE = "items array<bigint>, t_ms array<bigint>, texts array<string>"
 A2_STATE = "t_ms array<bigint>, items array<bigint>"
 
 
+class _Held:
+    """Held (time, value) pairs in time order with a count per value.
+
+    Rows of a key mostly arrive in time order: appending and dropping the
+    oldest are O(1). A late row is inserted at its place, so pruning by
+    time stays exact for any arrival order.
+    """
+
+    __slots__ = ("items", "counts")
+
+    def __init__(self, pairs=()):
+        self.items: deque = deque(sorted(pairs, key=lambda p: p[0]))
+        self.counts: Counter = Counter(v for _, v in self.items)
+
+    def prune(self, threshold: int) -> None:
+        items, counts = self.items, self.counts
+        while items and items[0][0] < threshold:
+            _, v = items.popleft()
+            counts[v] -= 1
+            if not counts[v]:
+                del counts[v]
+
+    def add(self, t: int, v) -> None:
+        items = self.items
+        if not items or items[-1][0] <= t:
+            items.append((t, v))
+        else:
+            lst = list(items)
+            bisect.insort_right(lst, (t, v), key=lambda p: p[0])
+            self.items = deque(lst)
+        self.counts[v] += 1
+
+    def __len__(self) -> int:
+        return len(self.items)
+
+
 def _out_schema(event_id_type: str, flag: str) -> str:
     return (
         f"event_id {event_id_type}, user_id bigint, item_id bigint, event_type string, "
@@ -46,27 +84,30 @@ def _out_schema(event_id_type: str, flag: str) -> str:
 
 
 def a1_is_cheat(
-    held: list[tuple[int, str]],
+    held,
     min_comments: int = config.A1_MIN_COMMENTS,
     max_gap_ms: int = config.A1_MAX_GAP_MS,
     window_ms: int = config.A1_WINDOW_MS,
     dup_text: int = config.A1_DUP_TEXT,
 ) -> bool:
-    """The A1 test on the held (time, text) comments."""
-    if len(held) < min_comments:
+    """The A1 test on the held (time, text) comments (a ``_Held`` or any
+    list of pairs)."""
+    if not isinstance(held, _Held):
+        held = _Held(held)
+    n = len(held)
+    if n < min_comments:
         return False
-    times = sorted(t for t, _ in held)
-    for a, b in zip(times[-min_comments:], times[-min_comments + 1:]):
-        if b - a > max_gap_ms:
+    items = held.items
+    for k in range(n - min_comments + 1, n):
+        if items[k][0] - items[k - 1][0] > max_gap_ms:
             return False
-    latest = times[-1]
-    in_window = sum(1 for t in times if latest - t <= window_ms)
-    if in_window >= min_comments:
+    latest = items[-1][0]
+    outside = 0
+    while items[outside][0] < latest - window_ms:
+        outside += 1
+    if n - outside >= min_comments:
         return True
-    counts: dict[str, int] = {}
-    for _, text in held:
-        counts[text] = counts.get(text, 0) + 1
-    return max(counts.values()) >= dup_text
+    return max(held.counts.values()) >= dup_text
 
 
 def _ordered(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -83,28 +124,30 @@ def _a1_fn(params: dict):
         if state.hasTimedOut:
             state.remove()
             return
-        held: dict[int, list[tuple[int, str]]] = {}
+        pairs: dict[int, list] = {}
         if state.exists:
             items, ts_list, texts = state.get
             for it, t, x in zip(items, ts_list, texts):
-                held.setdefault(it, []).append((t, x))
+                pairs.setdefault(it, []).append((t, x))
+        held = {it: _Held(p) for it, p in pairs.items()}
         pdf = _ordered(pdfs)
         flags = []
         for item, et, t, text in zip(pdf["item_id"], pdf["event_type"], pdf["t_ms"],
                                      pdf["comment_text"]):
-            item = int(item)
+            item, t = int(item), int(t)
             if et == "comment":
-                text = text if isinstance(text, str) else ""
-                h = [(ht, hx) for ht, hx in held.get(item, ()) if ht >= t - window_ms]
-                h.append((int(t), text))
-                held[item] = h
+                h = held.get(item)
+                if h is None:
+                    h = held[item] = _Held()
+                h.prune(t - window_ms)
+                h.add(t, text if isinstance(text, str) else "")
                 flags.append(a1_is_cheat(h, **params))
             else:
                 held.pop(item, None)
                 flags.append(False)
-        flat = [(it, t, x) for it, h in held.items() for t, x in h]
+        flat = [(it, t, x) for it, h in held.items() for t, x in h.items]
         state.update(([f[0] for f in flat], [f[1] for f in flat], [f[2] for f in flat]))
-        _evict_after(state, max([pdf["t_ms"].max()] + [f[1] for f in flat]))
+        _evict_after(state, max([int(pdf["t_ms"].max())] + [f[1] for f in flat]))
         out = pdf[["event_id", "user_id", "item_id", "event_type", "ts"]].copy()
         out["is_cheat_a1"] = flags
         yield out
@@ -117,19 +160,20 @@ def _a2_fn(window_ms: int, min_items: int):
         if state.hasTimedOut:
             state.remove()
             return
-        held: list[tuple[int, int]] = []
+        held = _Held()
         if state.exists:
             ts_list, items = state.get
-            held = list(zip(ts_list, items))
+            held = _Held(zip(ts_list, items))
         pdf = _ordered(pdfs)
         pdf = pdf[pdf["event_type"] == "like"]
         keep = []
         for t, item in zip(pdf["t_ms"], pdf["item_id"]):
-            held = [(ht, hi) for ht, hi in held if ht >= t - window_ms]
-            held.append((int(t), int(item)))
-            keep.append(len({hi for _, hi in held}) >= min_items)
-        state.update(([t for t, _ in held], [i for _, i in held]))
-        _evict_after(state, max([state.getCurrentWatermarkMs()] + [t for t, _ in held]))
+            t = int(t)
+            held.prune(t - window_ms)
+            held.add(t, int(item))
+            keep.append(len(held.counts) >= min_items)
+        state.update(([t for t, _ in held.items], [i for _, i in held.items]))
+        _evict_after(state, max([state.getCurrentWatermarkMs()] + [t for t, _ in held.items]))
         out = pdf.loc[keep, ["event_id", "user_id", "item_id", "event_type", "ts"]].copy()
         out["is_cheat_a2"] = True
         yield out

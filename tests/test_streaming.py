@@ -186,3 +186,19 @@ def test_exact_stream_distinct_equals_batch(spark):
     wm = A.community_events(spark, SF_SMALL).agg(F.max("ts")).first()[0] - timedelta(minutes=5)
     want = {(r.window.start, r.dau) for r in batch.collect() if r.window.end <= wm}
     assert got == want
+
+
+def test_a2_dense_storm_equals_state_model(spark):
+    """One user, 2,000 likes in a few seconds over 25 items, many equal
+    timestamps: the linear batch form equals the state machine."""
+    rng = random.Random(11)
+    t = 0
+    rows = []
+    for i in range(2000):
+        t += rng.choice([0, 0, 1, 2, 5])
+        rows.append((i + 1, 9, rng.randrange(25), "like", BASE + timedelta(milliseconds=t), None))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.event_id for r in cheat.detect_a2(df, bucket_ms=5_000).collect()}
+    want = state_model_a2(rows)
+    assert got == want and 0 < len(want) < 2000
