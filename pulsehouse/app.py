@@ -46,7 +46,7 @@ from pulsehouse.sources.events import (
 )
 from pulsehouse.streaming import detectors, metrics
 from pulsehouse.streaming.enrichment import EnrichWithReload, path_exists
-from pulsehouse.streaming.new_users import NewUserCounter
+from pulsehouse.streaming.new_users import BatchNewUserCount, first_app_opens
 
 ENRICHED_SCHEMA = (
     "event_id string, user_id bigint, event_type string, ts timestamp, session_id string, "
@@ -105,8 +105,8 @@ def ingest_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
         _writer(good, base, "dwd_enrich", trigger,
                 foreach_batch=EnrichWithReload(lambda: load_item_dim(spark, args.dim_item),
                                                f"{base}/dwd/events")),
-        _writer(good, base, "dws_new_users", trigger,
-                foreach_batch=NewUserCounter(f"{base}/state/seen_users", f"{base}/dws/new_users")),
+        _writer(first_app_opens(good), base, "dws_new_users", trigger,
+                foreach_batch=BatchNewUserCount(f"{base}/dws/new_users")),
     ]
     return qs
 

@@ -19,7 +19,11 @@ from pulsehouse.sinks.lake import archive_stream
 from pulsehouse.sources import adapters as A
 from pulsehouse.sources.events import read_parquet_stream
 from pulsehouse.streaming import detectors, metrics, runner
-from pulsehouse.streaming.new_users import NewUserCounter, new_user_results
+from pulsehouse.streaming.new_users import (
+    BatchNewUserCount,
+    first_app_opens,
+    new_user_results,
+)
 
 
 def _event_stream(spark: SparkSession, directory: str, file_glob: str | None = None,
@@ -95,16 +99,18 @@ def stream_cheat_a2(spark, sf):
 
 def stream_new_users(spark, sf):
     """NEW-1: new users per micro-batch over the event stream cut into
-    one file per day, several files per trigger. Each user is new in
-    exactly one batch, so the total equals the distinct app_open users."""
+    one file per day, several files per trigger; the seen set is the state
+    store of a streaming dropDuplicates. Each user is new in exactly one
+    batch, so the total equals the distinct app_open users."""
     run = new_run_dir(spark, "stream_new_users")
     src = f"{run}/source"
     com = A.community_events(spark, sf).withColumn("event_day", day_key("ts"))
     com.repartition("event_day").write.partitionBy("event_day").parquet(src)
     schema = spark.read.parquet(src).schema
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", "5").parquet(src)
-    counter = NewUserCounter(f"{run}/seen", f"{run}/result")
-    runner.run_to_end(runner.start(s, f"{run}/checkpoint", foreach_batch=counter))
+    counter = BatchNewUserCount(f"{run}/result")
+    runner.run_to_end(runner.start(first_app_opens(s), f"{run}/checkpoint",
+                                   foreach_batch=counter))
     res = new_user_results(spark, f"{run}/result")
     return res.agg(F.sum("u_04_new_user_count").cast("bigint").alias("new_users"))
 

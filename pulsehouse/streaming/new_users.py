@@ -1,6 +1,17 @@
 """Replay-safe new-user counting per micro-batch (NEW-1, NEW-2, STR-8,
 STR-11, SNK-4).
 
+Two exact forms:
+
+* ``first_app_opens`` + ``BatchNewUserCount`` (default): a streaming
+  ``dropDuplicates(["user_id"])`` keeps every user ever seen in the state
+  store (RocksDB, hash-partitioned by user, checkpointed), so each
+  micro-batch looks up only its own ids - O(batch), not O(all users) - and
+  emits each user's first app_open once; ``foreachBatch`` counts them.
+  The checkpoint makes a replayed batch see the same state.
+* ``NewUserCounter``: the same over a seen-users table in the shared
+  folder, for deployments that want the set as a readable table.
+
 Each micro-batch: distinct app_open users -> those never seen in earlier
 batches -> recorded as seen under the batch's id -> one result row
 (batch_id, processed_at, "ALL", u_04_new_user_count) appended.
@@ -33,6 +44,30 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def first_app_opens(events: DataFrame) -> DataFrame:
+    """Each user's first app_open, once, over the stream's lifetime."""
+    return (
+        events.where(is_type("app_open") & F.col("user_id").isNotNull())
+        .select("user_id", "ts")
+        .dropDuplicates(["user_id"])
+    )
+
+
+class BatchNewUserCount:
+    """``foreachBatch`` over ``first_app_opens``: one result row per
+    micro-batch under ``batch_id=<n>`` (a replay overwrites it)."""
+
+    def __init__(self, result_path: str):
+        self.result_path = result_path.rstrip("/")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch.agg(F.count(F.lit(1)).alias("u_04_new_user_count")).select(
+            F.current_timestamp().alias("processed_at"),
+            F.lit("ALL").alias("category"),
+            "u_04_new_user_count",
+        ).write.mode("overwrite").parquet(f"{self.result_path}/batch_id={batch_id}")
+
+
 class NewUserCounter:
     """``foreachBatch`` function; ``seen_path`` and ``result_path`` live in
     the shared checkpoint folder."""

@@ -86,3 +86,19 @@ def test_archive_and_export(spark):
         "20240101", "20240102"}
     export_csv(back, f"{run}/csv")
     assert any(p.endswith(".csv") for p in os.listdir(f"{run}/csv"))
+
+
+def test_memory_sink_and_temp_view(spark):
+    """SNK-3 / SNK-4: a test-only memory table and a temp view."""
+    from pulsehouse.sinks.lake import publish_view
+    from pulsehouse.streaming import runner
+
+    run = new_run_dir(spark, "test_memory")
+    src = f"{run}/src"
+    spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string").write.parquet(src)
+    s = spark.readStream.schema("id bigint, v string").parquet(src)
+    q = runner.start(s, f"{run}/ck", fmt="memory", query_name="cheat_a1_result")
+    runner.run_to_end(q)
+    assert spark.sql("select count(*) as n from cheat_a1_result").first().n == 2
+    publish_view(spark.table("cheat_a1_result").where("id = 2"), "new_user_result")
+    assert spark.sql("select v from new_user_result").first().v == "b"

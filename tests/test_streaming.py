@@ -202,3 +202,22 @@ def test_a2_dense_storm_equals_state_model(spark):
     got = {r.event_id for r in cheat.detect_a2(df, bucket_ms=5_000).collect()}
     want = state_model_a2(rows)
     assert got == want and 0 < len(want) < 2000
+
+
+def test_state_store_new_users_across_restarts(spark):
+    """The seen set lives in the state store: three arrivals, each run
+    from the same checkpoint, count each user once, in its first batch."""
+    from pulsehouse.streaming.new_users import BatchNewUserCount, first_app_opens
+
+    run = new_run_dir(spark, "test_new_users_state")
+    src = f"{run}/src"
+    sch = "user_id bigint, event_type string, ts timestamp"
+    arrivals = [[1, 2, 2, 3], [2, 3, 4], [5, 1]]
+    for ids in arrivals:
+        spark.createDataFrame([(i, "app_open", BASE) for i in ids] + [(7, "like", BASE)], sch) \
+            .write.mode("append").parquet(src)
+        s = spark.readStream.schema(sch).parquet(src)
+        runner.run_to_end(runner.start(first_app_opens(s), f"{run}/ck",
+                                       foreach_batch=BatchNewUserCount(f"{run}/res")))
+    got = sorted(r.u_04_new_user_count for r in new_user_results(spark, f"{run}/res").collect())
+    assert got == [1, 1, 3]
