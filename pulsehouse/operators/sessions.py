@@ -4,15 +4,19 @@ A user's session ends after ``gap`` of inactivity: an event starts a new
 session when the previous event of the user is more than ``gap`` earlier
 (exactly ``gap`` stays in the session, as ``session_window`` does).
 
-Plan, so that a hot user is never one task:
+Plan, so that a hot user is never one task and no row is copied:
 
-1. session starts: a bounded look-back, evaluated per (user, time bucket)
-   with a halo of ``gap`` (``operators.split``);
-2. session number of each event = starts before it = running count inside
-   its bucket + starts of all earlier buckets. The second term is a
-   running sum over one row per (user, bucket), which is small, joined
-   back on (user, bucket);
-3. per (user, session number): first, last, count - partial aggregation.
+1. events are keyed by (user, event-time bucket); inside a bucket, a
+   window ordered by time gives each event its predecessor, except for the
+   bucket's first event;
+2. a small table with one row per (user, bucket) - first and last event
+   time, starts inside the bucket - is ordered per user: the previous
+   non-empty bucket's last time decides whether the bucket's first event
+   starts a session, and a running sum gives the number of sessions begun
+   before the bucket;
+3. joined back on (user, bucket), session number = sessions before the
+   bucket + running count of starts inside it; then per (user, session
+   number): first, last and count, by partial aggregation.
 """
 
 from __future__ import annotations
@@ -21,9 +25,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsehouse import config
-from pulsehouse.operators.split import BUCKET, own_rows, time_split
 
 _T = "_t_us"
+_B = "_bucket"
 
 
 def sessionize(
@@ -35,36 +39,50 @@ def sessionize(
     """Events with ``session_seq`` (1, 2, ... per user, in time order) and
     ``derived_session_id`` = ``{user}_{seq}``."""
     gap_us = gap_sec * 1_000_000
-    bucket_us = max(bucket_sec, gap_sec) * 1_000_000
-    e = events.where(F.col(user).isNotNull() & F.col("ts").isNotNull()).withColumn(
-        _T, F.unix_micros("ts")
+    bucket_us = bucket_sec * 1_000_000
+    e = (
+        events.where(F.col(user).isNotNull() & F.col("ts").isNotNull())
+        .withColumn(_T, F.unix_micros("ts"))
+        .withColumn(_B, F.floor(F.col(_T) / F.lit(bucket_us)).cast("bigint"))
     )
-    e = time_split(e, _T, bucket_us, gap_us)
-    w = Window.partitionBy(user, BUCKET).orderBy(_T, "event_id")
+    w = Window.partitionBy(user, _B).orderBy(_T, "event_id")
     prev = F.lag(_T).over(w)
-    e = e.withColumn("_start", F.when(prev.isNull() | (F.col(_T) - prev > gap_us), 1).otherwise(0))
-    own = e.where(own_rows())
-    own = own.withColumn(
-        "_local_seq",
-        F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)),
+    # Starts decided inside the bucket; the bucket's first event is decided
+    # in step 2.
+    e = e.withColumn("_inner_start", F.when(prev.isNotNull() & (F.col(_T) - prev > gap_us), 1)
+                     .otherwise(0)).withColumn("_first", prev.isNull())
+    per_bucket = e.groupBy(user, _B).agg(
+        F.min(_T).alias("_first_t"),
+        F.max(_T).alias("_last_t"),
+        F.sum("_inner_start").alias("_inner_starts"),
     )
-    per_bucket = own.groupBy(user, BUCKET).agg(F.sum("_start").alias("_starts"))
-    offsets = per_bucket.withColumn(
-        "_offset",
+    wu = Window.partitionBy(user).orderBy(_B)
+    prev_last = F.lag("_last_t").over(wu)
+    first_starts = F.when(prev_last.isNull() | (F.col("_first_t") - prev_last > gap_us), 1) \
+        .otherwise(0)
+    per_bucket = per_bucket.withColumn("_first_start", first_starts)
+    per_bucket = per_bucket.withColumn(
+        "_before",
         F.coalesce(
-            F.sum("_starts").over(
-                Window.partitionBy(user).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+            F.sum(F.col("_first_start") + F.col("_inner_starts")).over(
+                wu.rowsBetween(Window.unboundedPreceding, -1)
             ),
             F.lit(0),
         ),
-    ).select(user, BUCKET, "_offset")
-    out = own.join(offsets, [user, BUCKET], "inner")
-    seq = (F.col("_offset") + F.col("_local_seq")).cast("bigint")
-    keep = [c for c in events.columns]
+    ).select(user, _B, "_first_start", "_before")
+    joined = e.join(per_bucket, [user, _B], "inner")
+    start = F.when(F.col("_first"), F.col("_first_start")).otherwise(F.col("_inner_start"))
+    joined = joined.withColumn("_start", start)
+    seq = (
+        F.col("_before")
+        + F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    ).cast("bigint")
+    out = joined.withColumn("session_seq", seq)
     return out.select(
-        *keep,
-        seq.alias("session_seq"),
-        F.concat_ws("_", F.col(user).cast("string"), seq.cast("string")).alias("derived_session_id"),
+        *events.columns,
+        "session_seq",
+        F.concat_ws("_", F.col(user).cast("string"), F.col("session_seq").cast("string"))
+        .alias("derived_session_id"),
     )
 
 

@@ -206,6 +206,8 @@ def test_sessionize_small_buckets_equal_lag_form(spark):
                                  + F.lit(1704067200000000))
     )
     got = sessions.sessionize(squeezed, bucket_sec=1800).select("event_id", "session_seq")
+    tiny = sessions.sessionize(squeezed, bucket_sec=600).select("event_id", "session_seq")
+    assert sorted(tiny.collect()) == sorted(got.collect())
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     prev = F.lag("ts").over(w)
     start = F.when(prev.isNull() | (F.unix_micros("ts") - F.unix_micros(prev) > 1800 * 10**6), 1)
