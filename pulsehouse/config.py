@@ -89,6 +89,8 @@ class ScaleOptions:
 
     # Largest dimension (rows) that is broadcast; beyond it the join shuffles.
     broadcast_max_rows: int = 2_000_000
+    # ... and bytes (fixed-width values plus string lengths).
+    broadcast_max_bytes: int = 256 * 1024 * 1024
     # Event-time bucket that splits one hot key into many tasks in the
     # detectors and in sessionization (seconds).
     split_bucket_sec: int = 3600

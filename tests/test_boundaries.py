@@ -172,16 +172,24 @@ def test_enrich_duplicate_dimension_keys_never_fan_out(spark):
 
 
 def test_enrich_without_broadcast_same_result(spark):
-    ev = events(spark, [(i, 1, i % 7, "like", i) for i in range(50)])
+    ev = events(spark, [(i, 1, (i % 7) if i % 3 else None, "like", i) for i in range(50)]
+                + [(99, 1, -5, "like", 0)])
+    # Negative ids exist in the dimension: salted item-less keys must not
+    # match them.
     dim = spark.createDataFrame(
-        [(i, f"c{i}", i * 100) for i in range(1, 6)],
+        [(i, f"c{i}", i * 100) for i in range(1, 6)] + [(-j, "neg", 1) for j in range(1, 1100)],
         "dim_item_id bigint, category string, dim_content_len int",
     )
     a = sorted(enrich(ev, dim).collect())
     b = sorted(enrich(ev, dim, broadcast_max_rows=2).collect())
-    assert a == b
+    assert a == b and len(a) == 51
+    assert sum(1 for r in a if r.category == "neg") == 1
     _, is_bc = bounded_broadcast(dim, 2)
     assert not is_bc
+    _, is_bc = bounded_broadcast(dim, 10_000, max_bytes=100)
+    assert not is_bc
+    _, is_bc = bounded_broadcast(dim, 10_000)
+    assert is_bc
 
 
 # -- sessions ------------------------------------------------------------------------
