@@ -133,14 +133,14 @@ def detect_a2(
 
 
 def cheat_flags(a1: DataFrame, a2: DataFrame) -> DataFrame:
-    """The combined CheatEvent record: every A1 row, plus A2 rows, with
-    both flags (an event flagged by A2 only appears once)."""
-    a1k = a1.select(*CHEAT_COLUMNS, "is_cheat_a1")
+    """The combined cheat record: every A1 row (all keyed events), with
+    ``is_cheat_a2`` set where A2 flagged the same event. A2 rows are a
+    subset of the keyed likes, so a left join keeps every event once."""
     a2k = a2.select("event_id", "user_id", F.col("is_cheat_a2"))
-    out = a1k.join(a2k, ["event_id", "user_id"], "full")
+    out = a1.select(*CHEAT_COLUMNS, "is_cheat_a1").join(a2k, ["event_id", "user_id"], "left")
     return out.select(
-        "event_id", "user_id", "item_id", "event_type", "ts",
-        F.coalesce("is_cheat_a1", F.lit(False)).alias("is_cheat_a1"),
+        *CHEAT_COLUMNS,
+        "is_cheat_a1",
         F.coalesce("is_cheat_a2", F.lit(False)).alias("is_cheat_a2"),
     )
 

@@ -126,6 +126,11 @@ def new_users_daily(spark, sf):
     return M.new_users(_com(spark, sf), "day")
 
 
+def new_users_30m(spark, sf):
+    """U-04 per 30-minute window of the first app_open."""
+    return M.new_users(_com(spark, sf), "30m")
+
+
 # -- I metrics ------------------------------------------------------------------
 
 def interactions_daily(spark, sf):
@@ -203,6 +208,16 @@ def cheat_a2(spark, sf):
     )
 
 
+def cheat_events(spark, sf):
+    """The combined cheat record: every keyed event of the dense stream
+    with both flags (A1 on the 5-item key, A2 on the user)."""
+    a1 = cheat.detect_a1(A.dense_for_a1(A.dense_events(spark, sf)))
+    a2 = _a2(spark, sf)
+    out = cheat.cheat_flags(a1, a2)
+    return out.select("event_id", "user_id", "event_type",
+                      F.unix_millis("ts").alias("ts_ms"), "is_cheat_a1", "is_cheat_a2")
+
+
 def cheat_a1_ids(spark, sf):
     """Q-01: distinct users / items with A1-flagged comments, per day."""
     return cheat.a1_ids(_a1(spark, sf), day_key("ts").alias("day"))
@@ -250,6 +265,7 @@ QUERIES: dict[str, Query] = {
     "bounce_rate_by_item": bounce_rate_by_item,
     "bounce_rate_by_category": bounce_rate_by_category,
     "new_users_daily": new_users_daily,
+    "new_users_30m": new_users_30m,
     "interactions_daily": interactions_daily,
     "interactions_30m": interactions_30m,
     "social_counts_daily": social_counts_daily,
@@ -259,6 +275,7 @@ QUERIES: dict[str, Query] = {
     "anomalies_by_category": anomalies_by_category,
     "cheat_a1": cheat_a1,
     "cheat_a2": cheat_a2,
+    "cheat_events": cheat_events,
     "cheat_a1_ids": cheat_a1_ids,
     "cheat_a2_users": cheat_a2_users,
     "user_activity_5m": user_activity_5m,

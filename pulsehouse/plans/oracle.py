@@ -203,6 +203,12 @@ select strftime(first_open, '%Y%m%d') as day, count(*) as new_users
 from (select user_id, min(ts) as first_open from com
       where event_type = 'app_open' and user_id is not null group by user_id)
 group by 1""",
+    "new_users_30m": f"""
+select epoch_us(first_open) // 1800000000 * 1800 as window_start,
+       epoch_us(first_open) // 1800000000 * 1800 + 1800 as window_end, count(*) as new_users
+from (select user_id, min(ts) as first_open from com
+      where event_type = 'app_open' and user_id is not null group by user_id)
+group by all""",
     "interactions_daily": f"""
 select {_D}, category, {_cnt('like')} as likes, {_cnt('fav')} as favs,
        {_cnt('share')} as shares, {_cnt('comment')} as comments, {_INTER} as interactions,
@@ -235,6 +241,10 @@ select day, category, anomaly, events from (
 select event_id, user_id, item_id, event_type, t as ts_ms, is_cheat_a1 from a1""",
     "cheat_a2": """
 select event_id, user_id, item_id, event_type, t as ts_ms, true as is_cheat_a2 from a2""",
+    "cheat_events": """
+select a1.event_id, a1.user_id, a1.event_type, a1.t as ts_ms, a1.is_cheat_a1,
+       a2.event_id is not null as is_cheat_a2
+from a1 left join a2 on a1.event_id = a2.event_id""",
     "cheat_a1_ids": f"""
 select {_D}, count(distinct user_id) as a1_users, count(distinct item_id) as a1_items,
        count(*) as a1_events
@@ -287,6 +297,11 @@ where {_CLOSED_5M}""",
 select * from (
   select {_w(300)}, count(distinct user_id) as uv
   from com where event_type = 'enter_item' and user_id is not null group by all)
+where {_CLOSED_5M}""",
+        "stream_dau_5m_exact": f"""
+select * from (
+  select {_w(300)}, count(distinct user_id) as dau
+  from com where user_id is not null group by all)
 where {_CLOSED_5M}""",
         "stream_cheat_a1": _BODIES["cheat_a1"],
         "stream_cheat_a2": _BODIES["cheat_a2"],
