@@ -106,17 +106,3 @@ def enrich(
         F.coalesce(F.col("dim_category"), F.lit(config.UNKNOWN_CATEGORY)).alias("category")
     )
     return joined.select(*cols)
-
-
-def enrich_batch_with_reload(load_dim, **kw):
-    """JOIN-2 hot reload: a ``foreachBatch``-style function factory. Each
-    micro-batch reloads the dimension through ``load_dim()`` so an edited
-    file takes effect in the next batch.
-
-    Returns ``f(batch_df) -> enriched batch``.
-    """
-
-    def _apply(batch_df: DataFrame) -> DataFrame:
-        return enrich(batch_df, load_dim(), **kw)
-
-    return _apply

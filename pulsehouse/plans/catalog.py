@@ -167,7 +167,7 @@ def sessions_daily(spark, sf):
 def sessionize_gap(spark, sf):
     """S-01..S-03 over sessions derived from 30 minutes of inactivity."""
     s = sessions.derived_sessions(sessions.sessionize(_com(spark, sf)))
-    return M._session_rollup(s, "day")
+    return M.session_rollup(s, "day")
 
 
 # -- Q metrics ------------------------------------------------------------------

@@ -122,7 +122,7 @@ def activity_metrics(
             F.count(stay).alias("stay_n"),
         )
         users = ["pv"]
-    interactions = sum(F.col(c) for c in config_interactions())
+    interactions = sum(F.col(c) for c in _interaction_columns())
     out = agg.select(
         *keys,
         *users,
@@ -155,7 +155,7 @@ def activity_metrics(
     return out
 
 
-def config_interactions() -> tuple[str, ...]:
+def _interaction_columns() -> tuple[str, ...]:
     return tuple(f"{t}s" for t in config.INTERACTION_TYPES)
 
 
@@ -187,10 +187,12 @@ def session_metrics(events: DataFrame, grain: str = "day") -> DataFrame:
             F.count(F.lit(1)).alias("s_events"),
         )
     )
-    return _session_rollup(per_session, grain)
+    return session_rollup(per_session, grain)
 
 
-def _session_rollup(per_session: DataFrame, grain: str) -> DataFrame:
+def session_rollup(per_session: DataFrame, grain: str) -> DataFrame:
+    """Per-session rows (s_start, s_end, s_events) -> sessions, average
+    length and average events, in the grain of the session's start."""
     g = grain_column(grain, "s_start")
     gname = _grain_name(grain)
     # Integer sums divided once: the same value in every engine.
@@ -226,15 +228,3 @@ def new_users(events: DataFrame, grain: str = "day") -> DataFrame:
 def distinct_app_open_users(events: DataFrame) -> DataFrame:
     """Distinct user_ids with an app_open (the per-batch step of NEW-1)."""
     return events.where(is_type("app_open") & F.col("user_id").isNotNull()).select("user_id").distinct()
-
-
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column, for exact comparison across engines."""
-    return df.select(
-        *[
-            F.round(F.col(f.name), digits).alias(f.name)
-            if f.dataType.typeName() == "double"
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )

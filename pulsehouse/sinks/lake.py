@@ -68,7 +68,3 @@ def export_csv(df: DataFrame, path: str) -> None:
 def publish_view(df: DataFrame, name: str) -> None:
     """SNK-4: expose a result as a temp view for SQL users."""
     df.createOrReplaceTempView(name)
-
-
-def with_batch(df: DataFrame, batch_id: int) -> DataFrame:
-    return df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))

@@ -172,12 +172,12 @@ def stream_sessions_gap(spark, sf):
     """STR-6: sessions from 30 minutes of inactivity with ``session_window``
     on the stream; a session is written once the watermark passes its end
     (last event + 30 min). Rolled up per day of the session's start."""
-    from pulsehouse.plans.metrics import _session_rollup
+    from pulsehouse.plans.metrics import session_rollup
 
     run = new_run_dir(spark, "stream_sessions")
     ev = _event_stream(spark, sf, "events.parquet")
     _run(metrics.stream_sessions(ev), run)
-    return _session_rollup(spark.read.parquet(f"{run}/out"), "day")
+    return session_rollup(spark.read.parquet(f"{run}/out"), "day")
 
 
 STREAM_QUERIES = {

@@ -33,6 +33,7 @@ from pyspark.sql.utils import AnalysisException
 from pulsehouse import config
 from pulsehouse.functions import is_type
 from pulsehouse.operators.enrich import bounded_broadcast
+from pulsehouse.plans.metrics import distinct_app_open_users
 
 RESULT_SCHEMA = "batch_id bigint, processed_at timestamp, category string, u_04_new_user_count bigint"
 
@@ -80,11 +81,7 @@ class NewUserCounter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ids = (
-            batch.where(is_type("app_open") & F.col("user_id").isNotNull())
-            .select("user_id")
-            .distinct()
-        )
+        ids = distinct_app_open_users(batch)
         seen = _read_or_none(spark, self.seen_path)
         if seen is not None:
             earlier = seen.where(F.col("batch_id") < batch_id).select("user_id")

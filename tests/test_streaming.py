@@ -221,3 +221,21 @@ def test_state_store_new_users_across_restarts(spark):
                                        foreach_batch=BatchNewUserCount(f"{run}/res")))
     got = sorted(r.u_04_new_user_count for r in new_user_results(spark, f"{run}/res").collect())
     assert got == [1, 1, 3]
+
+
+def test_approx_stream_distinct_close_to_exact(spark):
+    from pulsehouse.sources import adapters as A
+    from pulsehouse.streaming.metrics import stream_approx_users
+    from tests.conftest import SF_MID
+
+    run = new_run_dir(spark, "test_approx")
+    schema = spark.read.parquet(f"{SF_MID}/events.parquet").schema
+    raw = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+           .parquet(SF_MID))
+    ev = A.community_events_from(raw)
+    agg = stream_approx_users(ev, window="1 day", watermark="1 hour")
+    runner.run_to_end(runner.start(agg, f"{run}/ck", f"{run}/out"))
+    got = {r.window.start: r.approx_users for r in spark.read.parquet(f"{run}/out").collect()}
+    exact = {r.window.start: r.n for r in A.community_events(spark, SF_MID)
+             .groupBy(F.window("ts", "1 day")).agg(F.count_distinct("user_id").alias("n")).collect()}
+    assert got and all(abs(v - exact[k]) <= max(2, 0.15 * exact[k]) for k, v in got.items())
