@@ -312,7 +312,7 @@ where event_type = 'app_open' and user_id is not null""",
 select strftime(ts, '%Y%m%d') as day, count(*) as events from com group by 1""",
         "stream_late_dropped": """
 select (select count(*) from com
-        where strftime(ts, '%Y%m%d') <= '20240110' and item_id is not null) as dropped_rows,
+        where strftime(ts, '%Y%m%d') <= '20240115' and item_id is not null) as dropped_rows,
        (select count(*) from com
         where strftime(ts, '%Y%m%d') > '20240115' and item_id is not null) as emitted_rows""",
     }
