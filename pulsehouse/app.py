@@ -14,7 +14,8 @@ Layers under BASE (all with checkpoints under BASE/checkpoint):
 * ``dws/activity_5m``, ``dws/activity_30m``  windowed metrics (append);
 * ``dws/uv_5m``       exact distinct enter_item users per window;
 * ``dws/new_users``   new users per micro-batch (NEW-1);
-* ``kv``              serving rows (key, field, value, ttl) per batch (SNK-1).
+* ``kv``              serving rows (key, field, value, ttl) per batch (SNK-1),
+  in update mode by default (open windows are refreshed every trigger).
 
 Modes: default runs continuously on a processing-time trigger; ``--test``
 stops after ``--duration`` seconds (default 180) and exports every result
@@ -74,10 +75,11 @@ def _mkdirs(spark: SparkSession, path: str) -> None:
 
 
 def _writer(df: DataFrame, base: str, name: str, trigger: dict, path: str | None = None,
-            foreach_batch=None, partition_by: list[str] | None = None) -> StreamingQuery:
+            foreach_batch=None, partition_by: list[str] | None = None,
+            output_mode: str = "append") -> StreamingQuery:
     w = df.writeStream.queryName(name).option("checkpointLocation", f"{base}/checkpoint/{name}")
     if foreach_batch is not None:
-        w = w.foreachBatch(foreach_batch)
+        w = w.foreachBatch(foreach_batch).outputMode(output_mode)
     else:
         w = w.format("parquet").option("path", path).outputMode("append")
         if partition_by:
@@ -123,7 +125,10 @@ def metric_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
     return [
         _writer(act5, base, "dws_activity_5m", trigger, f"{base}/dws/activity_5m"),
         _writer(act30, base, "dws_activity_30m", trigger, f"{base}/dws/activity_30m"),
-        _writer(act5, base, "kv_activity_5m", trigger, foreach_batch=KVWriter(f"{base}/kv")),
+        # Update mode: a window's kv rows are refreshed every trigger while
+        # it is open; the store keeps the newest batch's value per field.
+        _writer(act5, base, "kv_activity_5m", trigger, foreach_batch=KVWriter(f"{base}/kv"),
+                output_mode=args.kv_mode),
         _writer(metrics.stream_window_users(enriched, only_type="enter_item"), base, "dws_uv_5m",
                 trigger, foreach_batch=metrics.WindowUserCounter(f"{base}/dws/uv_5m", name="uv")),
         _writer(detectors.stream_a1(enriched), base, "dwd_cheat_a1", trigger,
@@ -191,6 +196,8 @@ def parse_args(argv=None):
     p.add_argument("--duration", type=int, default=180)
     p.add_argument("--trigger-sec", type=int, default=10)
     p.add_argument("--time-zone", default=config.SOURCE_TIME_ZONE)
+    p.add_argument("--kv-mode", choices=["update", "append"], default="update",
+                   help="update: refresh open windows every trigger; append: once closed")
     return p.parse_args(argv)
 
 
