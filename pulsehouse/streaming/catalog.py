@@ -77,14 +77,15 @@ def stream_dau_5m_exact(spark, sf):
 
 
 def _run_in_arrivals(spark: SparkSession, table: DataFrame, order_col: str, run: str,
-                     build, n: int = 4) -> None:
-    """Feed ``table`` to a stream in ``n`` time-ordered arrivals: each
-    arrival is appended to the source folder and processed by a restart
-    from the same checkpoint, so keyed state carries over and a micro-batch
-    holds a quarter of the table, not all of it. ``build(stream)`` makes
-    the streaming DataFrame. The table is written once (Spark derives it
-    from the given tables) and read back per arrival with pushed-down
-    range filters."""
+                     build, n: int = 4, files_per_part: int = 4) -> None:
+    """Feed ``table`` to one streaming run as ``n`` time-ordered
+    micro-batches, so keyed state carries across batches and a batch holds
+    1/n of the table. Each part is appended as exactly ``files_per_part``
+    files, after the previous part was committed; the file source takes
+    files in modification-time order, ``maxFilesPerTrigger`` of them per
+    batch, so every batch is one whole part. The table is written once
+    (Spark derives it from the given tables) and read back per part with
+    pushed-down range filters. ``build(stream)`` makes the query."""
     whole = f"{run}/derived"
     table.write.mode("overwrite").parquet(whole)
     stored = spark.read.parquet(whole)
@@ -94,9 +95,10 @@ def _run_in_arrivals(spark: SparkSession, table: DataFrame, order_col: str, run:
     for i in range(n):
         part = stored.where((F.col(order_col) >= lo + i * step) &
                             (F.col(order_col) < lo + (i + 1) * step))
-        part.write.mode("append").parquet(src)
-        s = spark.readStream.schema(stored.schema).parquet(src)
-        _run(build(s), run)
+        part.repartition(files_per_part).write.mode("append").parquet(src)
+    s = (spark.readStream.schema(stored.schema)
+         .option("maxFilesPerTrigger", str(files_per_part)).parquet(src))
+    _run(build(s), run)
 
 
 def stream_cheat_a1(spark, sf):

@@ -1,9 +1,11 @@
 """Streaming detectors with keyed state (CEP-1, CEP-2, STR-1, STR-5).
 
-``groupBy(key).applyInPandasWithState`` with an event-time timeout: each
-key keeps only its look-back (60 s of comments for A1, 5 s of likes for
-A2) in the state store, and idle keys are evicted once the watermark
-passes ``watermark + 30 min``. Within a micro-batch a key's rows are
+``applyInPandasWithState`` with an event-time timeout. The rule's key
+(user+item for A1, user for A2) is hashed into a fixed number of key
+groups; a group's state holds only the look-back of its keys (60 s of
+comments for A1, 5 s of likes for A2), values older than the watermark
+minus the look-back are dropped, and an idle group is evicted 30 minutes
+of event time after its latest event. Within a micro-batch a key's rows are
 processed in (time, event_id) order; across micro-batches, in arrival
 order - so late rows are judged against what was held, and flags already
 emitted stand (append mode). ``operators.cheat`` is the batch truth.
@@ -35,9 +37,15 @@ def _evict_after(state: GroupState, latest_t: int) -> None:
     so an evicted key could not have influenced a later row."""
     state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), int(latest_t)) + _TIMEOUT_MS)
 
-# A1 state: the held comments of every item of the key, as parallel arrays.
-A1_STATE = "items array<bigint>, t_ms array<bigint>, texts array<string>"
-A2_STATE = "t_ms array<bigint>, items array<bigint>"
+# State of one key group, as parallel arrays: the held comments of every
+# (user, item) in the group (A1), the held likes of every user (A2).
+A1_STATE = "users array<bigint>, items array<bigint>, t_ms array<bigint>, texts array<string>"
+A2_STATE = "users array<bigint>, t_ms array<bigint>, items array<bigint>"
+
+# Default number of key groups: the state is keyed by a hash of the rule's
+# key into this many groups, so a micro-batch makes at most this many
+# pandas round trips, however many users are active.
+KEY_GROUPS = 256
 
 
 class _Held:
@@ -117,6 +125,17 @@ def _ordered(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pdf.sort_values(["t_ms", "event_id"], kind="stable")
 
 
+def _drop_stale(held: dict, watermark_ms: int, look_back_ms: int) -> None:
+    """Every later row of the group has a time >= the watermark (older rows
+    are dropped as late), so held values older than watermark - look-back
+    can no longer matter."""
+    for k in list(held):
+        h = held[k]
+        h.prune(watermark_ms - look_back_ms)
+        if not len(h):
+            del held[k]
+
+
 def _a1_fn(params: dict):
     window_ms = params["window_ms"]
 
@@ -124,30 +143,31 @@ def _a1_fn(params: dict):
         if state.hasTimedOut:
             state.remove()
             return
-        pairs: dict[int, list] = {}
+        pairs: dict[tuple, list] = {}
         if state.exists:
-            items, ts_list, texts = state.get
-            for it, t, x in zip(items, ts_list, texts):
-                pairs.setdefault(it, []).append((t, x))
-        held = {it: _Held(p) for it, p in pairs.items()}
+            users, items, ts_list, texts = state.get
+            for u, it, t, x in zip(users, items, ts_list, texts):
+                pairs.setdefault((u, it), []).append((t, x))
+        held = {k: _Held(p) for k, p in pairs.items()}
         pdf = _ordered(pdfs)
         flags = []
-        for item, et, t, text in zip(pdf["item_id"], pdf["event_type"], pdf["t_ms"],
-                                     pdf["comment_text"]):
-            item, t = int(item), int(t)
+        for u, item, et, t, text in zip(pdf["user_id"], pdf["item_id"], pdf["event_type"],
+                                        pdf["t_ms"], pdf["comment_text"]):
+            k, t = (int(u), int(item)), int(t)
             if et == "comment":
-                h = held.get(item)
+                h = held.get(k)
                 if h is None:
-                    h = held[item] = _Held()
+                    h = held[k] = _Held()
                 h.prune(t - window_ms)
                 h.add(t, text if isinstance(text, str) else "")
                 flags.append(a1_is_cheat(h, **params))
             else:
-                held.pop(item, None)
+                held.pop(k, None)
                 flags.append(False)
-        flat = [(it, t, x) for it, h in held.items() for t, x in h.items]
-        state.update(([f[0] for f in flat], [f[1] for f in flat], [f[2] for f in flat]))
-        _evict_after(state, max([int(pdf["t_ms"].max())] + [f[1] for f in flat]))
+        _drop_stale(held, state.getCurrentWatermarkMs(), window_ms)
+        flat = [(u, it, t, x) for (u, it), h in held.items() for t, x in h.items]
+        state.update(tuple([f[i] for f in flat] for i in range(4)))
+        _evict_after(state, max([int(pdf["t_ms"].max())] + [f[2] for f in flat]))
         out = pdf[["event_id", "user_id", "item_id", "event_type", "ts"]].copy()
         out["is_cheat_a1"] = flags
         yield out
@@ -160,20 +180,28 @@ def _a2_fn(window_ms: int, min_items: int):
         if state.hasTimedOut:
             state.remove()
             return
-        held = _Held()
+        pairs: dict[int, list] = {}
         if state.exists:
-            ts_list, items = state.get
-            held = _Held(zip(ts_list, items))
+            users, ts_list, items = state.get
+            for u, t, it in zip(users, ts_list, items):
+                pairs.setdefault(u, []).append((t, it))
+        held = {u: _Held(p) for u, p in pairs.items()}
         pdf = _ordered(pdfs)
         pdf = pdf[pdf["event_type"] == "like"]
         keep = []
-        for t, item in zip(pdf["t_ms"], pdf["item_id"]):
-            t = int(t)
-            held.prune(t - window_ms)
-            held.add(t, int(item))
-            keep.append(len(held.counts) >= min_items)
-        state.update(([t for t, _ in held.items], [i for _, i in held.items]))
-        _evict_after(state, max([state.getCurrentWatermarkMs()] + [t for t, _ in held.items]))
+        for u, t, item in zip(pdf["user_id"], pdf["t_ms"], pdf["item_id"]):
+            u, t = int(u), int(t)
+            h = held.get(u)
+            if h is None:
+                h = held[u] = _Held()
+            h.prune(t - window_ms)
+            h.add(t, int(item))
+            keep.append(len(h.counts) >= min_items)
+        _drop_stale(held, state.getCurrentWatermarkMs(), window_ms)
+        flat = [(u, t, it) for u, h in held.items() for t, it in h.items]
+        state.update(tuple([f[i] for f in flat] for i in range(3)))
+        latest = [f[1] for f in flat] + ([int(pdf["t_ms"].max())] if len(pdf) else [])
+        _evict_after(state, max([state.getCurrentWatermarkMs()] + latest))
         out = pdf.loc[keep, ["event_id", "user_id", "item_id", "event_type", "ts"]].copy()
         out["is_cheat_a2"] = True
         yield out
@@ -196,26 +224,24 @@ def stream_a1(
     window_ms: int = config.A1_WINDOW_MS,
     dup_text: int = config.A1_DUP_TEXT,
     watermark: str = config.DETECTOR_WATERMARK,
-    item_buckets: int = 4,
+    key_groups: int = KEY_GROUPS,
 ) -> DataFrame:
     """CEP-1 on a stream of events (event_id, user_id, item_id,
     event_type, ts, comment_text). Emits every keyed event with its flag.
 
-    The rule is per (user, item); the state key is (user, item bucket) and
-    each key's state holds the comments of all its items. That keeps the
-    number of groups per micro-batch (each costs a pandas round trip) well
-    below the number of (user, item) pairs, while a hot user still spreads
-    over ``item_buckets`` keys.
+    The rule is per (user, item); the state key is a hash of (user, item)
+    into ``key_groups`` groups, each holding the comments of its pairs. A
+    hot user's items spread over the groups.
     """
     params = dict(min_comments=min_comments, max_gap_ms=max_gap_ms,
                   window_ms=window_ms, dup_text=dup_text)
     e = _prepared(events, watermark).select(
         "event_id", "user_id", "item_id", "event_type", "ts", "comment_text",
         F.unix_millis("ts").alias("t_ms"),
-        F.pmod(F.xxhash64("item_id"), F.lit(item_buckets)).alias("item_bucket"),
+        F.pmod(F.xxhash64("user_id", "item_id"), F.lit(key_groups)).alias("key_group"),
     )
     eid = e.schema["event_id"].dataType.simpleString()
-    return e.groupBy("user_id", "item_bucket").applyInPandasWithState(
+    return e.groupBy("key_group").applyInPandasWithState(
         _a1_fn(params),
         outputStructType=_out_schema(eid, "is_cheat_a1"),
         stateStructType=A1_STATE,
@@ -229,14 +255,17 @@ def stream_a2(
     window_ms: int = config.A2_WINDOW_MS,
     min_items: int = config.A2_MIN_ITEMS,
     watermark: str = config.DETECTOR_WATERMARK,
+    key_groups: int = KEY_GROUPS,
 ) -> DataFrame:
-    """CEP-2 on a stream: emits only the flagged likes."""
+    """CEP-2 on a stream: emits only the flagged likes. State key: a hash
+    of user_id into ``key_groups`` groups."""
     e = _prepared(events, watermark).where(F.col("event_type") == "like").select(
         "event_id", "user_id", "item_id", "event_type", "ts",
         F.unix_millis("ts").alias("t_ms"),
+        F.pmod(F.xxhash64("user_id"), F.lit(key_groups)).alias("key_group"),
     )
     eid = e.schema["event_id"].dataType.simpleString()
-    return e.groupBy("user_id").applyInPandasWithState(
+    return e.groupBy("key_group").applyInPandasWithState(
         _a2_fn(window_ms, min_items),
         outputStructType=_out_schema(eid, "is_cheat_a2"),
         stateStructType=A2_STATE,
