@@ -21,6 +21,7 @@ import bisect
 from collections import Counter, deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -125,6 +126,139 @@ def _ordered(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pdf.sort_values(["t_ms", "event_id"], kind="stable")
 
 
+def _shift(a: np.ndarray, k: int, fill) -> np.ndarray:
+    """``a`` moved k places later (position j holds a[j - k])."""
+    out = np.empty_like(a)
+    out[:k] = fill
+    out[k:] = a[:-k] if k else a
+    return out
+
+
+def _a1_in_order(pdf: pd.DataFrame, held: dict, min_comments: int, max_gap_ms: int,
+                 window_ms: int, dup_text: int):
+    """A1 for a micro-batch whose rows all come at or after each key's held
+    comments (the usual case), vectorised.
+
+    In that order the state machine equals the batch rule on held rows +
+    new rows: a comment is flagged when it and the N-1 rows before it in
+    its key are comments with gaps <= G, spanning <= W. Returns (flags in
+    ``pdf`` row order, new held map), or None when some key's rows arrive
+    before its held comments (then the literal state machine runs).
+    """
+    n = len(pdf)
+    u = pdf["user_id"].to_numpy(np.int64)
+    it = pdf["item_id"].to_numpy(np.int64)
+    t = pdf["t_ms"].to_numpy(np.int64)
+    if held:
+        first_t = pdf.groupby(["user_id", "item_id"], sort=False)["t_ms"].min()
+        for k, h in held.items():
+            ft = first_t.get(k)
+            if ft is not None and ft < h.items[-1][0]:
+                return None
+    ph = [(ku, ki, ht, hx) for (ku, ki), h in held.items() for ht, hx in h.items]
+    m = len(ph)
+    U = np.concatenate([np.fromiter((r[0] for r in ph), np.int64, m), u])
+    I = np.concatenate([np.fromiter((r[1] for r in ph), np.int64, m), it])
+    T = np.concatenate([np.fromiter((r[2] for r in ph), np.int64, m), t])
+    C = np.concatenate([np.ones(m, bool), (pdf["event_type"] == "comment").to_numpy()])
+    X = np.array([r[3] for r in ph] + [x if isinstance(x, str) else "" for x in pdf["comment_text"]],
+                 dtype=object)
+    ROW = np.concatenate([np.full(m, -1, np.int64), np.arange(n, dtype=np.int64)])
+    POS = np.concatenate([np.arange(-m, 0, dtype=np.int64), np.arange(n, dtype=np.int64)])
+    order = np.lexsort((POS, I, U))
+    U, I, T, C, X, ROW = U[order], I[order], T[order], C[order], X[order], ROW[order]
+    N = min_comments
+    flag = C.copy()
+    for k in range(1, N):
+        same = (_shift(U, k, -1) == U) & (_shift(I, k, -1) == I) & (np.arange(len(U)) >= k)
+        flag &= same & _shift(C, k, False)
+    gaps = T - _shift(T, 1, 0)
+    for k in range(0, N - 1):
+        flag &= _shift(gaps, k, 0) <= max_gap_ms
+    flag &= (T - _shift(T, N - 1, 0)) <= window_ms
+    flags = np.zeros(n, bool)
+    batch = ROW >= 0
+    flags[ROW[batch]] = flag[batch]
+    # New held comments: per key, the comments after its last other event,
+    # no older than W before the key's last comment.
+    new_held: dict = {}
+    bounds = np.flatnonzero((U[1:] != U[:-1]) | (I[1:] != I[:-1])) + 1
+    starts = np.concatenate([[0], bounds])
+    ends = np.concatenate([bounds, [len(U)]])
+    for s0, e0 in zip(starts, ends):
+        if not C[e0 - 1]:
+            continue
+        others = np.flatnonzero(~C[s0:e0])
+        r0 = s0 + (others[-1] + 1 if len(others) else 0)
+        keep = np.arange(r0, e0)[T[r0:e0] >= T[e0 - 1] - window_ms]
+        new_held[(int(U[s0]), int(I[s0]))] = _Held(zip(T[keep].tolist(), X[keep].tolist()))
+    return flags, new_held
+
+
+def _a2_in_order(pdf: pd.DataFrame, held: dict, window_ms: int, min_items: int):
+    """A2 for a micro-batch of likes that all come at or after each user's
+    held likes, vectorised with the boundary running sum of
+    ``operators.cheat.detect_a2``. Returns (flag per ``pdf`` row, new held
+    map) or None when a user's likes arrive before its held ones."""
+    W = window_ms
+    n = len(pdf)
+    if held:
+        first_t = pdf.groupby("user_id", sort=False)["t_ms"].min()
+        for k, h in held.items():
+            ft = first_t.get(k)
+            if ft is not None and ft < h.items[-1][0]:
+                return None
+    ph = [(ku, ht, hi) for ku, h in held.items() for ht, hi in h.items]
+    m = len(ph)
+    U = np.concatenate([np.fromiter((r[0] for r in ph), np.int64, m),
+                        pdf["user_id"].to_numpy(np.int64)])
+    T = np.concatenate([np.fromiter((r[1] for r in ph), np.int64, m),
+                        pdf["t_ms"].to_numpy(np.int64)])
+    IT = np.concatenate([np.fromiter((r[2] for r in ph), np.int64, m),
+                         pdf["item_id"].to_numpy(np.int64)])
+    ROW = np.concatenate([np.full(m, -1, np.int64), np.arange(n, dtype=np.int64)])
+    POS = np.concatenate([np.arange(-m, 0, dtype=np.int64), np.arange(n, dtype=np.int64)])
+    order = np.lexsort((POS, U))
+    U, T, IT, ROW, POS = U[order], T[order], IT[order], ROW[order], POS[order]
+    # Previous like of the same (user, item), in processing order.
+    by_item = np.lexsort((POS, IT, U))
+    prev_sorted = _shift(T[by_item], 1, -1)
+    same = (_shift(U[by_item], 1, -1) == U[by_item]) & (_shift(IT[by_item], 1, -1) == IT[by_item])
+    same[0] = False
+    prev = np.empty_like(T)
+    prev[by_item] = np.where(same, prev_sorted, np.iinfo(np.int64).min // 2)
+    delayed = prev + W + 1 > T
+    start = np.where(delayed, prev + W + 1, T)
+    contrib = start <= T + W
+    q = ROW >= 0
+    # Points: (user, time, band, pos, kind, delta).
+    pu = np.concatenate([U[q], U[contrib], U[contrib]])
+    pt = np.concatenate([T[q], start[contrib], T[contrib] + W])
+    pb = np.concatenate([np.ones(q.sum(), np.int64), np.where(delayed[contrib], 0, 1),
+                         np.full(contrib.sum(), 2, np.int64)])
+    pp = np.concatenate([POS[q], POS[contrib], POS[contrib]])
+    pk = np.concatenate([np.ones(q.sum(), np.int64), np.zeros(2 * contrib.sum(), np.int64)])
+    pd_ = np.concatenate([np.zeros(q.sum(), np.int64), np.ones(contrib.sum(), np.int64),
+                          -np.ones(contrib.sum(), np.int64)])
+    prow = np.concatenate([ROW[q], np.full(2 * contrib.sum(), -1, np.int64)])
+    o = np.lexsort((pk, pp, pb, pt, pu))
+    pu, pd_, prow, pk = pu[o], pd_[o], prow[o], pk[o]
+    run = np.cumsum(pd_)
+    first = np.concatenate([[True], pu[1:] != pu[:-1]])
+    base = np.maximum.accumulate(np.where(first, np.arange(len(pu)), 0))
+    before = np.where(base > 0, run[base - 1], 0)
+    count = run - before
+    keep = np.zeros(n, bool)
+    qi = pk == 1
+    keep[prow[qi]] = count[qi] >= min_items
+    new_held: dict = {}
+    bounds = np.flatnonzero(U[1:] != U[:-1]) + 1
+    for s0, e0 in zip(np.concatenate([[0], bounds]), np.concatenate([bounds, [len(U)]])):
+        sel = np.arange(s0, e0)[T[s0:e0] >= T[e0 - 1] - W]
+        new_held[int(U[s0])] = _Held(zip(T[sel].tolist(), IT[sel].tolist()))
+    return keep, new_held
+
+
 def _drop_stale(held: dict, watermark_ms: int, look_back_ms: int) -> None:
     """Every later row of the group has a time >= the watermark (older rows
     are dropped as late), so held values older than watermark - look-back
@@ -150,20 +284,11 @@ def _a1_fn(params: dict):
                 pairs.setdefault((u, it), []).append((t, x))
         held = {k: _Held(p) for k, p in pairs.items()}
         pdf = _ordered(pdfs)
-        flags = []
-        for u, item, et, t, text in zip(pdf["user_id"], pdf["item_id"], pdf["event_type"],
-                                        pdf["t_ms"], pdf["comment_text"]):
-            k, t = (int(u), int(item)), int(t)
-            if et == "comment":
-                h = held.get(k)
-                if h is None:
-                    h = held[k] = _Held()
-                h.prune(t - window_ms)
-                h.add(t, text if isinstance(text, str) else "")
-                flags.append(a1_is_cheat(h, **params))
-            else:
-                held.pop(k, None)
-                flags.append(False)
+        fast = _a1_in_order(pdf, held, **params)
+        if fast is not None:
+            flags, held = fast
+        else:
+            flags, held = _a1_loop(pdf, held, params)
         _drop_stale(held, state.getCurrentWatermarkMs(), window_ms)
         flat = [(u, it, t, x) for (u, it), h in held.items() for t, x in h.items]
         state.update(tuple([f[i] for f in flat] for i in range(4)))
@@ -175,6 +300,26 @@ def _a1_fn(params: dict):
     return fn
 
 
+def _a1_loop(pdf: pd.DataFrame, held: dict, params: dict):
+    """The literal A1 state machine, row by row (out-of-order batches)."""
+    window_ms = params["window_ms"]
+    flags = []
+    for u, item, et, t, text in zip(pdf["user_id"], pdf["item_id"], pdf["event_type"],
+                                    pdf["t_ms"], pdf["comment_text"]):
+        k, t = (int(u), int(item)), int(t)
+        if et == "comment":
+            h = held.get(k)
+            if h is None:
+                h = held[k] = _Held()
+            h.prune(t - window_ms)
+            h.add(t, text if isinstance(text, str) else "")
+            flags.append(a1_is_cheat(h, **params))
+        else:
+            held.pop(k, None)
+            flags.append(False)
+    return np.array(flags, dtype=bool), held
+
+
 def _a2_fn(window_ms: int, min_items: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -188,15 +333,11 @@ def _a2_fn(window_ms: int, min_items: int):
         held = {u: _Held(p) for u, p in pairs.items()}
         pdf = _ordered(pdfs)
         pdf = pdf[pdf["event_type"] == "like"]
-        keep = []
-        for u, t, item in zip(pdf["user_id"], pdf["t_ms"], pdf["item_id"]):
-            u, t = int(u), int(t)
-            h = held.get(u)
-            if h is None:
-                h = held[u] = _Held()
-            h.prune(t - window_ms)
-            h.add(t, int(item))
-            keep.append(len(h.counts) >= min_items)
+        fast = _a2_in_order(pdf, held, window_ms, min_items) if len(pdf) else None
+        if fast is not None:
+            keep, held = fast
+        else:
+            keep, held = _a2_loop(pdf, held, window_ms, min_items)
         _drop_stale(held, state.getCurrentWatermarkMs(), window_ms)
         flat = [(u, t, it) for u, h in held.items() for t, it in h.items]
         state.update(tuple([f[i] for f in flat] for i in range(3)))
@@ -209,6 +350,20 @@ def _a2_fn(window_ms: int, min_items: int):
     return fn
 
 
+def _a2_loop(pdf: pd.DataFrame, held: dict, window_ms: int, min_items: int):
+    """The literal A2 state machine, row by row (out-of-order batches)."""
+    keep = []
+    for u, t, item in zip(pdf["user_id"], pdf["t_ms"], pdf["item_id"]):
+        u, t = int(u), int(t)
+        h = held.get(u)
+        if h is None:
+            h = held[u] = _Held()
+        h.prune(t - window_ms)
+        h.add(t, int(item))
+        keep.append(len(h.counts) >= min_items)
+    return np.array(keep, dtype=bool), held
+
+
 def _prepared(events: DataFrame, watermark: str) -> DataFrame:
     # Watermark first, then PRJ-1; rows without time are skipped.
     return (
