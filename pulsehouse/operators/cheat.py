@@ -95,7 +95,9 @@ def detect_a2(
     W = window_ms
     likes = _detector_input(events).where(F.col("event_type") == "like")
     likes = likes.select(*CHEAT_COLUMNS, _T)
-    likes = time_split(likes, _T, bucket_ms, W)
+    # One shuffle by (user, bucket) serves both windows below: the per-item
+    # lag needs (user, bucket, item) clustering, which it implies.
+    likes = time_split(likes, _T, bucket_ms, W).repartition("user_id", BUCKET)
     t = F.col(_T)
     # Previous like of the same item; only one within W matters, so the
     # bucket's halo holds it.
