@@ -71,3 +71,21 @@ def test_dimension_hot_reload(spark):
     got = {(r.event_id, r.category, r.content_len, r.batch_id)
            for r in spark.read.parquet(f"{run}/dwd").collect()}
     assert got == {("e1", "old", 100, 0), ("e2", "new", 200, 1)}
+
+
+def test_app_timed_test_run(spark):
+    """STR-12: continuous triggers for a fixed duration, then every query
+    stops and the results are exported as CSV."""
+    run = new_run_dir(spark, "test_app_timed")
+    inp = f"{run}/input"
+    encode_events(A.community_events(spark, SF_SMALL)).write.text(inp)
+    dim = f"{run}/dim/dim_item.csv"
+    _write_dim(spark, [tuple(r) for r in A.item_dimension(spark, SF_SMALL).collect()], dim)
+    args = app.parse_args(["--input", inp, "--dim-item", dim, "--out", f"{run}/wh", "--test",
+                           "--duration", "30", "--trigger-sec", "2", "--time-zone", "UTC"])
+    app.run(spark, args)
+    assert not [q for q in spark.streams.active]
+    wh = f"{run}/wh"
+    assert spark.read.parquet(f"{wh}/ods/events").count() == 1000
+    assert spark.read.parquet(f"{wh}/dwd/events").count() == 1000
+    assert os.path.isdir(f"{wh}/export/dws_new_users")
