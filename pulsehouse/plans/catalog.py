@@ -247,6 +247,12 @@ def user_activity_5m(spark, sf):
     return out.select(*window_bounds("window"), "category", *_ACTIVITY_FIELDS)
 
 
+def user_activity_30m(spark, sf):
+    """The serving row per 30-minute window and category."""
+    m = M.activity_metrics(_enriched(spark, sf), "30m", ("category",))
+    return m.select("window_start", "window_end", "category", *_ACTIVITY_FIELDS)
+
+
 def metrics_kv(spark, sf):
     """SNK-1 projection: (key, field, value, ttl_sec) of the serving row."""
     m = M.activity_metrics(_enriched(spark, sf), "5m", ("category",), flatten_window=False)
@@ -279,5 +285,6 @@ QUERIES: dict[str, Query] = {
     "cheat_a1_ids": cheat_a1_ids,
     "cheat_a2_users": cheat_a2_users,
     "user_activity_5m": user_activity_5m,
+    "user_activity_30m": user_activity_30m,
     "metrics_kv": metrics_kv,
 }

@@ -254,6 +254,8 @@ select {_D}, count(distinct user_id) as a2_users, count(*) as a2_events
 from a2 group by all""",
     "user_activity_5m": f"""
 select {_w(300)}, category, {_ACTIVITY} from enr group by all""",
+    "user_activity_30m": f"""
+select {_w(1800)}, category, {_ACTIVITY} from enr group by all""",
     "metrics_kv": f"""
 select concat('dws:user_activity:', window_start, '_', window_end, ':', category) as key,
        field, value, 3600 as ttl_sec
