@@ -77,19 +77,23 @@ def stream_dau_5m_exact(spark, sf):
 
 
 def _run_in_arrivals(spark: SparkSession, table: DataFrame, order_col: str, run: str,
-                     build, n: int = 4, files_per_part: int = 4) -> None:
-    """Feed ``table`` to one streaming run as ``n`` time-ordered
-    micro-batches, so keyed state carries across batches and a batch holds
-    1/n of the table. Each part is appended as exactly ``files_per_part``
-    files, after the previous part was committed; the file source takes
-    files in modification-time order, ``maxFilesPerTrigger`` of them per
-    batch, so every batch is one whole part. The table is written once
-    (Spark derives it from the given tables) and read back per part with
+                     build, min_parts: int = 4, rows_per_batch: int = 5_000_000) -> None:
+    """Feed ``table`` to one streaming run as time-ordered micro-batches of
+    at most ``rows_per_batch`` rows (and at least ``min_parts`` of them), so
+    keyed state carries across batches and no batch grows with the table.
+    Each part is appended as exactly one file per core of the cluster,
+    after the previous part was committed; the file source takes files in
+    modification-time order, ``maxFilesPerTrigger`` of them per batch, so
+    every batch is one whole part. The table is written once (Spark
+    derives it from the given tables) and read back per part with
     pushed-down range filters. ``build(stream)`` makes the query."""
     whole = f"{run}/derived"
     table.write.mode("overwrite").parquet(whole)
     stored = spark.read.parquet(whole)
-    lo, hi = stored.agg(F.min(order_col), F.max(order_col)).first()
+    stats = stored.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).first()
+    lo, hi, total = stats[0], stats[1], stats[2]
+    n = max(min_parts, -(-total // rows_per_batch))
+    files_per_part = max(1, spark.sparkContext.defaultParallelism)
     step = (hi - lo) // n + 1
     src = f"{run}/source"
     for i in range(n):
@@ -102,8 +106,8 @@ def _run_in_arrivals(spark: SparkSession, table: DataFrame, order_col: str, run:
 
 
 def stream_cheat_a1(spark, sf):
-    """CEP-1 with keyed state on the dense stream, arriving in four
-    time-ordered parts; in-order arrival, so it equals the batch truth."""
+    """CEP-1 with keyed state on the dense stream, arriving in time-ordered
+    micro-batches; in-order arrival, so it equals the batch truth."""
     run = new_run_dir(spark, "stream_a1")
     _run_in_arrivals(spark, A.dense_events(spark, sf), "event_id", run,
                      lambda s: detectors.stream_a1(A.dense_for_a1(s)))
@@ -113,7 +117,8 @@ def stream_cheat_a1(spark, sf):
 
 
 def stream_cheat_a2(spark, sf):
-    """CEP-2 with keyed state on the dense stream, in four arrivals."""
+    """CEP-2 with keyed state on the dense stream, in time-ordered
+    micro-batches."""
     run = new_run_dir(spark, "stream_a2")
     _run_in_arrivals(spark, A.dense_events(spark, sf), "event_id", run,
                      lambda s: detectors.stream_a2(A.dense_for_a2(s)))
@@ -130,7 +135,7 @@ def stream_new_users(spark, sf):
     run = new_run_dir(spark, "stream_new_users")
     src = f"{run}/source"
     com = A.community_events(spark, sf).withColumn("event_day", day_key("ts"))
-    com.repartition("event_day").write.partitionBy("event_day").parquet(src)
+    com.write.partitionBy("event_day").parquet(src)
     schema = spark.read.parquet(src).schema
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", "5").parquet(src)
     counter = BatchNewUserCount(f"{run}/result")
