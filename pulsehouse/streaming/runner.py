@@ -33,12 +33,17 @@ def start(
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def run_to_end(q: StreamingQuery, timeout_sec: float = 600) -> StreamingQuery:
-    """Timed run (STR-12): wait for an availableNow query to finish, or stop
-    it after ``timeout_sec``; raise if it failed."""
-    finished = q.awaitTermination(timeout_sec)
-    if not finished:
+def run_to_end(q: StreamingQuery, timeout_sec: float | None = None) -> StreamingQuery:
+    """Wait for an availableNow query to finish and raise if it failed.
+    With ``timeout_sec``, a query still running then is stopped and a
+    ``TimeoutError`` raised - its sink would be partial, so it is never
+    returned as a result. (A timed run that should stop and keep what it
+    has is ``app --test --duration``.)"""
+    if timeout_sec is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_sec):
         q.stop()
+        raise TimeoutError(f"streaming query {q.name or q.id} still running after {timeout_sec}s")
     if q.exception() is not None:
         raise RuntimeError(f"streaming query failed: {q.exception()}")
     return q
