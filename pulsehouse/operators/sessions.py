@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsehouse import config
+from pulsehouse.operators.split import bucket_of
 
 _T = "_t_us"
 _B = "_bucket"
@@ -43,7 +44,7 @@ def sessionize(
     e = (
         events.where(F.col(user).isNotNull() & F.col("ts").isNotNull())
         .withColumn(_T, F.unix_micros("ts"))
-        .withColumn(_B, F.floor(F.col(_T) / F.lit(bucket_us)).cast("bigint"))
+        .withColumn(_B, bucket_of(_T, bucket_us))
     )
     w = Window.partitionBy(user, _B).orderBy(_T, "event_id")
     prev = F.lag(_T).over(w)

@@ -30,7 +30,7 @@ def time_split(df: DataFrame, t: str, bucket: int, halo: int) -> DataFrame:
     ``t``; ``bucket`` and ``halo`` are in the unit of ``t``."""
     if bucket <= 0 or halo < 0 or halo > bucket:
         raise ValueError("need 0 <= halo <= bucket and bucket > 0")
-    own = F.floor(F.col(t) / F.lit(bucket)).cast("bigint")
+    own = bucket_of(t, bucket)
     next_start = (own + 1) * F.lit(bucket)
     buckets = F.when(
         F.col(t) >= next_start - F.lit(halo), F.array(own, own + 1)
@@ -40,5 +40,12 @@ def time_split(df: DataFrame, t: str, bucket: int, halo: int) -> DataFrame:
     ).drop("_own_bucket")
 
 
+def bucket_of(t: str, bucket: int) -> Column:
+    """floor(t / bucket) for the integer column ``t``, in exact integer
+    arithmetic (a double division can round a time just below a bucket
+    boundary into the next bucket); correct for t < 0 too."""
+    return F.expr(f"(`{t}` - pmod(`{t}`, {int(bucket)})) div {int(bucket)}")
+
+
 def own_rows() -> Column:
     return ~F.col(HALO)
