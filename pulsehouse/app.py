@@ -196,6 +196,8 @@ def parse_args(argv=None):
     p.add_argument("--duration", type=int, default=180)
     p.add_argument("--trigger-sec", type=int, default=10)
     p.add_argument("--time-zone", default=config.SOURCE_TIME_ZONE)
+    p.add_argument("--cluster", action="store_true",
+                   help="partition and state-store settings for a large cluster")
     p.add_argument("--kv-mode", choices=["update", "append"], default="update",
                    help="update: refresh open windows every trigger; append: once closed")
     return p.parse_args(argv)
@@ -203,7 +205,7 @@ def parse_args(argv=None):
 
 def main(argv=None) -> None:
     args = parse_args(argv)
-    spark = build_session(time_zone=args.time_zone)
+    spark = build_session(time_zone=args.time_zone, cluster=args.cluster)
     run(spark, args)
 
 
