@@ -38,7 +38,6 @@ from pulsehouse.sinks.kv import to_kv_rows, upsert_kv_table
 from pulsehouse.sinks.lake import export_csv
 from pulsehouse.sources.dimensions import load_item_dim
 from pulsehouse.sources.events import (
-    EVENT_JSON_SCHEMA,
     decode_events,
     quarantine,
     read_json_events,
@@ -213,4 +212,4 @@ if __name__ == "__main__":
     main()
 
 
-__all__ = ["run", "main", "parse_args", "export_results", "EVENT_JSON_SCHEMA"]
+__all__ = ["run", "main", "parse_args", "export_results"]
