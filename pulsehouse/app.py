@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsehouse import config
+from pulsehouse.plans.metrics import with_ratios
 from pulsehouse.session import build_session
 from pulsehouse.sinks.kv import to_kv_rows, upsert_kv_table
 from pulsehouse.sinks.lake import export_csv
@@ -63,7 +64,7 @@ class KVWriter:
         self.prefix = prefix
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch.drop("stay_sum", "n_events")
+        rows = with_ratios(batch).drop("n_events")
         upsert_kv_table(to_kv_rows(rows, self.prefix), self.path, batch_id)
 
 

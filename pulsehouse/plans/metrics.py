@@ -159,6 +159,22 @@ def _interaction_columns() -> tuple[str, ...]:
     return tuple(f"{t}s" for t in config.INTERACTION_TYPES)
 
 
+def with_ratios(counts: DataFrame) -> DataFrame:
+    """Ratio metrics from a row of counts (pv, likes, favs, shares,
+    comments, d1_instant_exits, stay_sum, stay_n): the serving rows of a
+    stream, whose state holds only sums."""
+    inter = sum(F.col(c) for c in _interaction_columns())
+    return counts.select(
+        *[c for c in counts.columns if c not in ("stay_sum", "stay_n")],
+        inter.alias("interactions"),
+        F.try_divide(F.col("stay_sum"), F.col("stay_n")).alias("avg_stay_sec"),
+        safe_ratio("d1_instant_exits", "pv").alias("bounce_rate"),
+        safe_ratio(inter, "pv").alias("interaction_rate"),
+        safe_ratio(inter, "pv").alias("exposure_conversion"),
+        safe_ratio("favs", "pv").alias("fav_rate"),
+    )
+
+
 def anomalies_unpivoted(metrics: DataFrame, keys: list[str]) -> DataFrame:
     """Q-08: one row per (keys, anomaly) from the D1/E1/C counters. The tags
     overlap, so an event may count under several anomalies."""

@@ -44,6 +44,7 @@ def _stream_counters() -> list[Column]:
         count_if(is_e1_fast_swipe()).alias("e1_fast_swipes"),
         count_if(is_c_long_stay()).alias("c_long_stays"),
         F.sum(F.when(is_type("leave_item"), F.col("duration_sec"))).alias("stay_sum"),
+        F.count(F.when(is_type("leave_item"), F.col("duration_sec"))).alias("stay_n"),
     ]
 
 

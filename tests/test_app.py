@@ -50,8 +50,11 @@ def test_app_once_end_to_end(spark):
     # Update mode: every window, open or closed, has its newest kv value.
     from pulsehouse.sinks.kv import latest_kv
 
-    kv_pv = latest_kv(spark, f"{wh}/kv").where(F.col("field") == "pv")
+    kv = latest_kv(spark, f"{wh}/kv")
+    kv_pv = kv.where(F.col("field") == "pv")
     assert kv_pv.count() >= spark.read.parquet(f"{wh}/dws/activity_5m").count()
+    fields = {r.field for r in kv.select("field").distinct().collect()}
+    assert {"bounce_rate", "interaction_rate", "fav_rate", "avg_stay_sec", "likes"} <= fields
     assert spark.read.parquet(f"{wh}/dws/new_users").agg(
         F.sum("u_04_new_user_count")).first()[0] == 15
     assert os.path.isdir(f"{wh}/export/dws_activity_30m")

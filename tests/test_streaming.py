@@ -239,3 +239,30 @@ def test_approx_stream_distinct_close_to_exact(spark):
     exact = {r.window.start: r.n for r in A.community_events(spark, SF_MID)
              .groupBy(F.window("ts", "1 day")).agg(F.count_distinct("user_id").alias("n")).collect()}
     assert got and all(abs(v - exact[k]) <= max(2, 0.15 * exact[k]) for k, v in got.items())
+
+
+def test_stream_ratios_equal_batch(spark):
+    from pulsehouse.operators.enrich import enrich
+    from pulsehouse.plans.metrics import activity_metrics, with_ratios
+    from pulsehouse.sources import adapters as A
+    from tests.conftest import SF_SMALL
+
+    run = new_run_dir(spark, "test_ratios")
+    schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
+    raw = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+           .parquet(SF_SMALL))
+    dim = A.item_dimension(spark, SF_SMALL)
+    agg = stream_activity(enrich(A.community_events_from(raw), dim), window="30 minutes")
+    runner.run_to_end(runner.start(agg, f"{run}/ck", f"{run}/out"))
+    cols = ["bounce_rate", "interaction_rate", "fav_rate", "avg_stay_sec", "interactions"]
+    got = with_ratios(spark.read.parquet(f"{run}/out")).select(
+        F.col("window.start").alias("w"), "category", *cols)
+    batch = activity_metrics(enrich(A.community_events(spark, SF_SMALL), dim), "30m",
+                             ("category",), flatten_window=False, distinct_users=False)
+    want = batch.select(F.col("window.start").alias("w"), "category", *cols)
+    g = {(r.w, r.category): tuple(r)[2:] for r in got.collect()}
+    w = {(r.w, r.category): tuple(r)[2:] for r in want.collect()}
+    assert g and all(k in w for k in g)
+    for k, v in g.items():
+        for a, b in zip(v, w[k]):
+            assert (a is None and b is None) or abs(a - b) < 1e-9
