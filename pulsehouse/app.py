@@ -1,7 +1,8 @@
 """The warehouse as a running application.
 
     python -m pulsehouse.app --input DIR --dim-item FILE --out BASE
-        [--source files|kafka] [--bootstrap HOST:PORT] [--topic NAME]
+        [--source files|kafka] [--input-format json|parquet]
+        [--bootstrap HOST:PORT] [--topic NAME]
         [--once] [--test] [--duration SEC] [--trigger-sec SEC]
 
 Layers under BASE (all with checkpoints under BASE/checkpoint):
@@ -94,16 +95,29 @@ def raw_events(spark: SparkSession, args) -> DataFrame:
     return read_json_events(spark, args.input, stream=True)
 
 
+# Typed events as parquet files (``--input-format parquet``).
+TYPED_SCHEMA = (
+    "event_id string, user_id bigint, event_type string, ts timestamp, session_id string, "
+    "platform string, item_id bigint, duration_sec double, target_user_id bigint, "
+    "comment_text string, content_len int"
+)
+
+
 def ingest_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQuery]:
     """Stage 1: decode -> ods + quarantine; enrich with reload -> dwd;
     new users per batch."""
     base = args.out.rstrip("/")
-    decoded = decode_events(raw_events(spark, args))
-    good = typed_events(decoded)
-    qs = [
+    qs = []
+    if args.input_format == "parquet" and args.source == "files":
+        good = spark.readStream.schema(TYPED_SCHEMA).parquet(args.input)
+    else:
+        decoded = decode_events(raw_events(spark, args))
+        good = typed_events(decoded)
+        qs.append(_writer(quarantine(decoded), base, "ods_quarantine", trigger,
+                          f"{base}/ods/quarantine"))
+    qs += [
         _writer(good.withColumn("event_day", F.date_format("ts", "yyyyMMdd")), base,
                 "ods_events", trigger, f"{base}/ods/events", partition_by=["event_day"]),
-        _writer(quarantine(decoded), base, "ods_quarantine", trigger, f"{base}/ods/quarantine"),
         _writer(good, base, "dwd_enrich", trigger,
                 foreach_batch=EnrichWithReload(lambda: load_item_dim(spark, args.dim_item),
                                                f"{base}/dwd/events")),
@@ -185,7 +199,9 @@ def run(spark: SparkSession, args) -> None:
 def parse_args(argv=None):
     p = argparse.ArgumentParser(prog="pulsehouse")
     p.add_argument("--source", choices=["files", "kafka"], default="files")
-    p.add_argument("--input", help="folder of JSON-lines event logs (files source)")
+    p.add_argument("--input", help="folder of event files (files source)")
+    p.add_argument("--input-format", choices=["json", "parquet"], default="json",
+                   help="json: JSON-lines logs, decoded; parquet: typed events")
     p.add_argument("--bootstrap", help="Kafka bootstrap servers")
     p.add_argument("--topic", default=config.KAFKA_TOPIC)
     p.add_argument("--max-offsets", type=int, default=None)

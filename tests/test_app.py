@@ -92,3 +92,17 @@ def test_app_timed_test_run(spark):
     assert spark.read.parquet(f"{wh}/ods/events").count() == 1000
     assert spark.read.parquet(f"{wh}/dwd/events").count() == 1000
     assert os.path.isdir(f"{wh}/export/dws_new_users")
+
+
+def test_app_parquet_input(spark):
+    run = new_run_dir(spark, "test_app_parquet")
+    com = A.community_events(spark, SF_SMALL).withColumn("event_id", F.col("event_id").cast("string"))
+    com.write.parquet(f"{run}/input")
+    dim = f"{run}/dim/dim_item.csv"
+    _write_dim(spark, [tuple(r) for r in A.item_dimension(spark, SF_SMALL).collect()], dim)
+    args = app.parse_args(["--input", f"{run}/input", "--input-format", "parquet",
+                           "--dim-item", dim, "--out", f"{run}/wh", "--once", "--time-zone", "UTC"])
+    app.run(spark, args)
+    assert spark.read.parquet(f"{run}/wh/dwd/events").count() == 1000
+    assert spark.read.parquet(f"{run}/wh/dwd/cheat_a1").count() == \
+        com.where("item_id is not null").count()
