@@ -12,6 +12,9 @@ Two exact forms:
 * ``NewUserCounter``: the same over a seen-users table in the shared
   folder, for deployments that want the set as a readable table.
 
+A cardinality sketch cannot stand in for the seen set: "new" is a set
+difference, which HLL does not support.
+
 Each micro-batch: distinct app_open users -> those never seen in earlier
 batches -> recorded as seen under the batch's id -> one result row
 (batch_id, processed_at, "ALL", u_04_new_user_count) appended.
@@ -20,8 +23,7 @@ batches -> recorded as seen under the batch's id -> one result row
 a Bloom filter on the driver: nothing is collected. A replayed batch_id
 compares only against rows of *earlier* batches and overwrites its own
 folder, so it gives the same count (at-least-once delivery, idempotent
-output). For an approximate count with fixed memory, merge HLL sketches
-instead (``hll_sketch_agg`` / ``hll_union_agg``).
+output).
 """
 
 from __future__ import annotations
