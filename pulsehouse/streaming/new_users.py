@@ -15,12 +15,11 @@ Two exact forms:
 A cardinality sketch cannot stand in for the seen set: "new" is a set
 difference, which HLL does not support.
 
-Each micro-batch: distinct app_open users -> those never seen in earlier
-batches -> recorded as seen under the batch's id -> one result row
-(batch_id, processed_at, "ALL", u_04_new_user_count) appended.
-
-"Seen" is an exact, distributed table (``seen/batch_id=<n>/``) instead of
-a Bloom filter on the driver: nothing is collected. A replayed batch_id
+``NewUserCounter``, per micro-batch: distinct app_open users -> those
+never seen in earlier batches -> recorded as seen under the batch's id ->
+one result row (batch_id, processed_at, "ALL", u_04_new_user_count).
+Its seen set is an exact, distributed table (``seen/batch_id=<n>/``)
+instead of a Bloom filter on the driver: nothing is collected. A replayed batch_id
 compares only against rows of *earlier* batches and overwrites its own
 folder, so it gives the same count (at-least-once delivery, idempotent
 output).
