@@ -15,6 +15,7 @@ Layers under BASE (all with checkpoints under BASE/checkpoint):
 * ``dws/activity_5m``, ``dws/activity_30m``  windowed metrics (append);
 * ``dws/uv_5m``       exact distinct enter_item users per window;
 * ``dws/new_users``   new users per micro-batch (NEW-1);
+* ``dws/sessions``    sessions by 30 idle minutes, written when closed (S-01..S-03);
 * ``kv``              serving rows (key, field, value, ttl) per batch (SNK-1),
   in update mode by default (open windows are refreshed every trigger).
 
@@ -145,6 +146,9 @@ def metric_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
                 output_mode=args.kv_mode),
         _writer(metrics.stream_window_users(enriched, only_type="enter_item"), base, "dws_uv_5m",
                 trigger, foreach_batch=metrics.WindowUserCounter(f"{base}/dws/uv_5m", name="uv")),
+        # S-01..S-03: a session closes after 30 idle minutes (session_window).
+        _writer(metrics.stream_sessions(enriched), base, "dws_sessions", trigger,
+                f"{base}/dws/sessions"),
         _writer(detectors.stream_a1(enriched), base, "dwd_cheat_a1", trigger,
                 f"{base}/dwd/cheat_a1"),
         _writer(detectors.stream_a2(enriched), base, "dwd_cheat_a2", trigger,
@@ -153,7 +157,7 @@ def metric_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
 
 
 RESULT_LAYERS = ("dws/activity_5m", "dws/activity_30m", "dws/uv_5m", "dws/new_users",
-                 "dwd/cheat_a1", "dwd/cheat_a2", "kv")
+                 "dws/sessions", "dwd/cheat_a1", "dwd/cheat_a2", "kv")
 
 
 def export_results(spark: SparkSession, base: str) -> list[str]:
@@ -164,10 +168,11 @@ def export_results(spark: SparkSession, base: str) -> list[str]:
         if not path_exists(spark, src):
             continue
         df = spark.read.parquet(src)
-        if "window" in df.columns:
-            df = df.select(F.col("window.start").alias("window_start"),
-                           F.col("window.end").alias("window_end"),
-                           *[c for c in df.columns if c != "window"])
+        for w in ("window", "session"):
+            if w in df.columns:
+                df = df.select(F.col(f"{w}.start").alias(f"{w}_start"),
+                               F.col(f"{w}.end").alias(f"{w}_end"),
+                               *[c for c in df.columns if c != w])
         export_csv(df, f"{base}/export/{layer.replace('/', '_')}")
         done.append(layer)
     return done

@@ -58,6 +58,16 @@ def test_app_once_end_to_end(spark):
     assert spark.read.parquet(f"{wh}/dws/new_users").agg(
         F.sum("u_04_new_user_count")).first()[0] == 15
     assert os.path.isdir(f"{wh}/export/dws_activity_30m")
+    # Closed sessions equal the batch sessionization of the same users.
+    from pulsehouse.operators import sessions
+
+    # The wire format carries milliseconds, so compare starts at that grain.
+    got = spark.read.parquet(f"{wh}/dws/sessions").select(
+        "user_id", F.unix_millis("s_start").alias("t0"), "s_events")
+    want = sessions.derived_sessions(sessions.sessionize(com)).select(
+        "user_id", F.unix_millis("s_start").alias("t0"), "s_events")
+    assert got.count() > 0 and got.subtract(want).count() == 0
+    assert os.path.isdir(f"{wh}/export/dws_sessions")
 
 
 def test_dimension_hot_reload(spark):
