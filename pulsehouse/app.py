@@ -16,6 +16,7 @@ Layers under BASE (all with checkpoints under BASE/checkpoint):
 * ``dws/uv_5m``       exact distinct enter_item users per window;
 * ``dws/new_users``   new users per micro-batch (NEW-1);
 * ``dws/sessions``    sessions by 30 idle minutes, written when closed (S-01..S-03);
+* ``dws/late_rows``   rows dropped behind the watermark, per query and batch (Q-10);
 * ``kv``              serving rows (key, field, value, ttl) per batch (SNK-1),
   in update mode by default (open windows are refreshed every trigger).
 
@@ -50,6 +51,7 @@ from pulsehouse.sources.events import (
 from pulsehouse.streaming import detectors, metrics
 from pulsehouse.streaming.enrichment import EnrichWithReload, path_exists
 from pulsehouse.streaming.new_users import BatchNewUserCount, first_app_opens
+from pulsehouse.streaming.runner import LateRowsListener
 
 ENRICHED_SCHEMA = (
     "event_id string, user_id bigint, event_type string, ts timestamp, session_id string, "
@@ -157,7 +159,7 @@ def metric_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
 
 
 RESULT_LAYERS = ("dws/activity_5m", "dws/activity_30m", "dws/uv_5m", "dws/new_users",
-                 "dws/sessions", "dwd/cheat_a1", "dwd/cheat_a2", "kv")
+                 "dws/sessions", "dws/late_rows", "dwd/cheat_a1", "dwd/cheat_a2", "kv")
 
 
 def export_results(spark: SparkSession, base: str) -> list[str]:
@@ -179,6 +181,17 @@ def export_results(spark: SparkSession, base: str) -> list[str]:
 
 
 def run(spark: SparkSession, args) -> None:
+    base = args.out.rstrip("/")
+    late = LateRowsListener()  # Q-10, written to dws/late_rows
+    spark.streams.addListener(late)
+    try:
+        _run(spark, args, base, late)
+    finally:
+        spark.streams.removeListener(late)
+        late.flush(spark, f"{base}/dws/late_rows")
+
+
+def _run(spark: SparkSession, args, base: str, late: LateRowsListener) -> None:
     if args.once:
         for stage in (ingest_queries, metric_queries):
             for q in stage(spark, args, {"availableNow": True}):
@@ -186,19 +199,26 @@ def run(spark: SparkSession, args) -> None:
                 if q.exception():
                     raise RuntimeError(str(q.exception()))
         if args.test:
-            export_results(spark, args.out.rstrip("/"))
+            late.flush(spark, f"{base}/dws/late_rows")
+            export_results(spark, base)
         return
     trigger = {"processingTime": f"{args.trigger_sec} seconds"}
     qs = ingest_queries(spark, args, trigger) + metric_queries(spark, args, trigger)
+    deadline = time.time() + args.duration if args.test else None
+    last_flush = time.time()
+    while all(q.isActive for q in qs) and (deadline is None or time.time() < deadline):
+        time.sleep(1)
+        if time.time() - last_flush > 60:
+            late.flush(spark, f"{base}/dws/late_rows")
+            last_flush = time.time()
+    for q in qs:
+        q.stop()
+    failed = [q for q in qs if q.exception()]
+    if failed:
+        raise RuntimeError(str(failed[0].exception()))
     if args.test:
-        deadline = time.time() + args.duration
-        while time.time() < deadline and all(q.isActive for q in qs):
-            time.sleep(1)
-        for q in qs:
-            q.stop()
-        export_results(spark, args.out.rstrip("/"))
-    else:
-        spark.streams.awaitAnyTermination()
+        late.flush(spark, f"{base}/dws/late_rows")
+        export_results(spark, base)
 
 
 def parse_args(argv=None):

@@ -3,10 +3,11 @@ STR-12, Q-10)."""
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 def start(
@@ -61,3 +62,39 @@ def dropped_by_watermark(q: StreamingQuery) -> int:
                 else op.numRowsDroppedByWatermark
             total += int(n or 0)
     return total
+
+
+class LateRowsListener(StreamingQueryListener):
+    """Q-10 as a live metric: for every micro-batch of every query, the
+    rows its stateful operators dropped behind the watermark. Rows are
+    buffered on the driver (one per query and batch) and written by
+    ``flush``."""
+
+    SCHEMA = "query string, batch_id bigint, event_time string, dropped_rows bigint"
+
+    def __init__(self):
+        self._rows: list[tuple] = []
+        self._lock = threading.Lock()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        dropped = sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators)
+        if p.stateOperators:
+            with self._lock:
+                self._rows.append((p.name or str(p.id), int(p.batchId), p.timestamp, dropped))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def flush(self, spark: SparkSession, path: str) -> int:
+        with self._lock:
+            rows, self._rows = self._rows, []
+        if rows:
+            spark.createDataFrame(rows, self.SCHEMA).write.mode("append").parquet(path)
+        return len(rows)

@@ -68,6 +68,9 @@ def test_app_once_end_to_end(spark):
         "user_id", F.unix_millis("s_start").alias("t0"), "s_events")
     assert got.count() > 0 and got.subtract(want).count() == 0
     assert os.path.isdir(f"{wh}/export/dws_sessions")
+    # Q-10 per query and batch; one in-order log drops nothing.
+    late = spark.read.parquet(f"{wh}/dws/late_rows")
+    assert late.count() > 0 and late.agg(F.sum("dropped_rows")).first()[0] == 0
 
 
 def test_dimension_hot_reload(spark):
