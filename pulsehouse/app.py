@@ -39,7 +39,7 @@ from pulsehouse import config
 from pulsehouse.plans.metrics import with_ratios
 from pulsehouse.session import build_session
 from pulsehouse.sinks.kv import to_kv_rows, upsert_kv_table
-from pulsehouse.sinks.lake import export_csv
+from pulsehouse.sinks.lake import export_csv, publish_view
 from pulsehouse.sources.dimensions import load_item_dim
 from pulsehouse.sources.events import (
     decode_events,
@@ -180,6 +180,21 @@ def export_results(spark: SparkSession, base: str) -> list[str]:
     return done
 
 
+def publish_results(spark: SparkSession, base: str) -> list[str]:
+    """SNK-3 / SNK-4: the result layers as temp views for SQL users, under
+    the names in ``config.RESULT_VIEWS`` plus one per dws layer
+    (``dws_activity_5m``, ...). Views read the files; nothing is cached."""
+    names = dict(config.RESULT_VIEWS)
+    names.update({layer.replace("/", "_"): layer for layer in RESULT_LAYERS
+                  if layer.startswith("dws/")})
+    done = []
+    for view, layer in names.items():
+        if path_exists(spark, f"{base}/{layer}"):
+            publish_view(spark.read.parquet(f"{base}/{layer}"), view)
+            done.append(view)
+    return done
+
+
 def run(spark: SparkSession, args) -> None:
     base = args.out.rstrip("/")
     late = LateRowsListener()  # Q-10, written to dws/late_rows
@@ -189,6 +204,7 @@ def run(spark: SparkSession, args) -> None:
     finally:
         spark.streams.removeListener(late)
         late.flush(spark, f"{base}/dws/late_rows")
+    publish_results(spark, base)
 
 
 def _run(spark: SparkSession, args, base: str, late: LateRowsListener) -> None:

@@ -71,6 +71,13 @@ KV_TTL_SEC = 3600
 KV_NULL_VALUE = "0"
 KV_GROUP_COLUMNS = ("window", "category", "session_id")
 
+# Names under which results are visible to SQL users.
+RESULT_VIEWS = {
+    "cheat_a1_result": "dwd/cheat_a1",
+    "cheat_a2_result": "dwd/cheat_a2",
+    "new_user_result": "dws/new_users",
+}
+
 # Event time zone of the source (GMT+8); day cuts follow the session zone.
 SOURCE_TIME_ZONE = "Asia/Shanghai"
 

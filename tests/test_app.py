@@ -44,6 +44,7 @@ def test_app_once_end_to_end(spark):
     batch = activity_metrics(enrich(com, A.item_dimension(spark, SF_SMALL)), "30m",
                              ("category",), flatten_window=False).select(
         F.col("window.start").alias("w"), "category", "pv")
+    got_n = got.count()
     joined = got.join(batch, ["w", "category"], "left")
     assert joined.count() == got.count() > 0
     assert joined.where(got.pv != batch.pv).count() == 0
@@ -69,6 +70,11 @@ def test_app_once_end_to_end(spark):
     assert got.count() > 0 and got.subtract(want).count() == 0
     assert os.path.isdir(f"{wh}/export/dws_sessions")
     # Q-10 per query and batch; one in-order log drops nothing.
+    # Results are visible to SQL under the reference's table names.
+    assert spark.sql("select count(*) as n from cheat_a1_result").first().n == \
+        com.where("item_id is not null").count()
+    assert spark.sql("select sum(u_04_new_user_count) as n from new_user_result").first().n == 15
+    assert spark.sql("select count(*) as n from dws_activity_30m").first().n == got_n
     late = spark.read.parquet(f"{wh}/dws/late_rows")
     assert late.count() > 0 and late.agg(F.sum("dropped_rows")).first()[0] == 0
 
