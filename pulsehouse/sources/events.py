@@ -33,18 +33,31 @@ EVENT_JSON_SCHEMA = T.StructType(
 # Column order of a typed event everywhere in the library.
 EVENT_COLUMNS = [f.name for f in EVENT_JSON_SCHEMA.fields]
 
-# ISO-8601 with an explicit offset ("+08:00" or "Z").
-_TS_WITH_OFFSET = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
-# Local wall-clock time without offset; read in the source zone (GMT+8).
-_TS_LOCAL = "yyyy-MM-dd'T'HH:mm:ss.SSS"
+# ISO-8601 forms accepted for ``ts``: with an explicit offset ("+08:00" or
+# "Z"), or a bare local wall-clock time read in the source zone (GMT+8);
+# milliseconds (the producer's format), microseconds or none; 'T' or space.
+_TS_WITH_OFFSET = (
+    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "yyyy-MM-dd'T'HH:mm:ssXXX",
+    "yyyy-MM-dd HH:mm:ss.SSSXXX",
+    "yyyy-MM-dd HH:mm:ssXXX",
+)
+_TS_LOCAL = (
+    "yyyy-MM-dd'T'HH:mm:ss.SSS",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "yyyy-MM-dd'T'HH:mm:ss",
+    "yyyy-MM-dd HH:mm:ss.SSS",
+    "yyyy-MM-dd HH:mm:ss",
+)
 
 
 def parse_event_time(s: Column, source_tz: str = config.SOURCE_TIME_ZONE) -> Column:
     """ISO-8601 string -> timestamp; an explicit offset wins, a bare local
-    time is read in ``source_tz``."""
-    with_offset = F.try_to_timestamp(s, F.lit(_TS_WITH_OFFSET))
-    local = F.to_utc_timestamp(F.try_to_timestamp(s, F.lit(_TS_LOCAL)), source_tz)
-    return F.coalesce(with_offset, local)
+    time is read in ``source_tz``; anything else is NULL (quarantined)."""
+    with_offset = [F.try_to_timestamp(s, F.lit(f)) for f in _TS_WITH_OFFSET]
+    local = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in _TS_LOCAL])
+    return F.coalesce(*with_offset, F.to_utc_timestamp(local, source_tz))
 
 
 def decode_events(

@@ -34,6 +34,20 @@ def test_decode_offsets_and_quarantine(spark):
     assert quarantine(dec).count() == 2
 
 
+def test_decode_time_variants(spark):
+    base = '{"event_id":"%s","user_id":1,"event_type":"like","ts":"%s"}'
+    forms = {
+        "a": "2024-01-01T08:00:00+08:00",
+        "b": "2024-01-01T00:00:00Z",
+        "c": "2024-01-01 08:00:00",
+        "d": "2024-01-01T08:00:00.000000",
+        "e": "2024-01-01 08:00:00.000+08:00",
+    }
+    dec = decode_events(_raw(spark, [base % (k, v) for k, v in forms.items()]))
+    got = {r.event_id: r.ts.timestamp() for r in typed_events(dec).collect()}
+    assert set(got) == set(forms) and len(set(got.values())) == 1
+
+
 def test_item_and_user_dimensions(spark, tmp_path):
     item = tmp_path / "dim_item.csv"
     item.write_text("200001|food|1500\n200002||800\n200003|travel|\n")
