@@ -147,19 +147,28 @@ def cheat_flags(a1: DataFrame, a2: DataFrame) -> DataFrame:
     )
 
 
-def a1_ids(a1: DataFrame, grain_col) -> DataFrame:
-    """Q-01: distinct users and items among A1-flagged events."""
-    f = a1.where("is_cheat_a1")
-    return f.groupBy(grain_col).agg(
-        F.count_distinct("user_id").alias("a1_users"),
-        F.count_distinct("item_id").alias("a1_items"),
-        F.count(F.lit(1)).alias("a1_events"),
+def _distinct_by(flagged: DataFrame, grain_col, grain: str, col: str, name: str) -> DataFrame:
+    """Distinct ``col`` per grain by two hash aggregations (no Expand)."""
+    return (
+        flagged.groupBy(grain_col.alias(grain), col).agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(grain).agg(F.count(col).alias(name))
     )
 
 
-def a2_users(a2: DataFrame, grain_col) -> DataFrame:
-    """Q-02: distinct users among A2-flagged likes."""
-    return a2.groupBy(grain_col).agg(
-        F.count_distinct("user_id").alias("a2_users"),
-        F.count(F.lit(1)).alias("a2_events"),
-    )
+def a1_ids(a1: DataFrame, grain_col, grain: str = "day") -> DataFrame:
+    """Q-01: distinct users and items among A1-flagged events, per
+    ``grain_col`` (named ``grain``). Each count is its own two-level
+    aggregation; the per-grain results are joined."""
+    f = a1.where("is_cheat_a1")
+    users = _distinct_by(f, grain_col, grain, "user_id", "a1_users")
+    items = _distinct_by(f, grain_col, grain, "item_id", "a1_items")
+    events = f.groupBy(grain_col.alias(grain)).agg(F.count(F.lit(1)).alias("a1_events"))
+    return users.join(items, grain).join(events, grain).select(
+        grain, "a1_users", "a1_items", "a1_events")
+
+
+def a2_users(a2: DataFrame, grain_col, grain: str = "day") -> DataFrame:
+    """Q-02: distinct users among A2-flagged likes, per ``grain_col``."""
+    users = _distinct_by(a2, grain_col, grain, "user_id", "a2_users")
+    events = a2.groupBy(grain_col.alias(grain)).agg(F.count(F.lit(1)).alias("a2_events"))
+    return users.join(events, grain).select(grain, "a2_users", "a2_events")
