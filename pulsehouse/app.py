@@ -13,6 +13,8 @@ Layers under BASE (all with checkpoints under BASE/checkpoint):
   every micro-batch (JOIN-2);
 * ``dwd/cheat_a1``, ``dwd/cheat_a2``  detector output (CEP-1/2);
 * ``dws/activity_5m``, ``dws/activity_30m``  windowed metrics (append);
+* ``dws/activity_daily``, ``dws/dau_daily``  daily counts and exact DAU, days
+  cut at midnight in the session zone;
 * ``dws/uv_5m``       exact distinct enter_item users per window;
 * ``dws/new_users``   new users per micro-batch (NEW-1);
 * ``dws/sessions``    sessions by 30 idle minutes, written when closed (S-01..S-03);
@@ -139,7 +141,14 @@ def metric_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
     enriched = spark.readStream.schema(ENRICHED_SCHEMA).parquet(dwd)
     act5 = metrics.stream_activity(enriched, config.WINDOW_5M)
     act30 = metrics.stream_activity(enriched, config.WINDOW_30M)
+    # Days cut at midnight in the session's zone (GMT+8 by default).
+    day0 = metrics.day_window_start(spark.conf.get("spark.sql.session.timeZone"))
+    act_day = metrics.stream_activity(enriched, "1 day", by=(), start_time=day0)
+    dau_day = metrics.stream_window_users(enriched, "1 day", start_time=day0)
     return [
+        _writer(act_day, base, "dws_activity_daily", trigger, f"{base}/dws/activity_daily"),
+        _writer(dau_day, base, "dws_dau_daily", trigger,
+                foreach_batch=metrics.WindowUserCounter(f"{base}/dws/dau_daily", name="dau")),
         _writer(act5, base, "dws_activity_5m", trigger, f"{base}/dws/activity_5m"),
         _writer(act30, base, "dws_activity_30m", trigger, f"{base}/dws/activity_30m"),
         # Update mode: a window's kv rows are refreshed every trigger while
@@ -158,7 +167,8 @@ def metric_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
     ]
 
 
-RESULT_LAYERS = ("dws/activity_5m", "dws/activity_30m", "dws/uv_5m", "dws/new_users",
+RESULT_LAYERS = ("dws/activity_5m", "dws/activity_30m", "dws/activity_daily", "dws/dau_daily",
+                 "dws/uv_5m", "dws/new_users",
                  "dws/sessions", "dws/late_rows", "dwd/cheat_a1", "dwd/cheat_a2", "kv")
 
 

@@ -48,17 +48,35 @@ def _stream_counters() -> list[Column]:
     ]
 
 
+def day_window_start(time_zone: str) -> str:
+    """``startTime`` that makes 1-day windows cut days at midnight in
+    ``time_zone`` (a fixed-offset zone such as Asia/Shanghai)."""
+    import datetime as _dt
+    from zoneinfo import ZoneInfo
+
+    off = _dt.datetime(2024, 1, 1, tzinfo=ZoneInfo(time_zone)).utcoffset()
+    minutes = (-int(off.total_seconds()) // 60) % (24 * 60)
+    return f"{minutes} minutes"
+
+
+def _window(window: str, start_time: str | None):
+    return F.window("ts", window, startTime=start_time) if start_time \
+        else F.window("ts", window)
+
+
 def stream_activity(
     enriched: DataFrame,
     window: str = config.WINDOW_5M,
     watermark: str = config.METRIC_WATERMARK,
     by: tuple[str, ...] = ("category",),
+    start_time: str | None = None,
 ) -> DataFrame:
     """All count metrics per tumbling window (and ``by``), with watermark.
-    In append mode a window is emitted once the watermark passes its end."""
+    In append mode a window is emitted once the watermark passes its end.
+    Daily windows take ``start_time=day_window_start(zone)``."""
     return (
         enriched.withWatermark("ts", watermark)
-        .groupBy(F.window("ts", window).alias("window"), *by)
+        .groupBy(_window(window, start_time).alias("window"), *by)
         .agg(*_stream_counters())
     )
 
@@ -69,6 +87,7 @@ def stream_window_users(
     watermark: str = config.METRIC_WATERMARK,
     by: tuple[str, ...] = (),
     only_type: str | None = None,
+    start_time: str | None = None,
 ) -> DataFrame:
     """One row per (window, dims, user) once the window closes; the input
     of ``WindowUserCounter``. ``_hits`` counts the user's events of
@@ -81,7 +100,7 @@ def stream_window_users(
     hit = is_type(only_type) if only_type else F.lit(True)
     return (
         events.withWatermark("ts", watermark)
-        .groupBy(F.window("ts", window).alias("window"), *by, "user_id")
+        .groupBy(_window(window, start_time).alias("window"), *by, "user_id")
         .agg(count_if(hit).alias("_hits"))
     )
 

@@ -69,6 +69,16 @@ def test_app_once_end_to_end(spark):
         "user_id", F.unix_millis("s_start").alias("t0"), "s_events")
     assert got.count() > 0 and got.subtract(want).count() == 0
     assert os.path.isdir(f"{wh}/export/dws_sessions")
+    # Closed days equal the batch daily metrics.
+    from pulsehouse.plans.metrics import activity_metrics as am
+
+    day_b = {r.day: (r.pv, r.dau) for r in am(com, "day").select("day", "pv", "dau").collect()}
+    day_s = {r.d: r.pv for r in spark.read.parquet(f"{wh}/dws/activity_daily").select(
+        F.date_format("window.start", "yyyyMMdd").alias("d"), "pv").collect()}
+    dau_s = {r.d: r.dau for r in spark.read.parquet(f"{wh}/dws/dau_daily").select(
+        F.date_format("window.start", "yyyyMMdd").alias("d"), "dau").collect()}
+    assert len(day_s) >= 28 and all(day_b[d][0] == v for d, v in day_s.items())
+    assert set(dau_s) == set(day_s) and all(day_b[d][1] == v for d, v in dau_s.items())
     # Q-10 per query and batch; one in-order log drops nothing.
     # Results are visible to SQL under the reference's table names.
     assert spark.sql("select count(*) as n from cheat_a1_result").first().n == \

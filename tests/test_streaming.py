@@ -290,3 +290,33 @@ def test_out_of_order_within_watermark_is_counted(spark):
         runner.run_to_end(q)
     out = {r.window.start: r.pv for r in spark.read.parquet(f"{run}/out").collect()}
     assert out[t0] == 2 and runner.dropped_by_watermark(q) == 0
+
+
+def test_daily_windows_cut_at_local_midnight(spark):
+    """Days in GMT+8: streaming 1-day windows with the zone's startTime
+    equal the batch day grain computed under the same session zone."""
+    from pulsehouse.plans.metrics import activity_metrics
+    from pulsehouse.sources import adapters as A
+    from pulsehouse.streaming.metrics import day_window_start
+    from tests.conftest import SF_SMALL
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        run = new_run_dir(spark, "test_days")
+        schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
+        raw = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+               .parquet(SF_SMALL))
+        ev = A.community_events_from(raw).withColumn("category", F.lit("x"))
+        agg = stream_activity(ev, "1 day", by=(), start_time=day_window_start("Asia/Shanghai"))
+        runner.run_to_end(runner.start(agg, f"{run}/ck", f"{run}/out"))
+        got = {r.d: r.n_events for r in spark.read.parquet(f"{run}/out").select(
+            F.date_format("window.start", "yyyyMMdd").alias("d"), "n_events").collect()}
+        batch = activity_metrics(A.community_events(spark, SF_SMALL), "day", distinct_users=False)
+        want = {r.day: r.n_events for r in batch.select("day", "n_events").collect()}
+        hours = {r.h for r in spark.read.parquet(f"{run}/out").select(
+            F.hour("window.start").alias("h")).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert hours == {0} and len(got) >= 28
+    assert all(want[d] == v for d, v in got.items())
