@@ -295,6 +295,13 @@ select * from (
   select {_w(300)}, category, {_PV} as pv, {_cnt('like')} as likes, count(*) as n_events
   from enr group by all)
 where {_CLOSED_5M}""",
+        "stream_activity_daily": f"""
+select day, category, pv, likes, comments, d1_instant_exits, n_events from (
+  select {_D}, epoch_us(date_trunc('day', ts)) // 1000000 + 86400 as day_end, category,
+         {_PV} as pv, {_cnt('like')} as likes, {_cnt('comment')} as comments,
+         {_D1} as d1_instant_exits, count(*) as n_events
+  from enr group by all)
+where day_end * 1000 <= (select max(epoch_us(ts)) // 1000 from com) - 300000""",
         "stream_uv_5m_exact": f"""
 select * from (
   select {_w(300)}, count(distinct user_id) as uv
