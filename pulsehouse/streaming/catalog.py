@@ -142,16 +142,19 @@ def stream_cheat_a2(spark, sf):
 
 
 def stream_new_users(spark, sf):
-    """NEW-1: new users per micro-batch over the event stream cut into
-    one file per day, several files per trigger; the seen set is the state
+    """NEW-1: new users per micro-batch over the event stream written as
+    day-partitioned files and read in about six micro-batches; the seen set is the state
     store of a streaming dropDuplicates. Each user is new in exactly one
     batch, so the total equals the distinct app_open users."""
     run = new_run_dir(spark, "stream_new_users")
     src = f"{run}/source"
     com = A.community_events(spark, sf).withColumn("event_day", day_key("ts"))
     com.write.partitionBy("event_day").parquet(src)
-    schema = spark.read.parquet(src).schema
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", "5").parquet(src)
+    written = spark.read.parquet(src)
+    # About six micro-batches, however many files the write produced.
+    per_batch = max(1, -(-len(written.inputFiles()) // 6))
+    s = (spark.readStream.schema(written.schema)
+         .option("maxFilesPerTrigger", str(per_batch)).parquet(src))
     counter = BatchNewUserCount(f"{run}/result")
     runner.run_to_end(runner.start(first_app_opens(s), f"{run}/checkpoint",
                                    foreach_batch=counter))
