@@ -97,7 +97,7 @@ def raw_events(spark: SparkSession, args) -> DataFrame:
     if args.source == "kafka":
         return read_kafka_stream(spark, args.bootstrap, args.topic,
                                  max_offsets_per_trigger=args.max_offsets)
-    return read_json_events(spark, args.input, stream=True)
+    return read_json_events(spark, args.input, stream=True, max_files_per_trigger=args.max_files)
 
 
 # Typed events as parquet files (``--input-format parquet``).
@@ -114,7 +114,8 @@ def ingest_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
     base = args.out.rstrip("/")
     qs = []
     if args.input_format == "parquet" and args.source == "files":
-        good = spark.readStream.schema(TYPED_SCHEMA).parquet(args.input)
+        good = (spark.readStream.schema(TYPED_SCHEMA)
+                .option("maxFilesPerTrigger", str(args.max_files)).parquet(args.input))
     else:
         decoded = decode_events(raw_events(spark, args))
         good = typed_events(decoded)
@@ -255,7 +256,12 @@ def parse_args(argv=None):
                    help="json: JSON-lines logs, decoded; parquet: typed events")
     p.add_argument("--bootstrap", help="Kafka bootstrap servers")
     p.add_argument("--topic", default=config.KAFKA_TOPIC)
-    p.add_argument("--max-offsets", type=int, default=None)
+    # Micro-batch bounds: they also bound each key group's frame in the
+    # detector state functions when a backlog is replayed.
+    p.add_argument("--max-offsets", type=int, default=5_000_000,
+                   help="Kafka records per micro-batch")
+    p.add_argument("--max-files", type=int, default=1000,
+                   help="input files per micro-batch (files source)")
     p.add_argument("--dim-item", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--once", action="store_true")

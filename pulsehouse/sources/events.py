@@ -153,9 +153,13 @@ def read_kafka_stream(
     return r.load()
 
 
-def read_json_events(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """JSON-lines log files as raw records with a ``value`` column."""
+def read_json_events(spark: SparkSession, path: str, stream: bool = False,
+                     max_files_per_trigger: int | None = None) -> DataFrame:
+    """JSON-lines log files as raw records with a ``value`` column;
+    ``max_files_per_trigger`` bounds each micro-batch of a stream."""
     reader = spark.readStream if stream else spark.read
+    if stream and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.format("text").load(path)
 
 
