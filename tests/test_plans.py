@@ -43,3 +43,22 @@ def test_no_python_in_batch_plans(spark):
     for name in QUERIES:
         s, _ = plan(spark, name)
         assert not s["python"], name
+
+
+def test_stream_uv_keeps_watermark_on_all_events(spark):
+    """The exact stream UV counts enter_item per (window, user) instead of
+    filtering: a filter that does not read the event time would be pushed
+    below withWatermark and hold windows open (found by a held-back window)."""
+    from pulsehouse.sources import adapters as A
+    from pulsehouse.streaming.metrics import stream_window_users
+
+    schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
+    raw = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+           .parquet(SF_SMALL))
+    df = stream_window_users(A.community_events_from(raw), only_type="enter_item")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("extended")
+    optimized = buf.getvalue().split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    below = optimized.split("EventTimeWatermark")[1]
+    assert "Filter" not in below or "enter_item" not in below.split("Filter")[1].split("\n")[0]
