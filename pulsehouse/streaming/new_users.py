@@ -36,6 +36,9 @@ from pulsehouse.functions import is_type
 from pulsehouse.operators.enrich import bounded_broadcast
 from pulsehouse.plans.metrics import distinct_app_open_users
 
+# Hash partitions of the seen-users table.
+SEEN_BUCKETS = 64
+
 RESULT_SCHEMA = "batch_id bigint, processed_at timestamp, category string, u_04_new_user_count bigint"
 
 
@@ -82,23 +85,29 @@ class NewUserCounter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ids = distinct_app_open_users(batch)
+        keys = ["user_bucket", "user_id"]
+        ids = distinct_app_open_users(batch).withColumn(
+            "user_bucket", F.pmod(F.xxhash64("user_id"), F.lit(SEEN_BUCKETS))
+        )
         seen = _read_or_none(spark, self.seen_path)
         if seen is not None:
-            earlier = seen.where(F.col("batch_id") < batch_id).select("user_id")
+            earlier = seen.where(F.col("batch_id") < batch_id).select(*keys)
             # The batch's ids are bounded by the trigger size: when they fit,
-            # broadcast them and semi-join the seen table in place (no
-            # shuffle of the large side); otherwise anti-join by shuffle.
+            # broadcast them and semi-join the seen table, which is
+            # partitioned by user_bucket, so dynamic partition pruning reads
+            # only the buckets the batch's users fall in; otherwise anti-join
+            # by shuffle.
             small, is_bc = bounded_broadcast(ids, self.broadcast_max_rows)
             if is_bc:
-                already = earlier.join(small, "user_id", "left_semi")
-                new = ids.join(F.broadcast(already.distinct()), "user_id", "left_anti")
+                already = earlier.join(small, keys, "left_semi")
+                new = ids.join(F.broadcast(already.distinct()), keys, "left_anti")
             else:
-                new = ids.join(earlier, "user_id", "left_anti")
+                new = ids.join(earlier, keys, "left_anti")
         else:
             new = ids
-        new.write.mode("overwrite").parquet(f"{self.seen_path}/batch_id={batch_id}")
-        written = spark.read.parquet(f"{self.seen_path}/batch_id={batch_id}")
+        target = f"{self.seen_path}/batch_id={batch_id}"
+        new.write.mode("overwrite").partitionBy("user_bucket").parquet(target)
+        written = spark.read.parquet(target)
         # batch_id is the folder's partition value, not a data column.
         result = written.agg(F.count(F.lit(1)).alias("u_04_new_user_count")).select(
             F.current_timestamp().alias("processed_at"),
