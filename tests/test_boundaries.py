@@ -125,7 +125,10 @@ def test_split_buckets_do_not_change_flags(spark):
     assert sorted(big1.toPandas().event_id) == sorted(small1.toPandas().event_id)
     big2 = cheat.detect_a2(A.dense_for_a2(den)).select("event_id")
     small2 = cheat.detect_a2(A.dense_for_a2(den), bucket_ms=5_000).select("event_id")
-    assert sorted(big2.toPandas().event_id) == sorted(small2.toPandas().event_id)
+    try:
+        assert sorted(big2.toPandas().event_id) == sorted(small2.toPandas().event_id)
+    finally:
+        den.unpersist()
 
 
 # -- behaviour tags ------------------------------------------------------------

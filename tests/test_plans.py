@@ -11,6 +11,7 @@ from tests.conftest import SF_SMALL
 
 
 def plan(spark, name):
+    spark.catalog.clearCache()  # a cached relation would show its own plan
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         QUERIES[name](spark, SF_SMALL).explain("formatted")
