@@ -77,6 +77,8 @@ def activity_metrics(
     by: tuple[str, ...] = (),
     flatten_window: bool = True,
     distinct_users: bool = True,
+    users: str = "exact",
+    rsd: float = 0.01,
 ) -> DataFrame:
     """All U/I/Q count and ratio metrics at ``grain`` and ``by`` columns.
 
@@ -91,7 +93,13 @@ def activity_metrics(
     Without ``distinct_users`` the plan is a single aggregation on
     (grain, dims): no per-user level, so the partial aggregation and the
     shuffle carry one row per group and task instead of one per user.
+    ``users="approx"`` keeps that single level and estimates DAU / UV with
+    HyperLogLog++ (``approx_count_distinct``, relative error ``rsd``):
+    fixed-size buffers, no per-user shuffle - the option for very large
+    inputs where an estimate is acceptable.
     """
+    if users not in ("exact", "approx"):
+        raise ValueError("users must be 'exact' or 'approx'")
     g = grain_column(grain)
     gname = _grain_name(grain)
     keys = [gname, *by]
@@ -99,7 +107,19 @@ def activity_metrics(
     stay = F.when(leave, F.col("duration_sec"))
     src = enriched.select(g, *by, "user_id", "event_type", "duration_sec", "content_len")
 
-    if distinct_users:
+    if distinct_users and users == "approx":
+        agg = src.groupBy(*keys).agg(
+            F.approx_count_distinct("user_id", rsd).alias("dau"),
+            F.approx_count_distinct(F.when(is_type("app_open"), F.col("user_id")), rsd)
+            .alias("dau_app_open"),
+            F.approx_count_distinct(F.when(is_type("enter_item"), F.col("user_id")), rsd)
+            .alias("uv"),
+            *[count_if(c).alias(n) for n, c in _counters().items()],
+            F.sum(stay).alias("stay_sum"),
+            F.count(stay).alias("stay_n"),
+        )
+        users_cols = ["dau", "dau_app_open", "pv", "uv"]
+    elif distinct_users:
         level1 = src.groupBy(*keys, "user_id").agg(
             *[count_if(c).alias(n) for n, c in _counters().items()],
             F.sum(stay).alias("stay_sum"),
@@ -114,18 +134,18 @@ def activity_metrics(
             F.sum("stay_sum").alias("stay_sum"),
             F.sum("stay_n").alias("stay_n"),
         )
-        users = ["dau", "dau_app_open", "pv", "uv"]
+        users_cols = ["dau", "dau_app_open", "pv", "uv"]
     else:
         agg = src.groupBy(*keys).agg(
             *[count_if(c).alias(n) for n, c in _counters().items()],
             F.sum(stay).alias("stay_sum"),
             F.count(stay).alias("stay_n"),
         )
-        users = ["pv"]
+        users_cols = ["pv"]
     interactions = sum(F.col(c) for c in _interaction_columns())
     out = agg.select(
         *keys,
-        *users,
+        *users_cols,
         "likes",
         "favs",
         "shares",

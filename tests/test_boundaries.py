@@ -253,3 +253,19 @@ def test_zero_pv_ratio_is_null(spark):
     m = M.activity_metrics(ev, "day").first()
     assert m.pv == 0 and m.interaction_rate is None and m.fav_rate is None
     assert m.interactions == 2
+
+
+def test_approx_users_close_to_exact(spark):
+    from pulsehouse.sources import adapters as A
+    from tests.conftest import SF_MID
+
+    com = A.community_events(spark, SF_MID)
+    exact = {r.day: (r.dau, r.uv, r.pv) for r in
+             M.activity_metrics(com, "day").select("day", "dau", "uv", "pv").collect()}
+    approx = {r.day: (r.dau, r.uv, r.pv) for r in
+              M.activity_metrics(com, "day", users="approx").select("day", "dau", "uv", "pv").collect()}
+    assert set(exact) == set(approx)
+    for d, (dau, uv, pv) in exact.items():
+        a_dau, a_uv, a_pv = approx[d]
+        assert a_pv == pv
+        assert abs(a_dau - dau) <= max(2, 0.05 * dau) and abs(a_uv - uv) <= max(2, 0.05 * uv)
