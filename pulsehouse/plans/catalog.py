@@ -142,6 +142,14 @@ def interactions_daily(spark, sf):
     )
 
 
+def interaction_rates_by_category(spark, sf):
+    """I-05..I-07 per day and category: interaction rate, exposure
+    conversion and favourite rate, with their counts."""
+    m = M.activity_metrics(_enriched(spark, sf), "day", ("category",), distinct_users=False)
+    return m.select("day", "category", "pv", "interactions", "favs",
+                    "interaction_rate", "exposure_conversion", "fav_rate")
+
+
 def interactions_30m(spark, sf):
     """I-01..I-07 per 30-minute window (all categories)."""
     m = M.activity_metrics(_com(spark, sf), "30m", distinct_users=False)
@@ -178,6 +186,12 @@ def quality_daily(spark, sf):
     return m.select("day", "n_leave", "d1_instant_exits", "e1_fast_swipes", "c_long_stays")
 
 
+def long_stay_daily(spark, sf):
+    """Q-07: leave_item events with 1800 <= duration <= 3600 s, per day."""
+    m = M.activity_metrics(_com(spark, sf), "day", distinct_users=False)
+    return m.select("day", "n_leave", "c_long_stays")
+
+
 def anomalies_by_category(spark, sf):
     """Q-08: D1 / E1 / C counts per day and category, one row per anomaly."""
     m = M.activity_metrics(_enriched(spark, sf), "day", ("category",), distinct_users=False)
@@ -273,11 +287,13 @@ QUERIES: dict[str, Query] = {
     "new_users_daily": new_users_daily,
     "new_users_30m": new_users_30m,
     "interactions_daily": interactions_daily,
+    "interaction_rates_by_category": interaction_rates_by_category,
     "interactions_30m": interactions_30m,
     "social_counts_daily": social_counts_daily,
     "sessions_daily": sessions_daily,
     "sessionize_gap": sessionize_gap,
     "quality_daily": quality_daily,
+    "long_stay_daily": long_stay_daily,
     "anomalies_by_category": anomalies_by_category,
     "cheat_a1": cheat_a1,
     "cheat_a2": cheat_a2,

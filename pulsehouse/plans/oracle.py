@@ -214,6 +214,11 @@ select {_D}, category, {_cnt('like')} as likes, {_cnt('fav')} as favs,
        {_cnt('share')} as shares, {_cnt('comment')} as comments, {_INTER} as interactions,
        {_ratio(_INTER, _PV)} as interaction_rate, {_ratio(_INTER, _PV)} as exposure_conversion,
        {_ratio(_cnt('fav'), _PV)} as fav_rate
+from enr group by all""",
+    "interaction_rates_by_category": f"""
+select {_D}, category, {_PV} as pv, {_INTER} as interactions, {_cnt('fav')} as favs,
+       {_ratio(_INTER, _PV)} as interaction_rate, {_ratio(_INTER, _PV)} as exposure_conversion,
+       {_ratio(_cnt('fav'), _PV)} as fav_rate
 from enr group by all""",
     "interactions_30m": f"""
 select {_w(1800)}, {_PV} as pv, {_cnt('like')} as likes, {_cnt('fav')} as favs,
@@ -231,6 +236,9 @@ from com group by all""",
 select {_D}, count(*) filter (where {_LEAVE}) as n_leave, {_D1} as d1_instant_exits,
        {_E1} as e1_fast_swipes, {_C} as c_long_stays
 from enr group by all""",
+    "long_stay_daily": f"""
+select {_D}, count(*) filter (where {_LEAVE}) as n_leave, {_C} as c_long_stays
+from com group by all""",
     "anomalies_by_category": f"""
 select day, category, anomaly, events from (
   select day, category, 'D1' as anomaly, d1 as events from q
