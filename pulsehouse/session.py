@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -91,3 +92,28 @@ def new_run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one streaming run under the shared folder."""
     base = shared_dir(spark, "runs").rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# SparkContexts that already received the package.
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pulsehouse`` importable in the Python workers of every
+    executor (as ``--py-files`` would): the pandas state functions of the
+    streaming detectors run there. The package is zipped once per
+    SparkContext on the driver and distributed by Spark."""
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="pulsehouse-pkg-"), "pulsehouse.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(id(sc))

@@ -69,6 +69,9 @@ def write_kv_partitions(
     is down fails its rows, which are counted (SNK-6: degrade, but never
     silently); the batch itself is not retried here.
     """
+    from pulsehouse.session import ship_package
+
+    ship_package(kv_rows.sparkSession)
     sc = kv_rows.sparkSession.sparkContext
     written = sc.accumulator(0)
     failed = sc.accumulator(0)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pulsehouse import config
+from pulsehouse.session import ship_package
 
 _TIMEOUT_MS = 30 * 60 * 1000
 
@@ -390,6 +391,7 @@ def stream_a1(
     """
     params = dict(min_comments=min_comments, max_gap_ms=max_gap_ms,
                   window_ms=window_ms, dup_text=dup_text)
+    ship_package(events.sparkSession)
     e = _prepared(events, watermark).select(
         "event_id", "user_id", "item_id", "event_type", "ts", "comment_text",
         F.unix_millis("ts").alias("t_ms"),
@@ -414,6 +416,7 @@ def stream_a2(
 ) -> DataFrame:
     """CEP-2 on a stream: emits only the flagged likes. State key: a hash
     of user_id into ``key_groups`` groups."""
+    ship_package(events.sparkSession)
     e = _prepared(events, watermark).where(F.col("event_type") == "like").select(
         "event_id", "user_id", "item_id", "event_type", "ts",
         F.unix_millis("ts").alias("t_ms"),
