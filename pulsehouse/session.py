@@ -94,17 +94,13 @@ def new_run_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-# SparkContexts that already received the package.
-_SHIPPED: set[int] = set()
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make ``pulsehouse`` importable in the Python workers of every
     executor (as ``--py-files`` would): the pandas state functions of the
     streaming detectors run there. The package is zipped once per
     SparkContext on the driver and distributed by Spark."""
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if getattr(sc, "_pulsehouse_shipped", False):
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
@@ -116,4 +112,4 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(zpath)
-    _SHIPPED.add(id(sc))
+    sc._pulsehouse_shipped = True
