@@ -17,6 +17,14 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsehouse.llm.language_id import identify
+
+    return identify(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
 QUERIES = {
+    "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
 }
