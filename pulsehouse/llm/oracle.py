@@ -3,3 +3,40 @@
 from __future__ import annotations
 
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op7_decontamination"] = r"""
+WITH dw AS (
+  SELECT rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents)),
+bw AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(
+           coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+win AS (
+  SELECT DISTINCT item_id, array_to_string(list_slice(w, i + 1, i + 10), ' ') AS win,
+         len(list_slice(w, i + 1, i + 10)) AS n
+  FROM (SELECT item_id, w, unnest(range(0, greatest(0, len(w) - 10) + 1)) AS i
+        FROM bw WHERE len(w) > 0)),
+pos AS (
+  SELECT rid, n, unnest(list_transform(range(0, len(w) - n + 1),
+           lambda i: {'i': i, 'win': array_to_string(list_slice(w, i + 1, i + n), ' ')})) AS p
+  FROM dw, (SELECT DISTINCT n FROM win) WHERE len(w) >= n),
+hit AS (
+  SELECT DISTINCT rid, p.i AS i, pos.n, item_id
+  FROM pos JOIN win ON win.win = pos.p.win AND win.n = pos.n),
+cover AS (
+  SELECT rid, count(*) AS n_hit FROM (
+    SELECT DISTINCT rid, unnest(range(i, i + n)) AS k FROM hit) GROUP BY rid),
+its AS (
+  SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT rid, item_id FROM hit) GROUP BY rid)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
+       CAST(coalesce(c.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(i.n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(i.ids, '')) AS items_sha256,
+       coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM dw d LEFT JOIN cover c USING (rid) LEFT JOIN its i USING (rid)
+"""
