@@ -37,6 +37,12 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
 
 
+def once(value: Column) -> Column:
+    """``value`` behind a one-row generator: the optimiser would otherwise
+    inline it into the lambdas below and compute it for every element."""
+    return F.explode(F.array(value))
+
+
 def _shingles(width: int) -> str:
     """SQL: hashes of the ``width``-word shingles of the array ``words``."""
     at = ", ".join(f"words[i + {j}]" for j in range(width))
@@ -53,7 +59,7 @@ def windows(bench: DataFrame, size: int = WINDOW, shingle: int = SHINGLE) -> Dat
          .select("item_id", "w", F.explode(F.expr(
              f"sequence(0, greatest(0, size(w) - {size}))")).alias("at"))
          .select("item_id", F.expr(f"slice(w, at + 1, {size})").alias("words"))
-         .distinct())
+         .distinct())  # also keeps the slice out of the lambdas below
     w = w.select("item_id", F.concat_ws(" ", "words").alias("win"), F.size("words").alias("len"),
                  F.least(F.size("words"), F.lit(shingle)).alias("width"), "words")
     hashes = F.expr("CASE width " + " ".join(
@@ -71,7 +77,7 @@ def _candidates(docs: DataFrame, wins: DataFrame) -> DataFrame:
         widths = [SHINGLE]
     if n_tokens <= BROADCAST_TOKENS:
         tokens = F.broadcast(tokens)
-    text = docs.select("key", words(F.col("text")).alias("words"))
+    text = docs.select("key", once(words(F.col("text"))).alias("words"))
     parts = [text.select("key", F.size("words").alias("n"), F.expr(_shingles(k)).alias("hs"))
              for k in widths]
     found = None
@@ -101,7 +107,7 @@ def _verified(docs: DataFrame, bench: DataFrame, size: int) -> tuple[DataFrame,
     docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
     cands = _candidates(docs.select("key", "text"), wins)
     rows = docs.join(cands, "key", "left")
-    rows = rows.withColumn("words", F.when(F.col("cands").isNotNull(), words(F.col("text"))))
+    rows = rows.withColumn("words", once(F.when(F.col("cands").isNotNull(), words(F.col("text")))))
     return rows.withColumn("hits", F.expr(
         "filter(cands, c -> concat_ws(' ', slice(words, c.start + 1, c.len)) = c.win)")), wins
 

@@ -20,13 +20,17 @@ win AS (
          len(list_slice(w, i + 1, i + 10)) AS n
   FROM (SELECT item_id, w, unnest(range(0, greatest(0, len(w) - 10) + 1)) AS i
         FROM bw WHERE len(w) > 0)),
+ws AS (
+  SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM dw),
+nxt AS (
+  SELECT rid, i, list(word) OVER (PARTITION BY rid ORDER BY i
+                                  ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS l FROM ws),
 pos AS (
-  SELECT rid, n, unnest(list_transform(range(0, len(w) - n + 1),
-           lambda i: {'i': i, 'win': array_to_string(list_slice(w, i + 1, i + n), ' ')})) AS p
-  FROM dw, (SELECT DISTINCT n FROM win) WHERE len(w) >= n),
+  SELECT rid, i, n, array_to_string(list_slice(l, 1, n), ' ') AS win
+  FROM nxt, (SELECT DISTINCT n FROM win) WHERE len(l) >= n),
 hit AS (
-  SELECT DISTINCT rid, p.i AS i, pos.n, item_id
-  FROM pos JOIN win ON win.win = pos.p.win AND win.n = pos.n),
+  SELECT DISTINCT rid, i, pos.n, item_id
+  FROM pos JOIN win ON win.win = pos.win AND win.n = pos.n),
 cover AS (
   SELECT rid, count(*) AS n_hit FROM (
     SELECT DISTINCT rid, unnest(range(i, i + n)) AS k FROM hit) GROUP BY rid),
