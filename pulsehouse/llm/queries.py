@@ -17,6 +17,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsehouse.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsehouse.llm.sharding import shard
+
+    return shard(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsehouse.llm.decontaminate import contamination
 
@@ -31,6 +43,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_source_mixing": op2_source_mixing,
+    "op4_sharding": op4_sharding,
     "op7_decontamination": op7_decontamination,
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
