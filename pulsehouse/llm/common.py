@@ -12,9 +12,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables. Also makes the package importable in the
-    Python workers, which the Arrow operators need."""
-    ship_package(spark)
+    """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -25,6 +23,22 @@ def keep(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` with the package made importable in the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+# Rows of a few longs up to which a side is broadcast (some 50 MB as a hashed
+# relation); beyond, the same join is a shuffle join.
+BROADCAST_ROWS = 500_000
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (materialised) with a broadcast hint if it is small enough."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsehouse.llm.common import keep
+from pulsehouse.llm.common import keep, map_arrow
 from pulsehouse.llm.textkit import chunks, mix, words
 
 ORDER = 4
@@ -262,13 +262,13 @@ def identify(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
             k, min(scale, -(-scale * sample // sizes[k])))])
         drawn = learn.filter(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(scale))
                              < F.element_at(bound, F.col("lang")))
-        counts = (drawn.select("lang", "text")
-                  .mapInArrow(_count_grams, "lang string, gram string, c long")
+        counts = (map_arrow(drawn.select("lang", "text"), _count_grams,
+                            "lang string, gram string, c long")
                   .groupBy("lang", "gram").agg(F.sum("c").alias("c")).toPandas())
         if len(counts):
             model = Model(counts, langs)
             tuned = spark.sparkContext.broadcast((model, None))
-            fit = (drawn.select("lang", "text").mapInArrow(_scorer(tuned), f"lang string, {OUT}")
+            fit = (map_arrow(drawn.select("lang", "text"), _scorer(tuned), f"lang string, {OUT}")
                    .filter("lang = lang_pred AND chars > 0"))
             mids = keep(fit).groupBy("lang").agg(
                 F.percentile_approx("cross_entropy", 0.5).alias("m"),
@@ -281,8 +281,8 @@ def identify(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
                 wide[k] = 2.0 * max(np.quantile(z, 0.999), 4 * z.std(), 1.0) + 1.0
             limits = (mid, wide)
     shared = spark.sparkContext.broadcast((model, limits))
-    return docs.select("doc_id", "key", "held_out", "text").mapInArrow(
-        _scorer(shared), f"doc_id long, key long, held_out boolean, {OUT}")
+    return map_arrow(docs.select("doc_id", "key", "held_out", "text"), _scorer(shared),
+                     f"doc_id long, key long, held_out boolean, {OUT}")
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:

@@ -17,18 +17,36 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsehouse.llm.secret_scan import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsehouse.llm.mixing import mix
 
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsehouse.llm.quality_rules import judge
+
+    return judge(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsehouse.llm.sharding import shard
 
     return shard(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsehouse.llm.resampling import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsehouse.llm.decontaminate import contamination
 
@@ -43,8 +61,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_source_mixing": op2_source_mixing,
+    "op3_quality_rules": op3_quality_rules,
     "op4_sharding": op4_sharding,
+    "op5_importance_resampling": op5_importance_resampling,
     "op7_decontamination": op7_decontamination,
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,

@@ -147,3 +147,54 @@ def row_sums(row: np.ndarray, value: np.ndarray, n_rows: int) -> np.ndarray:
     np.cumsum(value, out=total[1:])
     edge = np.searchsorted(row, np.arange(n_rows + 1))
     return total[edge[1:]] - total[edge[:-1]]
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span."""
+    pw, inv = _pow(max(1, len(data) + 1))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * pw[:len(data)], out=total[1:])
+    return mix((total[end] - total[start]) * inv[np.minimum(start, len(inv) - 1)]
+               + (end - start).astype(np.uint64) * _MIX[2])
+
+
+def seen_before(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(has an equal entry earlier in its row, has an equal one at all)."""
+    order = np.lexsort((np.arange(len(h)), h, row))
+    r, x = row[order], h[order]
+    same = np.zeros(len(h), bool)
+    same[1:] = (r[1:] == r[:-1]) & (x[1:] == x[:-1])
+    any_ = same.copy()
+    any_[:-1] |= same[1:]
+    earlier, twice = np.empty(len(h), bool), np.empty(len(h), bool)
+    earlier[order], twice[order] = same, any_
+    return earlier, twice
+
+
+def counts_at(mask: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """True entries of a mask in each span."""
+    total = np.zeros(len(mask) + 1, np.int64)
+    np.cumsum(mask, out=total[1:])
+    return total[end] - total[start]
+
+
+def lines(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    r"""(row, start, end) of the \n-split lines; an empty text has one."""
+    cut = np.flatnonzero(data == 10)
+    row_first = np.searchsorted(cut, off[:-1])
+    per_row = np.diff(np.append(row_first, len(cut))) + 1
+    row = np.repeat(np.arange(len(off) - 1), per_row)
+    # lines of a row are in order; a text that ends in \n ends with an empty line
+    first = np.cumsum(per_row) - per_row
+    start = np.empty(len(row), np.int64)
+    start[first] = off[:-1]
+    rest = np.ones(len(row), bool)
+    rest[first] = False
+    start[rest] = cut + 1
+    end = np.empty(len(row), np.int64)
+    last = first + per_row - 1
+    end[last] = off[1:]
+    inner = np.ones(len(row), bool)
+    inner[last] = False
+    end[inner] = cut
+    return row, start, end
