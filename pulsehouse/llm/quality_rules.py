@@ -25,14 +25,15 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 KEEP_FROM = 0.5
-# name: (SQL measure, votes good, votes bad); between them the rule abstains.
+# name: (SQL measure, votes good, votes bad); elsewhere the rule abstains.
+# Rules about one kind of damage have nothing to say for a text without it.
 RULES = {
-    "length": ("n_words", "x >= 60 AND x <= 100000", "x < 30"),
-    "word_length": ("word_chars / n_words", "x BETWEEN 3 AND 8", "x < 2 OR x > 15"),
-    "symbols": ("n_symbols / n_words", "x < 0.02", "x > 0.1"),
-    "duplicate_lines": ("n_dup_lines / n_lines", "x < 0.1", "x > 0.3"),
-    "repeated_words": ("n_repeat_words / n_words", "x < 0.05", "x > 0.2"),
-    "capitals": ("n_capitals / word_chars", "x < 0.1", "x > 0.4"),
+    "length": ("n_words", "x BETWEEN 60 AND 100000", "x < 25"),
+    "word_length": ("word_chars / n_words", "false", "x < 2 OR x > 15"),
+    "symbols": ("n_symbols / n_words", "false", "x > 0.1"),
+    "duplicate_lines": ("n_dup_lines / n_lines", "false", "x > 0.3"),
+    "repeated_words": ("n_repeat_words / n_words", "false", "x > 0.2"),
+    "capitals": ("n_capitals / word_chars", "false", "x > 0.4"),
     "marks": ("n_marks / n_words", "x < 0.3", "x > 0.8"),
     "variety": ("n_distinct / sqrt(n_words)", "x > 4", "x < 2"),
 }
@@ -84,29 +85,37 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["doc_id", *MEASURES])
 
 
-def estimate(votes: np.ndarray, weight: np.ndarray, rounds: int = 200
-             ) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+def estimate(votes: np.ndarray, weight: np.ndarray, rounds: int = 200,
+             trust: float = 0.9) -> tuple[float, np.ndarray, np.ndarray]:
     """EM on vote patterns (1 good, 0 bad, -1 abstain) with their counts:
-    (share of good, P(good vote | good), P(bad vote | bad), posterior of each
-    pattern). A bad document may fail one rule only, so a good vote says
-    little; but a rule is always taken to be right more often about its own
-    class than wrong about the other."""
-    good, bad = votes == 1, votes == 0
-    share, hit, miss = 0.8, np.full(votes.shape[1], 0.95), np.full(votes.shape[1], 0.4)
-    post = np.full(len(votes), 0.5)
+    (share of good documents, [rule, vote] accuracy of bad and good votes,
+    posterior of quality per pattern).
+
+    Rules about different kinds of damage seldom agree on a document, so
+    votes alone leave accuracies open; the estimate is therefore the mode
+    under a prior: before the data, a vote is right with probability
+    ``trust``, and this counts as much as the rule's votes do. Abstaining says
+    nothing about a document. Whatever the data, a vote never speaks against
+    its own direction.
+    """
+    told = np.stack([votes == 0, votes == 1], axis=2).astype(float)
+    n = np.einsum("i,ijv->jv", weight, told)
+    post = np.where((votes == 0).any(axis=1), 1 - trust, trust)
+    prior = np.array([1 - trust, trust])  # of a good document, given the vote
+    share, good = trust, np.zeros_like(n)
     for _ in range(rounds):
-        a = np.log(share) + good @ np.log(hit) + bad @ np.log(1 - hit)
-        b = np.log(1 - share) + good @ np.log(1 - miss) + bad @ np.log(miss)
-        new = 1 / (1 + np.exp(np.clip(b - a, -700, 700)))
-        wg, wb = weight * new, weight * (1 - new)
-        hit = np.clip((wg @ good + 9.5) / (wg @ (good | bad) + 10), 0.5, 0.999)
-        miss = np.clip((wb @ bad + 2) / (wb @ (good | bad) + 5), 0.05, 0.999)
-        miss = np.maximum(miss, 1.02 - hit)
-        share = float(np.clip((wg.sum() + 1) / (weight.sum() + 2), 0.02, 0.98))
-        if np.abs(new - post).max(initial=0) < 1e-9:
-            break
+        good = (np.einsum("i,ijv->jv", weight * post, told) + prior * (n + 1)) / (2 * n + 1)
+        share = float(np.clip((weight @ post + 1) / (weight.sum() + 2), 0.02, 0.98))
+        base = np.log(share / (1 - share))
+        ratio = np.log(good / (1 - good)) - base  # what the vote adds to the odds
+        ratio[:, 0] = np.minimum(ratio[:, 0], 0)
+        ratio[:, 1] = np.maximum(ratio[:, 1], 0)
+        new = 1 / (1 + np.exp(-np.clip(base + np.einsum("ijv,jv->i", told, ratio), -700, 700)))
+        done = np.abs(new - post).max(initial=0) < 1e-9
         post = new
-    return share, hit, miss, post
+        if done:
+            break
+    return share, np.stack([1 - good[:, 0], good[:, 1]], axis=1), post
 
 
 def judge(docs: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
@@ -126,18 +135,20 @@ def judge(docs: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
              for m, good, bad in RULES.values()]
     pattern = " + ".join(f"{3 ** i} * (1 + {r})" for i, r in enumerate(rules))
     rows = keep(rows.withColumn("pattern", F.expr(pattern).cast("int")))
-    seen = rows.groupBy("pattern").count().orderBy("pattern").collect()
+    failed = (F.col("n_words") < MIN_WORDS) | (
+        100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    # texts that fail the base are not the rules' to judge, nor to learn from
+    seen = (rows.groupBy("pattern").agg(F.count_if(~failed).alias("c"))
+            .orderBy("pattern").collect())
     codes = np.array([r.pattern for r in seen], dtype=np.int64)
-    weight = np.array([r["count"] for r in seen], dtype=float)
+    weight = np.array([r.c for r in seen], dtype=float)
     votes = codes[:, None] // 3 ** np.arange(len(RULES))[None, :] % 3 - 1
-    _, _, _, post = estimate(votes, weight)
+    _, _, post = estimate(votes, weight)
     spark = docs.sparkSession
     table = spark.createDataFrame(
         [(int(c), float(p)) for c, p in zip(codes, post, strict=True)],
         "pattern int, quality double")
     rows = rows.join(F.broadcast(table), "pattern")  # at most 3^rules rows
-    failed = (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return rows.select(
         "doc_id", *[m for m in MEASURES[:6] if m != "n_lines"], failed.alias("base_failed"),
         "quality", (~failed & (F.col("quality") >= keep_from)).alias("kept"))
