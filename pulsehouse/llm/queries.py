@@ -7,6 +7,7 @@ to its whole table and returns one row per document or page.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulsehouse.llm.common import table
 
@@ -47,12 +48,26 @@ def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsehouse.llm.html_extract import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsehouse.llm.decontaminate import contamination
 
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsehouse.llm.line_dedup import dedup_lines
+
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_deleted", "deleted_words", "runs",
+        F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsehouse.llm.language_id import identify
 
@@ -66,7 +81,9 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_sharding": op4_sharding,
     "op5_importance_resampling": op5_importance_resampling,
+    "op6_html_text": op6_html_text,
     "op7_decontamination": op7_decontamination,
+    "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
 }
