@@ -33,15 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsehouse.llm.common import keep
+from pulsehouse.llm.common import bounded, keep, map_arrow
 from pulsehouse.llm.graph import components
 from pulsehouse.llm.textkit import chunks, mix, row_sums, shingle_sets
 
 # Only orders tokens (a cost hint, at most 8 MB to each task): never drops any.
 MAX_FREQUENT = 1 << 19
 FREQUENT_FROM = 24
-SKETCH = 16
-SKETCH_MATCH = 6
+SKETCH = 8
+SKETCH_MATCH = 3
 
 
 def _need(n):
@@ -126,11 +126,12 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
         pairs.select(F.col("b").alias("node"))).distinct()
     reps = (sets.join(ends, "node", "left_semi").groupBy("node")
             .agg(F.min("key").alias("key")))
+    reps = bounded(keep(reps))
     texts = docs.join(reps, "key").select("key", "node", "text").dropDuplicates(["key"])
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
     both = pairs.select("a", "b").join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
-    return both.mapInArrow(_linked, "u long, v long")
+    return map_arrow(both, _linked, "u long, v long")
 
 
 def _boundary(sets: DataFrame) -> int:
@@ -158,7 +159,7 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     (node, root) of every node linked with another."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
-    counts = (docs.select("text").mapInArrow(_prefix_counts, "token long, c long")
+    counts = (map_arrow(docs.select("text"), _prefix_counts, "token long, c long")
               .groupBy("token").agg(F.sum("c").alias("c"))
               .filter(F.col("c") >= FREQUENT_FROM)
               .orderBy(F.desc("c"), "token").limit(MAX_FREQUENT).toArrow())
@@ -166,16 +167,21 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     order = np.argsort(tok)
     frequent = spark.sparkContext.broadcast(
         (tok[order], counts.column("c").to_numpy()[order]))
-    sets = keep(docs.mapInArrow(_prefix_rows(frequent),
-                                "doc_id long, key long, node long, n long, toks array<long>"))
+    sets = keep(map_arrow(docs, _prefix_rows(frequent),
+                          "doc_id long, key long, node long, n long, toks array<long>"))
     full = sets.filter("n > 0")
 
     # Round 1: stars over the shortest sketch, linear in the rows.
+    copies = full.groupBy("node").agg(F.min("key").alias("one"), F.count("*").alias("c"))
+    copies = bounded(keep(copies.filter("c > 1").select("node", "one")))
+    full = full.join(copies, "node", "left").filter("one IS NULL OR one = key").drop("one")
+    if full.groupBy("node").count().filter("count > 1").limit(1).count():
+        full = full.dropDuplicates(["node"])  # rows repeated with their id
     sk = full.select("node", "n", F.explode(F.slice("toks", 1, SKETCH)).alias("token"))
     hubs = sk.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("z"))
     hubs = hubs.filter("a < z").select("token", "a")
     star = (sk.join(hubs, "token").filter("node > a").groupBy("a", F.col("node").alias("b"))
-            .agg(F.countDistinct("token").alias("c"), F.max("n").alias("n")))
+            .agg(F.count("*").alias("c"), F.max("n").alias("n")))
     star = star.filter(F.col("c") >= F.least(F.lit(SKETCH_MATCH), F.ceil(F.col("n") / 4)))
     first = keep(_verify(keep(star), sets, docs))
     found = keep(components(first))
@@ -183,7 +189,7 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Round 2: every remaining pair, but only across components.
     light_to = _boundary(full)
     info = (full.select("node", "n", "toks")
-            .join(found, "node", "left")
+            .join(bounded(found), "node", "left")
             .withColumn("comp", F.coalesce("root", "node")).drop("root"))
     p = (F.col("n") - F.ceil(F.col("n") * 0.75) + 1).cast("int")
     listed = (info.filter(F.col("n") * 4 > 3 * light_to)
@@ -193,9 +199,9 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     x, y = listed.alias("x"), listed.alias("y")
     heavy = (x.join(y, F.expr("x.token = y.token AND x.node < y.node AND x.comp <> y.comp "
                               f"AND greatest(x.n, y.n) > {light_to} AND {size_ok}"))
-             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), "x.token",
+             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"),
                      F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
-             .groupBy("a", "b", "na", "nb").agg(F.countDistinct("token").alias("c")))
+             .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")))
     heavy = heavy.filter("c + greatest(ceil(0.75D * na), ceil(0.75D * nb)) - 1 "
                          ">= ceil(3 * (na + nb) / 7D)").select("a", "b")
     one = (info.filter((F.col("n") <= light_to) & (F.col("n") > 1))
