@@ -15,7 +15,7 @@ first n - ceil(0.75 n) + 2.
   against list entries read) is least.
 
 Groups of copies never make all pairs: identical sets share one node, and a
-first round links each node with the first node of its shortest lists
+first round links each node with the centres of the lists of its sketch
 (verified exactly), so that the second round, which is exhaustive, only
 compares nodes of different components. Every candidate is verified on the
 whole texts.
@@ -39,7 +39,7 @@ from pulsehouse.llm.textkit import chunks, mix, row_sums, shingle_sets
 
 # Only orders tokens (a cost hint, at most 8 MB to each task): never drops any.
 MAX_FREQUENT = 1 << 19
-FREQUENT_FROM = 24
+FREQUENT_FROM = 8
 SKETCH = 8
 SKETCH_MATCH = 3
 
@@ -56,18 +56,27 @@ def _heads(row: np.ndarray, size: np.ndarray, extra: int = 2) -> np.ndarray:
     return rank < (size - _need(size) + extra)[row]
 
 
-def _prefix_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens of the hash-ordered prefixes, counted inside each batch."""
+def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens that several texts of a batch hold, with how many. Of T batches
+    a token of D texts meets itself in about D^2 / 2T, so everything far above
+    sqrt(T) texts is found, and rare tokens are not shuffled at all."""
     for b in batches:
-        for _, _, data, off in chunks(b.column(0)):
-            row, tok, size = shingle_sets(data, off)
-            t, c = np.unique(tok[_heads(row, size)], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(t.view(np.int64)), pa.array(c.astype(np.int64))], ["token", "c"])
+        toks = [shingle_sets(data, off)[1] for _, _, data, off in chunks(b.column(0))]
+        t, c = np.unique(np.concatenate(toks), return_counts=True)
+        t, c = t[c > 1], c[c > 1]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(t.view(np.int64)), pa.array(c.astype(np.int64))], ["token", "c"])
+
+
+def _lists(row: np.ndarray, tok: np.ndarray, mask: np.ndarray, n_rows: int) -> pa.Array:
+    count = np.bincount(row[mask], minlength=n_rows)
+    offs = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offs), pa.array(tok[mask].view(np.int64)))
 
 
 def _prefix_rows(frequent):
-    """doc_id, key, node, n, and the prefix tokens in the global order."""
+    """doc_id, key, node, n, the prefix tokens in the global order, a sketch
+    (least hashes of the set) and how frequent its tokens are on average."""
 
     def rank(tok: np.ndarray) -> np.ndarray:
         toks, counts = frequent.value
@@ -82,17 +91,17 @@ def _prefix_rows(frequent):
                 row, tok, size = shingle_sets(data, off)
                 node = mix(row_sums(row, mix(tok ^ np.uint64(0x5851F42D4C957F2D)), hi - lo)
                            + size.astype(np.uint64))
-                order = np.lexsort((tok, rank(tok), row))
-                head = _heads(row, size)
-                tok = tok[order][head]
-                count = np.bincount(row[head], minlength=hi - lo)
-                offs = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+                common = rank(tok)
+                central = row_sums(row, common, hi - lo) // np.maximum(size, 1)
+                order = np.lexsort((tok, common, row))
+                first = np.cumsum(size) - size
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo),
                      pa.array(node.view(np.int64), mask=size == 0),
-                     pa.array(size.astype(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(offs), pa.array(tok.view(np.int64)))],
-                    ["doc_id", "key", "node", "n", "toks"])
+                     pa.array(size.astype(np.int64)), pa.array(central),
+                     _lists(row, tok[order], _heads(row, size), hi - lo),
+                     _lists(row, tok, np.arange(len(row)) - first[row] < SKETCH, hi - lo)],
+                    ["doc_id", "key", "node", "n", "central", "toks", "sketch"])
 
     return run
 
@@ -159,7 +168,7 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     (node, root) of every node linked with another."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
-    counts = (map_arrow(docs.select("text"), _prefix_counts, "token long, c long")
+    counts = (map_arrow(docs.select("text"), _repeats, "token long, c long")
               .groupBy("token").agg(F.sum("c").alias("c"))
               .filter(F.col("c") >= FREQUENT_FROM)
               .orderBy(F.desc("c"), "token").limit(MAX_FREQUENT).toArrow())
@@ -168,19 +177,23 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     frequent = spark.sparkContext.broadcast(
         (tok[order], counts.column("c").to_numpy()[order]))
     sets = keep(map_arrow(docs, _prefix_rows(frequent),
-                          "doc_id long, key long, node long, n long, toks array<long>"))
+                          "doc_id long, key long, node long, n long, central long, "
+                          "toks array<long>, sketch array<long>"))
     full = sets.filter("n > 0")
 
-    # Round 1: stars over the shortest sketch, linear in the rows.
+    # Round 1: stars over sketches, linear in the rows. The centre of a star
+    # is the node whose tokens are the most frequent on average: of a group
+    # of edited copies, the one closest to what they have in common.
     copies = full.groupBy("node").agg(F.min("key").alias("one"), F.count("*").alias("c"))
     copies = bounded(keep(copies.filter("c > 1").select("node", "one")))
     full = full.join(copies, "node", "left").filter("one IS NULL OR one = key").drop("one")
     if full.groupBy("node").count().filter("count > 1").limit(1).count():
         full = full.dropDuplicates(["node"])  # rows repeated with their id
-    sk = full.select("node", "n", F.explode(F.slice("toks", 1, SKETCH)).alias("token"))
-    hubs = sk.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("z"))
-    hubs = hubs.filter("a < z").select("token", "a")
-    star = (sk.join(hubs, "token").filter("node > a").groupBy("a", F.col("node").alias("b"))
+    sk = full.select("node", "n", "central", F.explode("sketch").alias("token"))
+    hubs = (sk.groupBy("token").agg(F.max(F.struct("central", "node")).alias("hub"),
+                                    F.min("node").alias("least"), F.max("node").alias("most"))
+            .filter("least < most").select("token", F.col("hub.node").alias("a")))
+    star = (sk.join(hubs, "token").filter("node <> a").groupBy("a", F.col("node").alias("b"))
             .agg(F.count("*").alias("c"), F.max("n").alias("n")))
     star = star.filter(F.col("c") >= F.least(F.lit(SKETCH_MATCH), F.ceil(F.col("n") / 4)))
     first = keep(_verify(keep(star), sets, docs))
@@ -194,16 +207,23 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     p = (F.col("n") - F.ceil(F.col("n") * 0.75) + 1).cast("int")
     listed = (info.filter(F.col("n") * 4 > 3 * light_to)
               .select("node", "comp", F.col("n").cast("int").alias("n"),
-                      F.explode(F.slice("toks", F.lit(1), p)).alias("token")))
+                      F.posexplode(F.slice("toks", F.lit(1), p)).alias("i", "token")))
     size_ok = "4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"
+    need = "int((3 * (x.n + y.n) + 6) / 7)"
+    # With more than n - need tokens before it on either side, this token is
+    # not the first that a pair reaching the threshold has in common.
+    early = f"x.i <= x.n - {need} AND y.i <= y.n - {need}"
     x, y = listed.alias("x"), listed.alias("y")
     heavy = (x.join(y, F.expr("x.token = y.token AND x.node < y.node AND x.comp <> y.comp "
-                              f"AND greatest(x.n, y.n) > {light_to} AND {size_ok}"))
+                              f"AND greatest(x.n, y.n) > {light_to} AND {size_ok} AND {early}"))
              .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"),
-                     F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
-             .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c")))
-    heavy = heavy.filter("c + greatest(ceil(0.75D * na), ceil(0.75D * nb)) - 1 "
-                         ">= ceil(3 * (na + nb) / 7D)").select("a", "b")
+                     F.col("x.n").alias("na"), F.col("y.n").alias("nb"),
+                     F.col("x.i").alias("ia"), F.col("y.i").alias("ib"))
+             .groupBy("a", "b", "na", "nb")
+             .agg(F.count("*").alias("c"), F.max("ia").alias("ia"), F.max("ib").alias("ib")))
+    # What follows the last of these tokens bounds the overlap.
+    heavy = heavy.filter("c + least(na - ia, nb - ib) - 1 >= int((3 * (na + nb) + 6) / 7)"
+                         ).select("a", "b")
     one = (info.filter((F.col("n") <= light_to) & (F.col("n") > 1))
            .select("node", "comp", F.col("n").cast("int").alias("n"), "toks",
                    F.posexplode("toks").alias("i", "t1")))
