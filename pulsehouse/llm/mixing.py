@@ -81,7 +81,7 @@ def _segments(curves) -> str:
 _INVERT = """
 transform(array(element_at(filter(segs, s -> s.d0 <= q), -1)), s ->
   least(s.t1, s.t0 + 2D * (q - s.d0) /
-    (s.w0 + sqrt(greatest(0D, s.w0 * s.w0
+    greatest(1e-300D, s.w0 + sqrt(greatest(0D, s.w0 * s.w0
                           + 2D * (s.w1 - s.w0) / (s.t1 - s.t0) * (q - s.d0))))))[0]
 """
 
@@ -117,7 +117,7 @@ def mix(docs: DataFrame) -> DataFrame:
     first_position (of its first pass; null if never taken), range-sorted by
     that position."""
     rows = plan(docs).withColumn("words", F.expr("least(size, greatest(0L, __goal - at))"))
-    rows = rows.withColumn("q", F.expr("(at + words / 2D) / __goal")).withColumn(
+    rows = rows.withColumn("q", F.expr("(at + words / 2D) / nullif(__goal, 0)")).withColumn(
         "first_position", F.when(F.col("words") > 0, F.expr(_INVERT)))
     return (rows.select("doc_id", "size", "source_size", "target", "taken", "first_position", "key")
             .repartitionByRange("first_position", "key")
@@ -132,7 +132,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     passes = passes.withColumn("words", F.expr(
         "least(size, greatest(0L, __goal - pass * source_size - at))"))
     passes = passes.filter("words > 0 AND 2 * words >= size").withColumn(
-        "q", F.expr("(pass * source_size + at + words / 2D) / __goal"))
+        "q", F.expr("(pass * source_size + at + words / 2D) / nullif(__goal, 0)"))
     passes = passes.select(F.col("key").alias("__key"), F.expr(_INVERT).alias("__position"))
     names = docs.columns
     # rows equal in id and text have a place on the line each: one of them
