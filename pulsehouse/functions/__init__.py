@@ -2,6 +2,7 @@
 expressions, so they stay inside whole-stage code generation."""
 
 from pulsehouse.functions.columns import (  # noqa: F401
+    behaviour_tags,
     count_if,
     day_key,
     epoch_ms,

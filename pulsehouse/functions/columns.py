@@ -75,3 +75,10 @@ def is_c_long_stay(
 ) -> Column:
     """C: leave_item with lo <= duration <= hi."""
     return is_type("leave_item") & F.col("duration_sec").between(lo, hi)
+
+
+def behaviour_tags() -> list[Column]:
+    """PRJ-6: the D1 / E1 / C tags of each event as columns ("tag, do not
+    drop"); never NULL. Needs the enriched content_len."""
+    tags = {"is_d1": is_d1_instant_exit(), "is_e1": is_e1_fast_swipe(), "is_c": is_c_long_stay()}
+    return [F.coalesce(t, F.lit(False)).alias(n) for n, t in tags.items()]

@@ -49,8 +49,9 @@ def _detector_input(events: DataFrame) -> DataFrame:
 
 
 def skipped_events(events: DataFrame) -> DataFrame:
-    """Events with an item but no time: the detectors skip them."""
-    return events.where(F.col("item_id").isNotNull() & F.col("ts").isNull()).agg(
+    """Events with an item but no time or no user: the detectors skip them."""
+    return events.where(F.col("item_id").isNotNull()
+                        & (F.col("ts").isNull() | F.col("user_id").isNull())).agg(
         F.count(F.lit(1)).alias("skipped")
     )
 
@@ -61,14 +62,18 @@ def detect_a1(
     max_gap_ms: int = config.A1_MAX_GAP_MS,
     window_ms: int = config.A1_WINDOW_MS,
     bucket_ms: int = config.DEFAULT_SCALE.split_bucket_sec * 1000,
+    item: str = "item_id",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """CEP-1. One row per event with an item (every type, as the
-    detector emits), with ``is_cheat_a1``."""
+    detector emits), with ``is_cheat_a1``. ``item`` names the item column of
+    the rule's key; ``keep`` names further columns to pass through."""
     n = min_comments
     look_back = min(window_ms, (n - 1) * max_gap_ms)
-    e = _detector_input(events).select(*CHEAT_COLUMNS, _T)
+    columns = list(dict.fromkeys([*CHEAT_COLUMNS, item, *keep]))
+    e = _detector_input(events).select(*columns, _T)
     e = time_split(e, _T, bucket_ms, look_back)
-    w = Window.partitionBy("user_id", "item_id", BUCKET).orderBy(_T, "event_id")
+    w = Window.partitionBy("user_id", item, BUCKET).orderBy(_T, "event_id")
     last_n = w.rowsBetween(-(n - 1), 0)
     last_gaps = w.rowsBetween(-(n - 2), 0)
     is_comment = F.col("event_type") == "comment"
@@ -80,43 +85,47 @@ def detect_a1(
         & (F.col(_T) - F.min(_T).over(last_n) <= window_ms)
     )
     return e.where(own_rows()).select(
-        *CHEAT_COLUMNS,
+        *columns,
         F.coalesce(flagged, F.lit(False)).alias("is_cheat_a1"),
     )
 
 
-def detect_a2(
+def flag_a2(
     events: DataFrame,
     window_ms: int = config.A2_WINDOW_MS,
     min_items: int = config.A2_MIN_ITEMS,
     bucket_ms: int = config.DEFAULT_SCALE.split_bucket_sec * 1000,
 ) -> DataFrame:
-    """CEP-2. Only the flagged likes, with ``is_cheat_a2`` = true."""
+    """CEP-2 on every event: all columns of ``events`` (rows with an item, a
+    user and a time) plus ``is_cheat_a2``; rows that are not likes pass
+    through unflagged."""
     W = window_ms
-    likes = _detector_input(events).where(F.col("event_type") == "like")
-    likes = likes.select(*CHEAT_COLUMNS, _T)
+    columns = events.columns
+    rows = _detector_input(events)
     # One shuffle by (user, bucket) serves both windows below: the per-item
     # lag needs (user, bucket, item) clustering, which it implies.
-    likes = time_split(likes, _T, bucket_ms, W).repartition("user_id", BUCKET)
+    rows = time_split(rows, _T, bucket_ms, W).repartition("user_id", BUCKET)
     t = F.col(_T)
+    like = F.col("event_type") == "like"
     # Previous like of the same item; only one within W matters, so the
     # bucket's halo holds it.
-    likes = likes.withColumn("_prev", F.lag(_T).over(
-        Window.partitionBy("user_id", BUCKET, "item_id").orderBy(_T, "event_id")
+    rows = rows.withColumn("_like", like).withColumn("_prev", F.lag(_T).over(
+        Window.partitionBy("user_id", BUCKET, "item_id", "_like").orderBy(_T, "event_id")
     ))
     prev = F.col("_prev")
     delayed = prev.isNotNull() & (prev + W + 1 > t)
     start_t = F.when(delayed, prev + W + 1).otherwise(t)
-    contributes = start_t <= t + W
+    contributes = F.col("_like") & (start_t <= t + W)
+
     # Sort key per millisecond: band 0 = before every like of that ms,
     # band 1 = in (event_id, kind) order among that ms's likes, band 2 =
-    # after them. kind 0 (a boundary) precedes kind 1 (the like itself).
+    # after them. kind 0 (a boundary) precedes kind 1 (the row itself).
     def point(time, band, kind, delta):
         return F.struct(time.alias("pt"), F.lit(band).alias("band"),
                         F.col("event_id").alias("eid"), F.lit(kind).alias("kind"),
                         F.lit(delta).alias("delta"))
 
-    rows = likes.select(
+    points = rows.select(
         "*",
         F.explode(F.array(
             point(t, 1, 1, 0),
@@ -128,47 +137,49 @@ def detect_a2(
     order = Window.partitionBy("user_id", BUCKET).orderBy(
         "p.pt", "p.band", "p.eid", "p.kind"
     ).rowsBetween(Window.unboundedPreceding, 0)
-    counted = rows.withColumn("_n_items", F.sum("p.delta").over(order))
-    return counted.where(
-        own_rows() & (F.col("p.kind") == 1) & (F.col("_n_items") >= min_items)
-    ).select(*CHEAT_COLUMNS, F.lit(True).alias("is_cheat_a2"))
-
-
-def cheat_flags(a1: DataFrame, a2: DataFrame) -> DataFrame:
-    """The combined cheat record: every A1 row (all keyed events), with
-    ``is_cheat_a2`` set where A2 flagged the same event. A2 rows are a
-    subset of the keyed likes, so a left join keeps every event once."""
-    a2k = a2.select("event_id", "user_id", F.col("is_cheat_a2"))
-    out = a1.select(*CHEAT_COLUMNS, "is_cheat_a1").join(a2k, ["event_id", "user_id"], "left")
-    return out.select(
-        *CHEAT_COLUMNS,
-        "is_cheat_a1",
-        F.coalesce("is_cheat_a2", F.lit(False)).alias("is_cheat_a2"),
-    )
+    counted = points.withColumn("_n_items", F.sum("p.delta").over(order))
+    return counted.where(own_rows() & (F.col("p.kind") == 1)).select(
+        *columns, (F.col("_like") & (F.col("_n_items") >= min_items)).alias("is_cheat_a2"))
 
 
-def _distinct_by(flagged: DataFrame, grain_col, grain: str, col: str, name: str) -> DataFrame:
-    """Distinct ``col`` per grain by two hash aggregations (no Expand)."""
-    return (
-        flagged.groupBy(grain_col.alias(grain), col).agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy(grain).agg(F.count(col).alias(name))
-    )
+def detect_a2(
+    events: DataFrame,
+    window_ms: int = config.A2_WINDOW_MS,
+    min_items: int = config.A2_MIN_ITEMS,
+    bucket_ms: int = config.DEFAULT_SCALE.split_bucket_sec * 1000,
+) -> DataFrame:
+    """CEP-2. Only the flagged likes, with ``is_cheat_a2`` = true."""
+    likes = events.where(F.col("event_type") == "like").select(*CHEAT_COLUMNS)
+    return flag_a2(likes, window_ms, min_items, bucket_ms).where("is_cheat_a2")
+
+
+def cheat_flags(events: DataFrame, a1_item: str = "item_id") -> DataFrame:
+    """The combined cheat record: every event with an item, with both flags,
+    from one pass over ``events`` and no join, so an event delivered twice
+    stays two rows. ``a1_item`` names the item column of the A1 key."""
+    both = flag_a2(detect_a1(events, item=a1_item))
+    return both.select(*CHEAT_COLUMNS, "is_cheat_a1", "is_cheat_a2")
 
 
 def a1_ids(a1: DataFrame, grain_col, grain: str = "day") -> DataFrame:
     """Q-01: distinct users and items among A1-flagged events, per
-    ``grain_col`` (named ``grain``). Each count is its own two-level
-    aggregation; the per-grain results are joined."""
-    f = a1.where("is_cheat_a1")
-    users = _distinct_by(f, grain_col, grain, "user_id", "a1_users")
-    items = _distinct_by(f, grain_col, grain, "item_id", "a1_items")
-    events = f.groupBy(grain_col.alias(grain)).agg(F.count(F.lit(1)).alias("a1_events"))
-    return users.join(items, grain).join(events, grain).select(
-        grain, "a1_users", "a1_items", "a1_events")
+    ``grain_col`` (named ``grain``). One detection: its flags are counted per
+    (grain, user, item), and the first row of each user and of each item on
+    that small result is counted."""
+    per = (a1.where("is_cheat_a1").groupBy(grain_col.alias(grain), "user_id", "item_id")
+           .agg(F.count(F.lit(1)).alias("_n")))
+    first = lambda key, other: F.row_number().over(
+        Window.partitionBy(grain, key).orderBy(other)) == 1
+    per = per.withColumn("_u", first("user_id", "item_id")).withColumn(
+        "_i", first("item_id", "user_id"))
+    return per.groupBy(grain).agg(
+        F.count_if("_u").alias("a1_users"), F.count_if("_i").alias("a1_items"),
+        F.sum("_n").alias("a1_events"))
 
 
 def a2_users(a2: DataFrame, grain_col, grain: str = "day") -> DataFrame:
-    """Q-02: distinct users among A2-flagged likes, per ``grain_col``."""
-    users = _distinct_by(a2, grain_col, grain, "user_id", "a2_users")
-    events = a2.groupBy(grain_col.alias(grain)).agg(F.count(F.lit(1)).alias("a2_events"))
-    return users.join(events, grain).select(grain, "a2_users", "a2_events")
+    """Q-02: distinct users among A2-flagged likes, per ``grain_col``: counts
+    per (grain, user), then users and sums per grain."""
+    per = a2.groupBy(grain_col.alias(grain), "user_id").agg(F.count(F.lit(1)).alias("_n"))
+    return per.groupBy(grain).agg(F.count("user_id").alias("a2_users"),
+                                  F.sum("_n").alias("a2_events"))

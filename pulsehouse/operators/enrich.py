@@ -33,8 +33,8 @@ def bounded_broadcast(
     about ``max_bytes`` bytes (8 bytes per non-string value plus the UTF-8
     length of strings).
 
-    The check reads at most ``max_rows + 1`` rows in one aggregate. Beyond
-    the bound the join stays a shuffle join (AQE may still switch it at run
+    The check is one aggregate over the dimension (partial sums per task, no
+    row leaves its task). Beyond the bound the join stays a shuffle join (AQE may still switch it at run
     time from measured sizes, and splits skewed partitions).
     """
     strings = [f.name for f in small.schema.fields if f.dataType.typeName() == "string"]
@@ -42,7 +42,7 @@ def bounded_broadcast(
     size = F.lit(fixed)
     for c in strings:
         size = size + F.coalesce(F.octet_length(c), F.lit(0))
-    probe = small.limit(max_rows + 1).agg(
+    probe = small.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")
     ).first()
     if probe.n <= max_rows and probe.b <= max_bytes:

@@ -1,22 +1,18 @@
 """Sessions from raw events (STR-6, batch form).
 
-A user's session ends after ``gap`` of inactivity: an event starts a new
-session when the previous event of the user is more than ``gap`` earlier
-(exactly ``gap`` stays in the session, as ``session_window`` does).
-
-Plan, so that a hot user is never one task and no row is copied:
-
-1. events are keyed by (user, event-time bucket); inside a bucket, a
-   window ordered by time gives each event its predecessor, except for the
-   bucket's first event;
-2. a small table with one row per (user, bucket) - first and last event
-   time, starts inside the bucket - is ordered per user: the previous
-   non-empty bucket's last time decides whether the bucket's first event
-   starts a session, and a running sum gives the number of sessions begun
-   before the bucket;
-3. joined back on (user, bucket), session number = sessions before the
-   bucket + running count of starts inside it; then per (user, session
-   number): first, last and count, by partial aggregation.
+A session starts with an ``app_open``, or with an event more than ``gap``
+after the user's previous one (exactly ``gap`` stays in the session, as
+``session_window`` does).
+
+Both forms key events by (user, event-time bucket), so that a hot user is
+never one task and no row is copied. Inside a bucket a window ordered by time
+finds the starts, except that the bucket's first event may go on a session of
+an earlier bucket.
+
+* ``derived_sessions``: the pieces of sessions inside each bucket (start, end,
+  count) are stitched per user by time; one scan, no join.
+* ``sessionize``: each event with its session number; the number of sessions
+  before each bucket, from one row per (user, bucket), is joined back.
 """
 
 from __future__ import annotations
@@ -31,6 +27,54 @@ _T = "_t_us"
 _B = "_bucket"
 
 
+def _starts(events: DataFrame, gap_sec: int, bucket_sec: int, user: str) -> DataFrame:
+    """Events with time, bucket and ``_start``: 1 where a session certainly
+    starts; a bucket's first event that is no app_open is left open (0)."""
+    gap_us = gap_sec * 1_000_000
+    e = (
+        events.where(F.col(user).isNotNull() & F.col("ts").isNotNull())
+        .withColumn(_T, F.unix_micros("ts"))
+        .withColumn(_B, bucket_of(_T, bucket_sec * 1_000_000))
+    )
+    prev = F.lag(_T).over(_in_bucket(user))
+    opens = F.coalesce(F.col("event_type") == "app_open", F.lit(False))
+    later = F.coalesce(F.col(_T) - prev > gap_us, F.lit(False))
+    return e.withColumn("_start", F.when(opens | later, 1).otherwise(0))
+
+
+def _in_bucket(user: str):
+    return Window.partitionBy(user, _B).orderBy(_T, "event_id")
+
+
+def _so_far(user: str):
+    return F.sum("_start").over(_in_bucket(user).rowsBetween(Window.unboundedPreceding, 0))
+
+
+def derived_sessions(
+    events: DataFrame,
+    gap_sec: int = config.SESSION_GAP_SEC,
+    bucket_sec: int = config.DEFAULT_SCALE.split_bucket_sec,
+    user: str = "user_id",
+) -> DataFrame:
+    """One row per session of raw events: user, session_seq (1, 2, ... per
+    user), s_start, s_end, s_events."""
+    e = _starts(events, gap_sec, bucket_sec, user).withColumn("_piece", _so_far(user))
+    pieces = e.groupBy(user, _B, "_piece").agg(
+        F.min(_T).alias("_first_t"), F.max(_T).alias("_last_t"), F.count(F.lit(1)).alias("_n"))
+    wu = Window.partitionBy(user).orderBy(_B, "_piece")
+    prev_last = F.lag("_last_t").over(wu)
+    starts = (F.col("_piece") > 0) | prev_last.isNull() \
+        | (F.col("_first_t") - prev_last > gap_sec * 1_000_000)
+    pieces = pieces.withColumn("_new", F.when(starts, 1).otherwise(0))
+    pieces = pieces.withColumn("session_seq", F.sum("_new").over(
+        wu.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint"))
+    return pieces.groupBy(user, "session_seq").agg(
+        F.timestamp_micros(F.min("_first_t")).alias("s_start"),
+        F.timestamp_micros(F.max("_last_t")).alias("s_end"),
+        F.sum("_n").alias("s_events"),
+    )
+
+
 def sessionize(
     events: DataFrame,
     gap_sec: int = config.SESSION_GAP_SEC,
@@ -40,57 +84,28 @@ def sessionize(
     """Events with ``session_seq`` (1, 2, ... per user, in time order) and
     ``derived_session_id`` = ``{user}_{seq}``."""
     gap_us = gap_sec * 1_000_000
-    bucket_us = bucket_sec * 1_000_000
-    e = (
-        events.where(F.col(user).isNotNull() & F.col("ts").isNotNull())
-        .withColumn(_T, F.unix_micros("ts"))
-        .withColumn(_B, bucket_of(_T, bucket_us))
-    )
-    w = Window.partitionBy(user, _B).orderBy(_T, "event_id")
-    prev = F.lag(_T).over(w)
-    # Starts decided inside the bucket; the bucket's first event is decided
-    # in step 2.
-    e = e.withColumn("_inner_start", F.when(prev.isNotNull() & (F.col(_T) - prev > gap_us), 1)
-                     .otherwise(0)).withColumn("_first", prev.isNull())
+    e = _starts(events, gap_sec, bucket_sec, user).withColumn("_piece", _so_far(user))
     per_bucket = e.groupBy(user, _B).agg(
         F.min(_T).alias("_first_t"),
         F.max(_T).alias("_last_t"),
-        F.sum("_inner_start").alias("_inner_starts"),
+        F.min("_piece").alias("_opened"),
+        F.sum("_start").alias("_inner"),
     )
     wu = Window.partitionBy(user).orderBy(_B)
     prev_last = F.lag("_last_t").over(wu)
-    first_starts = F.when(prev_last.isNull() | (F.col("_first_t") - prev_last > gap_us), 1) \
-        .otherwise(0)
-    per_bucket = per_bucket.withColumn("_first_start", first_starts)
-    per_bucket = per_bucket.withColumn(
-        "_before",
-        F.coalesce(
-            F.sum(F.col("_first_start") + F.col("_inner_starts")).over(
-                wu.rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ),
-    ).select(user, _B, "_first_start", "_before")
-    joined = e.join(per_bucket, [user, _B], "inner")
-    start = F.when(F.col("_first"), F.col("_first_start")).otherwise(F.col("_inner_start"))
-    joined = joined.withColumn("_start", start)
-    seq = (
-        F.col("_before")
-        + F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ).cast("bigint")
-    out = joined.withColumn("session_seq", seq)
+    # The bucket's first event starts a session without being an app_open.
+    first = F.when((F.col("_opened") == 0)
+                   & (prev_last.isNull() | (F.col("_first_t") - prev_last > gap_us)), 1).otherwise(0)
+    per_bucket = per_bucket.withColumn("_extra", first)
+    before = F.sum(F.col("_extra") + F.col("_inner")).over(
+        wu.rowsBetween(Window.unboundedPreceding, -1))
+    per_bucket = per_bucket.select(user, _B, "_extra",
+                                   F.coalesce(before, F.lit(0)).alias("_before"))
+    seq = (F.col("_before") + F.col("_extra") + F.col("_piece")).cast("bigint")
+    out = e.join(per_bucket, [user, _B], "inner").withColumn("session_seq", seq)
     return out.select(
         *events.columns,
         "session_seq",
         F.concat_ws("_", F.col(user).cast("string"), F.col("session_seq").cast("string"))
         .alias("derived_session_id"),
     )
-
-
-def derived_sessions(sessionized: DataFrame, user: str = "user_id") -> DataFrame:
-    """One row per derived session: start, end, number of events."""
-    return sessionized.groupBy(user, "session_seq").agg(
-        F.min("ts").alias("s_start"),
-        F.max("ts").alias("s_end"),
-        F.count(F.lit(1)).alias("s_events"),
-    )

@@ -13,12 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsehouse.functions import day_key, stable_round
+from pulsehouse.functions import behaviour_tags, day_key, stable_round
 from pulsehouse.operators import cheat, sessions
 from pulsehouse.operators.enrich import enrich
 from pulsehouse.plans import metrics as M
 from pulsehouse.sinks.kv import to_kv_rows
+from pulsehouse.session import new_run_dir
 from pulsehouse.sources import adapters as A
+from pulsehouse.sources.dimensions import load_item_dim
 from pulsehouse.sources.events import decode_events, encode_events, typed_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +66,15 @@ def event_decode(spark, sf):
     )
 
 
+def event_decode_local_time(spark, sf):
+    """SRC-2 for producers that write bare local times: the same events with
+    the offset cut off, read in the source zone."""
+    wire = encode_events(_com(spark, sf).withColumn("event_id", F.col("event_id").cast("string")))
+    bare = wire.select(F.regexp_replace("value", r"\+08:00\"", "\"").alias("value"))
+    return typed_events(decode_events(bare)).select(
+        "event_id", F.unix_millis("ts").alias("ts_ms"))
+
+
 def enrich_left_unknown(spark, sf):
     """JOIN-1 + PRJ-3/4: every event kept, misses are Unknown / 0."""
     return _enriched(spark, sf).select(
@@ -71,6 +82,20 @@ def enrich_left_unknown(spark, sf):
     )
 
 
+def event_tags(spark, sf):
+    """PRJ-6: every event with its behaviour tags."""
+    return _enriched(spark, sf).select("event_id", *behaviour_tags())
+
+
+def enrich_from_file(spark, sf):
+    """SRC-3 + JOIN-1: the dimension written as the '|' text file it comes
+    as, read back and joined."""
+    path = f"{new_run_dir(spark, 'dim_file')}/dim_item"
+    A.item_dimension(spark, sf).write.option("delimiter", "|").csv(path)
+    return enrich(_com(spark, sf), load_item_dim(spark, path)).select(
+        "event_id", "category", "content_len")
+
+
 # -- U metrics ------------------------------------------------------------------
 
 def pv_by_category_30m(spark, sf):
@@ -173,9 +198,9 @@ def sessions_daily(spark, sf):
 
 
 def sessionize_gap(spark, sf):
-    """S-01..S-03 over sessions derived from 30 minutes of inactivity."""
-    s = sessions.derived_sessions(sessions.sessionize(_com(spark, sf)))
-    return M.session_rollup(s, "day")
+    """S-01..S-03 over sessions that start with an app_open or after 30
+    minutes of inactivity."""
+    return M.session_rollup(sessions.derived_sessions(_com(spark, sf)))
 
 
 # -- Q metrics ------------------------------------------------------------------
@@ -225,9 +250,7 @@ def cheat_a2(spark, sf):
 def cheat_events(spark, sf):
     """The combined cheat record: every keyed event of the dense stream
     with both flags (A1 on the 5-item key, A2 on the user)."""
-    a1 = cheat.detect_a1(A.dense_for_a1(A.dense_events(spark, sf)))
-    a2 = _a2(spark, sf)
-    out = cheat.cheat_flags(a1, a2)
+    out = cheat.cheat_flags(A.dense_events(spark, sf), a1_item="item5")
     return out.select("event_id", "user_id", "event_type",
                       F.unix_millis("ts").alias("ts_ms"), "is_cheat_a1", "is_cheat_a2")
 
@@ -275,7 +298,10 @@ def metrics_kv(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "event_decode": event_decode,
+    "event_decode_local_time": event_decode_local_time,
     "enrich_left_unknown": enrich_left_unknown,
+    "event_tags": event_tags,
+    "enrich_from_file": enrich_from_file,
     "pv_by_category_30m": pv_by_category_30m,
     "pv_uv_5m": pv_uv_5m,
     "pv_uv_by_category_daily": pv_uv_by_category_daily,

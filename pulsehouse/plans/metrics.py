@@ -19,7 +19,7 @@ them from level 1.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsehouse import config
@@ -210,34 +210,40 @@ def anomalies_unpivoted(metrics: DataFrame, keys: list[str]) -> DataFrame:
 def session_metrics(events: DataFrame, grain: str = "day") -> DataFrame:
     """S-01..S-03 from the given ``session_id``.
 
-    Per session: first event, last event, number of events (partial
-    aggregation keeps a hot session to one row per task). A session is
-    counted in the grain of its first event.
+    S-01 counts the distinct sessions with an event in the grain, so one that
+    crosses midnight counts on both days. Its length and its number of
+    events (S-02, S-03) belong to the grain of its first event; a grain in
+    which no session starts has no averages.
+
+    One scan: events are summed per (session, grain) (a hot session is one
+    row per task and grain), a window over a session's few grains gives its
+    start, end and size, and the grains are summed.
     """
-    per_session = (
+    gname = _grain_name(grain)
+    per = (
         events.where(F.col("session_id").isNotNull() & F.col("ts").isNotNull())
-        .groupBy("session_id")
-        .agg(
-            F.min("ts").alias("s_start"),
-            F.max("ts").alias("s_end"),
-            F.count(F.lit(1)).alias("s_events"),
-        )
+        .groupBy("session_id", grain_column(grain))
+        .agg(F.min("ts").alias("first"), F.max("ts").alias("last"),
+             F.count(F.lit(1)).alias("n"))
     )
-    return session_rollup(per_session, grain)
+    w = Window.partitionBy("session_id")
+    per = per.select(
+        gname, (F.min("first").over(w) == F.col("first")).alias("starts"),
+        (F.unix_micros(F.max("last").over(w)) - F.unix_micros(F.min("first").over(w))).alias("us"),
+        F.sum("n").over(w).alias("events"))
+    return _session_grains(per, gname, grain)
 
 
-def session_rollup(per_session: DataFrame, grain: str) -> DataFrame:
-    """Per-session rows (s_start, s_end, s_events) -> sessions, average
-    length and average events, in the grain of the session's start."""
-    g = grain_column(grain, "s_start")
-    gname = _grain_name(grain)
+def _session_grains(per: DataFrame, gname: str, grain: str) -> DataFrame:
+    """Rows (grain, starts, us, events) of sessions -> S-01..S-03."""
     # Integer sums divided once: the same value in every engine.
-    length_us = F.unix_micros("s_end") - F.unix_micros("s_start")
-    n = F.count(F.lit(1))
-    out = per_session.groupBy(g).agg(
-        n.alias("sessions"),
-        (F.sum(length_us) / n / F.lit(1_000_000.0)).alias("avg_session_sec"),
-        (F.sum("s_events") / n).alias("avg_events_per_session"),
+    started = F.count_if("starts")
+    out = per.groupBy(gname).agg(
+        F.count(F.lit(1)).alias("sessions"),
+        (F.try_divide(F.sum(F.when(F.col("starts"), F.col("us"))), started)
+         / F.lit(1_000_000.0)).alias("avg_session_sec"),
+        F.try_divide(F.sum(F.when(F.col("starts"), F.col("events"))), started)
+        .alias("avg_events_per_session"),
     )
     if grain != "day":
         out = out.select(*window_bounds(gname), "sessions", "avg_session_sec",
@@ -245,6 +251,19 @@ def session_rollup(per_session: DataFrame, grain: str) -> DataFrame:
     return out
 
 
+def session_rollup(per_session: DataFrame) -> DataFrame:
+    """Per-session rows (s_start, s_end, s_events) -> S-01..S-03 per day,
+    with the rules of ``session_metrics``. Within a session events are less
+    than a day apart, so it has one on every day it spans."""
+    days = F.sequence(F.to_date("s_start"), F.to_date("s_end"))
+    per = per_session.select(
+        F.posexplode(days).alias("i", "d"),
+        (F.unix_micros("s_end") - F.unix_micros("s_start")).alias("us"), "s_events")
+    per = per.select(F.date_format("d", "yyyyMMdd").alias("day"), (F.col("i") == 0).alias("starts"),
+                     "us", F.col("s_events").alias("events"))
+    return _session_grains(per, "day", "day")
+
+
 def new_users(events: DataFrame, grain: str = "day") -> DataFrame:
     """U-04 / NEW-3 (batch): users whose first-ever app_open falls in the
     grain. "Seen" means an earlier app_open, over the whole history given."""

@@ -33,7 +33,7 @@ with com as (
 ),
 dim as (
   select p_partkey as dim_item_id, p_type as category, p_size * 100 as dim_content_len
-  from part where p_partkey % 10 <> 0
+  from part
 ),
 enr as (
   select com.*, coalesce(dim.category, 'Unknown') as category,
@@ -90,7 +90,7 @@ a2 as (
 ),
 gap_starts as (
   select user_id, ts, event_id,
-         case when lag(ts) over w is null
+         case when lag(ts) over w is null or event_type = 'app_open'
                 or epoch_us(ts) - epoch_us(lag(ts) over w) > 1800000000 then 1 else 0 end as st
   from com where user_id is not null
   window w as (partition by user_id order by ts, event_id)
@@ -140,11 +140,20 @@ def _ratio(num: str, den: str) -> str:
 _STAY = (f"cast(round(cast(avg(case when {_LEAVE} then duration_sec end) as decimal(38, 9)), 6)"
          " as double)")
 
+# S-01 counts a session on every day with one of its events; S-02 and S-03
+# belong to the day of its first event.
 _SESSION_ROLLUP = """
-select strftime(s_start, '%Y%m%d') as day, count(*) as sessions,
-       sum(epoch_us(s_end) - epoch_us(s_start)) / count(*) / 1000000.0 as avg_session_sec,
-       sum(s_events) / count(*) as avg_events_per_session
-from {src} group by 1
+select coalesce(a.day, b.day) as day, coalesce(a.sessions, 0) as sessions,
+       b.avg_session_sec, b.avg_events_per_session
+from (select day, count(*) as sessions from (
+        select distinct strftime(unnest(generate_series(date_trunc('day', s_start),
+               date_trunc('day', s_end), interval 1 day)), '%Y%m%d') as day, {id} from {src})
+      group by 1) a
+full join (
+  select strftime(s_start, '%Y%m%d') as day,
+         sum(epoch_us(s_end) - epoch_us(s_start)) / count(*) / 1000000.0 as avg_session_sec,
+         sum(s_events) / count(*) as avg_events_per_session
+  from {src} group by 1) b on a.day = b.day
 """
 
 _ACTIVITY = f"""
@@ -169,6 +178,15 @@ _BODIES: dict[str, str] = {
     "event_decode": """
 select cast(event_id as varchar) as event_id, user_id, event_type, epoch_us(ts) // 1000 as ts_ms,
        session_id, coalesce(item_id, -1) as item_key, duration_sec, comment_text from com""",
+    "event_decode_local_time": """
+select cast(event_id as varchar) as event_id, epoch_us(ts) // 1000 as ts_ms from com""",
+    "event_tags": f"""
+select event_id, coalesce({_LEAVE} and duration_sec between 0.2 and 1.2, false) as is_d1,
+       coalesce({_LEAVE} and duration_sec < 0.8 and content_len > 2000, false) as is_e1,
+       coalesce({_LEAVE} and duration_sec between 1800 and 3600, false) as is_c
+from enr""",
+    "enrich_from_file": """
+select event_id, category, content_len from enr""",
     "enrich_left_unknown": """
 select event_id, coalesce(item_id, -1) as item_key, event_type, category, content_len
 from enr""",
@@ -230,8 +248,8 @@ from enr group by all""",
 select {_D}, {_cnt('follow')} as follows, {_cnt('unfollow')} as unfollows,
        {_cnt('dm')} as dms, {_cnt('enter_profile')} as profile_visits
 from com group by all""",
-    "sessions_daily": _SESSION_ROLLUP.format(src="given_sessions"),
-    "sessionize_gap": _SESSION_ROLLUP.format(src="gap_sessions"),
+    "sessions_daily": _SESSION_ROLLUP.format(src="given_sessions", id="session_id"),
+    "sessionize_gap": _SESSION_ROLLUP.format(src="gap_sessions", id="user_id, seq"),
     "quality_daily": f"""
 select {_D}, count(*) filter (where {_LEAVE}) as n_leave, {_D1} as d1_instant_exits,
        {_E1} as e1_fast_swipes, {_C} as c_long_stays
@@ -291,35 +309,24 @@ def oracle_sql() -> dict[str, str]:
     return out
 
 
-# Streaming queries: a window is emitted once the watermark (latest event
-# time in ms minus the delay) reaches its end.
-_CLOSED_5M = "window_end * 1000 <= (select max(epoch_us(ts)) // 1000 from com) - 300000"
-
-
+# Streaming queries: the whole tables, open windows and sessions included.
 def stream_bodies() -> dict[str, str]:
+    mid = ("(select cast(min(ts) as date) + cast((cast(max(ts) as date) - cast(min(ts) as date)) // 2 as integer) "
+           "from com)")
     bodies = {
         "stream_pv_5m": f"""
-select * from (
-  select {_w(300)}, category, {_PV} as pv, {_cnt('like')} as likes, count(*) as n_events
-  from enr group by all)
-where {_CLOSED_5M}""",
+select {_w(300)}, category, {_PV} as pv, {_cnt('like')} as likes, count(*) as n_events
+from enr group by all""",
         "stream_activity_daily": f"""
-select day, category, pv, likes, comments, d1_instant_exits, n_events from (
-  select {_D}, epoch_us(date_trunc('day', ts)) // 1000000 + 86400 as day_end, category,
-         {_PV} as pv, {_cnt('like')} as likes, {_cnt('comment')} as comments,
-         {_D1} as d1_instant_exits, count(*) as n_events
-  from enr group by all)
-where day_end * 1000 <= (select max(epoch_us(ts)) // 1000 from com) - 300000""",
+select {_D}, category, {_PV} as pv, {_cnt('like')} as likes, {_cnt('comment')} as comments,
+       {_D1} as d1_instant_exits, count(*) as n_events
+from enr group by all""",
         "stream_uv_5m_exact": f"""
-select * from (
-  select {_w(300)}, count(distinct user_id) as uv
-  from com where event_type = 'enter_item' and user_id is not null group by all)
-where {_CLOSED_5M}""",
+select {_w(300)}, {_UV} as uv from com group by all""",
+        "stream_uv_by_category_30m": f"""
+select {_w(1800)}, category, {_UV} as uv from enr group by all""",
         "stream_dau_5m_exact": f"""
-select * from (
-  select {_w(300)}, count(distinct user_id) as dau
-  from com where user_id is not null group by all)
-where {_CLOSED_5M}""",
+select {_w(300)}, count(distinct user_id) as dau from com group by all""",
         "stream_cheat_a1": _BODIES["cheat_a1"],
         "stream_cheat_a2": _BODIES["cheat_a2"],
         "stream_new_users": """
@@ -327,14 +334,10 @@ select count(distinct user_id) as new_users from com
 where event_type = 'app_open' and user_id is not null""",
         "stream_archive": """
 select strftime(ts, '%Y%m%d') as day, count(*) as events from com group by 1""",
-        "stream_late_dropped": """
-select (select count(*) from com
-        where strftime(ts, '%Y%m%d') <= '20240115' and item_id is not null) as dropped_rows,
-       (select count(*) from com
-        where strftime(ts, '%Y%m%d') > '20240115' and item_id is not null) as emitted_rows""",
+        "stream_late_dropped": f"""
+select count(*) filter (where cast(ts as date) <= {mid}) as dropped_rows,
+       count(*) filter (where cast(ts as date) > {mid}) as emitted_rows
+from com where item_id is not null""",
+        "stream_sessions_gap": _BODIES["sessionize_gap"],
     }
-    bodies["stream_sessions_gap"] = _SESSION_ROLLUP.format(src="""(
-  select * from gap_sessions
-  where epoch_us(s_end) + 1800000000
-        <= (select max(epoch_us(ts)) // 1000 from com) * 1000 - 300000000)""")
     return {k: _PRELUDE + v for k, v in bodies.items()}

@@ -5,8 +5,8 @@ projections map them onto the behaviour model, row for row, so every
 query reads the given tables and grows with them:
 
 * ``community_events`` - the 13-type behaviour stream, from ``events``;
-* ``item_dimension``   - the item dimension, from ``part`` (ids ending in
-  0 are left out so that joins miss and ``Unknown`` appears);
+* ``item_dimension``   - the item dimension, from ``part``, every row (item-less
+  events are the ones that become ``Unknown``);
 * ``dense_events``     - a dense per-user stream for the two detectors,
   from ``lineitem`` (the sparse ``events`` table never triggers them).
 
@@ -89,7 +89,7 @@ def community_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def item_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
-    return part.where(F.col("p_partkey") % 10 != 0).select(
+    return part.select(
         F.col("p_partkey").alias("dim_item_id"),
         F.col("p_type").alias("category"),
         (F.col("p_size") * 100).alias("dim_content_len"),
@@ -97,7 +97,8 @@ def item_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dense_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One event per (l_orderkey, l_linenumber), 10 ms apart by id,
+    """One event per (l_orderkey, l_linenumber) - rows that repeat the pair
+    are one event, with the least of their values - 10 ms apart by id,
     8 users, 100 items (``item_id``) or 5 items (``item5``)."""
     li = table(spark, sf_dir, "lineitem")
     g = li.groupBy("l_orderkey", "l_linenumber").agg(

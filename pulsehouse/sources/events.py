@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from pulsehouse import config
 
-# Wire schema: ``ts`` is an ISO-8601 string with milliseconds.
+# Wire schema (fixed: it must match the topic). ``ts`` is an ISO-8601 string with milliseconds.
 EVENT_JSON_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.StringType()),
@@ -33,31 +33,22 @@ EVENT_JSON_SCHEMA = T.StructType(
 # Column order of a typed event everywhere in the library.
 EVENT_COLUMNS = [f.name for f in EVENT_JSON_SCHEMA.fields]
 
-# ISO-8601 forms accepted for ``ts``: with an explicit offset ("+08:00" or
-# "Z"), or a bare local wall-clock time read in the source zone (GMT+8);
-# milliseconds (the producer's format), microseconds or none; 'T' or space.
-_TS_WITH_OFFSET = (
-    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
-    "yyyy-MM-dd HH:mm:ss.SSSXXX",
-    "yyyy-MM-dd HH:mm:ssXXX",
-)
-_TS_LOCAL = (
-    "yyyy-MM-dd'T'HH:mm:ss.SSS",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSS",
-    "yyyy-MM-dd HH:mm:ss",
-)
+# Accepted forms of ``ts``: date and time joined by 'T' or a space, up to nine
+# fraction digits (microseconds are kept), and an offset ("+08:00", "+0800",
+# "Z"); without an offset it is wall-clock time in the source zone (GMT+8).
+_TS = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(\.\d{1,6})?\d{0,3} ?(Z|[+-]\d{2}:?\d{2})?$"
 
 
 def parse_event_time(s: Column, source_tz: str = config.SOURCE_TIME_ZONE) -> Column:
     """ISO-8601 string -> timestamp; an explicit offset wins, a bare local
-    time is read in ``source_tz``; anything else is NULL (quarantined)."""
-    with_offset = [F.try_to_timestamp(s, F.lit(f)) for f in _TS_WITH_OFFSET]
-    local = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in _TS_LOCAL])
-    return F.coalesce(*with_offset, F.to_utc_timestamp(local, source_tz))
+    time is read in ``source_tz``; anything else is NULL (quarantined). The
+    session's time zone plays no part: every string is parsed with a zone."""
+    s = F.trim(s)
+    zone = F.regexp_extract(s, _TS, 4)
+    plain = F.regexp_replace(s, _TS, "$1 $2$3")
+    zone = F.when(zone == "", F.lit(source_tz)).otherwise(
+        F.regexp_replace(zone, r"^([+-]\d{2})(\d{2})$", "$1:$2"))
+    return F.when(s.rlike(_TS), F.concat(plain, F.lit(" "), zone).try_cast("timestamp"))
 
 
 def decode_events(
@@ -109,13 +100,18 @@ def quarantine(decoded: DataFrame) -> DataFrame:
 
 def encode_events(events: DataFrame, source_tz: str = config.SOURCE_TIME_ZONE) -> DataFrame:
     """Typed events -> one JSON ``value`` per row, the wire format of the
-    topic (``ts`` written in ``source_tz`` with its offset)."""
-    ts_str = F.date_format(
-        F.from_utc_timestamp(F.col("ts"), source_tz), "yyyy-MM-dd'T'HH:mm:ss.SSS"
-    )
-    offset = F.lit(_offset_text(source_tz))
+    topic (``ts`` written in ``source_tz`` with its offset, whatever the
+    session's time zone)."""
+    offset = _offset_text(source_tz)
+    sign = -1 if offset[0] == "-" else 1
+    shift_ms = sign * (int(offset[1:3]) * 60 + int(offset[4:6])) * 60_000
+    local_ms = F.unix_millis("ts") + F.lit(shift_ms)
+    wall = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(
+        secs=F.floor(local_ms / 1000).cast("decimal(18,6)"))
+    millis = F.lpad(F.pmod(local_ms, F.lit(1000)).cast("string"), 3, "0")
+    ts_str = F.concat(F.replace(wall.cast("string"), F.lit(" "), F.lit("T")), F.lit("."), millis)
     cols = [
-        (F.concat(ts_str, offset) if c == "ts" else F.col(c).cast(f.dataType)).alias(c)
+        (F.concat(ts_str, F.lit(offset)) if c == "ts" else F.col(c).cast(f.dataType)).alias(c)
         for c, f in zip(EVENT_COLUMNS, EVENT_JSON_SCHEMA.fields)
     ]
     return events.select(F.to_json(F.struct(*cols)).alias("value"))

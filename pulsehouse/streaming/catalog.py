@@ -40,14 +40,20 @@ def _run(df: DataFrame, run: str, **kw):
     return runner.run_to_end(q)
 
 
+def _run_closed(spark, sf: str, run: str, build, start_kw=None) -> None:
+    """``build`` over the event stream, all windows and sessions closed."""
+    ev = _event_stream(spark, sf, "events.parquet")
+    last = lambda: A.community_events(spark, sf).agg(F.max("ts")).first()[0]
+    runner.run_closed(spark, ev, run, build, last, start_kw)
+
+
 def stream_pv_5m(spark, sf):
     """STR-2/3: PV per 5-minute window and category on the event stream,
     enriched stream-static, 5-minute watermark, append mode: a window is
     written once the watermark passes its end."""
     run = new_run_dir(spark, "stream_pv_5m")
-    ev = _event_stream(spark, sf, "events.parquet")
-    agg = metrics.stream_activity(enrich(ev, A.item_dimension(spark, sf)))
-    _run(agg, run)
+    dim = A.item_dimension(spark, sf)
+    _run_closed(spark, sf, run, lambda ev: metrics.stream_activity(enrich(ev, dim)))
     out = spark.read.parquet(f"{run}/out")
     return out.select(*window_bounds("window"), "category", "pv", "likes", "n_events")
 
@@ -56,38 +62,44 @@ def stream_activity_daily(spark, sf):
     """Day-grain counts on the stream: 1-day windows cut at midnight in the
     session zone, written once the watermark passes the day's end."""
     run = new_run_dir(spark, "stream_daily")
-    ev = _event_stream(spark, sf, "events.parquet")
+    dim = A.item_dimension(spark, sf)
     day0 = metrics.day_window_start(spark.conf.get("spark.sql.session.timeZone"))
-    agg = metrics.stream_activity(enrich(ev, A.item_dimension(spark, sf)), "1 day",
-                                  by=("category",), start_time=day0)
-    _run(agg, run)
+    _run_closed(spark, sf, run, lambda ev: metrics.stream_activity(
+        enrich(ev, dim), "1 day", by=("category",), start_time=day0))
     out = spark.read.parquet(f"{run}/out")
     return out.select(F.date_format("window.start", "yyyyMMdd").alias("day"), "category",
                       "pv", "likes", "comments", "d1_instant_exits", "n_events")
 
 
+def _stream_users(spark, sf, run: str, name: str, build, by=()) -> DataFrame:
+    _run_closed(spark, sf, run, build, lambda: {
+        "foreach_batch": metrics.WindowUserCounter(f"{run}/out", by=by, name=name)})
+    out = spark.read.parquet(f"{run}/out")
+    return out.select(*window_bounds("window"), *by, name)
+
+
 def stream_uv_5m_exact(spark, sf):
     """STR-4 exact: distinct enter_item users per 5-minute window - one
     keyed aggregation, counted per micro-batch in ``foreachBatch``."""
-    run = new_run_dir(spark, "stream_uv_5m")
-    ev = _event_stream(spark, sf, "events.parquet")
-    per_user = metrics.stream_window_users(ev, only_type="enter_item")
-    counter = metrics.WindowUserCounter(f"{run}/out", name="uv")
-    runner.run_to_end(runner.start(per_user, f"{run}/checkpoint", foreach_batch=counter))
-    out = spark.read.parquet(f"{run}/out")
-    return out.select(*window_bounds("window"), "uv")
+    return _stream_users(spark, sf, new_run_dir(spark, "stream_uv_5m"), "uv",
+                         lambda ev: metrics.stream_window_users(ev, only_type="enter_item"))
+
+
+def stream_uv_by_category_30m(spark, sf):
+    """U-06/U-07 on the stream: distinct enter_item users per 30-minute
+    window and category."""
+    dim = A.item_dimension(spark, sf)
+    return _stream_users(
+        spark, sf, new_run_dir(spark, "stream_uv_cat"), "uv",
+        lambda ev: metrics.stream_window_users(enrich(ev, dim), "30 minutes", by=("category",),
+                                               only_type="enter_item"), by=("category",))
 
 
 def stream_dau_5m_exact(spark, sf):
     """U-01 / STR-4 exact on a stream: distinct users over any event per
     5-minute window."""
-    run = new_run_dir(spark, "stream_dau_5m")
-    ev = _event_stream(spark, sf, "events.parquet")
-    counter = metrics.WindowUserCounter(f"{run}/out", name="dau")
-    runner.run_to_end(runner.start(metrics.stream_window_users(ev), f"{run}/checkpoint",
-                                   foreach_batch=counter))
-    out = spark.read.parquet(f"{run}/out")
-    return out.select(*window_bounds("window"), "dau")
+    return _stream_users(spark, sf, new_run_dir(spark, "stream_dau_5m"), "dau",
+                         metrics.stream_window_users)
 
 
 def _run_in_arrivals(spark: SparkSession, table: DataFrame, order_col: str, run: str,
@@ -176,27 +188,30 @@ def stream_archive(spark, sf):
 
 
 def stream_late_dropped(spark, sf):
-    """Q-10 / STR-7: the second half of the month arrives first, the first
-    half in a second run from the same checkpoint. Every row of the second
-    run is behind the 30-minute watermark and is dropped by the keyed-state
-    detector; the drop count is read from the progress."""
+    """Q-10 / STR-7: the second half of the observed days arrives first, the
+    first half in a second run from the same checkpoint. Every row of the
+    second run is behind the 30-minute watermark and is dropped by the
+    keyed-state detector; a listener adds up the drops."""
     run = new_run_dir(spark, "stream_late")
     src = f"{run}/source"
-    com = A.community_events(spark, sf).withColumn("_day", day_key("ts"))
-    arrivals = [
-        com.where(F.col("_day") > "20240115").drop("_day"),
-        com.where(F.col("_day") <= "20240115").drop("_day"),
-    ]
-    q = None
-    for i, part in enumerate(arrivals):
-        part.write.mode("append").parquet(src)
-        if i == 0:
-            schema = spark.read.parquet(src).schema
-        # A restart from the same checkpoint keeps the watermark.
-        s = spark.readStream.schema(schema).parquet(src)
-        q = runner.start(detectors.stream_a1(s), f"{run}/checkpoint", f"{run}/out")
-        runner.run_to_end(q)
-    dropped = runner.dropped_by_watermark(q)
+    com = A.community_events(spark, sf)
+    lo, hi = com.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    late = F.to_date("ts") <= F.lit(lo + (hi - lo) / 2)
+    listener = runner.LateRowsListener()
+    spark.streams.addListener(listener)
+    try:
+        for i, part in enumerate((com.where(~late), com.where(late))):
+            part.write.mode("append").parquet(src)
+            if i == 0:
+                schema = spark.read.parquet(src).schema
+            # A restart from the same checkpoint keeps the watermark.
+            s = spark.readStream.schema(schema).parquet(src)
+            q = runner.start(detectors.stream_a1(s), f"{run}/checkpoint", f"{run}/out")
+            runner.run_to_end(q)
+        listener.wait_for([q])
+        dropped = listener.total(q)
+    finally:
+        spark.streams.removeListener(listener)
     flagged = spark.read.parquet(f"{run}/out")
     return flagged.agg(F.count(F.lit(1)).alias("emitted_rows")).select(
         F.lit(dropped).cast("bigint").alias("dropped_rows"), "emitted_rows"
@@ -204,21 +219,20 @@ def stream_late_dropped(spark, sf):
 
 
 def stream_sessions_gap(spark, sf):
-    """STR-6: sessions from 30 minutes of inactivity with ``session_window``
-    on the stream; a session is written once the watermark passes its end
-    (last event + 30 min). Rolled up per day of the session's start."""
+    """STR-6: sessions that start with an app_open or after 30 minutes of
+    inactivity, on the stream. Rolled up per day."""
     from pulsehouse.plans.metrics import session_rollup
 
     run = new_run_dir(spark, "stream_sessions")
-    ev = _event_stream(spark, sf, "events.parquet")
-    _run(metrics.stream_sessions(ev), run)
-    return session_rollup(spark.read.parquet(f"{run}/out"), "day")
+    _run_closed(spark, sf, run, metrics.stream_sessions)
+    return session_rollup(spark.read.parquet(f"{run}/out"))
 
 
 STREAM_QUERIES = {
     "stream_pv_5m": stream_pv_5m,
     "stream_activity_daily": stream_activity_daily,
     "stream_uv_5m_exact": stream_uv_5m_exact,
+    "stream_uv_by_category_30m": stream_uv_by_category_30m,
     "stream_dau_5m_exact": stream_dau_5m_exact,
     "stream_cheat_a1": stream_cheat_a1,
     "stream_cheat_a2": stream_cheat_a2,

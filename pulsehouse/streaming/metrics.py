@@ -50,11 +50,16 @@ def _stream_counters() -> list[Column]:
 
 def day_window_start(time_zone: str) -> str:
     """``startTime`` that makes 1-day windows cut days at midnight in
-    ``time_zone`` (a fixed-offset zone such as Asia/Shanghai)."""
+    ``time_zone`` (a fixed-offset zone such as Asia/Shanghai; a zone whose
+    offset changes over the year has days of other lengths and is refused)."""
     import datetime as _dt
     from zoneinfo import ZoneInfo
 
-    off = _dt.datetime(2024, 1, 1, tzinfo=ZoneInfo(time_zone)).utcoffset()
+    zone = ZoneInfo(time_zone)
+    offsets = {_dt.datetime(2024, m, 1, tzinfo=zone).utcoffset() for m in range(1, 13)}
+    if len(offsets) > 1:
+        raise ValueError(f"daily windows need a zone without daylight saving, not {time_zone}")
+    off = offsets.pop()
     minutes = (-int(off.total_seconds()) // 60) % (24 * 60)
     return f"{minutes} minutes"
 
@@ -107,7 +112,7 @@ def stream_window_users(
 
 class WindowUserCounter:
     """``foreachBatch``: distinct users per (window, dims) of the windows
-    closed in this micro-batch, appended under ``batch_id=<n>`` (a replay
+    closed in this micro-batch (0 for a window without a hit), appended under ``batch_id=<n>`` (a replay
     overwrites its own folder)."""
 
     def __init__(self, path: str, by: tuple[str, ...] = (), name: str = "users"):
@@ -116,8 +121,8 @@ class WindowUserCounter:
         self.name = name
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        users = batch.where(F.col("user_id").isNotNull() & (F.col("_hits") > 0))
-        counts = users.groupBy("window", *self.by).agg(F.count(F.lit(1)).alias(self.name))
+        hit = F.col("user_id").isNotNull() & (F.col("_hits") > 0)
+        counts = batch.groupBy("window", *self.by).agg(F.count_if(hit).alias(self.name))
         counts.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
 
@@ -141,12 +146,24 @@ def stream_sessions(
     gap: str = f"{config.SESSION_GAP_SEC} seconds",
     watermark: str = config.METRIC_WATERMARK,
 ) -> DataFrame:
-    """STR-6 from raw events: per user, a session closes after ``gap`` of
-    inactivity (``session_window``)."""
-    return (
+    """STR-6 from raw events: per user, a session ends before an ``app_open``
+    or after ``gap`` of inactivity. ``session_window`` closes the user's
+    active stretches; the open stretch holds its events' times (and whether
+    each is an app_open), which cut it into sessions when it is emitted."""
+    event = F.struct(F.unix_micros("ts").alias("t"), F.col("event_id").cast("string").alias("e"),
+                     F.coalesce(is_type("app_open"), F.lit(False)).alias("opens"))
+    stretches = (
         events.where(F.col("user_id").isNotNull())
         .withWatermark("ts", watermark)
         .groupBy(F.session_window("ts", gap).alias("session"), "user_id")
-        .agg(F.count(F.lit(1)).alias("s_events"), F.min("ts").alias("s_start"),
-             F.max("ts").alias("s_end"))
+        .agg(F.collect_list(event).alias("ev"))
     )
+    cut = stretches.select("user_id", F.explode(F.array(F.sort_array("ev"))).alias("ev"))
+    cut = cut.select("user_id", "ev", F.expr(
+        "filter(sequence(0, size(ev) - 1), i -> i = 0 OR ev[i].opens)").alias("at"))
+    cut = cut.select("user_id", "ev", "at", F.posexplode("at").alias("k", "first"))
+    cut = cut.withColumn("next", F.coalesce(F.get("at", F.col("k") + 1), F.size("ev")))
+    return cut.select(
+        "user_id", (F.col("next") - F.col("first")).cast("bigint").alias("s_events"),
+        F.timestamp_micros(F.expr("ev[first].t")).alias("s_start"),
+        F.timestamp_micros(F.expr("ev[next - 1].t")).alias("s_end"))

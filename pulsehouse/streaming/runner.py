@@ -7,6 +7,7 @@ import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
@@ -51,49 +52,101 @@ def run_to_end(q: StreamingQuery, timeout_sec: float | None = None) -> Streaming
 
 
 def dropped_by_watermark(q: StreamingQuery) -> int:
-    """Q-10: rows the stateful operators discarded behind the watermark,
-    summed over the query's recent progress. For a window aggregate this
-    counts rows after partial aggregation; for a keyed-state operator it
-    counts input rows."""
-    total = 0
-    for p in q.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) \
-                else op.numRowsDroppedByWatermark
-            total += int(n or 0)
-    return total
+    """Q-10 of a short run: rows the stateful operators discarded behind the
+    watermark, over the query's recent progress. Spark keeps the last 100
+    progress entries only; ``LateRowsListener`` counts runs of any length.
+    For a window aggregate this counts rows after partial aggregation; for a
+    keyed-state operator it counts input rows."""
+    return sum(_dropped(p) for p in q.recentProgress)
+
+
+def _dropped(progress) -> int:
+    return sum(int(op.numRowsDroppedByWatermark or 0) for op in progress.stateOperators)
+
+
+def run_closed(
+    spark: SparkSession,
+    events: DataFrame,
+    run: str,
+    build: Callable[[DataFrame], DataFrame],
+    last: Callable[[], object],
+    start_kw: Callable[[], dict] | None = None,
+    ahead: str = "2 days",
+) -> None:
+    """Run ``build(events)`` to the end in append mode, then close what is
+    still open: a second run from the same checkpoint reads one tick - a row
+    with a time (and user -1, as filters on the user are pushed below the
+    watermark), ``ahead`` of ``last()``, the latest event time - which
+    moves the watermark past every window and session. The tick's own group
+    is never emitted. Only for bounded runs: after it, the checkpoint treats
+    further events as late."""
+    ticks = f"{run}/ticks"
+    none = spark.createDataFrame([], events.schema)
+    none.write.parquet(ticks)
+    for closing in (False, True):
+        if closing:
+            latest = last()
+            if latest is None:
+                return  # no event, nothing is open
+            row = spark.range(1).select(*[
+                (F.lit(latest).cast("timestamp") + F.expr(f"INTERVAL {ahead}") if f.name == "ts"
+                 else F.lit(-1 if f.name == "user_id" else None).cast(f.dataType)).alias(f.name)
+                for f in events.schema])
+            row.write.mode("append").parquet(ticks)
+        both = events.unionByName(spark.readStream.schema(events.schema).parquet(ticks))
+        run_to_end(start(build(both), f"{run}/checkpoint", **(
+            start_kw() if start_kw else {"sink_path": f"{run}/out"})))
 
 
 class LateRowsListener(StreamingQueryListener):
     """Q-10 as a live metric: for every micro-batch of every query, the
-    rows its stateful operators dropped behind the watermark. Rows are
-    buffered on the driver (one per query and batch) and written by
-    ``flush``."""
+    rows its stateful operators dropped behind the watermark. Totals per run
+    are kept however long it gets; the rows per batch are buffered on the
+    driver and written by ``flush`` (call it regularly)."""
 
     SCHEMA = "query string, batch_id bigint, event_time string, dropped_rows bigint"
 
     def __init__(self):
         self._rows: list[tuple] = []
-        self._lock = threading.Lock()
+        self._totals: dict[str, int] = {}
+        self._ended: set[str] = set()
+        self._changed = threading.Condition()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        dropped = sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators)
+        dropped = _dropped(p)
         if p.stateOperators:
-            with self._lock:
+            with self._changed:
+                run = str(p.runId)
+                self._totals[run] = self._totals.get(run, 0) + dropped
                 self._rows.append((p.name or str(p.id), int(p.batchId), p.timestamp, dropped))
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        with self._changed:
+            self._ended.add(str(event.runId))
+            self._changed.notify_all()
+
+    def wait_for(self, queries: list[StreamingQuery], timeout_sec: float = 60) -> None:
+        """Until the end of these (stopped) queries has been reported: events
+        come in order, so all their progress has been counted by then."""
+        runs = {str(q.runId) for q in queries}
+        with self._changed:
+            if not self._changed.wait_for(lambda: runs <= self._ended, timeout_sec):
+                raise TimeoutError("streaming progress events are still queued")
+
+    def total(self, q: StreamingQuery) -> int:
+        """Rows dropped in the run of ``q`` (after ``wait_for``)."""
+        with self._changed:
+            return self._totals.get(str(q.runId), 0)
 
     def flush(self, spark: SparkSession, path: str) -> int:
-        with self._lock:
+        with self._changed:
             rows, self._rows = self._rows, []
         if rows:
             spark.createDataFrame(rows, self.SCHEMA).write.mode("append").parquet(path)
