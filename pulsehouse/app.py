@@ -38,9 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsehouse import config
-from pulsehouse.plans.metrics import with_ratios
 from pulsehouse.session import build_session
-from pulsehouse.sinks.kv import to_kv_rows, upsert_kv_table
+from pulsehouse.sinks.kv import KVStream, latest_kv
 from pulsehouse.sinks.lake import export_csv, publish_view
 from pulsehouse.sources.dimensions import load_item_dim
 from pulsehouse.sources.events import (
@@ -62,18 +61,6 @@ ENRICHED_SCHEMA = (
 )
 
 
-class KVWriter:
-    """``foreachBatch``: windowed metric rows -> kv rows of this batch."""
-
-    def __init__(self, path: str, prefix: str = config.KV_PREFIX):
-        self.path = path
-        self.prefix = prefix
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        rows = with_ratios(batch).drop("n_events")
-        upsert_kv_table(to_kv_rows(rows, self.prefix), self.path, batch_id)
-
-
 def _mkdirs(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -114,8 +101,13 @@ def ingest_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
     base = args.out.rstrip("/")
     qs = []
     if args.input_format == "parquet" and args.source == "files":
-        good = (spark.readStream.schema(TYPED_SCHEMA)
-                .option("maxFilesPerTrigger", str(args.max_files)).parquet(args.input))
+        typed = (spark.readStream.schema(TYPED_SCHEMA)
+                 .option("maxFilesPerTrigger", str(args.max_files)).parquet(args.input))
+        ok = (F.col("event_id").isNotNull() & F.col("user_id").isNotNull()
+              & F.col("event_type").isNotNull() & F.col("ts").isNotNull())
+        good = typed.where(ok)
+        qs.append(_writer(typed.where(~ok).select(F.to_json(F.struct("*")).alias("_raw")), base,
+                          "ods_quarantine", trigger, f"{base}/ods/quarantine"))
     else:
         decoded = decode_events(raw_events(spark, args))
         good = typed_events(decoded)
@@ -143,7 +135,7 @@ def metric_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
     act5 = metrics.stream_activity(enriched, config.WINDOW_5M)
     act30 = metrics.stream_activity(enriched, config.WINDOW_30M)
     # Days cut at midnight in the session's zone (GMT+8 by default).
-    day0 = metrics.day_window_start(spark.conf.get("spark.sql.session.timeZone"))
+    day0 = _day0(spark)
     act_day = metrics.stream_activity(enriched, "1 day", by=(), start_time=day0)
     dau_day = metrics.stream_window_users(enriched, "1 day", start_time=day0)
     return [
@@ -154,8 +146,10 @@ def metric_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
         _writer(act30, base, "dws_activity_30m", trigger, f"{base}/dws/activity_30m"),
         # Update mode: a window's kv rows are refreshed every trigger while
         # it is open; the store keeps the newest batch's value per field.
-        _writer(act5, base, "kv_activity_5m", trigger, foreach_batch=KVWriter(f"{base}/kv"),
+        _writer(act5, base, "kv_activity_5m", trigger, foreach_batch=KVStream(f"{base}/kv"),
                 output_mode=args.kv_mode),
+        _writer(act30, base, "kv_activity_30m", trigger, output_mode=args.kv_mode,
+                foreach_batch=KVStream(f"{base}/kv_30m", f"{config.KV_PREFIX}_30m")),
         _writer(metrics.stream_window_users(enriched, only_type="enter_item"), base, "dws_uv_5m",
                 trigger, foreach_batch=metrics.WindowUserCounter(f"{base}/dws/uv_5m", name="uv")),
         # S-01..S-03: a session closes after 30 idle minutes (session_window).
@@ -170,17 +164,66 @@ def metric_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
 
 RESULT_LAYERS = ("dws/activity_5m", "dws/activity_30m", "dws/activity_daily", "dws/dau_daily",
                  "dws/uv_5m", "dws/new_users",
-                 "dws/sessions", "dws/late_rows", "dwd/cheat_a1", "dwd/cheat_a2", "kv")
+                 "dws/sessions", "dws/late_rows", "dwd/cheat_a1", "dwd/cheat_a2", "kv", "kv_30m")
+
+
+def open_windows(spark: SparkSession, base: str, layer: str) -> DataFrame | None:
+    """Rows of the windows and sessions of ``layer`` that the stream has not
+    closed yet, computed from the enriched events that came after the last
+    closed one (events of an open window are never late, so none is
+    missing). None for layers without windows."""
+    build = {
+        "dws/activity_5m": lambda e: metrics.stream_activity(e, config.WINDOW_5M),
+        "dws/activity_30m": lambda e: metrics.stream_activity(e, config.WINDOW_30M),
+        "dws/activity_daily": lambda e: metrics.stream_activity(
+            e, "1 day", by=(), start_time=_day0(spark)),
+        "dws/dau_daily": lambda e: _users(metrics.stream_window_users(
+            e, "1 day", start_time=_day0(spark)), "dau"),
+        "dws/uv_5m": lambda e: _users(metrics.stream_window_users(e, only_type="enter_item"), "uv"),
+        "dws/sessions": metrics.stream_sessions,
+    }.get(layer)
+    if build is None or not path_exists(spark, f"{base}/dwd/events"):
+        return None
+    events = spark.read.schema(ENRICHED_SCHEMA).parquet(f"{base}/dwd/events")
+    if layer == "dws/sessions":
+        rows, keys = build(events), ["user_id", "s_start"]
+    else:
+        rows, keys = build(events), ["window"] + [c for c in ("category",) if "activity_5m" in layer
+                                                  or "activity_30m" in layer]
+    if not path_exists(spark, f"{base}/{layer}"):
+        return rows
+    closed = spark.read.parquet(f"{base}/{layer}")
+    if layer != "dws/sessions":
+        last = closed.agg(F.max("window.end")).first()[0]
+        return rows if last is None else rows.where(F.col("window.start") >= F.lit(last))
+    return rows.join(closed.select(*keys).distinct(), keys, "left_anti")
+
+
+def _day0(spark: SparkSession) -> str:
+    return metrics.day_window_start(spark.conf.get("spark.sql.session.timeZone"))
+
+
+def _users(per_user: DataFrame, name: str) -> DataFrame:
+    hit = F.col("user_id").isNotNull() & (F.col("_hits") > 0)
+    return per_user.groupBy("window").agg(F.count_if(hit).alias(name))
 
 
 def export_results(spark: SparkSession, base: str) -> list[str]:
-    """SNK-5: every result layer as header CSV under BASE/export."""
+    """SNK-5: every result layer as header CSV under BASE/export, open
+    windows and sessions included; of the serving rows the current value of
+    each key and field."""
     done = []
     for layer in RESULT_LAYERS:
         src = f"{base}/{layer}"
         if not path_exists(spark, src):
             continue
-        df = spark.read.parquet(src)
+        if layer.startswith("kv"):
+            df = latest_kv(spark, src)
+        else:
+            df = spark.read.parquet(src)
+            tail = open_windows(spark, base, layer)
+            if tail is not None:
+                df = df.unionByName(tail, allowMissingColumns=True)
         for w in ("window", "session"):
             if w in df.columns:
                 df = df.select(F.col(f"{w}.start").alias(f"{w}_start"),
@@ -221,10 +264,12 @@ def run(spark: SparkSession, args) -> None:
 def _run(spark: SparkSession, args, base: str, late: LateRowsListener) -> None:
     if args.once:
         for stage in (ingest_queries, metric_queries):
-            for q in stage(spark, args, {"availableNow": True}):
+            qs = stage(spark, args, {"availableNow": True})
+            for q in qs:
                 q.awaitTermination()
                 if q.exception():
                     raise RuntimeError(str(q.exception()))
+            late.wait_for(qs)
         if args.test:
             late.flush(spark, f"{base}/dws/late_rows")
             export_results(spark, base)
@@ -243,6 +288,7 @@ def _run(spark: SparkSession, args, base: str, late: LateRowsListener) -> None:
     failed = [q for q in qs if q.exception()]
     if failed:
         raise RuntimeError(str(failed[0].exception()))
+    late.wait_for(qs)
     if args.test:
         late.flush(spark, f"{base}/dws/late_rows")
         export_results(spark, base)

@@ -72,12 +72,16 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
     The folder comes from ``spark.checkpoint.dir``. Only when it is unset
     (tests, a laptop) is a private folder created and recorded, so every
-    later call in the session agrees on it.
+    later call in the session agrees on it - and only with a local master:
+    executors on other machines would not share it.
     """
     base = spark.conf.get(CHECKPOINT_CONF, None)
     if not base:
         base = _LOCAL_DIRS.get(id(spark.sparkContext))
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="pulsehouse-ckpt-")
         _LOCAL_DIRS[id(spark.sparkContext)] = base
         spark.sparkContext.setCheckpointDir(base)

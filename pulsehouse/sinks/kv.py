@@ -17,6 +17,7 @@ collected to the driver.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from itertools import groupby
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,14 +61,16 @@ def to_kv_rows(
 def write_kv_partitions(
     kv_rows: DataFrame,
     client_factory: Callable[[], object],
-    put: Callable[[object, str, str, str, int], None],
+    put: Callable[[object, str, dict[str, str], int], None],
 ) -> dict[str, int]:
     """Push kv rows to an external store from the executors.
 
     ``client_factory()`` opens a connection on the executor;
-    ``put(client, key, field, value, ttl)`` writes one field. A store that
-    is down fails its rows, which are counted (SNK-6: degrade, but never
-    silently); the batch itself is not retried here.
+    ``put(client, key, fields, ttl)`` writes all fields of one key in one
+    call (rows are brought together by key first). A store that is down
+    fails its rows, which are counted (SNK-6: degrade, but never silently);
+    the batch itself is not retried here. Writes are idempotent; after a
+    retried task the counts may exceed the rows.
     """
     from pulsehouse.session import ship_package
 
@@ -83,36 +86,60 @@ def write_kv_partitions(
             n = sum(1 for _ in rows)
             failed.add(n)
             return
-        for r in rows:
+        for key, group in groupby(rows, key=lambda r: r["key"]):
+            same = list(group)  # one key's fields: as many as the metric columns
             try:
-                put(client, r["key"], r["field"], r["value"], r["ttl_sec"])
-                written.add(1)
+                put(client, key, {r["field"]: r["value"] for r in same}, same[0]["ttl_sec"])
+                written.add(len(same))
             except Exception:
-                failed.add(1)
+                failed.add(len(same))
         close = getattr(client, "close", None)
         if callable(close):
             close()
 
-    kv_rows.foreachPartition(_push)
+    kv_rows.repartition("key").sortWithinPartitions("key").foreachPartition(_push)
     return {"written": written.value, "failed": failed.value}
 
 
 def upsert_kv_table(kv_rows: DataFrame, path: str, batch_id: int) -> None:
     """File-backed store for the kv rows of one micro-batch: the batch is
-    written under ``batch_id=<id>`` (a replay overwrites the same folder),
-    and ``latest_kv`` reads the newest value of each (key, field)."""
+    written under ``batch_id=<id>`` (a replay overwrites the same folder)
+    with the time at which each row expires, and ``latest_kv`` reads the
+    newest value of each (key, field)."""
+    expire = F.current_timestamp() + F.make_dt_interval(secs=F.col("ttl_sec").cast("decimal(18,6)"))
     (
         kv_rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .withColumn("expire_at", expire)
         .write.mode("overwrite")
         .parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
     )
 
 
-def latest_kv(spark, path: str) -> DataFrame:
+def latest_kv(spark, path: str, at=None) -> DataFrame:
     """Current value of every (key, field) in a table written by
-    ``upsert_kv_table``: the value from the highest batch_id."""
+    ``upsert_kv_table``: the value from the highest batch_id, unless it has
+    expired by ``at`` (a timestamp; now by default)."""
     t = spark.read.parquet(path)
-    newest = F.max_by(F.struct("value", "ttl_sec"), "batch_id")
-    return t.groupBy("key", "field").agg(newest.alias("v")).select(
+    now = F.current_timestamp() if at is None else F.lit(at)
+    newest = F.max_by(F.struct("value", "ttl_sec", "expire_at"), "batch_id")
+    return t.groupBy("key", "field").agg(newest.alias("v")).where(F.col("v.expire_at") > now).select(
         "key", "field", "v.value", "v.ttl_sec"
     )
+
+
+class KVStream:
+    """``foreachBatch`` sink (SNK-1): windowed metric rows of a stream, with
+    their ratios where ``ratios`` is set, into the file-backed store under
+    ``path``, keyed by ``prefix``. In update mode open windows are refreshed
+    every trigger, in append mode written once closed."""
+
+    def __init__(self, path: str, prefix: str = config.KV_PREFIX, ratios: bool = True):
+        self.path = path
+        self.prefix = prefix
+        self.ratios = ratios
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        from pulsehouse.plans.metrics import with_ratios
+
+        rows = with_ratios(batch).drop("n_events") if self.ratios else batch
+        upsert_kv_table(to_kv_rows(rows, self.prefix), self.path, batch_id)

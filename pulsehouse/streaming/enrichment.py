@@ -6,8 +6,11 @@ Here the enrichment runs in ``foreachBatch``: every micro-batch loads the
 dimension anew and appends the enriched rows to a layer table
 (``batch_id=<n>`` folders). Stateful metrics then stream from that layer.
 
-A replayed batch whose folder is already committed is skipped, so the
-layer stays exactly-once under at-least-once delivery.
+A batch is written to a staging folder, which a file source does not list
+(its name starts with an underscore), and renamed into place when it is
+complete; a replayed batch whose folder is there is skipped. So the layer
+stays exactly-once under at-least-once delivery, and readers never see half a
+batch.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsehouse import config
+from pulsehouse.functions import behaviour_tags
 from pulsehouse.operators.enrich import enrich
 
 
@@ -28,6 +32,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    jvm = spark.sparkContext._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = b.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 class EnrichWithReload:
     """``foreachBatch`` function: enrich with a freshly loaded dimension
     and append to ``out_path``."""
@@ -45,7 +58,11 @@ class EnrichWithReload:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         target = f"{self.out_path}/batch_id={batch_id}"
-        if path_exists(spark, f"{target}/_SUCCESS"):
+        if path_exists(spark, target):
             return  # replay of a committed batch
         enriched = enrich(batch, self.load_dim(), broadcast_max_rows=self.broadcast_max_rows)
-        enriched.write.mode("overwrite").parquet(target)
+        staged = f"{self.out_path}/_staging/batch_id={batch_id}"
+        if "duration_sec" in enriched.columns:  # what the tags are about
+            enriched = enriched.select("*", *behaviour_tags())
+        enriched.write.mode("overwrite").parquet(staged)
+        _rename(spark, staged, target)

@@ -29,12 +29,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from pulsehouse import config
 from pulsehouse.functions import is_type
 from pulsehouse.operators.enrich import bounded_broadcast
 from pulsehouse.plans.metrics import distinct_app_open_users
+from pulsehouse.streaming.enrichment import path_exists
 
 # Hash partitions of the seen-users table.
 SEEN_BUCKETS = 64
@@ -43,10 +43,7 @@ RESULT_SCHEMA = "batch_id bigint, processed_at timestamp, category string, u_04_
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def first_app_opens(events: DataFrame) -> DataFrame:

@@ -65,7 +65,7 @@ def test_app_once_end_to_end(spark):
     # The wire format carries milliseconds, so compare starts at that grain.
     got = spark.read.parquet(f"{wh}/dws/sessions").select(
         "user_id", F.unix_millis("s_start").alias("t0"), "s_events")
-    want = sessions.derived_sessions(sessions.sessionize(com)).select(
+    want = sessions.derived_sessions(com).select(
         "user_id", F.unix_millis("s_start").alias("t0"), "s_events")
     assert got.count() > 0 and got.subtract(want).count() == 0
     assert os.path.isdir(f"{wh}/export/dws_sessions")

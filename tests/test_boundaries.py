@@ -200,8 +200,8 @@ def test_enrich_without_broadcast_same_result(spark):
 @pytest.mark.parametrize("idle,n", [(1799, 1), (1800, 1), (1801, 2)])
 def test_session_gap(spark, idle, n):
     ev = events(spark, [(1, 1, None, "app_open", 0), (2, 1, None, "dm", idle * 1000)])
-    s = sessions.derived_sessions(sessions.sessionize(ev))
-    assert s.count() == n
+    assert sessions.derived_sessions(ev).count() == n
+    assert sessions.sessionize(ev).select("session_seq").distinct().count() == n
     sw = ev.groupBy(F.session_window("ts", "1800 seconds"), "user_id").count()
     assert sw.count() == n
 
@@ -221,7 +221,8 @@ def test_sessionize_small_buckets_equal_lag_form(spark):
     assert sorted(tiny.collect()) == sorted(got.collect())
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     prev = F.lag("ts").over(w)
-    start = F.when(prev.isNull() | (F.unix_micros("ts") - F.unix_micros(prev) > 1800 * 10**6), 1)
+    start = F.when(prev.isNull() | (F.col("event_type") == "app_open")
+                   | (F.unix_micros("ts") - F.unix_micros(prev) > 1800 * 10**6), 1)
     ref = squeezed.withColumn("st", F.coalesce(start, F.lit(0))).withColumn(
         "session_seq", F.sum("st").over(w.rowsBetween(Window.unboundedPreceding, 0))
     ).select("event_id", "session_seq")
@@ -229,6 +230,33 @@ def test_sessionize_small_buckets_equal_lag_form(spark):
     assert got.select("session_seq").distinct().count() > 3
 
 
+def test_session_starts_on_app_open(spark):
+    ev = events(spark, [(1, 1, None, "dm", 0), (2, 1, None, "app_open", 120_000),
+                        (3, 1, None, "dm", 130_000), (4, 1, None, "app_open", 240_000)])
+    rows = sorted(sessions.derived_sessions(ev).select("session_seq", "s_events").collect())
+    assert [tuple(r) for r in rows] == [(1, 1), (2, 2), (3, 1)]
+    assert [r.session_seq for r in sessions.sessionize(ev).orderBy("event_id").collect()] == [1, 2, 2, 3]
+
+
+def test_session_over_midnight_counts_on_both_days(spark):
+    from pulsehouse.plans.metrics import session_metrics, session_rollup
+
+    day = 43_200_000  # BASE is noon
+    ev = events(spark, [(1, 1, None, "app_open", day - 60_000), (2, 1, None, "dm", day + 60_000),
+                        (3, 2, None, "app_open", day + 3_600_000)])
+    ev = ev.withColumn("session_id", F.concat(F.lit("s"), F.col("user_id").cast("string")))
+    for m in (session_metrics(ev), session_rollup(sessions.derived_sessions(ev))):
+        got = {r.day[-2:]: (r.sessions, r.avg_session_sec, r.avg_events_per_session)
+               for r in m.collect()}
+        assert sorted(got.values()) == [(1, 120.0, 2.0), (2, 0.0, 1.0)]
+
+
+def test_cheat_record_keeps_repeated_events(spark):
+    rows = [(i, 1, i % 4, "like", i * 100) for i in range(16)]
+    ev = events(spark, rows + rows)
+    assert cheat.cheat_flags(ev).count() == 32
+
+
 # -- serving rows ---------------------------------------------------------------------
 
 def test_kv_key_and_null_value(spark):

@@ -32,7 +32,11 @@ def test_flagship_plan(spark):
     ("cheat_a1", 2),        # dense-view aggregate + one window shuffle
     ("cheat_a2", 2),        # both A2 windows share one shuffle
     ("pv_uv_5m", 2),        # two-level distinct users, no Expand
-    ("sessions_daily", 2),
+    ("sessions_daily", 3),  # (session, day) sums, the window over a session's days, days
+    ("sessionize_gap", 3),  # (user, bucket), user, day; no join of the events
+    ("cheat_a1_ids", 6),    # the detection once, then four over its small result
+    ("cheat_a2_users", 4),
+    ("cheat_events", 3),    # dense view, A1 key, A2 key
 ])
 def test_shuffle_counts(spark, name, max_exchanges):
     s, text = plan(spark, name)
@@ -40,6 +44,26 @@ def test_shuffle_counts(spark, name, max_exchanges):
     assert "Expand" not in text
 
 
+@pytest.mark.parametrize("name", ["sessionize_gap", "cheat_a1_ids", "cheat_a2_users",
+                                  "cheat_events", "sessions_daily"])
+def test_one_scan(spark, name):
+    s, _ = plan(spark, name)
+    assert len(s["scans"]) == 1 and s["joins"] == []
+
+
+def test_dimension_probe_stays_in_tasks(spark):
+    """The size check of a broadcast is an aggregate: no limit gathers rows."""
+    import inspect
+
+    from pyspark.sql import functions as F
+
+    from pulsehouse.operators import enrich
+
+    dim = spark.range(10).select(F.col("id"), F.col("id").cast("string").alias("s"))
+    assert enrich.bounded_broadcast(dim, 10)[1] and not enrich.bounded_broadcast(dim, 9)[1]
+    assert ".limit(" not in inspect.getsource(enrich.bounded_broadcast)
+
+
 def test_no_python_in_batch_plans(spark):
     for name in QUERIES:
         s, _ = plan(spark, name)

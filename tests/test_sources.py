@@ -1,5 +1,6 @@
 """Sources: JSON decode with quarantine, '|' dimensions, sinks."""
 
+import datetime
 import os
 
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pulsehouse.session import new_run_dir
 from pulsehouse.sinks.kv import latest_kv, to_kv_rows, upsert_kv_table, write_kv_partitions
 from pulsehouse.sinks.lake import archive_batch, export_csv
 from pulsehouse.sources.dimensions import load_item_dim, load_user_dim, user_interest_rows
-from pulsehouse.sources.events import decode_events, quarantine, typed_events
+from pulsehouse.sources.events import decode_events, encode_events, quarantine, typed_events
 
 
 def _raw(spark, lines):
@@ -42,10 +43,27 @@ def test_decode_time_variants(spark):
         "c": "2024-01-01 08:00:00",
         "d": "2024-01-01T08:00:00.000000",
         "e": "2024-01-01 08:00:00.000+08:00",
+        "f": "2024-01-01T08:00:00.000+0800",
+        "g": "2024-01-01T00:00:00.000000000Z",
+        "h": "2023-12-31 19:00:00-0500",
     }
-    dec = decode_events(_raw(spark, [base % (k, v) for k, v in forms.items()]))
-    got = {r.event_id: r.ts.timestamp() for r in typed_events(dec).collect()}
-    assert set(got) == set(forms) and len(set(got.values())) == 1
+    bad = {"x": "2024-01-01", "y": "2024-13-01T00:00:00", "z": "2024-01-01T08:00:00 Mars"}
+    raw = _raw(spark, [base % (k, v) for k, v in {**forms, **bad}.items()])
+    want = 1704067200000
+    for zone in ("UTC", "Asia/Shanghai", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            dec = decode_events(raw)
+            got = typed_events(dec).select("event_id", F.unix_millis("ts").alias("t")).collect()
+            assert {r.event_id: r.t for r in got} == dict.fromkeys(forms, want)
+            assert quarantine(dec).count() == len(bad)
+            again = decode_events(encode_events(typed_events(dec)))
+            assert {r.t for r in typed_events(again).select(
+                F.unix_millis("ts").alias("t")).collect()} == {want}
+            text = encode_events(typed_events(dec)).first().value
+            assert '"ts":"2024-01-01T08:00:00.000+08:00"' in text
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_item_and_user_dimensions(spark, tmp_path):
@@ -71,13 +89,13 @@ def test_kv_store_writers(spark):
         def close(self):
             pass
 
-    res = write_kv_partitions(kv, Client, lambda c, k, f, v, t: None)
+    res = write_kv_partitions(kv, Client, lambda c, k, fields, t: None)
     assert res == {"written": 2, "failed": 0}
 
     def down():
         raise ConnectionError("store away")
 
-    res = write_kv_partitions(kv, down, lambda c, k, f, v, t: None)
+    res = write_kv_partitions(kv, down, lambda c, k, fields, t: None)
     assert res == {"written": 0, "failed": 2}
 
     run = new_run_dir(spark, "test_kv")
@@ -85,6 +103,12 @@ def test_kv_store_writers(spark):
     upsert_kv_table(kv.withColumn("value", F.lit("9")), run, 1)
     vals = {r.field: r.value for r in latest_kv(spark, run).collect()}
     assert vals == {"pv": "9", "r": "9"}
+    # one put per key, with all its fields
+    sizes = write_kv_partitions(kv, Client, lambda c, k, fields, t: 1 / (len(fields) == 2))
+    assert sizes == {"written": 2, "failed": 0}
+    # expired rows are not served
+    later = datetime.datetime.now() + datetime.timedelta(days=2)
+    assert latest_kv(spark, run, at=later).count() == 0
 
 
 def test_archive_and_export(spark):
