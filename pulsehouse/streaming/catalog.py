@@ -105,7 +105,7 @@ def stream_dau_5m_exact(spark, sf):
 def _run_in_arrivals(spark: SparkSession, table: DataFrame, order_col: str, run: str,
                      build, min_parts: int = 4, rows_per_batch: int = 5_000_000) -> None:
     """Feed ``table`` to one streaming run as time-ordered micro-batches of
-    at most ``rows_per_batch`` rows (and at least ``min_parts`` of them), so
+    about ``rows_per_batch`` rows at most (and at least ``min_parts`` of them), so
     keyed state carries across batches and no batch grows with the table.
     Each part is appended as exactly one file per core of the cluster,
     after the previous part was committed; the file source takes files in
@@ -116,15 +116,18 @@ def _run_in_arrivals(spark: SparkSession, table: DataFrame, order_col: str, run:
     whole = f"{run}/derived"
     table.write.mode("overwrite").parquet(whole)
     stored = spark.read.parquet(whole)
-    stats = stored.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).first()
-    lo, hi, total = stats[0], stats[1], stats[2]
-    n = max(min_parts, -(-total // rows_per_batch))
+    n = max(min_parts, -(-stored.count() // rows_per_batch))
+    # Parts of about equal rows, whatever the distribution of the order.
+    share = F.percentile_approx(order_col, [i / n for i in range(1, n)], 10_000)
+    cuts = sorted(set(stored.agg(share).first()[0] or []))
     files_per_part = max(1, spark.sparkContext.defaultParallelism)
-    step = (hi - lo) // n + 1
     src = f"{run}/source"
-    for i in range(n):
-        part = stored.where((F.col(order_col) >= lo + i * step) &
-                            (F.col(order_col) < lo + (i + 1) * step))
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        part = stored
+        if lo is not None:
+            part = part.where(F.col(order_col) > lo)
+        if hi is not None:
+            part = part.where(F.col(order_col) <= hi)
         part.repartition(files_per_part).write.mode("append").parquet(src)
     s = (spark.readStream.schema(stored.schema)
          .option("maxFilesPerTrigger", str(files_per_part)).parquet(src))

@@ -1,8 +1,8 @@
 """Streaming detectors with keyed state (CEP-1, CEP-2, STR-1, STR-5).
 
 ``applyInPandasWithState`` with an event-time timeout. The rule's key
-(user+item for A1, user for A2) is hashed into a fixed number of key
-groups; a group's state holds only the look-back of its keys (60 s of
+(user+item for A1, user for A2) is hashed into key groups, a few per
+shuffle partition; a group's state holds only the look-back of its keys (60 s of
 comments for A1, 5 s of likes for A2), values older than the watermark
 minus the look-back are dropped, and an idle group is evicted 30 minutes
 of event time after its latest event. Within a micro-batch a key's rows are
@@ -20,6 +20,7 @@ from __future__ import annotations
 import bisect
 from collections import Counter, deque
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -37,10 +38,14 @@ _TIMEOUT_MS = 30 * 60 * 1000
 A1_STATE = "users array<bigint>, items array<bigint>, t_ms array<bigint>, texts array<string>"
 A2_STATE = "users array<bigint>, t_ms array<bigint>, items array<bigint>"
 
-# Default number of key groups: the state is keyed by a hash of the rule's
-# key into this many groups, so a micro-batch makes at most this many
-# pandas round trips, however many users are active.
-KEY_GROUPS = 256
+# Key groups per shuffle partition: the state is keyed by a hash of the rule's
+# key into groups, so a micro-batch makes a bounded number of pandas round
+# trips however many users are active, and more partitions mean more groups.
+GROUPS_PER_PARTITION = 8
+
+
+def key_groups_for(spark) -> int:
+    return GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _evict_after(state: GroupState, latest_t: int) -> None:
@@ -135,165 +140,190 @@ def _shift(a: np.ndarray, k: int, fill) -> np.ndarray:
     return out
 
 
-def _a1_in_order(pdf: pd.DataFrame, held: dict, min_comments: int, max_gap_ms: int,
-                 window_ms: int, dup_text: int):
-    """A1 for a micro-batch whose rows all come at or after each key's held
-    comments (the usual case), vectorised.
+class A1Held(NamedTuple):
+    """Held comments of a key group, per (user, item) in time order."""
+
+    users: np.ndarray
+    items: np.ndarray
+    t: np.ndarray
+    texts: np.ndarray
+
+    @staticmethod
+    def of(users=(), items=(), t=(), texts=()) -> A1Held:
+        text = np.empty(len(texts), object)
+        text[:] = list(texts)
+        return A1Held(np.array(users, np.int64), np.array(items, np.int64),
+                      np.array(t, np.int64), text)
+
+
+class A2Held(NamedTuple):
+    """Held likes of a key group, per user in time order."""
+
+    users: np.ndarray
+    t: np.ndarray
+    items: np.ndarray
+
+    @staticmethod
+    def of(users=(), t=(), items=()) -> A2Held:
+        return A2Held(*(np.array(x, np.int64) for x in (users, t, items)))
+
+
+def _group_ids(*keys: np.ndarray) -> np.ndarray:
+    """Dense number of each row's key."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[order][1:] != k[order][:-1]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out
+
+
+def _late_rows(gid: np.ndarray, m: int, held_t: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Rows (m held, then new) whose key gets a row older than what it holds;
+    only these keys need the state machine row by row."""
+    n_groups = int(gid.max()) + 1 if len(gid) else 0
+    last = np.full(n_groups, np.iinfo(np.int64).min)
+    first = np.full(n_groups, np.iinfo(np.int64).max)
+    np.maximum.at(last, gid[:m], held_t)
+    np.minimum.at(first, gid[m:], t)
+    return (first < last)[gid]
 
-    In that order the state machine equals the batch rule on held rows +
-    new rows: a comment is flagged when it and the N-1 rows before it in
-    its key are comments with gaps <= G, spanning <= W. Returns (flags in
-    ``pdf`` row order, new held map), or None when some key's rows arrive
-    before its held comments (then the literal state machine runs).
+
+def a1_batch(pdf: pd.DataFrame, held: A1Held, min_comments: int, max_gap_ms: int,
+             window_ms: int, dup_text: int) -> tuple[np.ndarray, A1Held]:
+    """A1 for one key group's rows of a micro-batch in (time, event_id) order:
+    (flag per row, what is held after it).
+
+    Where a key's rows come at or after its held comments the state machine
+    equals the batch rule on held rows + new rows - a comment is flagged when
+    it and the N-1 rows before it in its key are comments with gaps <= G,
+    spanning <= W - and all such keys are done at once. Keys with an older
+    row go through the state machine, alone.
     """
-    n = len(pdf)
-    u = pdf["user_id"].to_numpy(np.int64)
-    it = pdf["item_id"].to_numpy(np.int64)
-    t = pdf["t_ms"].to_numpy(np.int64)
-    if held:
-        first_t = pdf.groupby(["user_id", "item_id"], sort=False)["t_ms"].min()
-        for k, h in held.items():
-            ft = first_t.get(k)
-            if ft is not None and ft < h.items[-1][0]:
-                return None
-    ph = [(ku, ki, ht, hx) for (ku, ki), h in held.items() for ht, hx in h.items]
-    m = len(ph)
-    U = np.concatenate([np.fromiter((r[0] for r in ph), np.int64, m), u])
-    I = np.concatenate([np.fromiter((r[1] for r in ph), np.int64, m), it])
-    T = np.concatenate([np.fromiter((r[2] for r in ph), np.int64, m), t])
+    m, n = len(held.t), len(pdf)
+    U = np.concatenate([held.users, pdf["user_id"].to_numpy(np.int64)])
+    I = np.concatenate([held.items, pdf["item_id"].to_numpy(np.int64)])
+    T = np.concatenate([held.t, pdf["t_ms"].to_numpy(np.int64)])
     C = np.concatenate([np.ones(m, bool), (pdf["event_type"] == "comment").to_numpy()])
-    X = np.array([r[3] for r in ph] + [x if isinstance(x, str) else "" for x in pdf["comment_text"]],
-                 dtype=object)
-    ROW = np.concatenate([np.full(m, -1, np.int64), np.arange(n, dtype=np.int64)])
-    POS = np.concatenate([np.arange(-m, 0, dtype=np.int64), np.arange(n, dtype=np.int64)])
-    order = np.lexsort((POS, I, U))
-    U, I, T, C, X, ROW = U[order], I[order], T[order], C[order], X[order], ROW[order]
+    X = np.concatenate([held.texts, pdf["comment_text"].to_numpy(object)])
+    gid = _group_ids(U, I)
+    late = _late_rows(gid, m, held.t, T[m:])
+    flags = np.zeros(n, bool)
+    at = np.flatnonzero(~late)
+    at = at[np.argsort(gid[at], kind="stable")]  # per key: held, then new, in order
+    g, t, c = gid[at], T[at], C[at]
     N = min_comments
-    flag = C.copy()
+    flag = c.copy()
     for k in range(1, N):
-        same = (_shift(U, k, -1) == U) & (_shift(I, k, -1) == I) & (np.arange(len(U)) >= k)
-        flag &= same & _shift(C, k, False)
-    gaps = T - _shift(T, 1, 0)
+        flag &= (_shift(g, k, -1) == g) & _shift(c, k, False)
+    gaps = t - _shift(t, 1, 0)
     for k in range(0, N - 1):
         flag &= _shift(gaps, k, 0) <= max_gap_ms
-    flag &= (T - _shift(T, N - 1, 0)) <= window_ms
-    flags = np.zeros(n, bool)
-    batch = ROW >= 0
-    flags[ROW[batch]] = flag[batch]
-    # New held comments: per key, the comments after its last other event,
-    # no older than W before the key's last comment.
-    new_held: dict = {}
-    bounds = np.flatnonzero((U[1:] != U[:-1]) | (I[1:] != I[:-1])) + 1
-    starts = np.concatenate([[0], bounds])
-    ends = np.concatenate([bounds, [len(U)]])
-    for s0, e0 in zip(starts, ends):
-        if not C[e0 - 1]:
-            continue
-        others = np.flatnonzero(~C[s0:e0])
-        r0 = s0 + (others[-1] + 1 if len(others) else 0)
-        keep = np.arange(r0, e0)[T[r0:e0] >= T[e0 - 1] - window_ms]
-        new_held[(int(U[s0]), int(I[s0]))] = _Held(zip(T[keep].tolist(), X[keep].tolist()))
-    return flags, new_held
-
-
-def _a2_in_order(pdf: pd.DataFrame, held: dict, window_ms: int, min_items: int):
-    """A2 for a micro-batch of likes that all come at or after each user's
-    held likes, vectorised with the boundary running sum of
-    ``operators.cheat.detect_a2``. Returns (flag per ``pdf`` row, new held
-    map) or None when a user's likes arrive before its held ones."""
-    W = window_ms
-    n = len(pdf)
-    if held:
-        first_t = pdf.groupby("user_id", sort=False)["t_ms"].min()
-        for k, h in held.items():
-            ft = first_t.get(k)
-            if ft is not None and ft < h.items[-1][0]:
-                return None
-    ph = [(ku, ht, hi) for ku, h in held.items() for ht, hi in h.items]
-    m = len(ph)
-    U = np.concatenate([np.fromiter((r[0] for r in ph), np.int64, m),
-                        pdf["user_id"].to_numpy(np.int64)])
-    T = np.concatenate([np.fromiter((r[1] for r in ph), np.int64, m),
-                        pdf["t_ms"].to_numpy(np.int64)])
-    IT = np.concatenate([np.fromiter((r[2] for r in ph), np.int64, m),
-                         pdf["item_id"].to_numpy(np.int64)])
-    ROW = np.concatenate([np.full(m, -1, np.int64), np.arange(n, dtype=np.int64)])
-    POS = np.concatenate([np.arange(-m, 0, dtype=np.int64), np.arange(n, dtype=np.int64)])
-    order = np.lexsort((POS, U))
-    U, T, IT, ROW, POS = U[order], T[order], IT[order], ROW[order], POS[order]
-    # Previous like of the same (user, item), in processing order.
-    by_item = np.lexsort((POS, IT, U))
-    prev_sorted = _shift(T[by_item], 1, -1)
-    same = (_shift(U[by_item], 1, -1) == U[by_item]) & (_shift(IT[by_item], 1, -1) == IT[by_item])
-    same[0] = False
-    prev = np.empty_like(T)
-    prev[by_item] = np.where(same, prev_sorted, np.iinfo(np.int64).min // 2)
-    delayed = prev + W + 1 > T
-    start = np.where(delayed, prev + W + 1, T)
-    contrib = start <= T + W
-    q = ROW >= 0
-    # Points: (user, time, band, pos, kind, delta).
-    pu = np.concatenate([U[q], U[contrib], U[contrib]])
-    pt = np.concatenate([T[q], start[contrib], T[contrib] + W])
-    pb = np.concatenate([np.ones(q.sum(), np.int64), np.where(delayed[contrib], 0, 1),
-                         np.full(contrib.sum(), 2, np.int64)])
-    pp = np.concatenate([POS[q], POS[contrib], POS[contrib]])
-    pk = np.concatenate([np.ones(q.sum(), np.int64), np.zeros(2 * contrib.sum(), np.int64)])
-    pd_ = np.concatenate([np.zeros(q.sum(), np.int64), np.ones(contrib.sum(), np.int64),
-                          -np.ones(contrib.sum(), np.int64)])
-    prow = np.concatenate([ROW[q], np.full(2 * contrib.sum(), -1, np.int64)])
-    o = np.lexsort((pk, pp, pb, pt, pu))
-    pu, pd_, prow, pk = pu[o], pd_[o], prow[o], pk[o]
-    run = np.cumsum(pd_)
-    first = np.concatenate([[True], pu[1:] != pu[:-1]])
-    base = np.maximum.accumulate(np.where(first, np.arange(len(pu)), 0))
-    before = np.where(base > 0, run[base - 1], 0)
-    count = run - before
+    flag &= (t - _shift(t, N - 1, 0)) <= window_ms
+    is_new = at >= m
+    flags[at[is_new] - m] = flag[is_new]
+    # Held on: a key's comments after its last other event, no older than W
+    # before its last row.
+    i = np.arange(len(at))
+    end = np.flatnonzero(np.append(g[1:] != g[:-1], True)) if len(at) else i
+    mine = np.searchsorted(end, i)
+    other = np.maximum.accumulate(np.where(c, -1, i)) if len(at) else i
+    stay = c & (i > other[end][mine]) & (t >= t[end][mine] - window_ms)
+    rows = [(U[at[stay]], I[at[stay]], T[at[stay]], X[at[stay]])]
+    if late.any():
+        old: dict[tuple, list] = {}
+        for j in np.flatnonzero(late[:m]):
+            old.setdefault((int(U[j]), int(I[j])), []).append((int(T[j]), X[j]))
+        new = np.flatnonzero(late[m:])
+        f, after = _a1_loop(pdf.iloc[new], {k: _Held(v) for k, v in old.items()},
+                            dict(min_comments=min_comments, max_gap_ms=max_gap_ms,
+                                 window_ms=window_ms, dup_text=dup_text))
+        flags[new] = f
+        flat = [(u, it, ht, hx) for (u, it), h in after.items() for ht, hx in h.items]
+        rows.append(A1Held.of(*zip(*flat, strict=True)) if flat else A1Held.of())
+    texts = np.concatenate([r[3] for r in rows])
+    texts[np.array([not isinstance(x, str) for x in texts], bool)] = ""
+    return flags, A1Held(*(np.concatenate([r[k] for r in rows]) for k in range(3)), texts)
+
+
+def a2_batch(pdf: pd.DataFrame, held: A2Held, window_ms: int, min_items: int
+             ) -> tuple[np.ndarray, A2Held]:
+    """A2 for one key group's likes of a micro-batch in (time, event_id)
+    order: (flag per row, what is held after it). Users whose likes come at
+    or after their held ones are done at once with the boundary running sum
+    of ``operators.cheat.flag_a2``; the others alone, row by row."""
+    W, m, n = window_ms, len(held.t), len(pdf)
+    U = np.concatenate([held.users, pdf["user_id"].to_numpy(np.int64)])
+    T = np.concatenate([held.t, pdf["t_ms"].to_numpy(np.int64)])
+    IT = np.concatenate([held.items, pdf["item_id"].to_numpy(np.int64)])
+    gid = _group_ids(U)
+    late = _late_rows(gid, m, held.t, T[m:])
     keep = np.zeros(n, bool)
-    qi = pk == 1
-    keep[prow[qi]] = count[qi] >= min_items
-    new_held: dict = {}
-    bounds = np.flatnonzero(U[1:] != U[:-1]) + 1
-    for s0, e0 in zip(np.concatenate([[0], bounds]), np.concatenate([bounds, [len(U)]])):
-        sel = np.arange(s0, e0)[T[s0:e0] >= T[e0 - 1] - W]
-        new_held[int(U[s0])] = _Held(zip(T[sel].tolist(), IT[sel].tolist()))
-    return keep, new_held
-
-
-def _drop_stale(held: dict, watermark_ms: int, look_back_ms: int) -> None:
+    at = np.flatnonzero(~late)
+    at = at[np.argsort(gid[at], kind="stable")]
+    g, t, item, pos = gid[at], T[at], IT[at], np.arange(len(at))
+    # Previous like of the same (user, item), in processing order.
+    by_item = np.lexsort((pos, item, g))
+    same = (_shift(g[by_item], 1, -1) == g[by_item]) & (_shift(item[by_item], 1, -1) == item[by_item])
+    same[:1] = False
+    prev = np.empty_like(t)
+    prev[by_item] = np.where(same, _shift(t[by_item], 1, -1), np.iinfo(np.int64).min // 2)
+    delayed = prev + W + 1 > t
+    start = np.where(delayed, prev + W + 1, t)
+    contrib = start <= t + W
+    q = at >= m
+    # Points: (user, time, band, position, kind, delta).
+    nq, nc = int(q.sum()), int(contrib.sum())
+    pu = np.concatenate([g[q], g[contrib], g[contrib]])
+    pt = np.concatenate([t[q], start[contrib], t[contrib] + W])
+    band = np.concatenate([np.ones(nq, np.int64), np.where(delayed[contrib], 0, 1),
+                           np.full(nc, 2, np.int64)])
+    pp = np.concatenate([pos[q], pos[contrib], pos[contrib]])
+    kind = np.concatenate([np.ones(nq, np.int64), np.zeros(2 * nc, np.int64)])
+    delta = np.concatenate([np.zeros(nq, np.int64), np.ones(nc, np.int64), -np.ones(nc, np.int64)])
+    row = np.concatenate([at[q] - m, np.full(2 * nc, -1, np.int64)])
+    o = np.lexsort((kind, pp, band, pt, pu))
+    pu, kind, row, run = pu[o], kind[o], row[o], np.cumsum(delta[o])
+    first = np.append(True, pu[1:] != pu[:-1])[:len(pu)]
+    base = np.maximum.accumulate(np.where(first, np.arange(len(pu)), 0)) if len(pu) else pu
+    count = run - np.where(base > 0, run[base - 1], 0)
+    keep[row[kind == 1]] = count[kind == 1] >= min_items
+    end = np.flatnonzero(np.append(g[1:] != g[:-1], True)) if len(at) else pos
+    stay = t >= t[end][np.searchsorted(end, pos)] - W
+    rows = [(U[at[stay]], T[at[stay]], IT[at[stay]])]
+    if late.any():
+        old: dict[int, list] = {}
+        for j in np.flatnonzero(late[:m]):
+            old.setdefault(int(U[j]), []).append((int(T[j]), int(IT[j])))
+        new = np.flatnonzero(late[m:])
+        f, after = _a2_loop(pdf.iloc[new], {u: _Held(v) for u, v in old.items()}, W, min_items)
+        keep[new] = f
+        flat = [(u, ht, hi) for u, h in after.items() for ht, hi in h.items]
+        rows.append(A2Held.of(*zip(*flat, strict=True)) if flat else A2Held.of())
+    return keep, A2Held(*(np.concatenate([r[k] for r in rows]) for k in range(3)))
+
+
+def _fresh(held, watermark_ms: int, look_back_ms: int):
     """Every later row of the group has a time >= the watermark (older rows
     are dropped as late), so held values older than watermark - look-back
     can no longer matter."""
-    for k in list(held):
-        h = held[k]
-        h.prune(watermark_ms - look_back_ms)
-        if not len(h):
-            del held[k]
+    mask = held.t >= watermark_ms - look_back_ms
+    return type(held)(*(x[mask] for x in held))
 
 
 def _a1_fn(params: dict):
-    window_ms = params["window_ms"]
-
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        pairs: dict[tuple, list] = {}
-        if state.exists:
-            users, items, ts_list, texts = state.get
-            for u, it, t, x in zip(users, items, ts_list, texts):
-                pairs.setdefault((u, it), []).append((t, x))
-        held = {k: _Held(p) for k, p in pairs.items()}
+        held = A1Held.of(*state.get) if state.exists else A1Held.of()
         pdf = _ordered(pdfs)
-        fast = _a1_in_order(pdf, held, **params)
-        if fast is not None:
-            flags, held = fast
-        else:
-            flags, held = _a1_loop(pdf, held, params)
-        _drop_stale(held, state.getCurrentWatermarkMs(), window_ms)
-        flat = [(u, it, t, x) for (u, it), h in held.items() for t, x in h.items]
-        state.update(tuple([f[i] for f in flat] for i in range(4)))
-        _evict_after(state, max([int(pdf["t_ms"].max())] + [f[2] for f in flat]))
+        flags, held = a1_batch(pdf, held, **params)
+        held = _fresh(held, state.getCurrentWatermarkMs(), params["window_ms"])
+        state.update(tuple(x.tolist() for x in held))
+        _evict_after(state, max(int(pdf["t_ms"].max()), *held.t.tolist(), 0))
         out = pdf[["event_id", "user_id", "item_id", "event_type", "ts"]].copy()
         out["is_cheat_a1"] = flags
         yield out
@@ -326,24 +356,14 @@ def _a2_fn(window_ms: int, min_items: int):
         if state.hasTimedOut:
             state.remove()
             return
-        pairs: dict[int, list] = {}
-        if state.exists:
-            users, ts_list, items = state.get
-            for u, t, it in zip(users, ts_list, items):
-                pairs.setdefault(u, []).append((t, it))
-        held = {u: _Held(p) for u, p in pairs.items()}
+        held = A2Held.of(*state.get) if state.exists else A2Held.of()
         pdf = _ordered(pdfs)
         pdf = pdf[pdf["event_type"] == "like"]
-        fast = _a2_in_order(pdf, held, window_ms, min_items) if len(pdf) else None
-        if fast is not None:
-            keep, held = fast
-        else:
-            keep, held = _a2_loop(pdf, held, window_ms, min_items)
-        _drop_stale(held, state.getCurrentWatermarkMs(), window_ms)
-        flat = [(u, t, it) for u, h in held.items() for t, it in h.items]
-        state.update(tuple([f[i] for f in flat] for i in range(3)))
-        latest = [f[1] for f in flat] + ([int(pdf["t_ms"].max())] if len(pdf) else [])
-        _evict_after(state, max([state.getCurrentWatermarkMs()] + latest))
+        keep, held = a2_batch(pdf, held, window_ms, min_items)
+        held = _fresh(held, state.getCurrentWatermarkMs(), window_ms)
+        state.update(tuple(x.tolist() for x in held))
+        latest = [*held.t.tolist(), *([int(pdf["t_ms"].max())] if len(pdf) else [])]
+        _evict_after(state, max([state.getCurrentWatermarkMs(), *latest]))
         out = pdf.loc[keep, ["event_id", "user_id", "item_id", "event_type", "ts"]].copy()
         out["is_cheat_a2"] = True
         yield out
@@ -380,18 +400,21 @@ def stream_a1(
     window_ms: int = config.A1_WINDOW_MS,
     dup_text: int = config.A1_DUP_TEXT,
     watermark: str = config.DETECTOR_WATERMARK,
-    key_groups: int = KEY_GROUPS,
+    key_groups: int | None = None,
 ) -> DataFrame:
     """CEP-1 on a stream of events (event_id, user_id, item_id,
     event_type, ts, comment_text). Emits every keyed event with its flag.
 
     The rule is per (user, item); the state key is a hash of (user, item)
-    into ``key_groups`` groups, each holding the comments of its pairs. A
-    hot user's items spread over the groups.
+    into ``key_groups`` groups (by default a few per shuffle partition), each
+    holding the comments of its pairs. A hot user's items spread over the
+    groups. A started query keeps its number of groups: a restart with
+    another one would look for the state in other groups.
     """
     params = dict(min_comments=min_comments, max_gap_ms=max_gap_ms,
                   window_ms=window_ms, dup_text=dup_text)
     ship_package(events.sparkSession)
+    key_groups = key_groups or key_groups_for(events.sparkSession)
     e = _prepared(events, watermark).select(
         "event_id", "user_id", "item_id", "event_type", "ts", "comment_text",
         F.unix_millis("ts").alias("t_ms"),
@@ -412,11 +435,12 @@ def stream_a2(
     window_ms: int = config.A2_WINDOW_MS,
     min_items: int = config.A2_MIN_ITEMS,
     watermark: str = config.DETECTOR_WATERMARK,
-    key_groups: int = KEY_GROUPS,
+    key_groups: int | None = None,
 ) -> DataFrame:
     """CEP-2 on a stream: emits only the flagged likes. State key: a hash
     of user_id into ``key_groups`` groups."""
     ship_package(events.sparkSession)
+    key_groups = key_groups or key_groups_for(events.sparkSession)
     e = _prepared(events, watermark).where(F.col("event_type") == "like").select(
         "event_id", "user_id", "item_id", "event_type", "ts",
         F.unix_millis("ts").alias("t_ms"),
