@@ -320,3 +320,57 @@ def test_daily_windows_cut_at_local_midnight(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert hours == {0} and len(got) >= 28
     assert all(want[d] == v for d, v in got.items())
+
+
+def test_drops_are_counted_over_more_than_100_batches(spark, tmp_path):
+    """Spark keeps the progress of the last 100 micro-batches only; the
+    listener counts them all (Q-10)."""
+    import os
+
+    schema = "user_id bigint, event_type string, ts timestamp, content_len int, duration_sec double"
+    late = 104
+    for i in range(late + 1):
+        f = tmp_path / f"{i:04d}.json"
+        f.write_text('{"user_id":1,"event_type":"enter_item","ts":"2024-01-0%dT00:00:00Z"}'
+                     % (2 if i == 0 else 1))
+        os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").json(str(tmp_path))
+    run = new_run_dir(spark, "test_many_batches")
+    listener = runner.LateRowsListener()
+    spark.streams.addListener(listener)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        q = runner.start(stream_activity(s, by=()), f"{run}/ck", f"{run}/out")
+        runner.run_to_end(q)
+        listener.wait_for([q])
+        # rows count as late from the second batch after the one that moved
+        # the watermark
+        assert listener.total(q) == late - 1
+        assert runner.dropped_by_watermark(q) <= 100
+    finally:
+        spark.streams.removeListener(listener)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
+def test_enrichment_batch_that_failed_half_way(spark):
+    """Nothing of a failed batch is visible; its replay writes it once."""
+    from pulsehouse.streaming.enrichment import EnrichWithReload
+
+    run = new_run_dir(spark, "test_half")
+    batch = spark.createDataFrame([(1, 10, "like")], "event_id bigint, item_id bigint, event_type string")
+    dim = spark.createDataFrame([(10, "food", 5)], "dim_item_id bigint, category string, dim_content_len int")
+    state = {"fail": True}
+
+    def load():
+        if state["fail"]:
+            return dim.withColumn("category", F.raise_error(F.lit("disk gone")).cast("string"))
+        return dim
+
+    write = EnrichWithReload(load, f"{run}/events", broadcast_max_rows=None)
+    with pytest.raises(Exception, match="disk gone"):
+        write(batch, 3)
+    state["fail"] = False
+    write(batch, 3)
+    write(batch, 3)  # replay of a committed batch
+    assert [r.category for r in spark.read.parquet(f"{run}/events").collect()] == ["food"]
