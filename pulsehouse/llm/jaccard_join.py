@@ -128,18 +128,22 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [b.column(i).slice(lo, hi - lo).filter(pa.array(ok)) for i in (0, 1)], ["u", "v"])
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
     """Edges (u, v) among candidate ``pairs`` (a, b), decided on whole texts:
-    one document of each candidate node is fetched and its text joined."""
+    one document of each candidate node is fetched and its text joined, on b
+    first, so that the texts compared with one a travel side by side.
+    ``repeated``: some rows are equal in id and text."""
     ends = pairs.select(F.col("a").alias("node")).unionByName(
         pairs.select(F.col("b").alias("node"))).distinct()
     reps = (sets.join(ends, "node", "left_semi").groupBy("node")
             .agg(F.min("key").alias("key")))
     reps = bounded(keep(reps))
-    texts = docs.join(reps, "key").select("key", "node", "text").dropDuplicates(["key"])
+    texts = docs.join(reps, "key").select("key", "node", "text")
+    if repeated:
+        texts = texts.dropDuplicates(["key"])
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    both = pairs.select("a", "b").join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
+    both = pairs.select("a", "b").join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
     return map_arrow(both, _linked, "u long, v long")
 
 
@@ -187,8 +191,9 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = full.groupBy("node").agg(F.min("key").alias("one"), F.count("*").alias("c"))
     copies = bounded(keep(copies.filter("c > 1").select("node", "one")))
     full = full.join(copies, "node", "left").filter("one IS NULL OR one = key").drop("one")
-    if full.groupBy("node").count().filter("count > 1").limit(1).count():
-        full = full.dropDuplicates(["node"])  # rows repeated with their id
+    repeated = full.groupBy("node").count().filter("count > 1").limit(1).count() > 0
+    if repeated:
+        full = full.dropDuplicates(["node"])
     sk = full.select("node", "n", "central", F.explode("sketch").alias("token"))
     hubs = (sk.groupBy("token").agg(F.max(F.struct("central", "node")).alias("hub"),
                                     F.min("node").alias("least"), F.max("node").alias("most"))
@@ -196,26 +201,27 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     star = (sk.join(hubs, "token").filter("node <> a").groupBy("a", F.col("node").alias("b"))
             .agg(F.count("*").alias("c"), F.max("n").alias("n")))
     star = star.filter(F.col("c") >= F.least(F.lit(SKETCH_MATCH), F.ceil(F.col("n") / 4)))
-    first = keep(_verify(keep(star), sets, docs))
+    first = keep(_verify(keep(star), sets, docs, repeated))
     found = keep(components(first))
 
     # Round 2: every remaining pair, but only across components.
     light_to = _boundary(full)
     info = (full.select("node", "n", "toks")
             .join(bounded(found), "node", "left")
-            .withColumn("comp", F.coalesce("root", "node")).drop("root"))
+            .withColumnRenamed("root", "comp"))
     p = (F.col("n") - F.ceil(F.col("n") * 0.75) + 1).cast("int")
     listed = (info.filter(F.col("n") * 4 > 3 * light_to)
               .select("node", "comp", F.col("n").cast("int").alias("n"),
                       F.posexplode(F.slice("toks", F.lit(1), p)).alias("i", "token")))
+    apart = "(x.comp IS NULL OR y.comp IS NULL OR x.comp <> y.comp)"
     size_ok = "4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"
     need = "int((3 * (x.n + y.n) + 6) / 7)"
     # With more than n - need tokens before it on either side, this token is
     # not the first that a pair reaching the threshold has in common.
     early = f"x.i <= x.n - {need} AND y.i <= y.n - {need}"
     x, y = listed.alias("x"), listed.alias("y")
-    heavy = (x.join(y, F.expr("x.token = y.token AND x.node < y.node AND x.comp <> y.comp "
-                              f"AND greatest(x.n, y.n) > {light_to} AND {size_ok} AND {early}"))
+    heavy = (x.join(y, F.expr("x.token = y.token AND x.node < y.node AND " + apart
+                              + f" AND greatest(x.n, y.n) > {light_to} AND {size_ok} AND {early}"))
              .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"),
                      F.col("x.n").alias("na"), F.col("y.n").alias("nb"),
                      F.col("x.i").alias("ia"), F.col("y.i").alias("ib"))
@@ -231,10 +237,10 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.expr("slice(toks, i + 2, size(toks))")).alias("t2"))
     x, y = subsets.alias("x"), subsets.alias("y")
     light = (x.join(y, F.expr("x.t1 = y.t1 AND x.t2 = y.t2 AND x.node < y.node "
-                              f"AND x.comp <> y.comp AND {size_ok}"))
+                              f"AND {apart} AND {size_ok}"))
              .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
     pairs = keep(heavy.unionByName(light).distinct())
-    edges = first.unionByName(_verify(pairs, sets, docs))
+    edges = first.unionByName(_verify(pairs, sets, docs, repeated))
     return sets.select("doc_id", "key", "node", "n"), components(edges)
 
 
