@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsehouse.llm.common import keep, map_arrow
+from pulsehouse.llm.common import bounded, keep, map_arrow
 from pulsehouse.llm.textkit import chunks, mix, words
 
 ORDER = 4
@@ -289,5 +289,6 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """Pipeline form: the rows of ``docs`` whose language is not rejected,
     with all their columns."""
     bad = identify(docs).filter("rejected").select(F.col("key").alias("__key")).distinct()
+    bad = bounded(keep(bad))
     return (docs.withColumn("__key", F.xxhash64("doc_id", "text"))
             .join(bad, "__key", "left_anti").select(docs.columns))
