@@ -39,6 +39,15 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def keep_sized(df: DataFrame, rows_per_part: int = 50_000) -> tuple[DataFrame, int]:
+    """``keep`` and the number of rows, in partitions sized to them: tables
+    that shrink from round to round would else keep the partitions, and every
+    later shuffle the files, of the largest."""
+    df = keep(df)
+    n = df.count()
+    return df.coalesce(max(1, -(-n // rows_per_part))), n
+
+
 def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 

@@ -22,10 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsehouse.llm.common import blocks_for, keep, map_arrow, running_totals
+from pulsehouse.llm.common import (BROADCAST_ROWS, blocks_for, keep_sized, map_arrow,
+                                  running_totals)
 from pulsehouse.llm.textkit import chunks, lines, span_hashes, words
 
 MIN_WORDS = 50
@@ -63,25 +64,34 @@ def _rows(min_words: int):
     return run
 
 
+def _small(df: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+
+
 def _first_ranks(rows: DataFrame) -> DataFrame:
     """Rows of lines that occur at two places, with the rank of the line."""
-    counts = keep(rows.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1"))
-    blocks = blocks_for(counts.count())
+    counts, n = keep_sized(rows.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1"))
+    blocks = blocks_for(n)
     span = F.floor((F.shiftrightunsigned("h", 1) / F.lit(float(1 << 63))) * blocks).cast("int")
     ranks = running_totals(counts.withColumn("b", span), [], "b", [F.shiftrightunsigned("h", 1), "h"],
                            "c", "rank")
-    return rows.join(ranks.select("h", "rank"), "h").drop("h")
+    return rows.join(_small(ranks.select("h", "rank"), n), "h").drop("h")
 
 
 def _double(cur: DataFrame, length: int) -> DataFrame:
     """Ranks of the repeated runs of twice ``length`` lines."""
     nxt = cur.select("d", (F.col("i") - length).alias("i"), F.col("rank").alias("second"))
-    pairs = keep(cur.join(nxt, ["d", "i"]))
-    kinds = keep(pairs.groupBy("rank", "second").agg(F.count("*").alias("c")).filter("c > 1"))
-    block = F.floor(F.col("second") / 20_000)
-    kinds = running_totals(kinds.withColumn("b", block), ["rank"], "b", ["second"], "c", "before")
+    pairs, _ = keep_sized(cur.join(nxt, ["d", "i"]))
+    kinds, n = keep_sized(pairs.groupBy("rank", "second").agg(F.count("*").alias("c"))
+                          .filter("c > 1"))
+    if n <= BROADCAST_ROWS:  # few enough to rank without blocks
+        w = Window.partitionBy("rank").orderBy("second").rowsBetween(Window.unboundedPreceding, -1)
+        kinds = kinds.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
+    else:
+        kinds = kinds.withColumn("b", F.floor(F.col("second") / 20_000))
+        kinds = running_totals(kinds, ["rank"], "b", ["second"], "c", "before")
     kinds = kinds.select("rank", "second", (F.col("rank") + F.col("before")).alias("new"))
-    return pairs.join(kinds, ["rank", "second"]).select(
+    return pairs.join(_small(kinds, n), ["rank", "second"]).select(
         "doc_id", "d", "i", "depth", F.col("new").alias("rank"))
 
 
@@ -91,24 +101,26 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = map_arrow(docs.select("doc_id", F.xxhash64("doc_id", "text").alias("d"), "text"),
                      _rows(min_words), "doc_id long, d long, i long, h long, depth long")
     # a row given twice is one document
-    cur = keep(_first_ranks(rows).dropDuplicates(["d", "i"]))
+    cur, _ = keep_sized(_first_ranks(rows).dropDuplicates(["d", "i"]))
     found, length = None, 1
     while True:
         here = cur.filter((F.col("depth") >= length) & (F.col("depth") < 2 * length))
         tail = cur.select(F.col("d").alias("td"), F.col("i").alias("ti"), F.col("rank").alias("tail"))
-        ends = here.join(tail, (F.col("d") == F.col("td"))
-                         & (F.col("i") + F.col("depth") - length == F.col("ti")))
+        ends, _ = keep_sized(here.join(tail, (F.col("d") == F.col("td"))
+                                       & (F.col("i") + F.col("depth") - length == F.col("ti")))
+                             .drop("td", "ti"))
         place = F.struct(F.col("doc_id").isNull(), "doc_id", "d", "i")
-        first = (ends.groupBy("rank", "tail", "depth")
-                 .agg(F.min(place).alias("first"), F.count("*").alias("c")).filter("c > 1")
-                 .select("rank", "tail", "depth", F.col("first.d").alias("fd"),
-                         F.col("first.i").alias("fi")))
-        later = keep(ends.join(first, ["rank", "tail", "depth"])
-                     .filter("NOT (d = fd AND i = fi)").select("d", "i", "depth"))
+        first, n = keep_sized(ends.groupBy("rank", "tail", "depth")
+                              .agg(F.min(place).alias("first"), F.count("*").alias("c"))
+                              .filter("c > 1")
+                              .select("rank", "tail", "depth", F.col("first.d").alias("fd"),
+                                      F.col("first.i").alias("fi")))
+        later, _ = keep_sized(ends.join(_small(first, n), ["rank", "tail", "depth"])
+                              .filter("NOT (d = fd AND i = fi)").select("d", "i", "depth"))
         found = later if found is None else found.unionByName(later)
         if not cur.filter(F.col("depth") >= 2 * length).limit(1).count():
             return found
-        cur = keep(_double(cur, length))
+        cur, _ = keep_sized(_double(cur, length))
         length *= 2
 
 
