@@ -61,9 +61,12 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a token of D texts meets itself in about D^2 / 2T, so everything far above
     sqrt(T) texts is found, and rare tokens are not shuffled at all."""
     for b in batches:
-        toks = [shingle_sets(data, off)[1] for _, _, data, off in chunks(b.column(0))]
-        t, c = np.unique(np.concatenate(toks), return_counts=True)
-        t, c = t[c > 1], c[c > 1]
+        tok = np.concatenate([np.zeros(0, np.uint64), *(
+            shingle_sets(data, off)[1] for _, _, data, off in chunks(b.column(0)))])
+        tok.sort()  # in place: a batch may hold some million tokens
+        first = np.flatnonzero(np.append(True, tok[1:] != tok[:-1])[:len(tok)])
+        c = np.diff(np.append(first, len(tok)))
+        t, c = tok[first[c > 1]], c[c > 1]
         yield pa.RecordBatch.from_arrays(
             [pa.array(t.view(np.int64)), pa.array(c.astype(np.int64))], ["token", "c"])
 
