@@ -9,11 +9,13 @@ leave, so later rounds are as small as the repetition in the corpus.
 
 Suffixes that agree on their first l lines form an interval of the suffix
 order with a longest common prefix of at least l. A run is worth deleting
-from ``min_words`` words on; for each suffix that is a fixed number of lines
-of its own text, and the interval at that depth is named by two overlapping
-ranks. Its first member in document order stays, every other one is deleted;
-deeper intervals lie inside and delete nothing more. Overlapping deletions
-join into the maximal repeated runs.
+from ``min_words`` words on. Windows are the runs that lose this size if their
+last line is taken away, and those that lose it if their first line is: at most
+two per line, the lengths at one start are consecutive, and equal runs are
+windows alike. The interval at a window's length is named by two overlapping
+ranks; its first member in document order stays, every other one is deleted.
+A maximal repeated run is the union of such windows: the one at its start and,
+for each later line, the shortest one that ends there.
 """
 
 from __future__ import annotations
@@ -54,12 +56,17 @@ def _rows(min_words: int):
                 total = np.concatenate([[0], np.cumsum(n)])
                 # lines until min_words words are reached, 0 if the text ends before
                 to = np.searchsorted(total, total[:-1] + min_words, side="left")
-                depth = np.where(to <= (first + count)[row], to - np.arange(len(row)), 0)
+                at, last = np.arange(len(row)), (first + count)[row]
+                depth = np.where(to <= last, to - at, 0)
+                # longer windows: as long as the lines after the first have too few words
+                upto = np.where(to <= last, np.maximum(to, np.minimum(np.append(to[1:], len(row)) - 1,
+                                                                      last)) - at, 0)
                 take = pa.array(row + lo)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(take), key.take(take), pa.array((np.arange(len(row)) - first[row])),
-                     pa.array(span_hashes(data, start, end).view(np.int64)), pa.array(depth)],
-                    ["doc_id", "d", "i", "h", "depth"])
+                    [ids.take(take), key.take(take), pa.array(at - first[row]),
+                     pa.array(span_hashes(data, start, end).view(np.int64)), pa.array(depth),
+                     pa.array(upto)],
+                    ["doc_id", "d", "i", "h", "depth", "upto"])
 
     return run
 
@@ -92,19 +99,22 @@ def _double(cur: DataFrame, length: int) -> DataFrame:
         kinds = running_totals(kinds, ["rank"], "b", ["second"], "c", "before")
     kinds = kinds.select("rank", "second", (F.col("rank") + F.col("before")).alias("new"))
     return pairs.join(_small(kinds, n), ["rank", "second"]).select(
-        "doc_id", "d", "i", "depth", F.col("new").alias("rank"))
+        "doc_id", "d", "i", "depth", "upto", F.col("new").alias("rank"))
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """d (hash of id and text), i (line with a word, from 0), depth: runs of
     ``depth`` lines that are later copies of an equal run."""
     rows = map_arrow(docs.select("doc_id", F.xxhash64("doc_id", "text").alias("d"), "text"),
-                     _rows(min_words), "doc_id long, d long, i long, h long, depth long")
+                     _rows(min_words), "doc_id long, d long, i long, h long, depth long, upto long")
     # a row given twice is one document
     cur, _ = keep_sized(_first_ranks(rows).dropDuplicates(["d", "i"]))
     found, length = None, 1
     while True:
-        here = cur.filter((F.col("depth") >= length) & (F.col("depth") < 2 * length))
+        here = cur.filter((F.col("depth") > 0) & (F.col("depth") < 2 * length)
+                          & (F.col("upto") >= length)).withColumn("depth", F.explode(F.sequence(
+                              F.greatest("depth", F.lit(length)),
+                              F.least("upto", F.lit(2 * length - 1))))).drop("upto")
         tail = cur.select(F.col("d").alias("td"), F.col("i").alias("ti"), F.col("rank").alias("tail"))
         ends, _ = keep_sized(here.join(tail, (F.col("d") == F.col("td"))
                                        & (F.col("i") + F.col("depth") - length == F.col("ti")))
@@ -118,7 +128,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         later, _ = keep_sized(ends.join(_small(first, n), ["rank", "tail", "depth"])
                               .filter("NOT (d = fd AND i = fi)").select("d", "i", "depth"))
         found = later if found is None else found.unionByName(later)
-        if not cur.filter(F.col("depth") >= 2 * length).limit(1).count():
+        if not cur.filter(F.col("upto") >= 2 * length).limit(1).count():
             return found
         cur, _ = keep_sized(_double(cur, length))
         length *= 2

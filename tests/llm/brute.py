@@ -112,6 +112,23 @@ def dedup_lines(docs, min_words=50):
     return out
 
 
+def dedup_maximal_runs(docs, min_words=50):
+    """As ``dedup_lines``, each run as long as it equals an earlier one."""
+    seen, out = set(), []
+    for _, text in docs:
+        lines = (text or "").split("\n")
+        idx = [i for i, x in enumerate(lines) if WORD.search(x)]
+        gone = set()
+        for a in range(len(idx)):
+            runs = [tuple(lines[i] for i in idx[a:z]) for z in range(a + 1, len(idx) + 1)]
+            for run in runs:
+                if run in seen and sum(len(WORD.findall(x)) for x in run) >= min_words:
+                    gone.update(idx[a:a + len(run)])
+            seen.update(runs)
+        out.append((len(lines), len(gone), "\n".join(x for i, x in enumerate(lines) if i not in gone)))
+    return out
+
+
 # --- Jaccard join
 
 def shingles(text):

@@ -290,6 +290,22 @@ def test_line_dedup_of_short_lines(spark):
     assert [got[i] for i in range(len(texts))] == brute.dedup_lines(list(enumerate(texts)), 7)
 
 
+def test_line_dedup_deletes_whole_runs(spark):
+    """A run goes on after its last window of min_words words."""
+    r = random.Random(9)
+    three = "\n".join(prose(n, r) for n in (45, 10, 10))
+    pool = [prose(n, r) for n in (1, 2, 3, 6, 9, 14)]
+    texts = [three, three, "own\n" + three + "\nown too"]
+    texts += ["\n".join(r.choice(pool) for _ in range(r.randint(1, 40))) for _ in range(25)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for least in (50, 12):
+        got = {r.doc_id: (r.n_lines, r.n_deleted, r.text)
+               for r in line_dedup.dedup_lines(df, min_words=least).collect()}
+        want = brute.dedup_maximal_runs(list(enumerate(texts)), least)
+        assert [got[i] for i in range(len(texts))] == want
+    assert got[1] == (3, 3, "") and got[2][2] == "own\nown too"
+
+
 def test_language_id(spark, docs, none):
     d = spark.read.parquet(f"{SF_MID}/documents.parquet")
     got = language_id.identify(d)
