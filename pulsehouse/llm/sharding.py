@@ -4,11 +4,13 @@ Documents of equal text are linked through their group (a star, never all
 pairs). Every document starts in the shard its hash names. In each round a
 group's documents vote with their shards, and the group's members move to the
 shard that holds most of them, as far as that shard's quota of linked
-documents allows. Members of a group in one shard are interchangeable, so a
-round joins and moves (group, start shard) rows, not documents. A group above
-half a shard's capacity takes part as several. At the end the shards are
-filled to exact counts: unlinked documents come last in each shard and move
-first.
+documents and what leaves it in the same round allow. Rounds go on until no
+group is split, or two of them leave as many split as before; what is split
+then joins without a quota. Members of a group in one shard are
+interchangeable, so a round joins and moves (group, start shard) rows, not
+documents. A group above half a shard's capacity takes part as several. At the
+end the shards are filled to exact counts: unlinked documents come last in each
+shard and move first, linked ones by group.
 
 The law kept is ``rows``: counts at most one apart.
 """
@@ -21,7 +23,6 @@ from pyspark.sql import functions as F
 from pulsehouse.llm.common import blocks_for, keep, running_totals, utf8_bytes
 
 SHARDS = 40
-ROUNDS = 6
 _UNIT = float(1 << 53)
 
 
@@ -40,30 +41,55 @@ def _longs(values) -> str:
     return "array(" + ", ".join(f"{int(v)}L" for v in values) + ")"
 
 
-def propagate(state: DataFrame, n_shards: int, cap: int, rounds: int = ROUNDS) -> DataFrame:
+def _shares(flow: dict[tuple[int, int], int], room: list[int]) -> list[float]:
+    """Share of the documents that want into each shard, as large as the
+    shards' room and what leaves them by the same shares allow."""
+    want = [0] * len(room)
+    for (_, to), c in flow.items():
+        want[to] += c
+    share = [1.0] * len(room)
+    for _ in range(200):  # falls to the greatest shares that fit
+        free = [float(x) for x in room]
+        for (cur, to), c in flow.items():
+            free[cur] += c * share[to]
+        new = [min(1.0, max(0.0, f) / w) if w else 1.0 for f, w in zip(free, want, strict=True)]
+        done = max(a - b for a, b in zip(share, new, strict=True)) < 1e-4
+        share = new
+        if done:
+            break
+    return share
+
+
+def propagate(state: DataFrame, n_shards: int, cap: int) -> DataFrame:
     """``state`` (g, sub, start, cur, c): c documents of part ``sub`` of group
     g that started in ``start`` are in shard ``cur``. Returns it with the
-    last ``cur``; stops early once nobody moves."""
-    for r in range(rounds):
-        load = _by_shard(state, "cur", n_shards)
-        room = [max(0, cap - x) for x in load]
+    last ``cur``, each part in one shard; a shard may then hold more than
+    ``cap``."""
+    fewest, stale, r = None, 0, 0
+    while True:
+        room = [cap - x for x in _by_shard(state, "cur", n_shards)]
         votes = state.groupBy("g", "sub", "cur").agg(F.sum("c").alias("v"))
-        votes = votes.withColumn("room", F.expr(f"{_longs(room)}[cur]"))
-        total = votes.groupBy("g", "sub").agg(
-            F.sum("v").alias("all"), F.max(F.struct(
-                F.col("room") > 0, "v", _unit("g", "sub", "cur").alias("u"), "cur")).alias("best"))
-        wish = state.join(total.select("g", "sub", F.col("best.cur").alias("to"), "all"), ["g", "sub"])
+        # every other round shards that have room come first
+        first = F.expr(f"{_longs(room)}[cur]") > 0 if r % 2 else F.lit(True)
+        total = votes.groupBy("g", "sub").agg(F.max(F.struct(
+            first.alias("first"), "v", _unit("g", "sub", "cur").alias("u"), "cur")).alias("best"))
+        wish = state.join(total.select("g", "sub", F.col("best.cur").alias("to")), ["g", "sub"])
         moving = keep(wish.withColumn("moves", F.col("cur") != F.col("to")))
-        want = _by_shard(moving.filter("moves"), "to", n_shards)
-        if not any(want):
-            return moving.select("g", "sub", "start", "cur", "c")
-        share = "array(" + ", ".join(
-            f"{min(1.0, m / w) if w else 1.0!r}D" for m, w in zip(room, want, strict=True)) + ")"
+        flow = {(x.cur, x.to): x.n for x in moving.filter("moves").groupBy("cur", "to")
+                .agg(F.sum("c").alias("n")).collect()}
+        if not flow:
+            return state
+        split = moving.filter("moves").select("g", "sub").distinct().count()
+        stale = 0 if fewest is None or split < fewest else stale + 1
+        fewest = split if fewest is None else min(fewest, split)
+        if stale == 2:  # the rest joins as well; the exact counts are left to the filling
+            return keep(moving.select("g", "sub", "start", F.col("to").alias("cur"), "c"))
+        share = "array(" + ", ".join(f"{x!r}D" for x in _shares(flow, room)) + ")"
         # whole groups are let in, in an order that changes with the round
         admitted = F.col("moves") & (_unit("g", "sub", F.lit(r)) < F.expr(f"{share}[to]"))
         state = keep(moving.withColumn("cur", F.when(admitted, F.col("to")).otherwise(F.col("cur")))
                      .select("g", "sub", "start", "cur", "c"))
-    return state
+        r += 1
 
 
 def shard(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:

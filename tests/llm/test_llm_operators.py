@@ -171,6 +171,18 @@ def test_sharding(spark, docs, none):
     assert sum(len(where[f"pair {i}"]) > 1 for i in range(150)) <= 8
 
 
+def test_sharding_where_every_text_has_copies(spark):
+    many = [(i, f"text {i // 5}") for i in range(4000)]
+    got = sharding.shard(spark.createDataFrame(many, "doc_id long, text string"), 10).collect()
+    check_shards(got, 10)
+    where = collections.defaultdict(set)
+    for r in got:
+        where[r.text].add(r.shard)
+    # the exact counts cut a few groups at the edge of a shard
+    split = sum(len(x) > 1 for x in where.values())
+    assert split <= 40, f"{split} of {len(where)} groups split"
+
+
 def test_resampling(spark, docs, none):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, None), (2, 0, 0), (None, 1, 0)],
                                    "doc_id long, quality int, toxic int")
