@@ -152,7 +152,7 @@ def metric_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
                 foreach_batch=KVStream(f"{base}/kv_30m", f"{config.KV_PREFIX}_30m")),
         _writer(metrics.stream_window_users(enriched, only_type="enter_item"), base, "dws_uv_5m",
                 trigger, foreach_batch=metrics.WindowUserCounter(f"{base}/dws/uv_5m", name="uv")),
-        # S-01..S-03: a session closes after 30 idle minutes (session_window).
+        # S-01..S-03: a session closes after 30 idle minutes.
         _writer(metrics.stream_sessions(enriched), base, "dws_sessions", trigger,
                 f"{base}/dws/sessions"),
         _writer(detectors.stream_a1(enriched), base, "dwd_cheat_a1", trigger,

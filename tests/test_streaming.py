@@ -374,3 +374,36 @@ def test_enrichment_batch_that_failed_half_way(spark):
     write(batch, 3)
     write(batch, 3)  # replay of a committed batch
     assert [r.category for r in spark.read.parquet(f"{run}/events").collect()] == ["food"]
+
+
+def test_sessions_hold_no_stretch_of_events(spark):
+    """A user without a pause: whatever the length of the stretch, its events
+    are gathered per bucket only. Sessions equal the batch form, over several
+    batches and two runs (the second closes the open sessions)."""
+    from pulsehouse.operators.sessions import derived_sessions
+    from pulsehouse.streaming import metrics
+
+    rnd, t0 = random.Random(3), 1_704_067_200
+    rows = [(i, 1, "app_open" if i % 97 == 50 else "like", t0 + 40 * i) for i in range(600)]
+    t = t0
+    for i in range(600, 900):
+        t += rnd.choice([0, 1, 59, 60, 900, 1799, 1800, 1801, 4000])
+        rows.append((i, 2 + i % 2, rnd.choice(["like", "like", "app_open", None]), t))
+    df = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, s long").select(
+        "event_id", "user_id", "event_type", F.timestamp_seconds("s").alias("ts"))
+    run = new_run_dir(spark, "test_sessions")
+    cut = F.timestamp_seconds(F.lit(t0 + 9_000))
+    df.where(F.col("ts") <= cut).orderBy(F.desc("event_id")).write.parquet(f"{run}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{run}/in")
+    built = metrics.stream_sessions(stream)
+    df.where(F.col("ts") > cut).write.mode("append").parquet(f"{run}/in")
+    runner.run_closed(spark, spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "4")
+                      .parquet(f"{run}/in"), run, metrics.stream_sessions,
+                      lambda: df.agg(F.max("ts")).first()[0])
+    cols = ["user_id", "s_events", "s_start", "s_end"]
+    want = sorted(derived_sessions(df).select(cols).collect())
+    assert sorted(spark.read.parquet(f"{run}/out").select(cols).collect()) == want
+    assert sorted(metrics.stream_sessions(df).select(cols).collect()) == want
+    plan = built._jdf.queryExecution().analyzed().toString()
+    assert "session_window" not in plan
+    assert "collect_list" not in metrics.stream_sessions(df)._jdf.queryExecution().analyzed().toString()
