@@ -75,6 +75,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsehouse.llm.periodic_runs import periodic_runs
+
+    return periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_source_mixing": op2_source_mixing,
@@ -86,4 +92,5 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_periodic_runs": op11_periodic_runs,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
+from fractions import Fraction
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -161,3 +162,46 @@ def components(docs):
             r = find(i)
             least[r] = min(least.get(r, d), d)
     return [(len(sets[i]), least.get(find(i)) if sets[i] else d) for i, (d, _) in enumerate(docs)]
+
+
+# --- periodic runs
+
+def periodic_runs(w):
+    """(start, length, period) of the runs of a list of words."""
+    out = set()
+    for q in range(1, len(w) // 3 + 1):
+        i = 0
+        while i + q < len(w):
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            s = i
+            while i + q < len(w) and w[i] == w[i + q]:
+                i += 1
+            if i - s + q >= max(24, 3 * q) and not any(
+                    all(w[k] == w[k + p] for k in range(s, i + q - p)) for p in range(1, q)):
+                out.add((s, i - s + q, q))
+    return sorted(out, key=lambda x: (x[0], x[2]))
+
+
+def planted(doc_id, w):
+    import zlib
+    h, n = zlib.crc32(str(doc_id).encode()), len(w)
+    if doc_id is None or h % 10 or not n:
+        return w
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def runs_row(doc_id, text, plant):
+    w = WORD.findall(text or "")
+    if plant:
+        w = planted(doc_id, w)
+    runs = periodic_runs(w)
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    best = min(runs, key=lambda x: (-Fraction(x[1], x[2]), x[0], x[2])) if runs else (None,) * 3
+    return (doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+            sha("".join(f"{s},{n},{q}\n" for s, n, q in runs)),
+            sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
