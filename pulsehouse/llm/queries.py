@@ -81,6 +81,20 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(table(spark, sf_dir, "documents"), plant=True)
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsehouse.llm.warc import archive
+    from pulsehouse.session import new_run_dir
+
+    read = archive(table(spark, sf_dir, "pages"), new_run_dir(spark, "warc"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsehouse.llm.conversation_trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_source_mixing": op2_source_mixing,
@@ -93,4 +107,6 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_warc": op12_warc,
+    "op13_conversation_trie": op13_conversation_trie,
 }

@@ -205,3 +205,36 @@ def runs_row(doc_id, text, plant):
     return (doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
             sha("".join(f"{s},{n},{q}\n" for s, n, q in runs)),
             sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
+
+
+# --- conversations
+
+def trie(rows, shared=True):
+    """Rows (conv_id, turn, role, text) -> node rows, sorted."""
+    import zlib
+    own = {}
+    for c, t, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append(((t is not None, t or 0), role or "", text or ""))
+    own = {c: [x[1:] for x in sorted(v, key=lambda x: x[0])] for c, v in own.items()}
+    seqs = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 6 if shared else 0
+        base = c - (abs(c) % 100) * (1 if c >= 0 else -1)
+        seqs[c] = tuple(own.get(base, [])[:h] + turns[h:])
+    members = {}
+    for c, s in seqs.items():
+        for d in range(len(s) + 1):
+            members.setdefault(s[:d], []).append(c)
+    kids, leaves, saved = Counter(), Counter(), Counter()
+    for s in members:
+        if s:
+            kids[s[:-1]] += 1
+    for s, m in members.items():
+        w = (len(m) - 1) * len(s[-1][1]) if s else 0
+        for d in range(len(s) + 1):
+            leaves[s[:d]] += not kids[s]
+            saved[s[:d]] += w
+    return sorted(((min(m), len(s), min(members[s[:-1]]) if s else None, len(m), kids[s], leaves[s],
+                    saved[s], sha(",".join(str(c) for c in sorted(m) if seqs[c] == s)))
+                   for s, m in members.items()), key=repr)
