@@ -88,8 +88,11 @@ class DoubleArray:
             self.check[base + c] = parent[a]
         one = first[count == 1]
         if len(one):
-            self._grow(len(self.check) + len(one))
-            slot = np.flatnonzero(self.check[self.low:] == self.FREE)[:len(one)] + self.low
+            free = np.flatnonzero(self.check[self.low:] == self.FREE)
+            if len(free) < len(one):
+                self._grow(len(self.check) + len(one) - len(free))
+                free = np.flatnonzero(self.check[self.low:] == self.FREE)
+            slot = free[:len(one)] + self.low
             self.base[parent[one]] = slot - symbol[one]
             self.check[slot] = parent[one]
         taken = np.flatnonzero(self.check[self.low:] == self.FREE)

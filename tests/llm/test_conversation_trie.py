@@ -96,4 +96,5 @@ def test_double_array(seed):
     used = (trie.check != trie.FREE).sum()
     assert used == len(want) + root.max() + 1
     assert used > 0.5 * (np.flatnonzero(trie.check != trie.FREE).max() + 1)
+    assert len(trie.check) <= 4 * used + 4096
     assert (trie.step(np.arange(int(root.max()) + 1), np.full(int(root.max()) + 1, 10**6)) == -1).all()
