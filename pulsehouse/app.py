@@ -51,6 +51,7 @@ from pulsehouse.sources.events import (
 )
 from pulsehouse.streaming import detectors, metrics
 from pulsehouse.streaming.enrichment import EnrichWithReload, path_exists
+from pulsehouse.streaming.sessions import SessionWriter, open_sessions
 from pulsehouse.streaming.new_users import BatchNewUserCount, first_app_opens
 from pulsehouse.streaming.runner import LateRowsListener
 
@@ -153,8 +154,8 @@ def metric_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
         _writer(metrics.stream_window_users(enriched, only_type="enter_item"), base, "dws_uv_5m",
                 trigger, foreach_batch=metrics.WindowUserCounter(f"{base}/dws/uv_5m", name="uv")),
         # S-01..S-03: a session closes after 30 idle minutes.
-        _writer(metrics.stream_sessions(enriched), base, "dws_sessions", trigger,
-                f"{base}/dws/sessions"),
+        _writer(enriched.select("event_id", "user_id", "event_type", "ts"), base, "dws_sessions",
+                trigger, foreach_batch=SessionWriter(f"{base}/dws/sessions", f"{base}/state/sessions")),
         _writer(detectors.stream_a1(enriched), base, "dwd_cheat_a1", trigger,
                 f"{base}/dwd/cheat_a1"),
         _writer(detectors.stream_a2(enriched), base, "dwd_cheat_a2", trigger,
@@ -169,9 +170,10 @@ RESULT_LAYERS = ("dws/activity_5m", "dws/activity_30m", "dws/activity_daily", "d
 
 def open_windows(spark: SparkSession, base: str, layer: str) -> DataFrame | None:
     """Rows of the windows and sessions of ``layer`` that the stream has not
-    closed yet, computed from the enriched events that came after the last
-    closed one (events of an open window are never late, so none is
-    missing). None for layers without windows."""
+    closed yet: windows from the enriched events from the end of the last closed
+    one on (a range that is pushed to the scan; events of an open window are
+    never late, so none is missing), sessions from the stream's own tables.
+    None for layers without windows."""
     build = {
         "dws/activity_5m": lambda e: metrics.stream_activity(e, config.WINDOW_5M),
         "dws/activity_30m": lambda e: metrics.stream_activity(e, config.WINDOW_30M),
@@ -180,23 +182,17 @@ def open_windows(spark: SparkSession, base: str, layer: str) -> DataFrame | None
         "dws/dau_daily": lambda e: _users(metrics.stream_window_users(
             e, "1 day", start_time=_day0(spark)), "dau"),
         "dws/uv_5m": lambda e: _users(metrics.stream_window_users(e, only_type="enter_item"), "uv"),
-        "dws/sessions": metrics.stream_sessions,
     }.get(layer)
+    if layer == "dws/sessions":
+        return open_sessions(spark, f"{base}/state/sessions")
     if build is None or not path_exists(spark, f"{base}/dwd/events"):
         return None
     events = spark.read.schema(ENRICHED_SCHEMA).parquet(f"{base}/dwd/events")
-    if layer == "dws/sessions":
-        rows, keys = build(events), ["user_id", "s_start"]
-    else:
-        rows, keys = build(events), ["window"] + [c for c in ("category",) if "activity_5m" in layer
-                                                  or "activity_30m" in layer]
-    if not path_exists(spark, f"{base}/{layer}"):
-        return rows
-    closed = spark.read.parquet(f"{base}/{layer}")
-    if layer != "dws/sessions":
-        last = closed.agg(F.max("window.end")).first()[0]
-        return rows if last is None else rows.where(F.col("window.start") >= F.lit(last))
-    return rows.join(closed.select(*keys).distinct(), keys, "left_anti")
+    if path_exists(spark, f"{base}/{layer}"):
+        last = spark.read.parquet(f"{base}/{layer}").agg(F.max("window.end")).first()[0]
+        if last is not None:  # windows follow each other: only later events are read
+            events = events.where(F.col("ts") >= F.lit(last))
+    return build(events)
 
 
 def _day0(spark: SparkSession) -> str:

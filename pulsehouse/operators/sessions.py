@@ -55,12 +55,19 @@ def derived_sessions(
     gap_sec: int = config.SESSION_GAP_SEC,
     bucket_sec: int = config.DEFAULT_SCALE.split_bucket_sec,
     user: str = "user_id",
+    start: str | None = None,
+    weight: str | None = None,
+    mark_last: bool = False,
 ) -> DataFrame:
     """One row per session of raw events: user, session_seq (1, 2, ... per
-    user), s_start, s_end, s_events."""
+    user), s_start, s_end, s_events; with ``mark_last`` also is_last (of its
+    user). A row may stand for the end of a stretch of events: ``start`` names the
+    column with its first time, ``weight`` that with its number of events."""
     e = _starts(events, gap_sec, bucket_sec, user).withColumn("_piece", _so_far(user))
     pieces = e.groupBy(user, _B, "_piece").agg(
-        F.min(_T).alias("_first_t"), F.max(_T).alias("_last_t"), F.count(F.lit(1)).alias("_n"))
+        F.min(_T).alias("_first_t"), F.max(_T).alias("_last_t"),
+        (F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"),
+        (F.min(F.unix_micros(start)) if start else F.min(_T)).alias("_start_t"))
     wu = Window.partitionBy(user).orderBy(_B, "_piece")
     prev_last = F.lag("_last_t").over(wu)
     starts = (F.col("_piece") > 0) | prev_last.isNull() \
@@ -68,10 +75,16 @@ def derived_sessions(
     pieces = pieces.withColumn("_new", F.when(starts, 1).otherwise(0))
     pieces = pieces.withColumn("session_seq", F.sum("_new").over(
         wu.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint"))
+    last = []
+    if mark_last:
+        later = wu.rowsBetween(1, Window.unboundedFollowing)
+        pieces = pieces.withColumn("_more", F.coalesce(F.sum("_new").over(later), F.lit(0)))
+        last = [(F.min("_more") == 0).alias("is_last")]
     return pieces.groupBy(user, "session_seq").agg(
-        F.timestamp_micros(F.min("_first_t")).alias("s_start"),
+        F.timestamp_micros(F.min("_start_t")).alias("s_start"),
         F.timestamp_micros(F.max("_last_t")).alias("s_end"),
         F.sum("_n").alias("s_events"),
+        *last,
     )
 
 

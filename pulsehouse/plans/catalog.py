@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pulsehouse.functions import behaviour_tags, day_key, stable_round
 from pulsehouse.operators import cheat, sessions
 from pulsehouse.operators.enrich import enrich
+from pulsehouse.plans import grains as G
 from pulsehouse.plans import metrics as M
+from pulsehouse.plans import rollups as R
 from pulsehouse.sinks.kv import to_kv_rows
 from pulsehouse.session import new_run_dir
 from pulsehouse.sources import adapters as A
@@ -265,6 +267,57 @@ def cheat_a2_users(spark, sf):
     return cheat.a2_users(_a2(spark, sf), day_key("ts"))
 
 
+# -- all grains -----------------------------------------------------------------
+
+def activity_all_grains(spark, sf):
+    """U, I and Q metrics per 5 minutes, 30 minutes and day, with and without
+    category, out of one expansion."""
+    return _stay_rounded(G.activity_all_grains(_enriched(spark, sf)))
+
+
+def sessions_all_grains(spark, sf):
+    """S-01..S-03 from the given session_id at all grains."""
+    return G.sessions_all_grains(_com(spark, sf))
+
+
+def new_users_all_grains(spark, sf):
+    """U-04 / NEW-3 at all grains."""
+    return G.new_users_all_grains(_com(spark, sf))
+
+
+def cheat_all_grains(spark, sf):
+    """Q-01 and Q-02 at all grains."""
+    return G.cheat_all_grains(_a1(spark, sf), _a2(spark, sf))
+
+
+def users_sketch_rollup(spark, sf):
+    """U-01 / U-06 estimated: HLL sketches stored per 5 minutes and category,
+    read back and merged to all grains (some hundred users a group, as in
+    the small tables, are counted exactly)."""
+    stored = R.store(R.user_sketches(_enriched(spark, sf)), f"{new_run_dir(spark, 'sketches')}/users")
+    return R.roll_up_sketches(stored)
+
+
+def users_bitmap_rollup(spark, sf):
+    """U-01 / U-06 exact: users numbered densely, bitmaps stored per 5 minutes
+    and category, merged to all grains."""
+    run = new_run_dir(spark, "bitmaps")
+    ev = _enriched(spark, sf)
+    ids = R.IdDictionary(spark, f"{run}/ids").add(ev.select("user_id"), 0)
+    stored = R.store(R.user_bitmaps(ev, ids), f"{run}/users")
+    return R.roll_up_bitmaps(stored, tuple(R.KINDS), ("category",))
+
+
+def sessions_bitmap_rollup(spark, sf):
+    """S-01 exact by bitmaps: sessions with an event in each window and day."""
+    run = new_run_dir(spark, "session_bitmaps")
+    ev = _com(spark, sf)
+    ids = R.IdDictionary(spark, f"{run}/ids", "string").add(ev.select("session_id"), 0)
+    stored = R.store(R.distinct_bitmaps(ev, ids, "session_id", {"sessions": F.lit(True)}),
+                     f"{run}/sessions")
+    return R.roll_up_bitmaps(stored, ("sessions",))
+
+
 # -- serving ----------------------------------------------------------------------
 
 _ACTIVITY_FIELDS = [
@@ -326,6 +379,13 @@ QUERIES: dict[str, Query] = {
     "cheat_events": cheat_events,
     "cheat_a1_ids": cheat_a1_ids,
     "cheat_a2_users": cheat_a2_users,
+    "activity_all_grains": activity_all_grains,
+    "sessions_all_grains": sessions_all_grains,
+    "new_users_all_grains": new_users_all_grains,
+    "cheat_all_grains": cheat_all_grains,
+    "users_sketch_rollup": users_sketch_rollup,
+    "users_bitmap_rollup": users_bitmap_rollup,
+    "sessions_bitmap_rollup": sessions_bitmap_rollup,
     "user_activity_5m": user_activity_5m,
     "user_activity_30m": user_activity_30m,
     "metrics_kv": metrics_kv,

@@ -293,6 +293,64 @@ from (
 )""",
 }
 
+# Grain, start and end of the window or day of ts.
+_GRAINS = {
+    "5m": "epoch_us(ts) // 300000000 * 300 as window_start, window_start + 300 as window_end",
+    "30m": "epoch_us(ts) // 1800000000 * 1800 as window_start, window_start + 1800 as window_end",
+    "day": ("epoch_us(date_trunc('day', ts)) // 1000000 as window_start, "
+            "window_start + 86400 as window_end"),
+}
+
+
+def _all_grains(src: str, what: str, by_category: bool = False) -> str:
+    """``what`` over ``src`` per window of every grain, each grain on its own."""
+    parts = []
+    for grain, bounds in _GRAINS.items():
+        for split in ((True, False) if by_category else (None,)):
+            keys = "" if split is None else (
+                f"{str(split).lower()} as by_category, "
+                f"{'category' if split else 'cast(null as varchar) as category'}, ")
+            parts.append(f"select '{grain}' as grain, {bounds}, {keys}{what} from {src} group by all")
+    return "\nunion all\n".join(parts)
+
+
+_USERS = f"""count(distinct user_id) as dau,
+  count(distinct case when event_type = 'app_open' then user_id end) as dau_app_open, {_UV} as uv"""
+
+_BODIES["activity_all_grains"] = _all_grains("enr", f"""{_USERS},
+  count(*) as n_events, {_cnt('app_open')} as n_app_open, {_PV} as pv,
+  count(*) filter (where {_LEAVE}) as n_leave,
+  {_cnt('like')} as likes, {_cnt('fav')} as favs, {_cnt('share')} as shares,
+  {_cnt('comment')} as comments, {_INTER} as interactions, {_cnt('follow')} as follows,
+  {_cnt('unfollow')} as unfollows, {_cnt('dm')} as dms, {_cnt('enter_profile')} as profile_visits,
+  {_STAY} as avg_stay_sec, {_D1} as d1_instant_exits, {_E1} as e1_fast_swipes,
+  {_C} as c_long_stays, {_ratio(_D1, _PV)} as bounce_rate,
+  {_ratio(_INTER, _PV)} as interaction_rate, {_ratio(_INTER, _PV)} as exposure_conversion,
+  {_ratio(_cnt('fav'), _PV)} as fav_rate""", by_category=True)
+_BODIES["users_sketch_rollup"] = _all_grains("enr", _USERS, by_category=True)
+_BODIES["users_bitmap_rollup"] = _BODIES["users_sketch_rollup"]
+_BODIES["sessions_bitmap_rollup"] = _all_grains(
+    "(select * from com where session_id is not null)", "count(distinct session_id) as sessions")
+_BODIES["new_users_all_grains"] = _all_grains("""
+  (select min(ts) as ts from com where event_type = 'app_open' and user_id is not null
+   group by user_id)""", "count(*) as new_users")
+_BODIES["cheat_all_grains"] = _all_grains("""
+  (select ts, user_id, item_id, 1 as rule from a1 where is_cheat_a1
+   union all select ts, user_id, null, 2 from a2)""", """
+  count(distinct user_id) filter (where rule = 1) as a1_users,
+  count(distinct item_id) filter (where rule = 1) as a1_items,
+  count(*) filter (where rule = 1) as a1_events,
+  count(distinct user_id) filter (where rule = 2) as a2_users,
+  count(*) filter (where rule = 2) as a2_events""")
+_STARTED = _all_grains("(select *, s_start as ts from given_sessions)", """
+  sum(epoch_us(s_end) - epoch_us(s_start)) / count(*) / 1000000.0 as avg_session_sec,
+  sum(s_events) / count(*) as avg_events_per_session""")
+_BODIES["sessions_all_grains"] = f"""
+select a.grain, a.window_start, a.window_end, a.sessions,
+       b.avg_session_sec, b.avg_events_per_session
+from ({_BODIES["sessions_bitmap_rollup"]}) a
+left join ({_STARTED}) b on a.grain = b.grain and a.window_start = b.window_start"""
+
 # Q-08 needs the per-category counters first.
 _Q8 = f"""
 , q as (select {_D}, category, {_D1} as d1, {_E1} as e1, {_C} as c from enr group by all)

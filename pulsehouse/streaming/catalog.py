@@ -24,6 +24,7 @@ from pulsehouse.streaming.new_users import (
     first_app_opens,
     new_user_results,
 )
+from pulsehouse.streaming.sessions import SessionWriter
 
 
 def _event_stream(spark: SparkSession, directory: str, file_glob: str | None = None,
@@ -227,7 +228,9 @@ def stream_sessions_gap(spark, sf):
     from pulsehouse.plans.metrics import session_rollup
 
     run = new_run_dir(spark, "stream_sessions")
-    _run_closed(spark, sf, run, metrics.stream_sessions)
+    write = SessionWriter(f"{run}/out", f"{run}/state")
+    cols = ("event_id", "user_id", "event_type", "ts")
+    _run_closed(spark, sf, run, lambda ev: ev.select(*cols), lambda: {"foreach_batch": write})
     return session_rollup(spark.read.parquet(f"{run}/out"))
 
 

@@ -32,6 +32,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Removes ``path`` (a folder this library wrote) if it exists."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _rename(spark: SparkSession, source: str, target: str) -> None:
     jvm = spark.sparkContext._jvm
     a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)

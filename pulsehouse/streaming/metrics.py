@@ -14,12 +14,8 @@ cannot be a plain ``count_distinct`` on a stream; two forms are given:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pulsehouse import config
 from pulsehouse.functions import (
@@ -29,8 +25,6 @@ from pulsehouse.functions import (
     is_e1_fast_swipe,
     is_type,
 )
-from pulsehouse.operators.sessions import derived_sessions
-from pulsehouse.session import ship_package
 
 
 def _stream_counters() -> list[Column]:
@@ -145,103 +139,3 @@ def stream_approx_users(
         .groupBy(F.window("ts", window).alias("window"), *by)
         .agg(F.approx_count_distinct("user_id", rsd).alias("approx_users"))
     )
-
-
-class _OpenSessions(StatefulProcessor):
-    """Closed pieces of a user, joined into sessions; the state is the open
-    session's start, last time and count."""
-
-    def __init__(self, gap_us: int, bucket_us: int):
-        self.gap_us, self.bucket_us = gap_us, bucket_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getValueState("open", "a bigint, b bigint, n bigint")
-
-    def _closes(self, session: tuple) -> int:
-        """Watermark (ms) from which on no piece can go on the session: an
-        event still to come is at most a bucket behind the watermark."""
-        return (session[1] + self.gap_us + self.bucket_us) // 1000 + 1
-
-    def _rows(self, key, done: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame([(key[0], n, a, b) for a, b, n in done],
-                            columns=["user_id", "s_events", "a", "b"])
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        cur, done = None, []
-        if self.open.exists():
-            cur = tuple(self.open.get())
-            self.handle.deleteTimer(self._closes(cur))
-        pieces = pd.concat(list(rows)).sort_values(["t0", "k"])
-        for t0, t1, n, starts in zip(*(pieces[c].tolist() for c in ("t0", "t1", "n", "starts")),
-                                     strict=True):
-            if cur is not None and not starts and t0 - cur[1] <= self.gap_us:
-                cur = (cur[0], t1, cur[2] + n)
-                continue
-            if cur is not None:
-                done.append(cur)
-            cur = (t0, t1, n)
-        if self._closes(cur) <= timerValues.getCurrentWatermarkInMs():
-            done.append(cur)
-            self.open.clear()
-        else:
-            self.open.update(cur)
-            self.handle.registerTimer(self._closes(cur))
-        yield self._rows(key, done)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        done = [tuple(self.open.get())] if self.open.exists() else []
-        self.open.clear()
-        yield self._rows(key, done)
-
-    def close(self) -> None:
-        pass
-
-
-def stream_sessions(
-    events: DataFrame,
-    gap: str = f"{config.SESSION_GAP_SEC} seconds",
-    watermark: str = config.METRIC_WATERMARK,
-    bucket: str = "1 minute",
-) -> DataFrame:
-    """STR-6 from raw events: per user, a session ends before an ``app_open``
-    or after ``gap`` of inactivity. Events are held per (user, ``bucket``) only;
-    a closed bucket leaves the pieces of its sessions, which join the user's
-    open session (start, last time, count). Buckets wait for ``watermark`` and
-    ``gap``, so an event is late only once its session can be closed. A table
-    that is no stream takes the batch form."""
-    gap_us, late_us, bucket_us = (pd.Timedelta(x) // pd.Timedelta(1, "us")
-                                  for x in (gap, watermark, bucket))
-    if not events.isStreaming:
-        return derived_sessions(events, gap_us // 1_000_000).select(
-            "user_id", "s_events", "s_start", "s_end")
-    ship_package(events.sparkSession)
-    # the only store that keeps state with timers of its own
-    events.sparkSession.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    event = F.struct(F.unix_micros("ts").alias("t"), F.col("event_id").cast("string").alias("e"),
-                     F.coalesce(is_type("app_open"), F.lit(False)).alias("opens"))
-    buckets = (
-        events.where(F.col("user_id").isNotNull())
-        .withWatermark("ts", f"{gap_us + late_us} microseconds")
-        .groupBy(F.window("ts", bucket).alias("window"), "user_id")
-        .agg(F.sort_array(F.collect_list(event)).alias("ev"))
-    )
-    starts = f"ev[i].opens OR (i > 0 AND ev[i].t - ev[greatest(i, 1) - 1].t > {gap_us})"
-    cut = buckets.withColumn("at", F.expr(
-        f"filter(sequence(0, size(ev) - 1), i -> i = 0 OR {starts})"))
-    cut = cut.withColumn("pieces", F.expr(f"""transform(at, (i, k) -> struct(k, ev[i].t AS t0,
-        ev[coalesce(get(at, k + 1), size(ev)) - 1].t AS t1,
-        CAST(coalesce(get(at, k + 1), size(ev)) - i AS BIGINT) AS n, ({starts}) AS starts))"""))
-    pieces = cut.select("user_id", F.window_time("window").alias("closed"),
-                        F.explode("pieces").alias("p")).select("user_id", "closed", "p.*")
-    user = events.schema["user_id"].dataType.simpleString()
-    found = pieces.groupBy("user_id").transformWithStateInPandas(
-        _OpenSessions(gap_us, bucket_us),
-        outputStructType=f"user_id {user}, s_events bigint, a bigint, b bigint",
-        outputMode="append",
-        timeMode="EventTime",
-    )
-    return found.select("user_id", "s_events", F.timestamp_micros("a").alias("s_start"),
-                        F.timestamp_micros("b").alias("s_end"))

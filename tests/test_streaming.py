@@ -376,34 +376,67 @@ def test_enrichment_batch_that_failed_half_way(spark):
     assert [r.category for r in spark.read.parquet(f"{run}/events").collect()] == ["food"]
 
 
-def test_sessions_hold_no_stretch_of_events(spark):
-    """A user without a pause: whatever the length of the stretch, its events
-    are gathered per bucket only. Sessions equal the batch form, over several
-    batches and two runs (the second closes the open sessions)."""
-    from pulsehouse.operators.sessions import derived_sessions
-    from pulsehouse.streaming import metrics
-
+def _session_rows(spark):
     rnd, t0 = random.Random(3), 1_704_067_200
     rows = [(i, 1, "app_open" if i % 97 == 50 else "like", t0 + 40 * i) for i in range(600)]
     t = t0
     for i in range(600, 900):
         t += rnd.choice([0, 1, 59, 60, 900, 1799, 1800, 1801, 4000])
         rows.append((i, 2 + i % 2, rnd.choice(["like", "like", "app_open", None]), t))
-    df = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, s long").select(
+    rows += [(900, None, "like", t0 + 5), (901, 7, "like", None)]
+    return spark.createDataFrame(rows, "event_id long, user_id long, event_type string, s long").select(
         "event_id", "user_id", "event_type", F.timestamp_seconds("s").alias("ts"))
+
+
+def test_sessions_in_batches_equal_the_batch_form(spark):
+    """A user without a pause, ties, late-opening sessions: over several
+    micro-batches and two runs (the second closes the open sessions), with
+    arrival out of order inside the watermark, and a replayed batch."""
+    from pulsehouse.operators.sessions import derived_sessions
+    from pulsehouse.streaming.sessions import SessionWriter, open_sessions
+
+    df = _session_rows(spark)
     run = new_run_dir(spark, "test_sessions")
-    cut = F.timestamp_seconds(F.lit(t0 + 9_000))
-    df.where(F.col("ts") <= cut).orderBy(F.desc("event_id")).write.parquet(f"{run}/in")
-    stream = spark.readStream.schema(df.schema).parquet(f"{run}/in")
-    built = metrics.stream_sessions(stream)
-    df.where(F.col("ts") > cut).write.mode("append").parquet(f"{run}/in")
-    runner.run_closed(spark, spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "4")
-                      .parquet(f"{run}/in"), run, metrics.stream_sessions,
-                      lambda: df.agg(F.max("ts")).first()[0])
     cols = ["user_id", "s_events", "s_start", "s_end"]
     want = sorted(derived_sessions(df).select(cols).collect())
-    assert sorted(spark.read.parquet(f"{run}/out").select(cols).collect()) == want
-    assert sorted(metrics.stream_sessions(df).select(cols).collect()) == want
-    plan = built._jdf.queryExecution().analyzed().toString()
-    assert "session_window" not in plan
-    assert "collect_list" not in metrics.stream_sessions(df)._jdf.queryExecution().analyzed().toString()
+    # arrival: time shuffled within 20 minutes, less than watermark and gap
+    late = F.pmod(F.xxhash64("event_id"), F.lit(1200))
+    arrival = df.withColumn("at", F.unix_seconds("ts") + late).orderBy("at")
+    bounds = [None, 1_704_070_000, 1_704_076_000, 1_704_090_000, None]
+    write = SessionWriter(f"{run}/out", f"{run}/state")
+    for i, (lo, hi) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        part = arrival
+        if lo is not None:
+            part = part.where(F.col("at") >= lo)
+        if hi is not None:
+            part = part.where(F.col("at") < hi)
+        write(part, i)
+        if i == 2:
+            write(part, i)  # replayed
+    assert write.late_rows(spark) == 0
+    done = spark.read.parquet(f"{run}/out").select(cols)
+    rest = open_sessions(spark, f"{run}/state").select(cols)
+    assert rest.count() > 0
+    assert sorted(done.unionByName(rest).collect()) == want
+    write(df.where("event_id = 0"), 4)  # hours behind the watermark
+    assert write.late_rows(spark) == 1
+    assert sorted(spark.read.parquet(f"{run}/out").select(cols).unionByName(
+        open_sessions(spark, f"{run}/state").select(cols)).collect()) == want
+    assert "Python" not in done._jdf.queryExecution().executedPlan().toString()
+
+
+def test_session_stream_closes_at_the_end(spark):
+    from pulsehouse.operators.sessions import derived_sessions
+    from pulsehouse.streaming.sessions import SessionWriter
+
+    df = _session_rows(spark)
+    run = new_run_dir(spark, "test_sessions")
+    for part in range(3):
+        df.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{run}/in")
+    write = SessionWriter(f"{run}/out", f"{run}/state")
+    runner.run_closed(spark, spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "3")
+                      .parquet(f"{run}/in"), run, lambda e: e, lambda: df.agg(F.max("ts")).first()[0],
+                      lambda: {"foreach_batch": write})
+    cols = ["user_id", "s_events", "s_start", "s_end"]
+    got = spark.read.parquet(f"{run}/out").where("user_id > 0").select(cols).collect()
+    assert sorted(got) == sorted(derived_sessions(df).select(cols).collect())
