@@ -32,11 +32,52 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _on_fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Removes ``path`` (a folder this library wrote) if it exists."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _on_fs(spark, path)
+    fs.delete(p, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder; what was at ``target`` must be gone."""
+    _rename(spark, source, target)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file (a batch's bookkeeping), written whole under another name
+    and renamed."""
+    fs, p = _on_fs(spark, f"{path}.new")
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    remove_path(spark, path)
+    _rename(spark, f"{path}.new", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _on_fs(spark, path)
+    size = fs.getFileStatus(p).getLen()
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readNBytes(int(size))).decode()
+    finally:
+        stream.close()
+
+
+def last_batch(spark: SparkSession, path: str) -> int | None:
+    """The largest n of the entries ``batch_id=<n>`` in ``path``."""
+    fs, p = _on_fs(spark, path)
+    if not fs.exists(p):
+        return None
+    names = (s.getPath().getName() for s in fs.listStatus(p))
+    found = [int(n.removeprefix("batch_id=")) for n in names
+             if n.startswith("batch_id=") and n.removeprefix("batch_id=").isdecimal()]
+    return max(found, default=None)
 
 
 def _rename(spark: SparkSession, source: str, target: str) -> None:

@@ -15,14 +15,26 @@ a replayed batch reads its predecessor's tables and overwrites its own.
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pulsehouse import config
 from pulsehouse.functions import is_type
 from pulsehouse.operators.sessions import derived_sessions
-from pulsehouse.streaming.enrichment import path_exists, remove_path
+from pulsehouse.streaming.enrichment import (
+    last_batch,
+    move_path,
+    path_exists,
+    read_text,
+    remove_path,
+    write_text,
+)
+_ROWS = ("user_id bigint, event_id string, event_type string, ts timestamp, first_ts timestamp, "
+         "events bigint")
+_SESSIONS = "user_id bigint, s_events bigint, s_start timestamp, s_end timestamp"
 # A replay needs the tables of the batch before it.
 KEEP_BATCHES = 3
 
@@ -31,10 +43,27 @@ def _us(interval: str) -> int:
     return int(pd.Timedelta(interval) // pd.Timedelta(1, "us"))
 
 
-def _as_rows(open_: DataFrame) -> DataFrame:
+def _read_mark(spark: SparkSession, state: str, batch_id: int) -> tuple[int | None, int]:
+    """(watermark in us, late events so far) after a batch."""
+    path = f"{state}/mark/batch_id={batch_id}"
+    if not path_exists(spark, path):
+        return None, 0
+    found = json.loads(read_text(spark, path))
+    return found["mark"], found["late"]
+
+
+def _pending(spark: SparkSession, state: str, batch_id: int, mark: int) -> DataFrame:
+    return spark.read.schema(_ROWS).parquet(f"{state}/pending/batch_id={batch_id}").where(
+        F.unix_micros("ts") > mark)
+
+
+def _open(spark: SparkSession, state: str, batch_id: int) -> DataFrame:
     """Open sessions as one row each at their last time, which is before every
     event still to come."""
-    return open_.where(~F.col("closed")).select(
+    path = f"{state}/sessions/batch_id={batch_id}/closed=false"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], _ROWS)
+    return spark.read.schema(_SESSIONS).parquet(path).select(
         "user_id", F.lit(None).cast("string").alias("event_id"), F.lit("other").alias("event_type"),
         F.col("s_end").alias("ts"), F.col("s_start").alias("first_ts"),
         F.col("s_events").alias("events"))
@@ -61,56 +90,50 @@ class SessionWriter:
     def _at(self, table: str, batch_id: int) -> str:
         return f"{self.state}/{table}/batch_id={batch_id}"
 
-    def _before(self, spark: SparkSession, batch_id: int):
-        """(watermark in us, pending, open) after the batch before this one."""
-        if not path_exists(spark, self._at("mark", batch_id - 1)):
-            return None, None, None
-        mark = spark.read.parquet(self._at("mark", batch_id - 1)).first().mark
-        read = lambda t: spark.read.parquet(self._at(t, batch_id - 1))
-        return mark, read("pending").where(F.unix_micros("ts") > mark), read("sessions")
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        mark, pending, before = self._before(spark, batch_id)
-        one = F.lit(1).cast("bigint")
+        mark, late_before = _read_mark(spark, self.state, batch_id - 1)
         rows = batch.select("user_id", F.col("event_id").cast("string").alias("event_id"),
                             F.when(is_type("app_open"), "app_open").otherwise("other")
                             .alias("event_type"), "ts", F.col("ts").alias("first_ts"),
-                            one.alias("events"))
+                            F.lit(1).cast("bigint").alias("events"))
         t = F.unix_micros("ts")
-        late = F.coalesce(t <= F.lit(mark), F.lit(False))
-        seen = rows.agg(F.max(t).alias("last"), F.count_if(late).alias("late")).first()
-        marks = [x for x in (mark, None if seen.last is None else seen.last - self.delay_us)
-                 if x is not None]
-        new = rows.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull() & ~late)
-        if pending is not None:
-            new = new.unionByName(pending.select(*new.columns))
+        late = F.coalesce(t <= F.lit(mark).cast("bigint"), F.lit(False))
+        seen = Observation()
+        new = rows.observe(seen, F.max(t).alias("last"), F.count_if(late).alias("late")).where(
+            F.col("user_id").isNotNull() & F.col("ts").isNotNull() & ~late)
+        if mark is not None:
+            new = new.unionByName(_pending(spark, self.state, batch_id - 1, mark))
         new.write.mode("overwrite").parquet(self._at("pending", batch_id))
+        last, n_late = seen.get["last"], seen.get["late"]
+        marks = [x for x in (mark, None if last is None else last - self.delay_us) if x is not None]
         if marks:
-            self._close(spark, max(marks), before, batch_id)
-            spark.createDataFrame([(max(marks), seen.late)], "mark bigint, late bigint").coalesce(
-                1).write.mode("overwrite").parquet(self._at("mark", batch_id))
-        for table in ("pending", "sessions"):
-            remove_path(spark, self._at(table, batch_id - KEEP_BATCHES))
-
-    def _close(self, spark: SparkSession, mark: int, before: DataFrame | None, batch_id: int) -> None:
-        due = spark.read.parquet(self._at("pending", batch_id)).where(F.unix_micros("ts") <= mark)
-        if before is not None:
-            due = due.unionByName(_as_rows(before))
+            self._close(spark, max(marks), mark is not None, batch_id)
+            write_text(spark, self._at("mark", batch_id),
+                       json.dumps({"mark": max(marks), "late": late_before + n_late}))
+        for old in ("pending", "sessions"):
+            remove_path(spark, self._at(old, batch_id - KEEP_BATCHES))
+
+    def _close(self, spark: SparkSession, mark: int, carried: bool, batch_id: int) -> None:
+        due = spark.read.schema(_ROWS).parquet(self._at("pending", batch_id)).where(
+            F.unix_micros("ts") <= mark)
+        if carried:
+            due = due.unionByName(_open(spark, self.state, batch_id - 1))
         found = derived_sessions(due, self.gap_us // 1_000_000, start="first_ts", weight="events",
                                  mark_last=True)
         closed = ~F.col("is_last") | (F.unix_micros("s_end") + self.gap_us < F.lit(mark))
+        staged = self._at("sessions", batch_id)
         found.select("user_id", F.col("s_events").cast("bigint").alias("s_events"), "s_start", "s_end",
-                     closed.alias("closed")).write.mode("overwrite").parquet(
-            self._at("sessions", batch_id))
-        done = spark.read.parquet(self._at("sessions", batch_id)).where("closed").drop("closed")
-        done.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+                     closed.alias("closed")).write.mode("overwrite").partitionBy("closed").parquet(staged)
+        # the closed part becomes the batch's result
+        remove_path(spark, f"{self.path}/batch_id={batch_id}")
+        if path_exists(spark, f"{staged}/closed=true"):
+            move_path(spark, f"{staged}/closed=true", f"{self.path}/batch_id={batch_id}")
 
     def late_rows(self, spark: SparkSession) -> int:
         """Events left out behind the watermark so far."""
-        if not path_exists(spark, f"{self.state}/mark"):
-            return 0
-        return int(spark.read.parquet(f"{self.state}/mark").agg(F.sum("late")).first()[0] or 0)
+        last = last_batch(spark, f"{self.state}/mark")
+        return 0 if last is None else _read_mark(spark, self.state, last)[1]
 
 
 def open_sessions(spark: SparkSession, state: str,
@@ -118,12 +141,10 @@ def open_sessions(spark: SparkSession, state: str,
     """What ``SessionWriter`` has not closed yet, from its own tables (no event
     file is read again): the open sessions of the last batch joined with the
     events that are still pending. None before the first batch."""
-    if not path_exists(spark, f"{state}/mark"):
+    last = last_batch(spark, f"{state}/mark")
+    if last is None:
         return None
-    last = spark.read.parquet(f"{state}/mark").agg(F.max("batch_id")).first()[0]
-    mark = spark.read.parquet(f"{state}/mark/batch_id={last}").first().mark
-    pending = spark.read.parquet(f"{state}/pending/batch_id={last}").where(F.unix_micros("ts") > mark)
-    held = _as_rows(spark.read.parquet(f"{state}/sessions/batch_id={last}"))
-    return derived_sessions(pending.unionByName(held), _us(gap) // 1_000_000, start="first_ts",
-                            weight="events").select(
+    mark, _ = _read_mark(spark, state, last)
+    rows = _pending(spark, state, last, mark).unionByName(_open(spark, state, last))
+    return derived_sessions(rows, _us(gap) // 1_000_000, start="first_ts", weight="events").select(
         "user_id", F.col("s_events").cast("bigint").alias("s_events"), "s_start", "s_end")
