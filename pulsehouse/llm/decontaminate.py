@@ -51,10 +51,9 @@ def _shingles(width: int) -> str:
 
 
 def windows(bench: DataFrame, size: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """item_id, win (words joined by a space), len, and per shingle of the
-    window: width, offset, token."""
-    w = (bench.filter("item_id IS NOT NULL")
-         .select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("w"))
+    """item_id (null for items without an id), win (words joined by a space),
+    len, and per shingle of the window: width, offset, token."""
+    w = (bench.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("w"))
          .filter("size(w) > 0").distinct()
          .select("item_id", "w", F.explode(F.expr(
              f"sequence(0, greatest(0, size(w) - {size}))")).alias("at"))
@@ -117,10 +116,11 @@ def contamination(docs: DataFrame, bench: DataFrame, size: int = WINDOW) -> Data
     inside any occurrence of a window), n_items, items_sha256, contaminated.
 
     ``bench`` has item_id and text. An item of fewer than ``size`` words, but
-    not none, is one window. Null or empty texts have no words; items
-    without an id or words are skipped; the same item given twice counts
-    once. Repeated documents get equal rows; empty tables give no rows or no
-    hits. Other columns are ignored.
+    not none, is one window. Null or empty texts have no words. Windows of
+    items without an id count as hits, but there is no id to list, so they are
+    in neither n_items nor items_sha256; the same item given twice counts once.
+    Repeated documents get equal rows; empty tables give no rows or no hits.
+    Other columns are ignored.
     """
     rows, wins = _verified(docs.select("doc_id", "text"), bench, size)
     rows = keep(rows.select(
@@ -130,7 +130,7 @@ def contamination(docs: DataFrame, bench: DataFrame, size: int = WINDOW) -> Data
                "h -> sequence(h.start, h.start + h.len - 1))))), 0)").cast("long").alias("n_hit"),
         F.expr("array_distinct(transform(hits, h -> h.win))").alias("found")))
     items = (rows.filter("size(found) > 0").select("key", F.explode("found").alias("win")).distinct()
-             .join(wins.select("win", "item_id").distinct(), "win")
+             .join(wins.filter("item_id IS NOT NULL").select("win", "item_id").distinct(), "win")
              .groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("items")))
     return (rows.join(items, "key", "left")
             .select("doc_id", "n_words", "n_hit",

@@ -14,7 +14,7 @@ bw AS (
   SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(
            coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM benchmark WHERE item_id IS NOT NULL),
+  FROM benchmark),
 win AS (
   SELECT DISTINCT item_id, array_to_string(list_slice(w, i + 1, i + 10), ' ') AS win,
          len(list_slice(w, i + 1, i + 10)) AS n
@@ -36,7 +36,7 @@ cover AS (
     SELECT DISTINCT rid, unnest(range(i, i + n)) AS k FROM hit) GROUP BY rid),
 its AS (
   SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
-  FROM (SELECT DISTINCT rid, item_id FROM hit) GROUP BY rid)
+  FROM (SELECT DISTINCT rid, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY rid)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
        CAST(coalesce(c.n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(i.n_items, 0) AS BIGINT) AS n_items,

@@ -76,15 +76,13 @@ def contamination(text, bench):
     w = BENCH_WORD.findall((text or "").translate(LOWER))
     hit, items = set(), set()
     for item, t in bench:
-        if item is None:
-            continue
         b = BENCH_WORD.findall((t or "").translate(LOWER))
         n = min(10, len(b))
         wins = {tuple(b[i:i + n]) for i in range(len(b) - n + 1)} if n else set()
         for i in range(len(w) - n + 1 if n else 0):
             if tuple(w[i:i + n]) in wins:
                 hit.update(range(i, i + n))
-                items.add(str(item))
+                items |= {str(item)} - {"None"}
     return (len(w), len(hit), len(items), sha(",".join(sorted(items))), bool(hit))
 
 
