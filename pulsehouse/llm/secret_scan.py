@@ -4,17 +4,23 @@ and SQL functions only.
 Two first-order Markov chains over characters, one of random strings and one
 of ordinary identifiers, are trained from labelled samples; a token whose
 log-likelihood ratio passes a threshold is reported besides what the fixed
-rules find. Unless samples are given, the rules label them: values they find
-are random strings, long words of letters outside of them are ordinary.
+rules find. Unless other samples are given they are ``labelled_samples``,
+made by a rule, so the model does not depend on the table that is scanned.
+
+Positions are running sums over a text's matches. They are taken in chunks of
+CHUNK matches (a sum per chunk, a short running sum over the chunks, then
+inside each), as appending to an array copies it: the work grows in proportion
+to the matches of a text.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import random
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsehouse.llm.common import keep
@@ -33,24 +39,98 @@ MIN_TOKEN = 16
 THRESHOLD = 10.0
 BACKOFF = 4.0
 
+CHUNK = 256
 _SPAN = "array<struct<s:int,e:int,v:string>>"
 
+# Words that identifiers are made of in the labelled samples.
+PARTS = ("""
+access account action active address admin agent alert alias amount analysis app archive array
+article async auth author background backup balance base batch billing block body border branch
+bridge browser bucket buffer build bundle button cache calendar callback category center channel
+character chart check child class clean click client clock cloud cluster code collection color column
+command comment commit common company component config connection console container content context
+control convert cookie copy core count country create currency current customer dashboard data
+database date debug default delete delivery description design detail device dialog directory
+discount display document domain download driver editor element email empty enable encoder end
+engine entry environment error event example exception export external factory feature field file
+filter final folder font footer format frame function gateway global graph group handler header
+height helper hidden history home image import index initial input instance integer interface
+internal invoice item iterator job journal language layout length level library license limit line
+link list loader local location logger login loop machine main manager mapping master matrix member
+memory menu message method metric middle migration mobile model module monitor name network node
+notification number object office offset operation option order origin output owner package page
+panel parameter parent parser partition path pattern payment performance permission person platform
+player plugin point policy position prefix preview price print private process product profile
+project property provider public query queue range reader record redirect reference region register
+release remote render report request resource response result return review role root router row
+rule runtime sample schedule schema scope screen script search section segment select sender series
+server service session setting shared simple single size snapshot socket source space status step
+storage stream string style subject summary support switch system table target task team template
+test text theme thread ticket time title toggle token tool topic total tracker train transfer tree
+trigger type unit update upload user util value vector version video view widget window worker
+""").split()
+
+
+def labelled_samples(spark: SparkSession, n: int = 4000, seed: int = 1) -> DataFrame:
+    """value, random: ``n`` random strings over the alphabets keys come in,
+    and ``n`` ordinary identifiers, made of PARTS in the usual ways of
+    writing them. The same for every call."""
+    r = random.Random(seed)
+    alphabets = (string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits,
+                 string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits)
+    rows = [("".join(r.choices(alphabets[i % 4], k=r.randint(16, 48))), True) for i in range(n)]
+    for i in range(n):
+        w = r.choices(PARTS, k=r.randint(2, 5))
+        style = i % 6
+        value = ("_".join(w) if style == 0 else "-".join(w) if style == 1 else
+                 w[0] + "".join(x.title() for x in w[1:]) if style == 2 else "/".join(w)
+                 if style == 3 else "".join(w) if style == 4 else "_".join(w).upper())
+        if r.random() < 0.2:
+            value += r.choice("_-/") + str(r.choice((1, 2, 3, 10, 100, 2020, 2024, 8080)))
+        rows.append((value, False))
+    return spark.createDataFrame(rows, "value string, random boolean")
+
+
+def _chunked(items: str, start: str, total: str, join: str, local: str) -> str:
+    """SQL: a scan over the array ``items`` in chunks. ``start`` is the state
+    before the first item; ``total`` is the aggregate of a chunk ``part``,
+    which ``join`` adds to the state ``st``; ``local`` is the result array of a
+    chunk ``part`` from the state ``st`` before it."""
+    part = f"slice({items}, c * {CHUNK} + 1, {CHUNK})"
+    return f"""
+flatten(transform(
+  aggregate(sequence(0, (size({items}) - 1) div {CHUNK}),
+            named_struct('st', {start}, 'out', cast(array() AS array<int>)),
+            (a, c) -> transform(array({part}), part -> transform(array(a.st), st ->
+              named_struct('st', {join.format(total=total)}, 'out', concat(a.out, array(st))))[0])[0]
+           ).out,
+  (st, c) -> transform(array({part}), part -> {local})[0]))"""
+
 
 def _located(kind: str) -> Column:
-    """Spans (s, e, v) from the matches m_kind and the pieces p_kind between
-    them, in code points."""
-    m, p = f"m.{kind}", f"p.{kind}"
-    return F.expr(f"""
-CASE WHEN size({m}) = 0 THEN cast(array() AS {_SPAN}) ELSE aggregate(
-  sequence(1, size({m})), cast(named_struct('at', 0, 'out', array())
-                               AS struct<at:int,out:{_SPAN}>),
-  (a, i) -> named_struct(
-    'at', a.at + char_length({p}[i - 1]) + char_length({m}[i - 1]),
-    'out', concat(a.out, array(named_struct(
-      's', a.at + char_length({p}[i - 1]),
-      'e', a.at + char_length({p}[i - 1]) + char_length({m}[i - 1]),
-      'v', {m}[i - 1])))),
-  a -> a.out) END""")
+    """Spans (s, e, v) from the gaps and lengths l_kind of the matches, in code
+    points."""
+    scan = _chunked(
+        f"l.{kind}", "0", "aggregate(part, 0, (t, x) -> t + x.g + x.n)", "st + {total}",
+        f"""aggregate(part, named_struct('at', st, 'out', cast(array() AS {_SPAN})),
+        (a, x) -> named_struct('at', a.at + x.g + x.n, 'out', concat(a.out, array(named_struct(
+          's', a.at + x.g, 'e', a.at + x.g + x.n, 'v', x.v))))).out""")
+    return F.expr(f"CASE WHEN size(l.{kind}) = 0 THEN cast(array() AS {_SPAN}) ELSE {scan} END")
+
+
+# Tokens that overlap no base span. Base spans stand at their start, tokens
+# ask at their end (before a base span that starts there): one overlaps if
+# the largest end so far is beyond the token's start.
+_EVENTS = """array_sort(concat(
+  transform(concat(assign, access, hex), b -> named_struct('at', b.s, 'base', 1, 'x', b.e, 'i', -1)),
+  transform(token, (t, i) -> named_struct('at', t.e, 'base', 0, 'x', t.s, 'i', i))))"""
+_FREE = _chunked(
+    "ev", "0", "aggregate(part, 0, (t, x) -> if(x.base = 1, greatest(t, x.x), t))",
+    "greatest(st, {total})",
+    """aggregate(part, named_struct('far', st, 'out', cast(array() AS array<int>)),
+       (a, x) -> named_struct('far', if(x.base = 1, greatest(a.far, x.x), a.far),
+                              'out', if(x.base = 0 AND a.far <= x.x, concat(a.out, array(x.i)),
+                                        a.out))).out""")
 
 
 def _once(value: Column) -> Column:
@@ -68,15 +148,25 @@ def find(docs: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "m", _once(F.struct(*[
         F.when(F.size(F.col(f"m.{k}")) > 0, F.split("text", rx, -1)).alias(k)
         for k, rx in KINDS])).alias("p"))
-    rows = rows.select("doc_id", *[_located(k).alias(k) for k, _ in KINDS])
-    rows = rows.withColumn("assign", F.filter("assign", lambda x: F.length(
+    lengths = ("transform(m.{0}, (v, i) -> named_struct('g', char_length(p.{0}[i]), "
+               "'n', char_length(v), 'v', v))")
+    rows = rows.select("doc_id", _once(F.struct(*[
+        F.expr(lengths.format(k)).alias(k) for k, _ in KINDS])).alias("l"))
+    rows = rows.select("doc_id", _once(F.struct(*[_located(k).alias(k) for k, _ in KINDS])).alias("f"))
+    rows = rows.select("doc_id", "f.*").withColumn("assign", F.filter("assign", lambda x: F.length(
         F.regexp_extract(x.v, ASSIGN, 2)) >= 8))
+    both = "size(token) > 0 AND size(assign) + size(access) + size(hex) > 0"
+    rows = rows.withColumn("ev", _once(F.expr(f"CASE WHEN {both} THEN {_EVENTS} END")))
+    rows = rows.withColumn("free", _once(F.expr(f"CASE WHEN {both} THEN {_FREE} END")))
     return rows.withColumn("token", F.expr(
-        "filter(token, t -> NOT exists(concat(assign, access, hex), b -> t.s < b.e AND b.s < t.e))"))
+        "CASE WHEN free IS NULL THEN token ELSE transform(free, i -> token[i]) END")).drop("ev", "free")
 
 
 def weak_samples(found: DataFrame) -> DataFrame:
-    """value, random: what the rules label."""
+    """value, random: samples that the rules label in what ``find`` found,
+    for ``train``: values they find are random strings, long words of letters
+    outside of them are ordinary. On request only: these labels are guesses and
+    depend on the table."""
     secret = found.select(F.explode(F.concat("assign", "access", "hex")).alias("x"))
     secret = secret.select(F.when(F.col("x.v").rlike(f"^{ASSIGN}$"),
                                   F.regexp_extract("x.v", ASSIGN, 2))
@@ -121,19 +211,16 @@ def scan(docs: DataFrame, model: list[float] | None = None,
     n_markov, base_sha256, spans.
 
     Base spans are the rules' matches, leftmost and non-overlapping per kind;
-    the model adds tokens of 16 or more characters with a letter that overlap
-    none of them, as kind ``markov``. A null text is empty; no spans hash as
+    the model (by default trained on ``labelled_samples``) adds tokens of 16 or
+    more characters with a letter that overlap none of them, as kind ``markov``. A null text is empty; no spans hash as
     the empty string. Repeated rows give equal rows, no rows give none; other
-    columns are ignored. If a class has no samples the model adds nothing.
+    columns are ignored.
     """
+    model = model or train(labelled_samples(docs.sparkSession))
     found = keep(find(docs))
-    model = model or train(weak_samples(found))
-    if model is None:
-        rows = found.withColumn("markov", F.filter("token", lambda t: F.lit(False)))
-    else:
-        rows = found.withColumn("token", F.expr(
-            f"filter(token, t -> length(t.v) >= {MIN_TOKEN} AND t.v RLIKE '[A-Za-z]')"))
-        rows = rows.withColumn("markov", F.filter("token", lambda t: _passes(t, model, threshold)))
+    rows = found.withColumn("token", F.expr(
+        f"filter(token, t -> length(t.v) >= {MIN_TOKEN} AND t.v RLIKE '[A-Za-z]')"))
+    rows = rows.withColumn("markov", F.filter("token", lambda t: _passes(t, model, threshold)))
 
     def labelled(kinds):
         parts = [F.expr(f"transform({k}, x -> struct(x.s AS s, {i} AS k, '{k}' AS kind, x.e AS e))")
