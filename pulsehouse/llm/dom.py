@@ -7,6 +7,8 @@ from html import unescape
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset(("script", "style"))
+# Elements that stand at the top themselves.
+TOP = frozenset(("html", "head", "body", "frameset"))
 INLINE = frozenset(("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q s samp "
                     "small span strong sub sup time tt u var").split())
 # A start tag of the key closes an open element of the value.
@@ -26,7 +28,9 @@ _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 class Page:
     """tags, parents (-1 for roots), marks (tokens of class, id and role) and
     raw attributes of the elements; pieces: (element, text) in order, where
-    text None is a block boundary. Texts have their references decoded."""
+    text None is a block boundary. Texts have their references decoded. Text
+    and elements outside of any element open an implied body, as browsers
+    do, so every text that is not white space has an element."""
 
     __slots__ = ("tags", "parents", "attrs", "pieces")
 
@@ -43,7 +47,7 @@ class Page:
         return [t.lower() for v in _MARKS.findall(self.attrs[i]) for t in _TOKEN.findall(v)]
 
     def _read(self, html: str) -> None:
-        tags, parents, attrs, pieces = self.tags, self.parents, self.attrs, self.pieces
+        pieces = self.pieces
         stack: list[int] = []
         at, size = 0, len(html)
         while at < size:
@@ -53,6 +57,8 @@ class Page:
                 text = html[at:start]
                 if "&" in text:
                     text = unescape(text)
+                if not stack and not text.isspace():
+                    self._open(stack, "body", "")
                 pieces.append((stack[-1] if stack else -1, text))
             if not m:
                 break
@@ -67,14 +73,20 @@ class Page:
                 continue
             if tag not in INLINE:
                 self._imply(stack, tag)
-            tags.append(tag)
-            parents.append(stack[-1] if stack else -1)
-            attrs.append(m[3] or m[4] or "")
+            if not stack and tag not in TOP:
+                self._open(stack, "body", "")
+            self._open(stack, tag, m[3] or m[4] or "")
             if tag in RAW:
                 end = _RAW_END[tag].search(html, at)
                 at = end.end() if end else size
-            elif tag not in VOID:
-                stack.append(len(tags) - 1)
+            if tag in RAW or tag in VOID:
+                stack.pop()
+
+    def _open(self, stack: list[int], tag: str, attrs: str) -> None:
+        self.tags.append(tag)
+        self.parents.append(stack[-1] if stack else -1)
+        self.attrs.append(attrs)
+        stack.append(len(self.tags) - 1)
 
     def _imply(self, stack: list[int], tag: str) -> None:
         wanted = CLOSES.get(tag, ())

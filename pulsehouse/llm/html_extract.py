@@ -2,17 +2,20 @@
 nodes, with hierarchical decoding.
 
 Every element has features of its tag, its class and id tokens, those of its
-ancestors, its depth, the density of text and links in its subtree, and its
-siblings. Boosted trees give the probability that it belongs to the article.
+ancestors, its depth, the density of text and links in its subtree, how much
+of it is plain blocks of text, marked as main text or as something else, and
+its siblings. Boosted trees give the probability that it belongs to the article.
 The decoding picks the most likely labelling of the whole tree in which the
 article region is closed: a page region may contain the article, the article
 may contain dropped parts (adverts, comments), and nothing inside a dropped
 part comes back.
 
 The trees are fitted on a bounded sample: ``LAYOUTS`` generated page layouts
-with known regions, and about ``SAMPLE_PAGES`` pages of the table, chosen by
-a hash, whose regions are told by semantic tags where they have them. All
-pages are extracted, whole.
+with known regions (with and without wrappers that name the article, down to
+bare text), and at most ``SAMPLE_PAGES`` whole pages of the table of up to
+``SAMPLE_CHARS`` characters, the first in the order of a hash, whose regions
+are told by semantic tags where they have them. All pages are extracted,
+whole.
 """
 
 from __future__ import annotations
@@ -27,8 +30,9 @@ from pyspark.sql import functions as F
 from pulsehouse.llm.common import map_arrow
 from pulsehouse.llm.dom import INLINE, RAW, Page
 
-LAYOUTS = 400
-SAMPLE_PAGES = 200
+LAYOUTS = 500
+SAMPLE_PAGES = 100
+SAMPLE_CHARS = 1 << 18
 TREES, DEPTH, RATE, BINS = 40, 4, 0.3, 24
 PAGES_AT_ONCE = 64
 
@@ -52,12 +56,16 @@ _MARK = {t: i for i, group in enumerate(MARKS) for t in group}
 N_TAGS, N_MARKS = len(TAGS), len(MARKS)
 BAD_TAGS = range(1, 7)
 BAD_MARKS = range(1, 8)
-N_FEATURES = 2 * (N_TAGS + N_MARKS) + 9
+N_FEATURES = 2 * (N_TAGS + N_MARKS) + 13
+_MAIN_BITS = 1 | 1 << N_TAGS
+_BAD_BITS = sum(1 << k for k in BAD_TAGS) | sum(1 << (N_TAGS + k) for k in BAD_MARKS)
+# Tag groups of blocks of text, and inline elements.
+_TEXT_BITS = sum(1 << k for k in (7, 8, 9, 10, 11, 14))
 
 
 def features(page: Page) -> np.ndarray:
-    """[element, feature]: bits of the element, bits of its ancestors, nine
-    measures."""
+    """[element, feature]: bits of the element, bits of its ancestors, and
+    measures of its subtree, its siblings and its page."""
     n = len(page.tags)
     own = N_TAGS + N_MARKS
     parents, names = page.parents, page.tags
@@ -85,14 +93,24 @@ def features(page: Page) -> np.ndarray:
         if p >= 0:
             depth[i] = depth[p] + 1
             above[i] = above[p] | bits[p]
+    good, bad, plain = [0] * n, [0] * n, list(direct)
     for i in range(n - 1, -1, -1):
-        p = parents[i]
+        p, x = parents[i], bits[i]
         if names[i] == "a":
             links[i] = chars[i]
+        if x & _BAD_BITS:
+            good[i], bad[i] = 0, chars[i]
+        elif x & _MAIN_BITS:
+            good[i] = chars[i]
         if p >= 0:
             chars[p] += chars[i]
             links[p] += links[i]
             tags[p] += tags[i]
+            good[p] += good[i]
+            bad[p] += bad[i]
+            if x & _TEXT_BITS and not x & _BAD_BITS:
+                plain[p] += chars[i]
+    marked = sum(good[i] for i in range(n) if parents[i] < 0)
     c, t = np.array(chars, float), np.array(tags, float)
     place = np.arange(own, dtype=np.int64)
     both = np.stack([np.array(bits, np.int64), np.array(above, np.int64)], axis=1)
@@ -108,6 +126,9 @@ def features(page: Page) -> np.ndarray:
     rest[:, 6] = order
     rest[:, 7] = [children[p] for p in parents]
     rest[:, 8] = [alike[p, t] for p, t in zip(parents, names, strict=True)]
+    some = np.maximum(c, 1)
+    rest[:, 9], rest[:, 10], rest[:, 11] = good / some, bad / some, plain / some
+    rest[:, 12] = marked / max(1.0, sum(chars[i] for i in range(n) if parents[i] < 0))
     return x
 
 
@@ -225,6 +246,10 @@ _MAIN = ('<article {k}>{c}</article>', '<main {k}>{c}</main>', '<div class="cont
          '<div id="main-content" {k}>{c}</div>', '<div class="post-body entry" {k}>{c}</div>',
          '<section role="main" {k}><div>{c}</div></section>',
          '<main {k}><article><div class="text">{c}</div></article></main>')
+# Articles that no tag or class names.
+_PLAIN = ('<div {k}>{c}</div>', '<div class="c1" {k}>{c}</div>', '<div id="x" {k}><div>{c}</div></div>',
+          '<div class="box"><div class="inner" {k}>{c}</div></div>', '<section {k}>{c}</section>',
+          '<table><tr><td {d}><ul>{l}</ul></td><td {k}>{c}</td></tr></table>', '<center {k}>{c}</center>')
 _DROP = ('<nav {d}><ul>{l}</ul></nav>', '<div class="menu" {d}><ul>{l}</ul></div>',
          '<header {d}><h1>{s}</h1><ul>{l}</ul></header>', '<div id="header" {d}><p>{s}</p></div>',
          '<footer {d}><p>{s}</p></footer>', '<div class="site-footer" {d}>{s} {l}</div>',
@@ -240,24 +265,36 @@ _BODY = ('<p>{t}</p>', '<p>{t}</p>', '<p>{t}<br>{s}</p>', '<h2>{s}</h2>', '<p><b
          '<ul><li>{s}</li><li>{s}</li></ul>', '<blockquote><p>{t}</p></blockquote>',
          '<p>{t} <a href="x">{s}</a></p>', '<table><tr><td>{s}</td><td>{s}</td></tr></table>',
          '<p><b>{s}<br>', '<pre>{t}</pre>', '<div>{t}</div>')
+_LOOSE = (' {t} ', '<b>{s}</b> {t}', '<br>{t}', '<p>{t}', '<a href="x">{s}</a> {t}', '<div>{t}</div>')
 
 
 def layout(rng: np.random.Generator) -> str:
     def text(lo, hi):
         return " ".join("w" * int(k) for k in rng.integers(1, 9, rng.integers(lo, hi)))
 
-    def fill(form, **more):
+    def fill(form, c=""):
         links = "".join(f'<li><a href="/">{text(1, 3)}</a></li>' for _ in range(rng.integers(2, 9)))
-        return form.format(t=text(2, 60), s=text(1, 9), l=links, k='data-y="1"', d='data-y="0"',
-                           **more) if "{c}" not in form else form.format(k='data-y="1"', **more)
+        return form.format(t=text(2, 60), s=text(1, 9), l=links, k='data-y="1"', d='data-y="0"', c=c)
 
     def some(forms, lo, hi):
         return [fill(forms[int(i)]) for i in rng.integers(0, len(forms), rng.integers(lo, hi))]
 
+    def mixed(parts, others):
+        for part in others:
+            parts.insert(int(rng.integers(1, len(parts) + 1)), part)
+        return "".join(parts)
+
     inner = ([f"<h1>{text(2, 12)}</h1>"] if rng.random() < 0.9 else []) + some(_BODY, 1, 14)
-    for part in some(_DROP[2:19], 0, 3):
-        inner.insert(int(rng.integers(1, len(inner) + 1)), part)
-    main = fill(_MAIN[int(rng.integers(len(_MAIN)))], c="".join(inner))
+    kind = rng.random()
+    if kind < 0.1:  # bare text, with or without some markup in it
+        return f'<body data-y="1">{text(5, 300)}' + "".join(some(_LOOSE, 0, 4)) + "</body>"
+    if kind < 0.3:  # the body itself is the article
+        parts = "".join(some(_DROP, 0, 3)) + mixed(inner, some(_DROP, 0, 4))
+        if kind < 0.2:
+            return f'<body data-y="1">{parts}</body>'
+        return f'<html><head><title>{text(2, 9)}</title></head><body data-y="1">{parts}</body></html>'
+    forms = _PLAIN if kind < 0.5 else _MAIN
+    main = fill(forms[int(rng.integers(len(forms)))], mixed(inner, some(_DROP[2:19], 0, 3)))
     body = "".join([*some(_DROP, 0, 5), main, *some(_DROP, 0, 4)])
     if rng.random() < 0.4:
         body = f'<div class="{rng.choice(["wrapper", "container", "page", "site"])}">{body}</div>'
@@ -304,8 +341,8 @@ def train(sample: list[str]) -> Boosted:
         page = Page(html)
         y = guessed(page)
         if y is not None:
-            xs.append(features(page)[:2000])
-            ys.append(y[:2000])
+            xs.append(features(page))
+            ys.append(y)
     return Boosted().fit(np.concatenate(xs), np.concatenate(ys))
 
 
@@ -329,21 +366,26 @@ def _extractor(shared):
     return run
 
 
+def _sample(pages: DataFrame) -> list[str]:
+    """At most SAMPLE_PAGES whole pages of up to SAMPLE_CHARS characters, the
+    first by hash of id and text: the same ones however the table is dealt."""
+    fit = pages.filter(F.length("html") <= SAMPLE_CHARS)
+    scale = 1 << 30
+    limit = min(scale, -(-scale * 2 * SAMPLE_PAGES // max(fit.count(), 1)))
+    h = F.xxhash64("page_id", "html", F.lit(6))
+    drawn = fit.filter(F.pmod(h, F.lit(scale)) < limit).orderBy(F.pmod(h, F.lit(scale)), h)
+    return [r[0] for r in drawn.limit(SAMPLE_PAGES).select("html").collect()]
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """Per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars.
 
-    A null or empty html, or one without an article, gives the empty text.
+    A null or empty html, or one without an article, gives the empty text. Bare
+    text, and a page whose body is the article, are articles.
     Unclosed and crossing tags are read as browsers do in the common cases;
     repeated rows give equal rows, no rows none; other columns are ignored.
     """
     spark = pages.sparkSession
     pages = pages.select("page_id", "url", "html")
-    n = pages.count()
-    scale = 1 << 30
-    limit = min(scale, -(-scale * SAMPLE_PAGES // max(n, 1)))
-    drawn = pages.filter(F.pmod(F.xxhash64("page_id", F.lit(6)), F.lit(scale)) < limit)
-    # some SAMPLE_PAGES pages, at most 64 kB of each, reach the driver
-    sample = [r[0] for r in drawn.select(F.substring("html", 1, 65536).alias("h"))
-              .filter("h IS NOT NULL").limit(2 * SAMPLE_PAGES).collect()]
-    shared = spark.sparkContext.broadcast(train(sorted(sample)))
+    shared = spark.sparkContext.broadcast(train(sorted(_sample(pages))))
     return map_arrow(pages, _extractor(shared), "page_id long, url string, text string, n_chars long")
