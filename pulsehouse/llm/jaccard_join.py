@@ -14,11 +14,17 @@ first n - ceil(0.75 n) + 2.
 * The boundary is the size at which the estimated cost (subsets written
   against list entries read) is least.
 
-Groups of copies never make all pairs: identical sets share one node, and a
+Groups of copies do not make all pairs: identical sets share one node, and a
 first round links each node with the centres of the lists of its sketch
 (verified exactly), so that the second round, which is exhaustive, only
-compares nodes of different components. Every candidate is verified on the
-whole texts.
+compares nodes of different components. There the entries of a list are
+grouped by component first: lists (or subsets) met by one component alone
+leave before any join, and pairs are made between components of a list, then
+between their nodes, never inside one. As long as that would still make many more
+pairs than there are entries (copies whose first centre was too different, say
+an excerpt), each list is first compared with one node of its own, drawn anew
+each time, which is linear, and what that links is merged. Every candidate is
+verified on the whole texts.
 
 Tokens and nodes are 64-bit hashes; two different sets collide with
 probability n^2 / 2^65 (3e-4 for 1e8 distinct sets).
@@ -42,6 +48,10 @@ MAX_FREQUENT = 1 << 19
 FREQUENT_FROM = 8
 SKETCH = 8
 SKETCH_MATCH = 3
+# Pairs of components per list entry above which lists are compared with a
+# centre first, and how often at most (the exhaustive round follows anyway).
+PAIRS_PER_ENTRY = 4
+STAR_ROUNDS = 8
 
 
 def _need(n):
@@ -150,9 +160,10 @@ def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, repeated: bool)
     return map_arrow(both, _linked, "u long, v long")
 
 
-def _boundary(sets: DataFrame) -> int:
-    """Size below which enumerating two-token subsets costs less than being
-    listed: sizes (in buckets, at most some 60 rows) against list entries."""
+def _boundary(sets: DataFrame) -> tuple[int, int]:
+    """(size up to which enumerating two-token subsets costs less than being
+    listed, largest size): sizes (in buckets, at most some 60 rows) against
+    list entries."""
     h = (sets.filter("n > 0")
          .select("n", F.size("toks").alias("p"), F.floor(F.log2("n") * 4).alias("bucket"))
          .groupBy("bucket").agg(F.max("n").alias("n"), F.count("*").alias("docs"),
@@ -166,7 +177,90 @@ def _boundary(sets: DataFrame) -> int:
         cost = light + scan * heavy
         if best is None or cost < best:
             best, at = cost, r.n
-    return int(at) if best is not None else 0
+    return (int(at), int(h[-1].n)) if best is not None else (0, 0)
+
+
+def _entries(info: DataFrame, light_to: int, largest: int) -> DataFrame:
+    """key, heavy, node, n, i: the two-token subsets of sets up to the
+    boundary, and the prefix tokens (the i-th) of those that a set over the
+    boundary can reach."""
+    one = (info.filter((F.col("n") <= light_to) & (F.col("n") > 1))
+           .select("node", "n", "toks", F.posexplode("toks").alias("j", "t1")))
+    out = one.select("node", "n", "t1", F.explode(F.expr("slice(toks, j + 2, size(toks))")).alias(
+        "t2")).select(F.xxhash64("t1", "t2").alias("key"), F.lit(False).alias("heavy"), "node", "n",
+                      F.lit(0).alias("i"))
+    if largest <= light_to:
+        return out
+    p = (F.col("n") - F.ceil(F.col("n") * 0.75) + 1).cast("int")
+    return out.unionByName(
+        info.filter(F.col("n") * 4 > 3 * light_to)
+        .select("node", "n", F.lit(True).alias("heavy"),
+                F.posexplode(F.slice("toks", F.lit(1), p)).alias("i", "key")))
+
+
+def _shared(entries: DataFrame, comps: DataFrame) -> DataFrame:
+    """The ``entries`` whose key several components have, with ``comp``; a node
+    that is linked with none so far is a component of its own."""
+    entries = entries.join(comps.select("node", "root"), "node", "left").withColumn(
+        "comp", F.coalesce("root", "node")).drop("root")
+    several = (entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+               .filter("lo < hi").select("key"))
+    return keep(entries.join(bounded(keep(several)), "key", "left_semi"))
+
+
+_SIZES = "4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"
+
+
+def _too_many(entries: DataFrame) -> bool:
+    """Whether the lists hold more pairs of components than PAIRS_PER_ENTRY
+    times their entries."""
+    per_key = entries.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
+        F.count("*").cast("double").alias("k"), F.sum("c").alias("c"))
+    got = per_key.agg(F.sum(F.expr("k * (k - 1) / 2")).alias("pairs"), F.sum("c").alias("c")).first()
+    return bool(got.c) and got.pairs > PAIRS_PER_ENTRY * got.c
+
+
+def _star_pairs(entries: DataFrame, r: int) -> DataFrame:
+    """(a, b): each entry with one node of its list, the same for all lists
+    that hold it."""
+    hubs = entries.groupBy("key").agg(
+        F.max(F.struct(F.xxhash64("node", F.lit(r)).alias("u"), "node", "n", "comp")).alias("x"))
+    met = entries.select("key", F.struct("node", "n", "comp").alias("y")).join(hubs, "key")
+    return met.filter(f"x.comp <> y.comp AND {_SIZES}").select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def _across(entries: DataFrame, light_to: int) -> DataFrame:
+    """(a, b) of entries with equal key and different components that can reach
+    the threshold. Components of a key are paired first, with the range of
+    their sizes, then their entries."""
+    groups = entries.groupBy("key", "heavy", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    g, h = groups.alias("g"), groups.alias("h")
+    met = g.join(h, F.expr(
+        f"g.key = h.key AND g.heavy = h.heavy AND g.comp < h.comp "
+        f"AND (NOT g.heavy OR greatest(g.hi, h.hi) > {light_to}) "
+        "AND 4 * g.hi >= 3 * h.lo AND 4 * h.hi >= 3 * g.lo")).select(
+        "g.key", "g.heavy", "g.comp", F.col("h.comp").alias("other"))
+    one = entries.select("key", "heavy", "comp", F.struct("node", "n", "i").alias("x"))
+    two = entries.select("key", "heavy", F.col("comp").alias("other"),
+                         F.struct("node", "n", "i").alias("y"))
+    met = (met.join(one, ["key", "heavy", "comp"]).join(two, ["key", "heavy", "other"])
+           .filter(_SIZES))
+    light = met.filter("NOT heavy").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    need = "int((3 * (x.n + y.n) + 6) / 7)"
+    # With more than n - need tokens before it on either side, this token is
+    # not the first that a pair reaching the threshold has in common.
+    heavy = met.filter(f"heavy AND greatest(x.n, y.n) > {light_to} "
+                       f"AND x.i <= x.n - {need} AND y.i <= y.n - {need}")
+    heavy = heavy.select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"),
+        F.col("y.n").alias("nb"), F.col("x.i").alias("ia"), F.col("y.i").alias("ib")).groupBy(
+        "a", "b", "na", "nb").agg(F.count("*").alias("c"), F.max("ia").alias("ia"),
+                                  F.max("ib").alias("ib"))
+    # What follows the last of these tokens bounds the overlap.
+    heavy = heavy.filter("c + least(na - ia, nb - ib) - 1 >= int((3 * (na + nb) + 6) / 7)"
+                         ).select("a", "b")
+    return light.unionByName(heavy).distinct()
 
 
 def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -208,43 +302,24 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = keep(components(first))
 
     # Round 2: every remaining pair, but only across components.
-    light_to = _boundary(full)
-    info = (full.select("node", "n", "toks")
-            .join(bounded(found), "node", "left")
-            .withColumnRenamed("root", "comp"))
-    p = (F.col("n") - F.ceil(F.col("n") * 0.75) + 1).cast("int")
-    listed = (info.filter(F.col("n") * 4 > 3 * light_to)
-              .select("node", "comp", F.col("n").cast("int").alias("n"),
-                      F.posexplode(F.slice("toks", F.lit(1), p)).alias("i", "token")))
-    apart = "(x.comp IS NULL OR y.comp IS NULL OR x.comp <> y.comp)"
-    size_ok = "4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"
-    need = "int((3 * (x.n + y.n) + 6) / 7)"
-    # With more than n - need tokens before it on either side, this token is
-    # not the first that a pair reaching the threshold has in common.
-    early = f"x.i <= x.n - {need} AND y.i <= y.n - {need}"
-    x, y = listed.alias("x"), listed.alias("y")
-    heavy = (x.join(y, F.expr("x.token = y.token AND x.node < y.node AND " + apart
-                              + f" AND greatest(x.n, y.n) > {light_to} AND {size_ok} AND {early}"))
-             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"),
-                     F.col("x.n").alias("na"), F.col("y.n").alias("nb"),
-                     F.col("x.i").alias("ia"), F.col("y.i").alias("ib"))
-             .groupBy("a", "b", "na", "nb")
-             .agg(F.count("*").alias("c"), F.max("ia").alias("ia"), F.max("ib").alias("ib")))
-    # What follows the last of these tokens bounds the overlap.
-    heavy = heavy.filter("c + least(na - ia, nb - ib) - 1 >= int((3 * (na + nb) + 6) / 7)"
-                         ).select("a", "b")
-    one = (info.filter((F.col("n") <= light_to) & (F.col("n") > 1))
-           .select("node", "comp", F.col("n").cast("int").alias("n"), "toks",
-                   F.posexplode("toks").alias("i", "t1")))
-    subsets = one.select("node", "comp", "n", "t1", F.explode(
-        F.expr("slice(toks, i + 2, size(toks))")).alias("t2"))
-    x, y = subsets.alias("x"), subsets.alias("y")
-    light = (x.join(y, F.expr("x.t1 = y.t1 AND x.t2 = y.t2 AND x.node < y.node "
-                              f"AND {apart} AND {size_ok}"))
-             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
-    pairs = keep(heavy.unionByName(light).distinct())
-    edges = first.unionByName(_verify(pairs, sets, docs, repeated))
-    return sets.select("doc_id", "key", "node", "n"), components(edges)
+    light_to, largest = _boundary(full)
+    info = full.select("node", F.col("n").cast("int").alias("n"), "toks")
+    edges, comps = first, found
+    entries = _shared(_entries(info, light_to, largest), bounded(comps))
+    for r in range(STAR_ROUNDS):
+        if not _too_many(entries):
+            break
+        new = keep(_verify(keep(_star_pairs(entries, r)), sets, docs, repeated))
+        if new.isEmpty():
+            break
+        edges = keep(edges.unionByName(new))
+        comps = keep(components(edges))
+        entries = _shared(entries.drop("comp"), bounded(comps))
+    more = keep(_across(entries, light_to))
+    if not more.isEmpty():
+        edges = edges.unionByName(_verify(more, sets, docs, repeated))
+        comps = components(edges)
+    return sets.select("doc_id", "key", "node", "n"), comps
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
