@@ -30,13 +30,14 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: sources brought to their target weights, documents
-    repeated or left out for it, in training order."""
+    repeated or left out for it; rows are written in training order."""
     return mixing.mixed_documents(docs)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: each row with its shard and its slot there."""
-    return sharding.shard(docs)
+    """Operator 4: each row with its shard and its slot there; slots keep the
+    training order in which the rows were written."""
+    return sharding.shard(docs, in_order=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

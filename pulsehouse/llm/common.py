@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +49,28 @@ def keep_sized(df: DataFrame, rows_per_part: int = 50_000) -> tuple[DataFrame, i
     return df.coalesce(max(1, -(-n // rows_per_part))), n
 
 
+# Rows of a file that share a block of ``file_order``.
+_FILE_BLOCK_BITS = 14
+
+
+def file_order(df: DataFrame) -> DataFrame | None:
+    """``df``, read from Parquet files that Spark wrote, with the columns
+    ``__place`` (sorts rows as they were written: by part number, then row) and
+    ``__stretch`` (of up to 16,384 rows that follow each other). None for a
+    table that is not read from files, which has no such order."""
+    try:
+        meta = df.metadataColumn("_metadata")
+        rows = df.select("*", meta.getField("file_name").alias("__f"),
+                         meta.getField("row_index").alias("__i"))
+    except AnalysisException:
+        return None
+    part = F.coalesce(F.regexp_extract("__f", r"^part-(\d+)-", 1).try_cast("long"), F.lit(0))
+    piece = F.coalesce(F.regexp_extract("__f", r"-c(\d+)\.", 1).try_cast("long"), F.lit(0))
+    return (rows.withColumn("__place", F.struct(part, piece, F.col("__f"), F.col("__i")))
+            .withColumn("__stretch", F.struct(part, piece, F.col("__f"), F.shiftright(
+                "__i", _FILE_BLOCK_BITS))).drop("__f", "__i"))
+
+
 def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 

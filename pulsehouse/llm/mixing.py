@@ -124,20 +124,25 @@ def mix(docs: DataFrame) -> DataFrame:
             .sortWithinPartitions("first_position", "key").drop("key"))
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
-    """Pipeline form: the documents of the mix in training order, whole, one
-    row per pass; in its last pass a document comes if at least half of it
-    lies within the target. All columns of ``docs``."""
+def positioned_documents(docs: DataFrame) -> DataFrame:
+    """The documents of the mix, whole, one row per pass: all columns of
+    ``docs``, __key and __position; in its last pass a document comes if at
+    least half of it lies within the target."""
     passes = plan(docs).withColumn("pass", F.explode(F.expr(f"sequence(0, {MAX_REPEATS - 1})")))
     passes = passes.withColumn("words", F.expr(
         "least(size, greatest(0L, __goal - pass * source_size - at))"))
     passes = passes.filter("words > 0 AND 2 * words >= size").withColumn(
         "q", F.expr("(pass * source_size + at + words / 2D) / nullif(__goal, 0)"))
     passes = passes.select(F.col("key").alias("__key"), F.expr(_INVERT).alias("__position"))
-    names = docs.columns
     # rows equal in id and text have a place on the line each: one of them
     # meets all their passes
-    whole = (docs.withColumn("__key", F.xxhash64("doc_id", "text")).dropDuplicates(["__key"])
-             .join(passes, "__key"))
-    return (whole.repartitionByRange("__position", "__key")
-            .sortWithinPartitions("__position", "__key").select(names))
+    return (docs.withColumn("__key", F.xxhash64("doc_id", "text")).dropDuplicates(["__key"])
+            .join(passes, "__key"))
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """Pipeline form: ``positioned_documents`` range-sorted by position, with
+    the columns of ``docs``. Written to files, part after part and row after
+    row, they stand in training order (``common.file_order`` reads it back)."""
+    return (positioned_documents(docs).repartitionByRange("__position", "__key")
+            .sortWithinPartitions("__position", "__key").select(docs.columns))

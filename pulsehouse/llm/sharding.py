@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsehouse.llm.common import blocks_for, keep, running_totals, utf8_bytes
+from pulsehouse.llm.common import blocks_for, file_order, keep, running_totals, utf8_bytes
 
 SHARDS = 40
 _UNIT = float(1 << 53)
@@ -92,7 +92,13 @@ def propagate(state: DataFrame, n_shards: int, cap: int) -> DataFrame:
         r += 1
 
 
-def shard(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
+def ordered_slots(rows: DataFrame) -> DataFrame:
+    """``rows`` (shard, __place, __stretch, ...) with the slots of each shard
+    dealt anew, in the order of ``__place``."""
+    return running_totals(rows.drop("slot"), ["shard"], "__stretch", ["__place"], F.lit(1), "slot")
+
+
+def shard(docs: DataFrame, n_shards: int = SHARDS, in_order: bool = False) -> DataFrame:
     """All columns of ``docs`` (doc_id, text, ...) plus size (bytes + 16),
     text_crc32, law, shard, slot (gapless from 0 in each shard), grown_shard
     (null under this law). Columns of ``docs`` that have one of these names
@@ -102,7 +108,14 @@ def shard(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
     and is equal to other null texts. Repeated rows are linked like other
     copies. With fewer rows than shards the last shards stay empty; no rows
     give no rows.
+
+    With ``in_order`` the slots of a shard follow the order in which the rows
+    were written to the Parquet files ``docs`` is read from (such as training
+    order); a table that is not read from files has no order to keep, and
+    its slots follow hashes as without it.
     """
+    placed_docs = file_order(docs) if in_order else None
+    docs = docs if placed_docs is None else placed_docs
     names = [c for c in docs.columns
              if c not in ("size", "text_crc32", "law", "shard", "slot", "grown_shard")]
     base = docs.select(
@@ -161,6 +174,9 @@ def shard(docs: DataFrame, n_shards: int = SHARDS) -> DataFrame:
             "slot", F.coalesce(F.expr("__new.c + __i - __new.a"), F.col("__rank")))
     else:
         rows = rows.withColumn("shard", F.col("__shard")).withColumn("slot", F.col("__rank"))
+    if placed_docs is not None:
+        rows = ordered_slots(rows)
+        names = [c for c in names if c not in ("__place", "__stretch")]
     return rows.select(*names, "size", "text_crc32", F.lit("rows").alias("law"),
                        F.col("shard").cast("int").alias("shard"),
                        F.col("slot").cast("long").alias("slot"),

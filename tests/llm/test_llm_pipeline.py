@@ -11,7 +11,8 @@ import corpus_pipeline as P
 import pytest
 from pyspark.sql import functions as F
 
-from pulsehouse.llm import language_id
+from pulsehouse.llm import language_id, mixing
+from pulsehouse.llm.common import file_order
 from pulsehouse.session import new_run_dir
 
 SF = "/root/testdata/sf0.001"
@@ -92,6 +93,29 @@ def test_sharding_stage(kept):
     assert before.exceptAll(after.select(*COLUMNS)).count() == 0
 
 
+def test_files_of_the_mix_stand_in_training_order(kept):
+    before, after = kept["source_mixing"]
+    want = [r.doc_id for r in mixing.positioned_documents(before)
+            .orderBy("__position", "__key").select("doc_id").collect()]
+    assert after.rdd.getNumPartitions() >= 1
+    assert [r.doc_id for r in file_order(after).orderBy("__place").select("doc_id").collect()] == want
+
+
+def test_slots_keep_the_training_order(kept):
+    before, after = kept["sharding"]
+    place, line = collections.defaultdict(collections.deque), collections.defaultdict(list)
+    for i, r in enumerate(file_order(before).orderBy("__place").select("doc_id").collect()):
+        place[r.doc_id].append(i)
+    for r in after.orderBy("shard", "slot").select("doc_id", "shard").collect():
+        line[r.shard].append(r.doc_id)
+    assert len(line) == 40
+    for docs in line.values():
+        at = -1
+        for i in docs:  # some row of this document comes later in training
+            at = next(x for x in place[i] if x > at)
+    assert file_order(before.sparkSession.range(3)) is None
+
+
 def test_run(spark, kept):
     assert P.run(spark, SF).count() == kept["sharding"][1].count()
 
