@@ -54,6 +54,7 @@ from pulsehouse.streaming.enrichment import EnrichWithReload, path_exists
 from pulsehouse.streaming.sessions import SessionWriter, open_sessions
 from pulsehouse.streaming.new_users import BatchNewUserCount, first_app_opens
 from pulsehouse.streaming.runner import LateRowsListener
+from pulsehouse.streaming.versions import DimensionVersions
 
 ENRICHED_SCHEMA = (
     "event_id string, user_id bigint, event_type string, ts timestamp, session_id string, "
@@ -118,8 +119,10 @@ def ingest_queries(spark: SparkSession, args, trigger: dict) -> list[StreamingQu
         _writer(good.withColumn("event_day", F.date_format("ts", "yyyyMMdd")), base,
                 "ods_events", trigger, f"{base}/ods/events", partition_by=["event_day"]),
         _writer(good, base, "dwd_enrich", trigger,
-                foreach_batch=EnrichWithReload(lambda: load_item_dim(spark, args.dim_item),
-                                               f"{base}/dwd/events")),
+                foreach_batch=EnrichWithReload(
+                    lambda: load_item_dim(spark, args.dim_item), f"{base}/dwd/events",
+                    versions=DimensionVersions(lambda: load_item_dim(spark, args.dim_item),
+                                               f"{base}/dim/item"))),
         _writer(first_app_opens(good), base, "dws_new_users", trigger,
                 foreach_batch=BatchNewUserCount(f"{base}/dws/new_users")),
     ]

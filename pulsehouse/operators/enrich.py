@@ -80,6 +80,7 @@ def enrich(
         # Deterministic (a retried task must shuffle rows the same way).
         salted_by = [c for c in ("event_id", "user_id", "ts") if c in events.columns]
         salt = -1 - F.pmod(F.xxhash64(*(salted_by or events.columns)), F.lit(NULL_KEY_SALTS))
+        salt = salt.cast(events.schema["item_id"].dataType)
         jk = F.coalesce(events["item_id"], salt).alias("_join_key")
         keyed = events.select("*", jk)
         joined = keyed.join(

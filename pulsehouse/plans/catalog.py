@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from pulsehouse.functions import behaviour_tags, day_key, stable_round
 from pulsehouse.operators import cheat, sessions
 from pulsehouse.operators.enrich import enrich
+from pulsehouse.operators.interests import interest_metrics
 from pulsehouse.plans import grains as G
 from pulsehouse.plans import metrics as M
 from pulsehouse.plans import rollups as R
-from pulsehouse.sinks.kv import to_kv_rows
+from pulsehouse.sinks.kv import to_kv_rows, to_kv_rows_by
 from pulsehouse.session import new_run_dir
 from pulsehouse.sources import adapters as A
-from pulsehouse.sources.dimensions import load_item_dim
+from pulsehouse.sources.dimensions import load_item_dim, load_user_dim
 from pulsehouse.sources.events import decode_events, encode_events, typed_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -267,6 +268,14 @@ def cheat_a2_users(spark, sf):
     return cheat.a2_users(_a2(spark, sf), day_key("ts"))
 
 
+def interests_daily(spark, sf):
+    """SRC-4: activity per day and interest of the users, from the profile
+    written as the '|' text file it comes as and read back."""
+    path = f"{new_run_dir(spark, 'dim_user')}/dim_user"
+    A.user_profile(spark, sf).write.option("delimiter", "|").option("emptyValue", "").csv(path)
+    return interest_metrics(_com(spark, sf), load_user_dim(spark, path))
+
+
 # -- all grains -----------------------------------------------------------------
 
 def activity_all_grains(spark, sf):
@@ -349,6 +358,19 @@ def metrics_kv(spark, sf):
     return to_kv_rows(m.select("window", "category", *_ACTIVITY_FIELDS))
 
 
+def daily_kv(spark, sf):
+    """SNK-1 beyond the activity rows: DAU, new users, sessions and cheat
+    counts of each day as (key, field, value, ttl_sec)."""
+    com = _com(spark, sf)
+    out = to_kv_rows_by(dau_daily(spark, sf), "dws:dau", ["day"])
+    for prefix, df in (
+            ("dws:new_users", M.new_users(com, "day")),
+            ("dws:sessions", M.session_metrics(com, "day").select("day", "sessions")),
+            ("dws:cheat_a1", cheat_a1_ids(spark, sf)), ("dws:cheat_a2", cheat_a2_users(spark, sf))):
+        out = out.unionByName(to_kv_rows_by(df, prefix, ["day"]))
+    return out
+
+
 QUERIES: dict[str, Query] = {
     "event_decode": event_decode,
     "event_decode_local_time": event_decode_local_time,
@@ -379,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "cheat_events": cheat_events,
     "cheat_a1_ids": cheat_a1_ids,
     "cheat_a2_users": cheat_a2_users,
+    "interests_daily": interests_daily,
     "activity_all_grains": activity_all_grains,
     "sessions_all_grains": sessions_all_grains,
     "new_users_all_grains": new_users_all_grains,
@@ -389,4 +412,5 @@ QUERIES: dict[str, Query] = {
     "user_activity_5m": user_activity_5m,
     "user_activity_30m": user_activity_30m,
     "metrics_kv": metrics_kv,
+    "daily_kv": daily_kv,
 }

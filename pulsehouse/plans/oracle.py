@@ -174,6 +174,9 @@ _KV_FIELDS = [
     "bounce_rate", "interaction_rate", "fav_rate",
 ]
 
+# A stream's serving rows have no distinct users.
+_KV_COUNTS = [f for f in _KV_FIELDS if f not in ("dau", "uv")]
+
 _BODIES: dict[str, str] = {
     "event_decode": """
 select cast(event_id as varchar) as event_id, user_id, event_type, epoch_us(ts) // 1000 as ts_ms,
@@ -293,6 +296,35 @@ from (
 )""",
 }
 
+def _daily_kv(prefix: str, body: str, fields: list[str]) -> str:
+    cols = ", ".join(f"coalesce(cast({f} as varchar), '0') as {f}" for f in fields)
+    return (f"select '{prefix}:' || day as key, field, value, 3600 as ttl_sec from ("
+            f"unpivot (select day, {cols} from ({body})) on {', '.join(fields)} "
+            "into name field value value)")
+
+
+_BODIES["daily_kv"] = "\nunion all\n".join(_daily_kv(p, _BODIES[q], f) for p, q, f in (
+    ("dws:dau", "dau_daily", ["dau", "dau_app_open"]),
+    ("dws:new_users", "new_users_daily", ["new_users"]),
+    ("dws:sessions", "sessions_daily", ["sessions"]),
+    ("dws:cheat_a1", "cheat_a1_ids", ["a1_users", "a1_items", "a1_events"]),
+    ("dws:cheat_a2", "cheat_a2_users", ["a2_users", "a2_events"])))
+_BODIES["interests_daily"] = f"""
+, tags as (
+  select c_custkey as user_id, c_custkey % 10 as level,
+         unnest(case when c_custkey % 5 = 0 then ['Unknown']
+                     when c_custkey % 3 = 0 then [lower(c_mktsegment), 'nation_' || c_nationkey]
+                     else [lower(c_mktsegment)] end) as tag
+  from customer),
+per as (
+  select {_D}, user_id, count(*) as events, {_PV} as pv, {_INTER} as interactions
+  from com where user_id is not null group by all)
+select day, coalesce(tag, 'Unknown') as tag, count(*) as users,
+       cast(sum(events) as bigint) as events, cast(sum(pv) as bigint) as pv,
+       cast(sum(interactions) as bigint) as interactions,
+       sum(level) / count(level) as avg_level
+from per left join tags using (user_id) group by all"""
+
 # Grain, start and end of the window or day of ts.
 _GRAINS = {
     "5m": "epoch_us(ts) // 300000000 * 300 as window_start, window_start + 300 as window_end",
@@ -396,6 +428,29 @@ select strftime(ts, '%Y%m%d') as day, count(*) as events from com group by 1""",
 select count(*) filter (where cast(ts as date) <= {mid}) as dropped_rows,
        count(*) filter (where cast(ts as date) > {mid}) as emitted_rows
 from com where item_id is not null""",
+        "stream_enrich_versions": f"""
+select event_id, case when v2 then 1 else 0 end as batch_id,
+       case when v2 and item_id % 2 = 0 and category <> 'Unknown' then category || ' v2'
+            else category end as category,
+       case when v2 and item_id % 2 = 0 and category <> 'Unknown' then 1 else content_len end
+         as content_len
+from (select *, cast(ts as date) > {mid} as v2 from enr)""",
+        "stream_kv_update": f"""
+select concat('dws:user_activity:', window_start, '_', window_end, ':', category) as key,
+       field, value, 3600 as ttl_sec
+from (
+  unpivot (select window_start, window_end, category,
+                  {", ".join(f"coalesce(cast({f} as varchar), '0') as {f}" for f in _KV_COUNTS)}
+           from (select {_w(300)}, category, {_ACTIVITY} from enr group by all))
+  on {", ".join(_KV_COUNTS)} into name field value value
+)""",
+        "stream_totals_complete": f"""
+select category, {_PV} as pv, count(*) as n_events from enr group by all""",
+        "stream_cheat_a1_ordered": _BODIES["cheat_a1"],
+        "stream_cheat_a2_ordered": _BODIES["cheat_a2"],
+        "stream_late_rows": f"""
+select event_id, user_id, event_type, epoch_us(ts) // 1000 as ts_ms, count(*) over () as late_rows
+from com where cast(ts as date) <= {mid}""",
         "stream_sessions_gap": _BODIES["sessionize_gap"],
     }
     return {k: _PRELUDE + v for k, v in bodies.items()}

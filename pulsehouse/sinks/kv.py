@@ -58,6 +58,24 @@ def to_kv_rows(
     )
 
 
+def to_kv_rows_by(
+    metrics: DataFrame,
+    prefix: str,
+    keys: list[str],
+    ttl_sec: int = config.KV_TTL_SEC,
+    null_value: str = config.KV_NULL_VALUE,
+) -> DataFrame:
+    """Metric rows that are not windows (days, users, ...) -> kv rows: key
+    ``{prefix}:{key values}``, a field per other column."""
+    fields = [c for c in metrics.columns if c not in keys]
+    keyed = metrics.select(
+        F.concat_ws(":", F.lit(prefix), *[F.col(k).cast("string") for k in keys]).alias("key"),
+        *[F.col(c).cast("string").alias(c) for c in fields])
+    return keyed.unpivot(["key"], fields, "field", "value").select(
+        "key", "field", F.coalesce("value", F.lit(null_value)).alias("value"),
+        F.lit(ttl_sec).alias("ttl_sec"))
+
+
 def write_kv_partitions(
     kv_rows: DataFrame,
     client_factory: Callable[[], object],

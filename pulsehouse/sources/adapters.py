@@ -96,6 +96,17 @@ def item_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User dimension from ``customer``, in the columns of its text file:
+    user_id, interest_tags (comma list, empty for every fifth user), level."""
+    key = F.col("c_custkey")
+    tags = F.when(key % 5 == 0, "").when(key % 3 == 0, F.concat(
+        F.lower("c_mktsegment"), F.lit(", nation_"), F.col("c_nationkey").cast("string"))).otherwise(
+        F.lower("c_mktsegment"))
+    return table(spark, sf_dir, "customer").select(
+        key.alias("user_id"), tags.alias("interest_tags"), (key % 10).cast("int").alias("level"))
+
+
 def dense_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One event per (l_orderkey, l_linenumber) - rows that repeat the pair
     are one event, with the least of their values - 10 ms apart by id,

@@ -12,23 +12,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsehouse.functions import day_key, window_bounds
+from pulsehouse import config
+from pulsehouse.functions import window_bounds
 from pulsehouse.operators.enrich import enrich
 from pulsehouse.session import new_run_dir
+from pulsehouse.sinks.kv import KVStream, latest_kv
 from pulsehouse.sinks.lake import archive_stream
 from pulsehouse.sources import adapters as A
 from pulsehouse.sources.events import read_parquet_stream
 from pulsehouse.streaming import detectors, metrics, runner
+from pulsehouse.streaming.enrichment import EnrichWithReload, last_batch
 from pulsehouse.streaming.new_users import (
     BatchNewUserCount,
     first_app_opens,
     new_user_results,
 )
+from pulsehouse.streaming.ordered import KeepLate, interval_us, ordered_a1, ordered_a2
 from pulsehouse.streaming.sessions import SessionWriter
+from pulsehouse.streaming.versions import DimensionVersions, enrich_as_of
+
+
+# Files of a table read by one micro-batch: no batch grows with the table.
+FILES_PER_BATCH = 1000
 
 
 def _event_stream(spark: SparkSession, directory: str, file_glob: str | None = None,
-                  max_files: int | None = None) -> DataFrame:
+                  max_files: int | None = FILES_PER_BATCH) -> DataFrame:
     """The raw ``events`` table as a file stream, mapped to behaviour events."""
     probe = f"{directory.rstrip('/')}/{file_glob}" if file_glob else directory
     schema = spark.read.parquet(probe).schema
@@ -37,8 +46,8 @@ def _event_stream(spark: SparkSession, directory: str, file_glob: str | None = N
 
 
 def _run(df: DataFrame, run: str, **kw):
-    q = runner.start(df, f"{run}/checkpoint", f"{run}/out", **kw)
-    return runner.run_to_end(q)
+    kw = kw or {"sink_path": f"{run}/out"}
+    return runner.run_to_end(runner.start(df, f"{run}/checkpoint", **kw))
 
 
 def _run_closed(spark, sf: str, run: str, build, start_kw=None) -> None:
@@ -104,7 +113,7 @@ def stream_dau_5m_exact(spark, sf):
 
 
 def _run_in_arrivals(spark: SparkSession, table: DataFrame, order_col: str, run: str,
-                     build, min_parts: int = 4, rows_per_batch: int = 5_000_000) -> None:
+                     build, min_parts: int = 4, rows_per_batch: int = 5_000_000, **kw) -> None:
     """Feed ``table`` to one streaming run as time-ordered micro-batches of
     about ``rows_per_batch`` rows at most (and at least ``min_parts`` of them), so
     keyed state carries across batches and no batch grows with the table.
@@ -132,7 +141,7 @@ def _run_in_arrivals(spark: SparkSession, table: DataFrame, order_col: str, run:
         part.repartition(files_per_part).write.mode("append").parquet(src)
     s = (spark.readStream.schema(stored.schema)
          .option("maxFilesPerTrigger", str(files_per_part)).parquet(src))
-    _run(build(s), run)
+    _run(build(s), run, **kw)
 
 
 def stream_cheat_a1(spark, sf):
@@ -157,20 +166,69 @@ def stream_cheat_a2(spark, sf):
                       F.unix_millis("ts").alias("ts_ms"), "is_cheat_a2")
 
 
+def _late_arrivals(events: DataFrame) -> DataFrame:
+    """Events with ``arrival`` (ms): a tenth of them come 30 to 90 s late."""
+    h = F.xxhash64("event_id", F.lit(10))
+    late = F.when(F.pmod(h, F.lit(10)) == 0, 30_000 + F.pmod(F.shiftright(h, 8), F.lit(60_000)))
+    return events.withColumn("arrival", F.unix_millis("ts") + F.coalesce(late, F.lit(0)))
+
+
+def _ordered_rule(spark, sf, run: str, events: DataFrame, rule) -> DataFrame:
+    columns = rule.columns
+    _run_in_arrivals(spark, _late_arrivals(events.select(*columns)), "arrival", run,
+                     lambda s: s.drop("arrival"), foreach_batch=rule)
+    rule.finish(spark)
+    return spark.read.parquet(f"{run}/out")
+
+
+def stream_cheat_a1_ordered(spark, sf):
+    """CEP-1 / STR-7 on the dense stream with a tenth of the events 30 to 90 s
+    late: events are released in event-time order once the watermark has
+    passed them, so every flag equals the batch form."""
+    run = new_run_dir(spark, "stream_a1_ordered")
+    out = _ordered_rule(spark, sf, run, A.dense_for_a1(A.dense_events(spark, sf)),
+                        ordered_a1(f"{run}/out", f"{run}/state"))
+    return out.select("event_id", "user_id", "item_id", "event_type",
+                      F.unix_millis("ts").alias("ts_ms"), "is_cheat_a1")
+
+
+def stream_cheat_a2_ordered(spark, sf):
+    """CEP-2 / STR-5 likewise: the likes of a user are split by event time, so
+    a user with a third of all rows is many tasks."""
+    run = new_run_dir(spark, "stream_a2_ordered")
+    out = _ordered_rule(spark, sf, run, A.dense_for_a2(A.dense_events(spark, sf)),
+                        ordered_a2(f"{run}/out", f"{run}/state"))
+    return out.select("event_id", "user_id", "item_id", "event_type",
+                      F.unix_millis("ts").alias("ts_ms"), "is_cheat_a2")
+
+
+def stream_late_rows(spark, sf):
+    """Q-10 / STR-7: the second half of the observed days arrives first, the
+    first half after it: late events are kept as rows of a layer, beside their
+    count, and the others pass in order."""
+    run = new_run_dir(spark, "stream_late_rows")
+    com = A.community_events(spark, sf).select("event_id", "user_id", "event_type", "ts")
+    lo, hi = com.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    late = F.to_date("ts") <= F.lit(lo + (hi - lo) / 2)
+    passed = KeepLate(f"{run}/out", f"{run}/state", interval_us(config.DETECTOR_WATERMARK))
+    for part in (com.where(~late), com.where(late)):
+        part.write.mode("append").parquet(f"{run}/source")
+        schema = spark.read.parquet(f"{run}/source").schema
+        _run(spark.readStream.schema(schema).parquet(f"{run}/source"), run, foreach_batch=passed)
+    passed.finish(spark)
+    rows = passed.late_table(spark)
+    rows = com.limit(0) if rows is None else rows
+    counted = F.lit(passed.late_rows(spark)).cast("bigint")
+    return rows.select("event_id", "user_id", "event_type", F.unix_millis("ts").alias("ts_ms"),
+                       counted.alias("late_rows"))
+
+
 def stream_new_users(spark, sf):
-    """NEW-1: new users per micro-batch over the event stream written as
-    day-partitioned files and read in about six micro-batches; the seen set is the state
-    store of a streaming dropDuplicates. Each user is new in exactly one
-    batch, so the total equals the distinct app_open users."""
+    """NEW-1: new users per micro-batch of the event stream; the seen set is
+    the state store of a streaming dropDuplicates. Each user is new in exactly
+    one batch, so the total equals the distinct app_open users."""
     run = new_run_dir(spark, "stream_new_users")
-    src = f"{run}/source"
-    com = A.community_events(spark, sf).withColumn("event_day", day_key("ts"))
-    com.write.partitionBy("event_day").parquet(src)
-    written = spark.read.parquet(src)
-    # About six micro-batches, however many files the write produced.
-    per_batch = max(1, -(-len(written.inputFiles()) // 6))
-    s = (spark.readStream.schema(written.schema)
-         .option("maxFilesPerTrigger", str(per_batch)).parquet(src))
+    s = _event_stream(spark, sf, "events.parquet")
     counter = BatchNewUserCount(f"{run}/result")
     runner.run_to_end(runner.start(first_app_opens(s), f"{run}/checkpoint",
                                    foreach_batch=counter))
@@ -234,6 +292,76 @@ def stream_sessions_gap(spark, sf):
     return session_rollup(spark.read.parquet(f"{run}/out"))
 
 
+def stream_enrich_versions(spark, sf):
+    """JOIN-2: two batches (the first and the second half of the days) between
+    which the dimension is edited, then the whole history enriched again as of
+    each batch's version: the same rows as the first time."""
+    run = new_run_dir(spark, "stream_versions")
+    com = A.community_events(spark, sf)
+    lo, hi = com.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    second = F.to_date("ts") > F.lit(lo + (hi - lo) / 2)
+    dim = A.item_dimension(spark, sf)
+    even = F.col("dim_item_id") % 2 == 0
+    edited = dim.withColumn("category", F.when(even, F.concat("category", F.lit(" v2")))
+                            .otherwise(F.col("category"))).withColumn(
+        "dim_content_len", F.when(even, F.lit(1)).otherwise(F.col("dim_content_len")).cast("int"))
+    state = {"now": dim.withColumn("dim_content_len", F.col("dim_content_len").cast("int"))}
+    versions = DimensionVersions(lambda: state["now"], f"{run}/dim")
+    write = EnrichWithReload(versions.load, f"{run}/dwd", versions=versions)
+    src = f"{run}/source"
+    for part, now in ((com.where(~second), state["now"]), (com.where(second), edited)):
+        state["now"] = now
+        part.write.mode("append").parquet(src)
+        schema = spark.read.parquet(src).schema
+        _run(spark.readStream.schema(schema).parquet(src), run, foreach_batch=write)
+    history = spark.read.parquet(f"{run}/dwd").select(*com.columns, "batch_id")
+    return enrich_as_of(history, versions).select("event_id", "batch_id", "category", "content_len")
+
+
+def stream_kv_update(spark, sf):
+    """STR-9 update mode / SNK-1: 5-minute activity refreshed in every
+    micro-batch while its windows are open; the store's current values."""
+    run = new_run_dir(spark, "stream_kv")
+    dim = A.item_dimension(spark, sf)
+    com = A.community_events(spark, sf).withColumn("arrival", F.unix_millis("ts"))
+    _run_in_arrivals(spark, com, "arrival", run,
+                     lambda s: metrics.stream_activity(enrich(s.drop("arrival"), dim)),
+                     output_mode="update", foreach_batch=KVStream(f"{run}/kv"))
+    return latest_kv(spark, f"{run}/kv").where(F.col("field").isin(*KV_COUNTS))
+
+
+# Fields of the serving row that a stream's state holds, and their ratios.
+KV_COUNTS = ("pv", "likes", "favs", "shares", "comments", "interactions", "follows", "unfollows",
+             "dms", "profile_visits", "n_leave", "d1_instant_exits", "e1_fast_swipes", "c_long_stays",
+             "bounce_rate", "interaction_rate", "fav_rate")
+
+
+class _Replace:
+    """``foreachBatch`` of a complete-mode query: the newest whole result under
+    ``batch_id=<n>``."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+
+
+def stream_totals_complete(spark, sf):
+    """STR-9 complete mode: running totals per category (a bounded number of
+    groups), the whole result written in every micro-batch."""
+    run = new_run_dir(spark, "stream_totals")
+    dim = A.item_dimension(spark, sf)
+    com = A.community_events(spark, sf).withColumn("arrival", F.unix_millis("ts"))
+    _run_in_arrivals(
+        spark, com, "arrival", run, lambda s: enrich(s.drop("arrival"), dim).groupBy("category").agg(
+            F.count_if(F.col("event_type") == "enter_item").alias("pv"),
+            F.count(F.lit(1)).alias("n_events")),
+        output_mode="complete", foreach_batch=_Replace(f"{run}/out"))
+    last = last_batch(spark, f"{run}/out")
+    return spark.read.parquet(f"{run}/out/batch_id={last}")
+
+
 STREAM_QUERIES = {
     "stream_pv_5m": stream_pv_5m,
     "stream_activity_daily": stream_activity_daily,
@@ -242,6 +370,12 @@ STREAM_QUERIES = {
     "stream_dau_5m_exact": stream_dau_5m_exact,
     "stream_cheat_a1": stream_cheat_a1,
     "stream_cheat_a2": stream_cheat_a2,
+    "stream_cheat_a1_ordered": stream_cheat_a1_ordered,
+    "stream_cheat_a2_ordered": stream_cheat_a2_ordered,
+    "stream_late_rows": stream_late_rows,
+    "stream_enrich_versions": stream_enrich_versions,
+    "stream_kv_update": stream_kv_update,
+    "stream_totals_complete": stream_totals_complete,
     "stream_new_users": stream_new_users,
     "stream_archive": stream_archive,
     "stream_late_dropped": stream_late_dropped,

@@ -69,15 +69,19 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def last_batch(spark: SparkSession, path: str) -> int | None:
-    """The largest n of the entries ``batch_id=<n>`` in ``path``."""
+def list_batches(spark: SparkSession, path: str) -> list[int]:
+    """The n of the entries ``batch_id=<n>`` in ``path``, in order."""
     fs, p = _on_fs(spark, path)
     if not fs.exists(p):
-        return None
+        return []
     names = (s.getPath().getName() for s in fs.listStatus(p))
-    found = [int(n.removeprefix("batch_id=")) for n in names
-             if n.startswith("batch_id=") and n.removeprefix("batch_id=").isdecimal()]
-    return max(found, default=None)
+    return sorted(int(n.removeprefix("batch_id=")) for n in names
+                  if n.startswith("batch_id=") and n.removeprefix("batch_id=").isdecimal())
+
+
+def last_batch(spark: SparkSession, path: str) -> int | None:
+    """The largest of ``list_batches``, None if there is none."""
+    return max(list_batches(spark, path), default=None)
 
 
 def _rename(spark: SparkSession, source: str, target: str) -> None:
@@ -91,15 +95,17 @@ def _rename(spark: SparkSession, source: str, target: str) -> None:
 
 class EnrichWithReload:
     """``foreachBatch`` function: enrich with a freshly loaded dimension
-    and append to ``out_path``."""
+    and append to ``out_path``. With ``versions`` the dimension comes from
+    there, so a batch that has to be computed again meets the one it had."""
 
     def __init__(
         self,
         load_dim: Callable[[], DataFrame],
         out_path: str,
         broadcast_max_rows: int = config.DEFAULT_SCALE.broadcast_max_rows,
+        versions=None,
     ):
-        self.load_dim = load_dim
+        self.load_dim, self.versions = load_dim, versions
         self.out_path = out_path.rstrip("/")
         self.broadcast_max_rows = broadcast_max_rows
 
@@ -108,7 +114,8 @@ class EnrichWithReload:
         target = f"{self.out_path}/batch_id={batch_id}"
         if path_exists(spark, target):
             return  # replay of a committed batch
-        enriched = enrich(batch, self.load_dim(), broadcast_max_rows=self.broadcast_max_rows)
+        dim = self.versions.for_batch(spark, batch_id) if self.versions else self.load_dim()
+        enriched = enrich(batch, dim, broadcast_max_rows=self.broadcast_max_rows)
         staged = f"{self.out_path}/_staging/batch_id={batch_id}"
         if "duration_sec" in enriched.columns:  # what the tags are about
             enriched = enriched.select("*", *behaviour_tags())

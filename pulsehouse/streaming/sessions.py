@@ -1,60 +1,27 @@
-"""Sessions on a stream (STR-6) without a Python worker: each micro-batch is
-merged with two small tables, in built-in expressions.
-
-* **pending**: events the watermark has not passed yet (a reorder buffer);
-  later events may still come before them;
-* **open**: per user the session that can still go on (start, last time,
-  number of events).
-
-A batch moves the watermark, takes the pending events behind it in time
-order, joins them with the open sessions by the batch rules
-(``operators.sessions``: split by (user, event-time bucket), no user is one
-task), and writes what cannot go on any more. Everything is kept per batch id:
-a replayed batch reads its predecessor's tables and overwrites its own.
+"""Sessions on a stream (STR-6) without a Python worker, in event-time order
+(``streaming.ordered``): what is released joins the open sessions.
+
+Beside the pending events there is one more table per batch, the sessions it
+knows: closed ones become the batch's result, open ones (start, last time,
+number of events per user) go on. Released events and open sessions meet by the
+batch rules (``operators.sessions``: split by (user, event-time bucket), no
+user is one task).
 """
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsehouse import config
 from pulsehouse.functions import is_type
 from pulsehouse.operators.sessions import derived_sessions
-from pulsehouse.streaming.enrichment import (
-    last_batch,
-    move_path,
-    path_exists,
-    read_text,
-    remove_path,
-    write_text,
-)
+from pulsehouse.streaming.enrichment import last_batch, move_path, path_exists, remove_path
+from pulsehouse.streaming.ordered import OrderedBatches, interval_us, read_mark
+
 _ROWS = ("user_id bigint, event_id string, event_type string, ts timestamp, first_ts timestamp, "
          "events bigint")
 _SESSIONS = "user_id bigint, s_events bigint, s_start timestamp, s_end timestamp"
-# A replay needs the tables of the batch before it.
-KEEP_BATCHES = 3
-
-
-def _us(interval: str) -> int:
-    return int(pd.Timedelta(interval) // pd.Timedelta(1, "us"))
-
-
-def _read_mark(spark: SparkSession, state: str, batch_id: int) -> tuple[int | None, int]:
-    """(watermark in us, late events so far) after a batch."""
-    path = f"{state}/mark/batch_id={batch_id}"
-    if not path_exists(spark, path):
-        return None, 0
-    found = json.loads(read_text(spark, path))
-    return found["mark"], found["late"]
-
-
-def _pending(spark: SparkSession, state: str, batch_id: int, mark: int) -> DataFrame:
-    return spark.read.schema(_ROWS).parquet(f"{state}/pending/batch_id={batch_id}").where(
-        F.unix_micros("ts") > mark)
 
 
 def _open(spark: SparkSession, state: str, batch_id: int) -> DataFrame:
@@ -69,60 +36,40 @@ def _open(spark: SparkSession, state: str, batch_id: int) -> DataFrame:
         F.col("s_events").alias("events"))
 
 
-class SessionWriter:
+class SessionWriter(OrderedBatches):
     """``foreachBatch``: sessions that closed in this micro-batch, appended to
     ``path`` under ``batch_id=<n>`` (user_id, s_events, s_start, s_end).
 
     A session starts with an ``app_open`` or after more than ``gap`` without
     an event. The watermark follows the latest event by ``watermark`` and
-    ``gap``, so an event is late (counted, left out) only once its session
-    could be closed. Events without a user or a time belong to no session but
-    move the watermark. ``state`` is a folder of its own; a batch reads the
-    tables of the one before it, those KEEP_BATCHES back are removed.
+    ``gap``, so an event is late only once its session could be closed. Events
+    without a user or a time belong to no session but move the watermark.
     """
 
     def __init__(self, path: str, state: str, gap: str = f"{config.SESSION_GAP_SEC} seconds",
                  watermark: str = config.METRIC_WATERMARK):
-        self.path, self.state = path.rstrip("/"), state.rstrip("/")
-        self.gap_us = _us(gap)
-        self.delay_us = _us(watermark) + self.gap_us
-
-    def _at(self, table: str, batch_id: int) -> str:
-        return f"{self.state}/{table}/batch_id={batch_id}"
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        mark, late_before = _read_mark(spark, self.state, batch_id - 1)
-        rows = batch.select("user_id", F.col("event_id").cast("string").alias("event_id"),
-                            F.when(is_type("app_open"), "app_open").otherwise("other")
-                            .alias("event_type"), "ts", F.col("ts").alias("first_ts"),
-                            F.lit(1).cast("bigint").alias("events"))
-        t = F.unix_micros("ts")
-        late = F.coalesce(t <= F.lit(mark).cast("bigint"), F.lit(False))
-        seen = Observation()
-        new = rows.observe(seen, F.max(t).alias("last"), F.count_if(late).alias("late")).where(
-            F.col("user_id").isNotNull() & F.col("ts").isNotNull() & ~late)
-        if mark is not None:
-            new = new.unionByName(_pending(spark, self.state, batch_id - 1, mark))
-        new.write.mode("overwrite").parquet(self._at("pending", batch_id))
-        last, n_late = seen.get["last"], seen.get["late"]
-        marks = [x for x in (mark, None if last is None else last - self.delay_us) if x is not None]
-        if marks:
-            self._close(spark, max(marks), mark is not None, batch_id)
-            write_text(spark, self._at("mark", batch_id),
-                       json.dumps({"mark": max(marks), "late": late_before + n_late}))
-        for old in ("pending", "sessions"):
-            remove_path(spark, self._at(old, batch_id - KEEP_BATCHES))
-
-    def _close(self, spark: SparkSession, mark: int, carried: bool, batch_id: int) -> None:
-        due = spark.read.schema(_ROWS).parquet(self._at("pending", batch_id)).where(
-            F.unix_micros("ts") <= mark)
-        if carried:
+        self.gap_us = interval_us(gap)
+        super().__init__(path, state, interval_us(watermark) + self.gap_us)
+
+    def rows(self, batch: DataFrame) -> DataFrame:
+        return batch.select(
+            F.col("user_id").cast("bigint").alias("user_id"),
+            F.col("event_id").cast("string").alias("event_id"),
+            F.when(is_type("app_open"), "app_open").otherwise("other").alias("event_type"), "ts",
+            F.col("ts").alias("first_ts"), F.lit(1).cast("bigint").alias("events"))
+
+    def wanted(self, rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("user_id").isNotNull())
+
+    def release(self, due: DataFrame, before: int | None, mark: int | None, batch_id: int) -> None:
+        spark = due.sparkSession
+        if before is not None:
             due = due.unionByName(_open(spark, self.state, batch_id - 1))
         found = derived_sessions(due, self.gap_us // 1_000_000, start="first_ts", weight="events",
                                  mark_last=True)
-        closed = ~F.col("is_last") | (F.unix_micros("s_end") + self.gap_us < F.lit(mark))
-        staged = self._at("sessions", batch_id)
+        closed = F.lit(True) if mark is None else (
+            ~F.col("is_last") | (F.unix_micros("s_end") + self.gap_us < F.lit(mark)))
+        staged = self.at("sessions", batch_id)
         found.select("user_id", F.col("s_events").cast("bigint").alias("s_events"), "s_start", "s_end",
                      closed.alias("closed")).write.mode("overwrite").partitionBy("closed").parquet(staged)
         # the closed part becomes the batch's result
@@ -130,11 +77,6 @@ class SessionWriter:
         if path_exists(spark, f"{staged}/closed=true"):
             move_path(spark, f"{staged}/closed=true", f"{self.path}/batch_id={batch_id}")
 
-    def late_rows(self, spark: SparkSession) -> int:
-        """Events left out behind the watermark so far."""
-        last = last_batch(spark, f"{self.state}/mark")
-        return 0 if last is None else _read_mark(spark, self.state, last)[1]
-
 
 def open_sessions(spark: SparkSession, state: str,
                   gap: str = f"{config.SESSION_GAP_SEC} seconds") -> DataFrame | None:
@@ -144,7 +86,10 @@ def open_sessions(spark: SparkSession, state: str,
     last = last_batch(spark, f"{state}/mark")
     if last is None:
         return None
-    mark, _ = _read_mark(spark, state, last)
-    rows = _pending(spark, state, last, mark).unionByName(_open(spark, state, last))
-    return derived_sessions(rows, _us(gap) // 1_000_000, start="first_ts", weight="events").select(
+    mark, _ = read_mark(spark, state, last)
+    pending = spark.read.schema(_ROWS).parquet(f"{state}/pending/batch_id={last}").where(
+        F.unix_micros("ts") > mark)
+    rows = pending.unionByName(_open(spark, state, last))
+    return derived_sessions(rows, interval_us(gap) // 1_000_000, start="first_ts",
+                            weight="events").select(
         "user_id", F.col("s_events").cast("bigint").alias("s_events"), "s_start", "s_end")

@@ -25,6 +25,6 @@ def duck():
     import duckdb
 
     con = duckdb.connect()
-    for t in ("events", "part", "lineitem"):
+    for t in ("events", "part", "lineitem", "customer"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
