@@ -19,12 +19,13 @@ first round links each node with the centres of the lists of its sketch
 (verified exactly), so that the second round, which is exhaustive, only
 compares nodes of different components. There the entries of a list are
 grouped by component first: lists (or subsets) met by one component alone
-leave before any join, and pairs are made between components of a list, then
-between their nodes, never inside one. As long as that would still make many more
-pairs than there are entries (copies whose first centre was too different, say
-an excerpt), each list is first compared with one node of its own, drawn anew
-each time, which is linear, and what that links is merged. Every candidate is
-verified on the whole texts.
+leave before any join, the entries of a component with more than a few in a
+list meet the other components of the list group by group, never each other,
+and only the rest is joined entry by entry. Copies whose first centre was too
+different (say an excerpt) are left in many components; as long as lists hold
+far more pairs than entries, each list is first compared with one node of its
+own, drawn anew each time, which is linear, and what that links is merged.
+Every candidate is verified on the whole texts.
 
 Tokens and nodes are 64-bit hashes; two different sets collide with
 probability n^2 / 2^65 (3e-4 for 1e8 distinct sets).
@@ -50,8 +51,10 @@ SKETCH = 8
 SKETCH_MATCH = 3
 # Pairs of components per list entry above which lists are compared with a
 # centre first, and how often at most (the exhaustive round follows anyway).
-PAIRS_PER_ENTRY = 4
-STAR_ROUNDS = 8
+PAIRS_PER_ENTRY = 64
+STAR_ROUNDS = 4
+# Entries of a component in one list above which they are joined as a group.
+GROUP_FROM = 8
 
 
 def _need(n):
@@ -230,29 +233,11 @@ def _star_pairs(entries: DataFrame, r: int) -> DataFrame:
         F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
-def _across(entries: DataFrame, light_to: int) -> DataFrame:
-    """(a, b) of entries with equal key and different components that can reach
-    the threshold. Components of a key are paired first, with the range of
-    their sizes, then their entries."""
-    groups = entries.groupBy("key", "heavy", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    g, h = groups.alias("g"), groups.alias("h")
-    met = g.join(h, F.expr(
-        f"g.key = h.key AND g.heavy = h.heavy AND g.comp < h.comp "
-        f"AND (NOT g.heavy OR greatest(g.hi, h.hi) > {light_to}) "
-        "AND 4 * g.hi >= 3 * h.lo AND 4 * h.hi >= 3 * g.lo")).select(
-        "g.key", "g.heavy", "g.comp", F.col("h.comp").alias("other"))
-    one = entries.select("key", "heavy", "comp", F.struct("node", "n", "i").alias("x"))
-    two = entries.select("key", "heavy", F.col("comp").alias("other"),
-                         F.struct("node", "n", "i").alias("y"))
-    met = (met.join(one, ["key", "heavy", "comp"]).join(two, ["key", "heavy", "other"])
-           .filter(_SIZES))
-    light = met.filter("NOT heavy").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    need = "int((3 * (x.n + y.n) + 6) / 7)"
-    # With more than n - need tokens before it on either side, this token is
-    # not the first that a pair reaching the threshold has in common.
-    heavy = met.filter(f"heavy AND greatest(x.n, y.n) > {light_to} "
-                       f"AND x.i <= x.n - {need} AND y.i <= y.n - {need}")
-    heavy = heavy.select(
+def _met(pairs: DataFrame, light_to: int) -> DataFrame:
+    """(a, b) of met entries (heavy, x, y: node, n, i) that can reach the
+    threshold."""
+    light = pairs.filter("NOT heavy").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    heavy = pairs.filter("heavy").select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"),
         F.col("y.n").alias("nb"), F.col("x.i").alias("ia"), F.col("y.i").alias("ib")).groupBy(
         "a", "b", "na", "nb").agg(F.count("*").alias("c"), F.max("ia").alias("ia"),
@@ -263,6 +248,48 @@ def _across(entries: DataFrame, light_to: int) -> DataFrame:
     return light.unionByName(heavy).distinct()
 
 
+def _across(entries: DataFrame, light_to: int, group_from: int = GROUP_FROM) -> DataFrame:
+    """(a, b) of entries with equal key and different components that can reach
+    the threshold. A pair is met once per key: the entry whose component is the
+    smaller one is x."""
+    groups = entries.groupBy("key", "heavy", "comp").agg(
+        F.count("*").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    large = keep(groups.filter(F.col("c") > group_from))
+    need = "int((3 * (x.n + y.n) + 6) / 7)"
+    # With more than n - need tokens before it on either side, a token is not
+    # the first that a pair reaching the threshold has in common.
+    fits = (f"{_SIZES} AND (NOT heavy OR (greatest(x.n, y.n) > {light_to} "
+            f"AND x.i <= x.n - {need} AND y.i <= y.n - {need}))")
+    item = F.struct("node", "n", "i")
+    if large.isEmpty():
+        few = entries
+    else:
+        mark = bounded(large.select("key", "heavy", "comp"))
+        few = entries.join(mark, ["key", "heavy", "comp"], "left_anti")
+    x, y = few.alias("x"), few.alias("y")
+    met = x.join(y, F.expr("x.key = y.key AND x.heavy = y.heavy AND x.comp < y.comp AND "
+                           + fits.replace("NOT heavy", "NOT x.heavy"))).select(
+        "x.heavy", F.struct("x.node", "x.n", "x.i").alias("x"), F.struct("y.node", "y.n", "y.i").alias("y"))
+    if not large.isEmpty():
+        g, h = large.alias("g"), groups.alias("h")
+        by_group = g.join(h, F.expr(
+            "g.key = h.key AND g.heavy = h.heavy AND g.comp <> h.comp "
+            f"AND (h.c <= {group_from} OR g.comp < h.comp) "
+            f"AND (NOT g.heavy OR greatest(g.hi, h.hi) > {light_to}) "
+            "AND 4 * g.hi >= 3 * h.lo AND 4 * h.hi >= 3 * g.lo")).select(
+            "g.key", "g.heavy", "g.comp", F.col("h.comp").alias("other"))
+        one = entries.select("key", "heavy", "comp", item.alias("x"))
+        two = entries.select("key", "heavy", F.col("comp").alias("other"), item.alias("y"))
+        many = (by_group.join(one, ["key", "heavy", "comp"]).join(two, ["key", "heavy", "other"])
+                .filter(fits))
+        # the same end first as for entries met singly
+        swap = F.col("comp") > F.col("other")
+        many = many.select("heavy", F.when(swap, F.col("y")).otherwise(F.col("x")).alias("x"),
+                           F.when(swap, F.col("x")).otherwise(F.col("y")).alias("y"))
+        met = met.unionByName(many)
+    return _met(met, light_to)
+
+
 def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sets, comps): sets has doc_id, key (hash of id and text), node and n
     (null node for a text without words) per row of ``docs``; comps has

@@ -541,12 +541,38 @@ def test_near_copies_never_make_all_pairs(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(df).collect()}
     assert {got[i] for i in range(5_000)} == {0}
     assert {got[i] for i in range(20_000, 20_040)} == {20_000}
-    assert sum(seen) <= 12 * len(rows) and len(seen) >= 2
+    assert sum(seen) <= 80 * len(rows) and len(seen) >= 2
     short = [(i, t) for i, t in rows if 10_000 <= i < 20_000 or i >= 30_000]
     want = dict(zip([i for i, _ in short], [c for _, c in brute.components(short)], strict=True))
     assert {i: got[i] for i in want} == want
 
 
+@pytest.mark.parametrize("group_from", [0, 1, 3, 100])
+def test_pairs_across_components_are_all_met_once(spark, group_from):
+    r = random.Random(group_from)
+    rows = [(k, heavy, node, 20 + node % 9, r.randrange(6), node % 17 if node < 120 else node)
+            for k in range(12) for heavy in (True, False)
+            for node in r.sample(range(200), r.randint(1, 60))]
+    entries = spark.createDataFrame(
+        rows, "key long, heavy boolean, node long, n int, i int, comp long")
+    want = set()
+    met = collections.defaultdict(list)
+    for k, h, a, na, ia, ca in rows:
+        for k2, h2, b, nb, ib, cb in rows:
+            if (k, h) == (k2, h2) and ca < cb and 4 * min(na, nb) >= 3 * max(na, nb):
+                need = (3 * (na + nb) + 6) // 7
+                if not h:
+                    want.add((a, b))
+                elif max(na, nb) > 22 and ia <= na - need and ib <= nb - need:
+                    met[a, b, na, nb].append((ia, ib))
+    for (a, b, na, nb), at in met.items():
+        ia, ib = max(x for x, _ in at), max(x for _, x in at)
+        if len(at) + min(na - ia, nb - ib) - 1 >= (3 * (na + nb) + 6) // 7:
+            want.add((a, b))
+    got = [tuple(r) for r in jaccard_join._across(entries, 22, group_from).collect()]
+    assert sorted(got) == sorted(want) and len(want) > 500
+
+
 def test_lists_are_skipped_where_all_sets_are_light(spark):
     info = spark.createDataFrame([(1, 9, [1, 2, 3])], "node long, n int, toks array<long>")
     assert jaccard_join._entries(info, 9, 9).filter("heavy").count() == 0
