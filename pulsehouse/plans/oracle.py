@@ -453,4 +453,5 @@ select event_id, user_id, event_type, epoch_us(ts) // 1000 as ts_ms, count(*) ov
 from com where cast(ts as date) <= {mid}""",
         "stream_sessions_gap": _BODIES["sessionize_gap"],
     }
+    bodies["stream_kv_sink"] = bodies["stream_kv_update"]
     return {k: _PRELUDE + v for k, v in bodies.items()}

@@ -16,7 +16,9 @@ from pulsehouse import config
 from pulsehouse.functions import window_bounds
 from pulsehouse.operators.enrich import enrich
 from pulsehouse.session import new_run_dir
-from pulsehouse.sinks.kv import KVStream, latest_kv
+from pulsehouse.plans.metrics import with_ratios
+from pulsehouse.sinks import kv_source
+from pulsehouse.sinks.kv import KVStream, latest_kv, to_kv_rows
 from pulsehouse.sinks.lake import archive_stream
 from pulsehouse.sources import adapters as A
 from pulsehouse.sources.events import read_parquet_stream
@@ -330,6 +332,22 @@ def stream_kv_update(spark, sf):
     return latest_kv(spark, f"{run}/kv").where(F.col("field").isin(*KV_COUNTS))
 
 
+def stream_kv_sink(spark, sf):
+    """SNK-1 / STR-11: the activity of closed 5-minute windows as kv rows into
+    the sink with a commit protocol, compacted once, read back."""
+    run = new_run_dir(spark, "stream_kv_sink")
+    dim = A.item_dimension(spark, sf)
+    kv_source.register(spark)
+
+    def rows(ev):
+        counts = with_ratios(metrics.stream_activity(enrich(ev, dim))).drop("n_events")
+        return to_kv_rows(counts.select("window", "category", *KV_COUNTS))
+
+    _run_closed(spark, sf, run, rows, lambda: {"fmt": kv_source.FORMAT, "sink_path": f"{run}/kv"})
+    kv_source.compact_kv(spark, f"{run}/kv")
+    return kv_source.read_kv(spark, f"{run}/kv")
+
+
 # Fields of the serving row that a stream's state holds, and their ratios.
 KV_COUNTS = ("pv", "likes", "favs", "shares", "comments", "interactions", "follows", "unfollows",
              "dms", "profile_visits", "n_leave", "d1_instant_exits", "e1_fast_swipes", "c_long_stays",
@@ -375,6 +393,7 @@ STREAM_QUERIES = {
     "stream_late_rows": stream_late_rows,
     "stream_enrich_versions": stream_enrich_versions,
     "stream_kv_update": stream_kv_update,
+    "stream_kv_sink": stream_kv_sink,
     "stream_totals_complete": stream_totals_complete,
     "stream_new_users": stream_new_users,
     "stream_archive": stream_archive,

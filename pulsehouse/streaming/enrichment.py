@@ -69,13 +69,15 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """The names of the entries in ``path``; none if it does not exist."""
+    fs, p = _on_fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def list_batches(spark: SparkSession, path: str) -> list[int]:
     """The n of the entries ``batch_id=<n>`` in ``path``, in order."""
-    fs, p = _on_fs(spark, path)
-    if not fs.exists(p):
-        return []
-    names = (s.getPath().getName() for s in fs.listStatus(p))
-    return sorted(int(n.removeprefix("batch_id=")) for n in names
+    return sorted(int(n.removeprefix("batch_id=")) for n in list_files(spark, path)
                   if n.startswith("batch_id=") and n.removeprefix("batch_id=").isdecimal())
 
 
