@@ -42,32 +42,28 @@ BACKOFF = 4.0
 CHUNK = 256
 _SPAN = "array<struct<s:int,e:int,v:string>>"
 
-# Words that identifiers are made of in the labelled samples.
+# Ordinary words of the labelled samples: what identifiers are made of, and
+# long words of languages that write compounds.
 PARTS = ("""
-access account action active address admin agent alert alias amount analysis app archive array
-article async auth author background backup balance base batch billing block body border branch
-bridge browser bucket buffer build bundle button cache calendar callback category center channel
-character chart check child class clean click client clock cloud cluster code collection color column
-command comment commit common company component config connection console container content context
-control convert cookie copy core count country create currency current customer dashboard data
-database date debug default delete delivery description design detail device dialog directory
-discount display document domain download driver editor element email empty enable encoder end
-engine entry environment error event example exception export external factory feature field file
-filter final folder font footer format frame function gateway global graph group handler header
-height helper hidden history home image import index initial input instance integer interface
-internal invoice item iterator job journal language layout length level library license limit line
-link list loader local location logger login loop machine main manager mapping master matrix member
-memory menu message method metric middle migration mobile model module monitor name network node
-notification number object office offset operation option order origin output owner package page
-panel parameter parent parser partition path pattern payment performance permission person platform
-player plugin point policy position prefix preview price print private process product profile
-project property provider public query queue range reader record redirect reference region register
-release remote render report request resource response result return review role root router row
-rule runtime sample schedule schema scope screen script search section segment select sender series
-server service session setting shared simple single size snapshot socket source space status step
-storage stream string style subject summary support switch system table target task team template
-test text theme thread ticket time title toggle token tool topic total tracker train transfer tree
-trigger type unit update upload user util value vector version video view widget window worker
+access account action address amount archive array author backup balance batch border branch buffer build button cache calendar category center channel check class client cluster code collection
+column command company config connection content context count country currency customer database
+default delivery description device directory document download editor element empty error event
+example factory feature field filter folder format function gateway group handler header height
+history image index initial instance interface journal language length library limit
+local location machine manager member memory message method migration model monitor network
+notification number object office option order output package parameter parent person platform price
+process product project property public query record region register report request resource response
+result schedule schema script search section service session setting signal source storage stream
+string subject summary support system table target template thread traffic transfer
+upload vector version view 
+arbeitszeit aufzeichnung ausschreibung bedeutung beziehungsweise durchschnitt eigenschaft entwicklung
+erfahrung gesellschaft gleichzeitig handwerk hauptbahnhof kenntnisse landschaft menschlichkeit
+nachrichten oberflaeche pflanzenschutz rechtschreibung schiffahrt schnittpunkt selbstverstaendlich
+sprachwissenschaft unterscheidung verantwortlichkeit wirtschaft zeitschrift zukunft zwischenzeit
+apprentissage aujourd bibliotheque connaissance developpement environnement fonctionnement gouvernement
+heureusement interessant longtemps malheureusement naturellement nouvelle quelquefois renseignement
+ayuntamiento conocimiento desarrollo especialmente funcionamiento investigacion movimiento necesidad
+posibilidad siguiente trabajadores universidad
 """).split()
 
 
@@ -85,6 +81,8 @@ def labelled_samples(spark: SparkSession, n: int = 4000, seed: int = 1) -> DataF
         value = ("_".join(w) if style == 0 else "-".join(w) if style == 1 else
                  w[0] + "".join(x.title() for x in w[1:]) if style == 2 else "/".join(w)
                  if style == 3 else "".join(w) if style == 4 else "_".join(w).upper())
+        if r.random() < 0.3:
+            value = value[0].upper() + value[1:]
         if r.random() < 0.2:
             value += r.choice("_-/") + str(r.choice((1, 2, 3, 10, 100, 2020, 2024, 8080)))
         rows.append((value, False))
