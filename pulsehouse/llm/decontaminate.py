@@ -27,6 +27,9 @@ SHINGLE = 5
 # Tokens (two longs each) up to which the benchmark side is broadcast (about
 # 64 MB as a hashed relation); a larger benchmark is a shuffle join.
 BROADCAST_TOKENS = 1_000_000
+# Bytes of candidates up to which they are broadcast to the texts; beyond, texts
+# are shuffled to meet them.
+BROADCAST_BYTES = 64 << 20
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -104,8 +107,10 @@ def _verified(docs: DataFrame, bench: DataFrame, size: int) -> tuple[DataFrame,
     the windows of the benchmark)."""
     wins = keep(windows(bench, size))
     docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
-    cands = _candidates(docs.select("key", "text"), wins)
-    rows = docs.join(cands, "key", "left")
+    cands = keep(_candidates(docs.select("key", "text"), wins))
+    size = cands.agg(F.sum(F.expr(
+        "48L + aggregate(cands, 0L, (s, c) -> s + 24L + octet_length(c.win))"))).first()[0] or 0
+    rows = docs.join(F.broadcast(cands) if size <= BROADCAST_BYTES else cands, "key", "left")
     rows = rows.withColumn("words", once(F.when(F.col("cands").isNotNull(), words(F.col("text")))))
     return rows.withColumn("hits", F.expr(
         "filter(cands, c -> concat_ws(' ', slice(words, c.start + 1, c.len)) = c.win)")), wins

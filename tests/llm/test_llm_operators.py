@@ -371,6 +371,7 @@ def test_items_without_an_id_are_hits(spark):
 
 def test_decontamination_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_TOKENS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
     d, b = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     bench = [(r.item_id, r.text) for r in b.collect()]
     assert rows_of(decontaminate.contamination(d, b), "doc_id", "n_hit", "n_items") == sorted(
