@@ -250,43 +250,39 @@ def _met(pairs: DataFrame, light_to: int) -> DataFrame:
 
 def _across(entries: DataFrame, light_to: int, group_from: int = GROUP_FROM) -> DataFrame:
     """(a, b) of entries with equal key and different components that can reach
-    the threshold. A pair is met once per key: the entry whose component is the
-    smaller one is x."""
-    groups = entries.groupBy("key", "heavy", "comp").agg(
-        F.count("*").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-    large = keep(groups.filter(F.col("c") > group_from))
+    the threshold; a is of the smaller component.
+
+    The entries of a component that has more than ``group_from`` in a list meet
+    the entries of small ones directly, and those of other such components
+    through pairs of components; so they never meet each other."""
+    groups = entries.groupBy("key", "heavy", "comp").agg(F.count("*").alias("c"))
+    large = keep(groups.filter(F.col("c") > group_from).drop("c"))
     need = "int((3 * (x.n + y.n) + 6) / 7)"
     # With more than n - need tokens before it on either side, a token is not
     # the first that a pair reaching the threshold has in common.
-    fits = (f"{_SIZES} AND (NOT heavy OR (greatest(x.n, y.n) > {light_to} "
+    fits = (f"x.key = y.key AND x.heavy = y.heavy AND {_SIZES} "
+            f"AND (NOT x.heavy OR (greatest(x.n, y.n) > {light_to} "
             f"AND x.i <= x.n - {need} AND y.i <= y.n - {need}))")
-    item = F.struct("node", "n", "i")
+
+    def meet(one: DataFrame, two: DataFrame, more: str) -> DataFrame:
+        x, y = one.alias("x"), two.alias("y")
+        first = F.col("x.comp") < F.col("y.comp")
+        a, b = (F.struct(f"{t}.node", f"{t}.n", f"{t}.i") for t in "xy")
+        return x.join(y, F.expr(f"{fits} AND {more}")).select(
+            "x.heavy", F.when(first, a).otherwise(b).alias("x"), F.when(first, b).otherwise(a).alias("y"))
+
     if large.isEmpty():
-        few = entries
-    else:
-        mark = bounded(large.select("key", "heavy", "comp"))
-        few = entries.join(mark, ["key", "heavy", "comp"], "left_anti")
-    x, y = few.alias("x"), few.alias("y")
-    met = x.join(y, F.expr("x.key = y.key AND x.heavy = y.heavy AND x.comp < y.comp AND "
-                           + fits.replace("NOT heavy", "NOT x.heavy"))).select(
-        "x.heavy", F.struct("x.node", "x.n", "x.i").alias("x"), F.struct("y.node", "y.n", "y.i").alias("y"))
-    if not large.isEmpty():
-        g, h = large.alias("g"), groups.alias("h")
-        by_group = g.join(h, F.expr(
-            "g.key = h.key AND g.heavy = h.heavy AND g.comp <> h.comp "
-            f"AND (h.c <= {group_from} OR g.comp < h.comp) "
-            f"AND (NOT g.heavy OR greatest(g.hi, h.hi) > {light_to}) "
-            "AND 4 * g.hi >= 3 * h.lo AND 4 * h.hi >= 3 * g.lo")).select(
-            "g.key", "g.heavy", "g.comp", F.col("h.comp").alias("other"))
-        one = entries.select("key", "heavy", "comp", item.alias("x"))
-        two = entries.select("key", "heavy", F.col("comp").alias("other"), item.alias("y"))
-        many = (by_group.join(one, ["key", "heavy", "comp"]).join(two, ["key", "heavy", "other"])
-                .filter(fits))
-        # the same end first as for entries met singly
-        swap = F.col("comp") > F.col("other")
-        many = many.select("heavy", F.when(swap, F.col("y")).otherwise(F.col("x")).alias("x"),
-                           F.when(swap, F.col("x")).otherwise(F.col("y")).alias("y"))
-        met = met.unionByName(many)
+        return _met(meet(entries, entries, "x.comp < y.comp"), light_to)
+    name = ["key", "heavy", "comp"]
+    mark = bounded(large)
+    few = keep(entries.join(mark, name, "left_anti"))
+    many = keep(entries.join(mark, name, "left_semi"))
+    g, h = large.alias("g"), large.alias("h")
+    both = g.join(h, F.expr("g.key = h.key AND g.heavy = h.heavy AND g.comp < h.comp")).select(
+        "g.key", "g.heavy", "g.comp", F.col("h.comp").alias("other"))
+    met = meet(few, few, "x.comp < y.comp").unionByName(meet(many, few, "true"))
+    if not both.isEmpty():
+        met = met.unionByName(meet(many.join(both, name), many, "x.other = y.comp"))
     return _met(met, light_to)
 
 
