@@ -208,7 +208,8 @@ def _shared(entries: DataFrame, comps: DataFrame) -> DataFrame:
         "comp", F.coalesce("root", "node")).drop("root")
     several = (entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                .filter("lo < hi").select("key"))
-    return keep(entries.join(bounded(keep(several)), "key", "left_semi"))
+    # not broadcast: their number grows with the documents
+    return keep(entries.join(several, "key", "left_semi"))
 
 
 _SIZES = "4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"
@@ -275,7 +276,7 @@ def _across(entries: DataFrame, light_to: int, group_from: int = GROUP_FROM) ->
         return _met(meet(entries, entries, "x.comp < y.comp"), light_to)
     name = ["key", "heavy", "comp"]
     mark = bounded(large)
-    few = keep(entries.join(mark, name, "left_anti"))
+    few = entries.join(mark, name, "left_anti")
     many = keep(entries.join(mark, name, "left_semi"))
     g, h = large.alias("g"), large.alias("h")
     both = g.join(h, F.expr("g.key = h.key AND g.heavy = h.heavy AND g.comp < h.comp")).select(
