@@ -25,7 +25,9 @@ and only the rest is joined entry by entry. Copies whose first centre was too
 different (say an excerpt) are left in many components; as long as lists hold
 far more pairs than entries, each list is first compared with one node of its
 own, drawn anew each time, which is linear, and what that links is merged.
-Every candidate is verified on the whole texts.
+Every candidate is verified on the whole texts; those whose signatures (how
+many tokens of a set fall into each of some n / 2 buckets) show that they share
+too little are dropped before, so that few texts are sent anywhere.
 
 Tokens and nodes are 64-bit hashes; two different sets collide with
 probability n^2 / 2^65 (3e-4 for 1e8 distinct sets).
@@ -37,7 +39,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsehouse.llm.common import bounded, keep, map_arrow
@@ -144,23 +147,74 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [b.column(i).slice(lo, hi - lo).filter(pa.array(ok)) for i in (0, 1)], ["u", "v"])
 
 
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node and how many tokens of its set fall into each bucket, a byte each;
+    null where a byte is too small. There are 2^k buckets, by the first k bits,
+    so that bytes of neighbours added up give the signature for k - 1."""
+    for b in batches:
+        for lo, hi, data, off in chunks(b.column(1)):
+            row, tok, size = shingle_sets(data, off)
+            k = np.ceil(np.log2(np.maximum(size, 4) / 2)).astype(np.uint64)
+            offs = np.concatenate([[0], np.cumsum(1 << k.astype(np.int64))])
+            at = offs[row] + (mix(tok) >> (np.uint64(64) - k[row])).astype(np.int64)
+            count = np.bincount(at, minlength=offs[-1])
+            fits = np.maximum.reduceat(count, offs[:-1]) < 256 if hi > lo else np.zeros(0, bool)
+            data = pa.py_buffer(np.minimum(count, 255).astype(np.uint8))
+            sig = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), hi - lo, [None, pa.py_buffer(offs.astype(np.int64)), data])
+            sig = pc.if_else(pa.array(fits), sig, pa.scalar(None, pa.large_binary()))
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), sig.cast(pa.binary())],
+                                             ["node", "sig"])
+
+
+def _can_link(a: bytes | None, b: bytes | None) -> bool:
+    """Whether sets with these signatures may reach the threshold: they share
+    at most the lesser count of each bucket."""
+    if a is None or b is None:
+        return True
+    x, y = (np.frombuffer(s, np.uint8).astype(np.int64) for s in (a, b))
+    m = min(len(x), len(y))
+    x, y = x.reshape(m, -1).sum(axis=1), y.reshape(m, -1).sum(axis=1)
+    return 175 * np.minimum(x, y).sum() >= 75 * (x.sum() + y.sum())
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b) of the pairs whose signatures allow the threshold."""
+    for batch in batches:
+        sa, sb = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+        ok = pa.array([_can_link(x, y) for x, y in zip(sa, sb, strict=True)], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(i).filter(ok) for i in (0, 1)], ["a", "b"])
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(
+        pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def _beside(pairs: DataFrame, rows: DataFrame, what: str) -> DataFrame:
+    """``pairs`` with column ``what`` of both nodes (``rows``: node, what),
+    joined on b first, so that what is compared with one a travels together."""
+    xa = rows.select(F.col("node").alias("a"), F.col(what).alias("xa"))
+    xb = rows.select(F.col("node").alias("b"), F.col(what).alias("xb"))
+    return pairs.select("a", "b").join(xb, "b").join(xa, "a").select("a", "b", "xa", "xb")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
     """Edges (u, v) among candidate ``pairs`` (a, b), decided on whole texts:
-    one document of each candidate node is fetched and its text joined, on b
-    first, so that the texts compared with one a travel side by side.
-    ``repeated``: some rows are equal in id and text."""
-    ends = pairs.select(F.col("a").alias("node")).unionByName(
-        pairs.select(F.col("b").alias("node"))).distinct()
-    reps = (sets.join(ends, "node", "left_semi").groupBy("node")
-            .agg(F.min("key").alias("key")))
-    reps = bounded(keep(reps))
-    texts = docs.join(reps, "key").select("key", "node", "text")
-    if repeated:
-        texts = texts.dropDuplicates(["key"])
-    ta = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    tb = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    both = pairs.select("a", "b").join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
-    return map_arrow(both, _linked, "u long, v long")
+    one document of each candidate node is fetched; the pairs that signatures
+    do not rule out get both texts joined. ``repeated``: some rows are equal in
+    id and text."""
+    reps = keep(sets.join(_ends(pairs), "node", "left_semi").groupBy("node")
+                .agg(F.min("key").alias("key")))
+
+    def texts(reps: DataFrame) -> DataFrame:
+        got = docs.join(bounded(reps), "key").select("key", "node", "text")
+        return got.dropDuplicates(["key"]) if repeated else got
+
+    signed = keep(map_arrow(texts(reps).select("node", "text"), _signatures, "node long, sig binary"))
+    pairs = keep(map_arrow(_beside(pairs, signed, "sig"), _possible, "a long, b long"))
+    left = keep(reps.join(_ends(pairs), "node", "left_semi"))
+    return map_arrow(_beside(pairs, texts(left), "text"), _linked, "u long, v long")
 
 
 def _boundary(sets: DataFrame) -> tuple[int, int]:
@@ -184,32 +238,38 @@ def _boundary(sets: DataFrame) -> tuple[int, int]:
 
 
 def _entries(info: DataFrame, light_to: int, largest: int) -> DataFrame:
-    """key, heavy, node, n, i: the two-token subsets of sets up to the
+    """key, heavy, i and all but toks of ``info``: the two-token subsets of sets up to the
     boundary, and the prefix tokens (the i-th) of those that a set over the
     boundary can reach."""
+    rest = [c for c in info.columns if c != "toks"]
     one = (info.filter((F.col("n") <= light_to) & (F.col("n") > 1))
-           .select("node", "n", "toks", F.posexplode("toks").alias("j", "t1")))
-    out = one.select("node", "n", "t1", F.explode(F.expr("slice(toks, j + 2, size(toks))")).alias(
-        "t2")).select(F.xxhash64("t1", "t2").alias("key"), F.lit(False).alias("heavy"), "node", "n",
+           .select(*rest, "toks", F.posexplode("toks").alias("j", "t1")))
+    out = one.select(*rest, "t1", F.explode(F.expr("slice(toks, j + 2, size(toks))")).alias(
+        "t2")).select(F.xxhash64("t1", "t2").alias("key"), F.lit(False).alias("heavy"), *rest,
                       F.lit(0).alias("i"))
     if largest <= light_to:
         return out
     p = (F.col("n") - F.ceil(F.col("n") * 0.75) + 1).cast("int")
     return out.unionByName(
         info.filter(F.col("n") * 4 > 3 * light_to)
-        .select("node", "n", F.lit(True).alias("heavy"),
+        .select(*rest, F.lit(True).alias("heavy"),
                 F.posexplode(F.slice("toks", F.lit(1), p)).alias("i", "key")))
 
 
-def _shared(entries: DataFrame, comps: DataFrame) -> DataFrame:
-    """The ``entries`` whose key several components have, with ``comp``; a node
-    that is linked with none so far is a component of its own."""
-    entries = entries.join(comps.select("node", "root"), "node", "left").withColumn(
+def _with_comp(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """``rows`` (node, ...) with ``comp``; a node that is linked with none so
+    far is a component of its own."""
+    return rows.join(comps.select("node", "root"), "node", "left").withColumn(
         "comp", F.coalesce("root", "node")).drop("root")
-    several = (entries.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-               .filter("lo < hi").select("key"))
-    # not broadcast: their number grows with the documents
-    return keep(entries.join(several, "key", "left_semi"))
+
+
+def _shared(entries: DataFrame) -> DataFrame:
+    """The ``entries`` whose key several components have. They are sent once:
+    most keys are met once, so that counting them first would send about as
+    much again."""
+    of_key = Window.partitionBy("key")
+    return keep(entries.withColumns({"lo": F.min("comp").over(of_key), "hi": F.max("comp").over(of_key)})
+                .filter("lo < hi").drop("lo", "hi"))
 
 
 _SIZES = "4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)"
@@ -329,7 +389,7 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     light_to, largest = _boundary(full)
     info = full.select("node", F.col("n").cast("int").alias("n"), "toks")
     edges, comps = first, found
-    entries = _shared(_entries(info, light_to, largest), bounded(comps))
+    entries = _shared(_entries(_with_comp(info, bounded(comps)), light_to, largest))
     for r in range(STAR_ROUNDS):
         if not _too_many(entries):
             break
@@ -338,7 +398,7 @@ def near_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             break
         edges = keep(edges.unionByName(new))
         comps = keep(components(edges))
-        entries = _shared(entries.drop("comp"), bounded(comps))
+        entries = _shared(_with_comp(entries.drop("comp"), bounded(comps)))
     more = keep(_across(entries, light_to))
     if not more.isEmpty():
         edges = edges.unionByName(_verify(more, sets, docs, repeated))

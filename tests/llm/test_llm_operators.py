@@ -579,3 +579,49 @@ def test_lists_are_skipped_where_all_sets_are_light(spark):
     assert jaccard_join._entries(info, 9, 9).filter("heavy").count() == 0
     assert jaccard_join._entries(info, 9, 9).count() == 3
     assert jaccard_join._entries(info, 8, 9).filter("heavy").count() == 3
+
+
+def test_list_entries_are_sent_once(spark, monkeypatch):
+    """Counting the components of each key and keeping the entries of those
+    with several takes one exchange of the entries."""
+    plans = []
+
+    def planned(df):
+        got = df.persist()
+        got.count()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return got
+
+    monkeypatch.setattr(jaccard_join, "keep", planned)
+    entries = spark.createDataFrame([(1, 1, 5), (1, 2, 5), (2, 3, 5), (2, 4, 6), (3, 7, 7)],
+                                    "key long, node long, comp long")
+    assert sorted(r.node for r in jaccard_join._shared(entries).collect()) == [3, 4]
+    final = plans[0].split("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning") == 1
+
+
+def test_signatures_never_rule_out_a_link(spark, monkeypatch):
+    """Pairs that share too little get no texts; every linked pair does, also
+    where signatures have different lengths or too small counters."""
+    r = random.Random(8)
+    texts = []
+    for size in (5, 6, 8, 15, 30, 66, 130, 260, 515, 1030):
+        base = prose(size, r)
+        texts += [base, edited(base, 1, r), base + " " + prose(size // 4, r), prose(size, r)]
+    rows = [(i, i, t) for i, t in enumerate(texts)] + [(100, 100, " ".join(["a"] * 400))]
+    docs = spark.createDataFrame(rows, "doc_id long, key long, text string")
+    sets = docs.select("key", F.col("key").alias("node"))
+    compared = []
+    beside = jaccard_join._beside
+    monkeypatch.setattr(jaccard_join, "_beside", lambda pairs, rows, what: (
+        compared.append((what, pairs.count())), beside(pairs, rows, what))[1])
+    pairs = spark.createDataFrame([(a, b) for _, a, _ in rows for _, b, _ in rows if a < b],
+                                  "a long, b long")
+    got = {(x.u, x.v) for x in jaccard_join._verify(pairs, sets, docs, False).collect()}
+    words = {i: brute.shingles(t) for i, _, t in rows}
+    want = {(a, b) for a in words for b in words if a < b
+            and 100 * len(words[a] & words[b]) >= 75 * len(words[a] | words[b])}
+    assert got == want and len(want) >= 15
+    assert [w for w, _ in compared] == ["sig", "text"] and compared[1][1] <= 2 * len(want)
+    assert jaccard_join._can_link(None, b"\x01\x01")
+    assert not jaccard_join._can_link(b"\x04\x00\x00\x00", b"\x00\x04")
