@@ -40,6 +40,15 @@ def time_split(df: DataFrame, t: str, bucket: int, halo: int) -> DataFrame:
     ).drop("_own_bucket")
 
 
+def deal(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` shuffled by ``keys`` into all shuffle partitions of the session.
+    Left to itself, adaptive execution merges them by their compressed bytes
+    into as few tasks as there are cores, and each then sorts a share of the
+    rows, some ten times as large, that grows with the input."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
 def bucket_of(t: str, bucket: int) -> Column:
     """floor(t / bucket) for the integer column ``t``, in exact integer
     arithmetic (a double division can round a time just below a bucket

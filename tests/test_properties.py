@@ -65,3 +65,41 @@ def test_sessionize_equals_lag_form(spark, steps, bucket):
         last[uid] = ts
         want[eid] = seq[uid]
     assert got == want
+
+
+def test_a2_against_plain_counts_without_added_rows(spark):
+    """Repeated ids, equal times, hot buckets: the flags are those of a plain
+    count, and no row is added for the start or end of an item's likes."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from pulsehouse.operators.cheat import flag_a2
+
+    r = random.Random(3)
+    rows = [(r.choice([i, i, i - i % 3, None]), r.randrange(2), r.randrange(9),
+             r.choice(["like", "like", "like", "fav", None]), r.randrange(60_000)) for i in range(900)]
+    ev = spark.createDataFrame(rows, "event_id long, user_id long, item_id long, event_type string, "
+                               "ms long").withColumn("ts", F.timestamp_millis("ms"))
+    flags = flag_a2(ev, window_ms=700, min_items=5, bucket_ms=2_000)
+
+    def flag(x):
+        if x[3] is None:
+            n = len(held(x))
+            return None if n >= 5 else False
+        return x[3] == "like" and len(held(x)) >= 5
+
+    def order(x):
+        return x[4], x[0] is not None, x[0] or 0
+
+    def held(x):
+        return {y[2] for y in rows if y[1] == x[1] and y[3] == "like"
+                and y[4] >= x[4] - 700 and order(y) <= order(x)}
+
+    got = [(x.event_id, x.user_id, x.item_id, x.event_type, x.ms, x.is_cheat_a2)
+           for x in flags.collect()]
+    assert sorted(got, key=repr) == sorted([(*x, flag(x)) for x in rows], key=repr)
+    assert {x[-1] for x in got} >= {True, False}
+    plan = flags._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # the only expansion is that into buckets; one sort by item, one by user
+    assert plan.count("Generate explode") == 1 and plan.count("Sort [") == 2
