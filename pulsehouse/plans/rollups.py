@@ -4,8 +4,11 @@
 * sketches: one HLL sketch per window, dimension and kind of user; a few kB
   at most, relative error about 1.04 / sqrt(2^lg_k); merged by union;
 * bitmaps: exact. Ids get dense numbers from a dictionary that grows batch by
-  batch; a bitmap covers 32,768 numbers, so a window has one row per range
-  of numbers it meets; merged by bitwise or, counted by ``bitmap_count``.
+  batch; a bitmap is a word of 64 numbers, so a window has one row per range
+  of numbers it meets and never more rows than ids; merged by bitwise or,
+  counted by ``bit_count``. (Spark's ``bitmap_*`` functions have 4 kB for a
+  range of 32,768, nearly empty where ids are many and windows short, and sort
+  them.)
 """
 
 from __future__ import annotations
@@ -105,9 +108,12 @@ class IdDictionary:
 
 # -- bitmaps
 
+WORD_BITS = 64
+
+
 def distinct_bitmaps(rows: DataFrame, ids: DataFrame, key: str, kinds: dict[str, Column],
                      by: tuple[str, ...] = ()) -> DataFrame:
-    """Per 5 minutes, ``by`` and range of 32,768 numbers: a bitmap of the
+    """Per 5 minutes, ``by`` and range of 64 numbers: a bitmap of the
     ``key`` values of each kind (name -> condition on the row), and the day.
 
     Rows are reduced to one per (window, by, key) before they meet the
@@ -118,9 +124,9 @@ def distinct_bitmaps(rows: DataFrame, ids: DataFrame, key: str, kinds: dict[str,
         *[F.max(F.coalesce(c, F.lit(False))).alias(n) for n, c in kinds.items()])
     numbers, _ = bounded_broadcast(ids.select("id", "num"), config.DEFAULT_SCALE.broadcast_max_rows)
     numbered = one.join(numbers, "id")
-    bit = F.bitmap_bit_position("num")
-    return (numbered.groupBy("window_start", *by, F.bitmap_bucket_number("num").alias("bucket"))
-            .agg(*[F.bitmap_construct_agg(F.when(F.col(n), bit)).alias(n) for n in kinds])
+    bit = F.expr(f"shiftleft(1L, cast(num % {WORD_BITS} as int))")
+    return (numbered.groupBy("window_start", *by, F.expr(f"num div {WORD_BITS}").alias("bucket"))
+            .agg(*[F.bit_or(F.when(F.col(n), bit).otherwise(F.lit(0))).alias(n) for n in kinds])
             .withColumn("day", F.to_date(F.timestamp_seconds("window_start"))))
 
 
@@ -135,7 +141,7 @@ def roll_up_bitmaps(stored: DataFrame, names: tuple[str, ...], by: tuple[str, ..
     everything, from stored bitmaps: bitmaps of a range are merged, then the
     counts of a group's ranges are added."""
     rows = _stored_starts(stored, grains).drop("window_start")
-    merged = _grouped(rows, by, ["bucket"], [F.bitmap_count(F.bitmap_or_agg(n)).alias(n)
+    merged = _grouped(rows, by, ["bucket"], [F.bit_count(F.bit_or(n)).alias(n)
                                              for n in names], grains)
     return _with_end(merged.groupBy(*_keys(by)).agg(*[F.sum(n).cast("bigint").alias(n) for n in names]))
 

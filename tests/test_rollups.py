@@ -5,6 +5,7 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pulsehouse.plans import grains as G
@@ -138,3 +139,24 @@ def test_sessions_over_midnight(spark):
     assert out["day", d2].avg_session_sec is None
     assert out["5m", d1].avg_events_per_session == 2.0
     assert out["30m", d1 + 1800].sessions == 1
+
+
+def test_bitmaps_are_merged_without_sorts(spark):
+    """Stored bitmaps are words that hash aggregates merge, at most one per
+    event and exact at the ends of words; every kind counts, also those without
+    an event in a window."""
+    ev = spark.range(3_000).select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 1200).alias("ts"),
+        (F.col("id") * 131).alias("user_id"), F.lit("app_open").alias("event_type"),
+        F.lit("a").alias("category"))
+    ids = ev.select(F.col("user_id").alias("id"), F.row_number().over(
+        Window.orderBy("user_id")).cast("bigint").alias("num"))
+    ids = ids.withColumn("num", F.col("num") - 1)
+    stored = R.store(R.user_bitmaps(ev, ids), f"{new_run_dir(spark, 'test_words')}/u")
+    assert dict(stored.dtypes)["dau"] == "bigint"
+    assert stored.agg(F.sum(F.bit_count("dau"))).first()[0] == 3_000
+    out = R.roll_up_bitmaps(stored, tuple(R.KINDS), ("category",))
+    got = {(r.grain, r.by_category, r.window_start): (r.dau, r.dau_app_open, r.uv) for r in out.collect()}
+    assert got["day", False, 1704067200] == got["30m", True, 1704067200] == (3_000, 3_000, 0)
+    assert sum(v[0] for k, v in got.items() if k[:2] == ("5m", True)) == 3_000
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
